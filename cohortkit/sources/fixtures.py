@@ -193,6 +193,9 @@ def client_detail_cols(d: Dialect) -> list[tuple[str, str]]:
     ]
 
 
+POLICY_MART_WHERE = "o_orderkey % 4 = 0"
+
+
 def policy_mart_cols(d: Dialect) -> list[tuple[str, str]]:
     S = d.n_suppliers
     return [
@@ -206,9 +209,9 @@ def agent_mart_cols(d: Dialect) -> list[tuple[str, str]]:
     n = _s("s_nationkey")
     return [
         ("agt_code", "s_suppkey"),
-        ("channel", "CASE WHEN s_suppkey % 23 = 0 THEN 'Banca' ELSE 'Agency' END"),
-        ("loc_cd", f"CASE WHEN s_suppkey % 29 = 0 THEN 'DMO' || {n} WHEN s_suppkey % 31 = 1 THEN 'FPC' || {n} "
-                   f"WHEN s_suppkey % 10 = 7 THEN NULL ELSE 'AGY' || {n} END"),
+        ("channel", "CASE WHEN s_suppkey % 50 = 5 THEN 'Banca' ELSE 'Agency' END"),
+        ("loc_cd", f"CASE WHEN s_suppkey % 50 = 7 THEN 'DMO' || {n} WHEN s_suppkey % 50 = 9 THEN 'FPC' || {n} "
+                   f"WHEN s_suppkey % 10 = 3 THEN NULL ELSE 'AGY' || {n} END"),
     ]
 
 
@@ -338,7 +341,7 @@ def build_fixture_tables(spark: SparkSession, sf_dir: str, params: RunParams = F
         scorecard=scorecard,
         structure=structure,
         customers=_sel(customer, customer_cols(d)),
-        policy_mart=_sel(orders, policy_mart_cols(d)),
+        policy_mart=_sel(orders.where(POLICY_MART_WHERE), policy_mart_cols(d)),
         agent_mart=_sel(supplier, agent_mart_cols(d)),
         lifestage=lifestage,
         client_details=_sel(customer, client_detail_cols(d)),
@@ -397,7 +400,7 @@ def oracle_ctes(params: RunParams = FIXTURE_PARAMS) -> dict[str, str]:
         "scorecard": scorecard,
         "structure": "SELECT s_nationkey AS loc_code, MIN(s_suppkey) AS loc_mrg FROM supplier GROUP BY s_nationkey",
         "customers": f"SELECT {_cte_select(customer_cols(d))} FROM customer",
-        "policy_mart": f"SELECT {_cte_select(policy_mart_cols(d))} FROM orders",
+        "policy_mart": f"SELECT {_cte_select(policy_mart_cols(d))} FROM orders WHERE {POLICY_MART_WHERE}",
         "agent_mart": f"SELECT {_cte_select(agent_mart_cols(d))} FROM supplier",
         "lifestage": lifestage,
         "client_details": f"SELECT {_cte_select(client_detail_cols(d))} FROM customer",
