@@ -75,9 +75,15 @@ def write_month(df: DataFrame, path: str, partition_col: str = "onb_mth_yr") ->
        .partitionBy(partition_col).parquet(path))
 
 
+def read_published(spark: SparkSession, path: str, partition_col: str = "onb_mth_yr") -> DataFrame:
+    """Read the published table; the month key stays text (no partition type inference)."""
+    df = spark.read.parquet(path)
+    return df.withColumn(partition_col, F.col(partition_col).cast("string"))
+
+
 def read_month(spark: SparkSession, path: str, month_key: str, partition_col: str = "onb_mth_yr") -> DataFrame:
     """Read back one month (partition pruning on the month key)."""
-    return spark.read.parquet(path).where(F.col(partition_col) == F.lit(month_key))
+    return read_published(spark, path, partition_col).where(F.col(partition_col) == F.lit(month_key))
 
 
 def row_count(df: DataFrame) -> DataFrame:

@@ -21,9 +21,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NullType, StructType
 
 
-def read_orc_snapshot(spark: SparkSession, root: str, partition_col: str, value: str) -> DataFrame:
-    """One partition of an ORC table, read through the root (pruned, column kept)."""
-    return spark.read.orc(root).where(F.col(partition_col) == F.lit(value))
+def read_orc_snapshot(spark: SparkSession, root: str, partition_col: str, value: str,
+                      merge_schema: bool = True) -> DataFrame:
+    """One partition of an ORC table, read through the root (pruned, column kept).
+
+    File schemas of older partitions may be narrower; ``merge_schema`` reads
+    the union of fields (struct fields included) instead of one file's schema.
+    The partition column is read as text so ``2023-03``-style values keep
+    their form.
+    """
+    df = (spark.read.option("mergeSchema", str(merge_schema).lower())
+          .option("recursiveFileLookup", "false").orc(root))
+    return df.where(F.col(partition_col).cast("string") == F.lit(value))
 
 
 def unwrap_struct(df: DataFrame, struct_col: str = "row") -> DataFrame:
@@ -80,6 +89,6 @@ def read_partition_union(spark: SparkSession, root: str, fmt: str = "orc",
         if empty_schema is None:
             raise ValueError(f"no partition of {root} passes the schema gate")
         return spark.createDataFrame([], empty_schema)
-    df = spark.read.format(fmt).option("mergeSchema", "true").load(*passing)
+    df = spark.read.format(fmt).option("mergeSchema", "true").load(passing)
     keep = non_null_fields(df.schema)
     return df.select(*keep)
