@@ -25,10 +25,15 @@ COHORT_COLUMNS = [
 ]
 
 
-def _agent_roles(t: RoleTables, p: RunParams):
-    wa = bounded_broadcast(agents_in(t.agents, p.writing_channels, "wa_"))
-    sa = bounded_broadcast(agents_in(t.agents, p.servicing_channels, "sa_", extra=("trmn_dt",)))
-    return wa, sa
+def agent_roles(t: RoleTables, p: RunParams):
+    """Writing- and servicing-agent lookups, size-checked once per role-table set."""
+    memo = t.__dict__.setdefault("_memo", {})
+    key = ("agent_roles", p.writing_channels, p.servicing_channels)
+    if key not in memo:
+        wa = bounded_broadcast(agents_in(t.agents, p.writing_channels, "wa_"))
+        sa = bounded_broadcast(agents_in(t.agents, p.servicing_channels, "sa_", extra=("trmn_dt",)))
+        memo[key] = (wa, sa)
+    return memo[key]
 
 
 def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
@@ -37,7 +42,7 @@ def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
     Policy-grain work (filters, agent lookups, relationship class) happens
     before the coverage join, on the far smaller policy side.
     """
-    wa, sa = _agent_roles(t, p)
+    wa, sa = agent_roles(t, p)
     pol = t.policy.where(in_month("pol_iss_dt", p.month_start, p.next_month_start)
                          & F.col("pol_stat_cd").isin(*p.inforce_status))
     pol = (pol.join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
@@ -115,7 +120,7 @@ def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str |
     cohort's policies.  No insured join here (no fan-out).  ``owners=None``
     keeps every owner.
     """
-    wa, sa = _agent_roles(t, p)
+    wa, sa = agent_roles(t, p)
     pol = t.policy.where((F.col("pol_iss_dt") <= F.lit(p.month_end))
                          & F.col("pol_stat_cd").isin(*p.inforce_status))
     own = links_of(t.links, "O", "po_num")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions import rulebook as R
 from cohortkit.functions.rules import yn
-from cohortkit.operators.common import agents_in, bounded_broadcast, links_of
+from cohortkit.operators.common import bounded_broadcast, links_of
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
@@ -77,8 +77,8 @@ def channel_overlap_owners(policy_mart: DataFrame, agent_mart: DataFrame, p: Run
 
 def last_issue_dates(t: RoleTables, p: RunParams) -> DataFrame:
     """Per owner: latest issue date in [month start, month end + N months]."""
-    wa = bounded_broadcast(agents_in(t.agents, p.writing_channels, "wa_"))
-    sa = bounded_broadcast(agents_in(t.agents, p.servicing_channels, "sa_"))
+    from cohortkit.operators.cohort import agent_roles
+    wa, sa = agent_roles(t, p)
     pol = t.policy.where(F.col("pol_iss_dt").between(F.lit(p.month_start), F.lit(p.repurchase_end))
                          & F.col("pol_stat_cd").isin(*p.issued_status))
     pol = (pol.join(links_of(t.links, "O", "po_num"), "pol_num", "inner")

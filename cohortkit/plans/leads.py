@@ -59,8 +59,17 @@ def materialize(df: DataFrame, how: str | None) -> DataFrame:
     raise ValueError(how)
 
 
-def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = None,
+def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "checkpoint",
                  insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> LeadStages:
+    """All stages of one month.
+
+    The cohort is read by five later stages (owners, first contract, holdings,
+    party IDs, flags); with ``reuse="checkpoint"`` it is computed once and
+    written to the shared checkpoint folder, so the coverage scan and its joins
+    run once instead of once per consumer.  In ``rejoin`` mode the tagged
+    leads are read twice (directly and through scoring) and are materialised
+    the same way.
+    """
     cohort = materialize(C.active_cohort(t, p, rank=None), reuse)
     owners = C.cohort_owners(cohort)
     first = C.first_contract(cohort)
@@ -72,6 +81,8 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     oflags = FL.owner_flags(t, p, owners, insured_keys=insured_keys)
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
+    if mode == "rejoin":
+        final = materialize(final, reuse)
     scoring = S.score_leads(final, t.need, t.new_need, p)
     leads = PB.lead_table(final, t.need, t.new_need, p, mode=mode)
     return LeadStages(cohort, owners, first, hold, summary, agent_dim, profile, pairs, oflags,

@@ -65,6 +65,7 @@ def stages(spark: SparkSession, sf: str, mode: str = "in_place"):
     return build_stages(roles(spark, sf), PR, mode=mode)
 
 
+
 RQ, SQ = O.roles_query, O.stage_query
 L = O.Lit(PR)
 ME = L.me
@@ -77,9 +78,9 @@ ME = L.me
 @register("src_parquet_scan", RQ("SELECT * FROM pol"))
 def src_parquet_scan(spark, sf):
     """Parquet scan through the policy contract (only its columns are read)."""
-    from cohortkit.sources.fixtures import policy_cols, spark_dialect
-    n_cust = read_parquet(spark, f"{sf}/customer.parquet").count()
-    n_supp = read_parquet(spark, f"{sf}/supplier.parquet").count()
+    from cohortkit.sources.fixtures import policy_cols, spark_dialect, table_rows
+    n_cust = table_rows(spark, f"{sf}/customer.parquet")
+    n_supp = table_rows(spark, f"{sf}/supplier.parquet")
     orders = read_parquet(spark, f"{sf}/orders.parquet")
     pol = orders.selectExpr(*[f"{e} AS `{n}`" for n, e in policy_cols(spark_dialect(n_cust, n_supp))])
     return conform(pol, "policy")
