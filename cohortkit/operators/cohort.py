@@ -18,6 +18,9 @@ from cohortkit.operators.common import (
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
+# Upper bound on one month's new policies for the broadcast path (rows).
+MONTH_POLICY_MAX_ROWS = 5_000_000
+
 COHORT_COLUMNS = [
     "pol_num", "po_num", "ins_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
     "cvg_prem", "pmt_mode", "inforce_ape", "cvg_iss_dt", "pol_iss_dt", "purchase_order_base",
@@ -65,9 +68,14 @@ def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split") -> Da
     policy number).  ``rank=None`` omits it (first-contract selection does not
     need the full rank, see :func:`first_contract`).
     """
-    pol = month_policies(t, p)
-    owners = links_of(t.links, "O", "po_num")
-    insureds = links_of(t.links, "I", "ins_num")
+    # One month of new business: size-checked, then broadcast to every join that
+    # needs it.  Coverage and the two link roles are cut to the month's
+    # policies map-side, so neither large table is shuffled.  Past the bound
+    # the joins fall back to shuffles (AQE, runtime bloom filters).
+    pol = bounded_broadcast(month_policies(t, p), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS))
+    keys = pol.select("pol_num")
+    owners = links_of(t.links, "O", "po_num").join(keys, "pol_num", "left_semi")
+    insureds = links_of(t.links, "I", "ins_num").join(keys, "pol_num", "left_semi")
     cvg = t.coverage.join(pol, "pol_num", "inner").join(owners, "pol_num", "inner").join(insureds, "pol_num", "inner")
     df = cvg.select(
         "pol_num", "po_num", "ins_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",

@@ -64,14 +64,17 @@ def customer_profile(t: RoleTables, p: RunParams, owners: DataFrame, summary: Da
     """
     if first_dates is None:
         first_dates = first_join_dates(t, p, owners)
+    keys = owners.select("po_num")
+    # customers ⋈ (distinct owners) is the customers' rows of those owners: a
+    # semi-join, which is a map-side filter when the owner set is broadcast.
     cli = (t.customers.where(F.col("cli_typ") == F.lit("Individual"))
-           .withColumnRenamed("cli_num", "po_num"))
+           .withColumnRenamed("cli_num", "po_num")
+           .join(keys, "po_num", "left_semi"))
+    seg = lifestage_snapshot(t.lifestage, p.lifestage_month).join(keys, "po_num", "left_semi")
     fj = first_dates.select(F.col("cli_num").alias("po_num"), "frst_join_dt")
-    df = (owners.select("po_num")
-          .join(cli, "po_num", "inner")
-          .join(lifestage_snapshot(t.lifestage, p.lifestage_month), "po_num", "left")
-          .join(fj, "po_num", "left")
-          .join(summary, "po_num", "left"))
+    df = (cli.join(seg, "po_num", "left")
+             .join(fj, "po_num", "left")
+             .join(summary, "po_num", "left"))
     total, long_cnt = F.col("total_ape"), F.col("10yr_pol_cnt")
     return df.select(
         "po_num",

@@ -9,6 +9,7 @@ counts what was written.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,15 +20,20 @@ from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
+from cohortkit.operators.common import bounded_broadcast
 from cohortkit.params import RunParams
-from cohortkit.session import ensure_checkpoint_dir
+from cohortkit.session import ensure_checkpoint_dir, staging_path
 from cohortkit.sources.tables import RoleTables
 
 
+# Upper bound on distinct cohort owners for the broadcast path (rows).
+OWNER_MAX_ROWS = 5_000_000
+
+
 @dataclass
 class LeadStages:
     cohort: DataFrame        # Step 1 (without the full rank; see first_contract)
-    owners: DataFrame        # distinct cohort owners
+    owners: DataFrame        # distinct cohort owners (size-checked broadcast)
     first: DataFrame         # first-contract base rows
     holdings: DataFrame      # Step 2
     summary: DataFrame       # holdings aggregate per owner
@@ -37,29 +43,48 @@ class LeadStages:
     owner_flags: DataFrame   # contact / channel / repurchase flags per owner
     combined: DataFrame      # Step 6
     final: DataFrame         # Step 7
-    scoring: DataFrame       # Step 8
-    leads: DataFrame         # Step 9
+    need: DataFrame
+    new_need: DataFrame
+    params: RunParams
+    mode: str = "in_place"
+
+    @cached_property
+    def scoring(self) -> DataFrame:   # Step 8 (built on first use)
+        return S.score_leads(self.final, self.need, self.new_need, self.params)
+
+    @cached_property
+    def leads(self) -> DataFrame:     # Step 9 (built on first use)
+        return PB.lead_table(self.final, self.need, self.new_need, self.params, mode=self.mode)
 
 
-def materialize(df: DataFrame, how: str | None) -> DataFrame:
+def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFrame:
     """Reuse a stage read by several later stages.
 
-    ``checkpoint`` writes it to the shared checkpoint folder (lineage cut: a
-    lost executor does not force recomputation of the upstream joins);
-    ``persist`` caches it (recomputed from lineage on loss); ``None`` leaves it
-    to Spark's exchange reuse.
+    ``table`` (default) writes it once as Parquet into a fresh folder under the
+    shared checkpoint directory and reads it back: lineage is cut (a lost
+    executor does not force the upstream joins to rerun), the stage is
+    computed exactly once, and the planner gets real file sizes for its join
+    choices.  ``checkpoint`` uses ``Dataset.checkpoint`` (same folder, but an
+    eager reliable checkpoint computes the plan twice unless cached);
+    ``persist`` caches (recomputed from lineage on loss); ``None`` leaves it to
+    Spark's exchange reuse.
     """
     if how is None:
         return df
+    spark = df.sparkSession
+    if how == "table":
+        path = staging_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if how == "persist":
         return df.persist()
     if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
+        ensure_checkpoint_dir(spark)
         return df.checkpoint(eager=True)
     raise ValueError(how)
 
 
-def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "checkpoint",
+def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "table",
                  insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> LeadStages:
     """All stages of one month.
 
@@ -70,8 +95,10 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     leads are read twice (directly and through scoring) and are materialised
     the same way.
     """
-    cohort = materialize(C.active_cohort(t, p, rank=None), reuse)
-    owners = C.cohort_owners(cohort)
+    cohort = materialize(C.active_cohort(t, p, rank=None), reuse, "cohort")
+    # Owners are at most the month's policies: size-checked once, then every
+    # owner semi-join (holdings, first dates, flags, profile) is map-side.
+    owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
     first = C.first_contract(cohort)
     hold = C.holdings(t, p, owners)
     summary = C.holdings_summary(hold, p)
@@ -82,11 +109,9 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
     if mode == "rejoin":
-        final = materialize(final, reuse)
-    scoring = S.score_leads(final, t.need, t.new_need, p)
-    leads = PB.lead_table(final, t.need, t.new_need, p, mode=mode)
+        final = materialize(final, reuse, "tagged_leads")
     return LeadStages(cohort, owners, first, hold, summary, agent_dim, profile, pairs, oflags,
-                      combined, final, scoring, leads)
+                      combined, final, t.need, t.new_need, p, mode)
 
 
 def lead_table(t: RoleTables, p: RunParams, mode: str = "in_place") -> DataFrame:
@@ -94,7 +119,7 @@ def lead_table(t: RoleTables, p: RunParams, mode: str = "in_place") -> DataFrame
 
 
 def run_month(spark: SparkSession, t: RoleTables, p: RunParams, out_path: str,
-              mode: str = "in_place", reuse: str | None = "checkpoint") -> int:
+              mode: str = "in_place", reuse: str | None = "table") -> int:
     """The monthly job: build, write the month's partition once, count it."""
     stages = build_stages(t, p, mode=mode, reuse=reuse)
     return PB.publish(spark, stages.leads, out_path, p)

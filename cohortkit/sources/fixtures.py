@@ -300,8 +300,25 @@ def table_rows(spark: SparkSession, path: str) -> int:
     return _COUNTS[key]
 
 
+_ROLE_CACHE: dict[tuple, RoleTables] = {}
+_SOURCES = ("customer", "orders", "lineitem", "supplier", "nation", "region", "events")
+
+
 def build_fixture_tables(spark: SparkSession, sf_dir: str, params: RunParams = FIXTURE_PARAMS) -> RoleTables:
-    """All role tables derived on Spark from the synthetic parquet tables."""
+    """All role tables (lazy plans), memoised per session, folder, parameters and file stamps."""
+    stamps = []
+    for t in _SOURCES:
+        try:
+            stamps.append(os.stat(f"{sf_dir}/{t}.parquet").st_mtime_ns)
+        except OSError:
+            stamps.append(None)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, params, tuple(stamps))
+    if key not in _ROLE_CACHE:
+        _ROLE_CACHE[key] = _build_fixture_tables(spark, sf_dir, params)
+    return _ROLE_CACHE[key]
+
+
+def _build_fixture_tables(spark: SparkSession, sf_dir: str, params: RunParams) -> RoleTables:
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
     customer, orders, lineitem = rd("customer"), rd("orders"), rd("lineitem")
     supplier, nation, region, events = rd("supplier"), rd("nation"), rd("region"), rd("events")
