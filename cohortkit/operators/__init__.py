@@ -1,0 +1 @@
+"""Business operators: each takes DataFrames and RunParams and returns a lazy DataFrame."""

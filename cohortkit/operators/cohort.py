@@ -14,12 +14,15 @@ from cohortkit.operators.common import (
     bounded_broadcast,
     dense_rank_within,
     links_of,
+    staged_broadcast,
 )
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
-# Upper bound on one month's new policies for the broadcast path (rows).
+# Upper bounds (rows) for the broadcast paths: one month's new policies, and
+# all in-force policies of the month's owners.
 MONTH_POLICY_MAX_ROWS = 5_000_000
+HOLDING_POLICY_MAX_ROWS = 5_000_000
 
 COHORT_COLUMNS = [
     "pol_num", "po_num", "ins_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
@@ -59,7 +62,7 @@ def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
     )
 
 
-def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split") -> DataFrame:
+def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse: str | None = None) -> DataFrame:
     """Step 1: in-force coverages of policies issued in the target month.
 
     Grain: coverage × owner link × insured link (a policy with two insureds
@@ -72,7 +75,8 @@ def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split") -> Da
     # needs it.  Coverage and the two link roles are cut to the month's
     # policies map-side, so neither large table is shuffled.  Past the bound
     # the joins fall back to shuffles (AQE, runtime bloom filters).
-    pol = bounded_broadcast(month_policies(t, p), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS))
+    pol = staged_broadcast(month_policies(t, p), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS),
+                           reuse, "month_policies")
     keys = pol.select("pol_num")
     owners = links_of(t.links, "O", "po_num").join(keys, "pol_num", "left_semi")
     insureds = links_of(t.links, "I", "ins_num").join(keys, "pol_num", "left_semi")
@@ -120,7 +124,8 @@ HOLDINGS_COLUMNS = [
 ]
 
 
-def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str | None = None) -> DataFrame:
+def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str | None = None,
+             reuse: str | None = None) -> DataFrame:
     """Step 2: all in-force coverages, up to month end, of the cohort owners.
 
     The owner restriction (a semi-join) is applied on the policy side first,
@@ -140,6 +145,12 @@ def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str |
               .select("pol_num", "po_num", "pmt_mode", "pol_iss_dt",
                       F.col("wa_cd_1").alias("wagt_cd"), F.col("wa_comp_prvd_num").alias("wagt_comp_prvd_num"),
                       F.col("agt_code").alias("sagt_cd"), F.col("sa_comp_prvd_num").alias("sagt_comp_prvd_num")))
+    if owners is not None:
+        # The cohort owners' policies: written once, broadcast to the coverage
+        # join when bounded (a hot owner can push it past the bound; then the
+        # join shuffles, keyed by policy, which a hot owner does not skew).
+        pol = staged_broadcast(pol, p.extra.get("holding_policy_max_rows", HOLDING_POLICY_MAX_ROWS),
+                               reuse, "holding_policies")
     df = t.coverage.join(pol, "pol_num", "inner").select(
         "pol_num", "po_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_prem",
         "pmt_mode", annualized("cvg_prem", "pmt_mode").alias("inforce_ape"), "cvg_iss_dt", "pol_iss_dt",

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.session import ensure_checkpoint_dir, staging_path
+
 # Dimensions below this many rows are broadcast; larger ones are left to the
 # planner (AQE turns a join into a broadcast from measured shuffle sizes).
 DEFAULT_BROADCAST_ROWS = 2_000_000
@@ -24,6 +26,42 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if n <= max_rows else df
 
 
+def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFrame:
+    """Reuse a stage read by several later stages.
+
+    ``table`` (default) writes it once as Parquet into a fresh folder under the
+    shared checkpoint directory and reads it back: lineage is cut (a lost
+    executor does not force the upstream joins to rerun), the stage is
+    computed exactly once, and the planner gets real file sizes for its join
+    choices.  ``checkpoint`` uses ``Dataset.checkpoint`` (same folder, but an
+    eager reliable checkpoint computes the plan twice unless cached);
+    ``persist`` caches (recomputed from lineage on loss); ``None`` leaves it to
+    Spark's exchange reuse.
+    """
+    if how is None:
+        return df
+    spark = df.sparkSession
+    if how == "table":
+        path = staging_path(spark, name)
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+    if how == "persist":
+        return df.persist()
+    if how == "checkpoint":
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    raise ValueError(how)
+
+
+def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str) -> DataFrame:
+    """Write a reduced side once, then broadcast it if its row count is within the bound.
+
+    The count reads the written table (cheap), so the side is computed once
+    whether it ends up broadcast or shuffled.
+    """
+    return bounded_broadcast(materialize(df, reuse, name), max_rows)
+
+
 def links_of(links: DataFrame, link_type: str, cli_alias: str) -> DataFrame:
     """Party links of one role type, e.g. owners (``'O'``) or insureds (``'I'``)."""
     return (links.where(F.col("link_typ") == F.lit(link_type))

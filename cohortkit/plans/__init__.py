@@ -1,0 +1 @@
+"""Composed plans: the monthly lead plan, the query registry and the SQL oracle."""

@@ -20,9 +20,8 @@ from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
-from cohortkit.operators.common import bounded_broadcast
+from cohortkit.operators.common import bounded_broadcast, materialize  # noqa: F401 (re-export)
 from cohortkit.params import RunParams
-from cohortkit.session import ensure_checkpoint_dir, staging_path
 from cohortkit.sources.tables import RoleTables
 
 
@@ -57,33 +56,6 @@ class LeadStages:
         return PB.lead_table(self.final, self.need, self.new_need, self.params, mode=self.mode)
 
 
-def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFrame:
-    """Reuse a stage read by several later stages.
-
-    ``table`` (default) writes it once as Parquet into a fresh folder under the
-    shared checkpoint directory and reads it back: lineage is cut (a lost
-    executor does not force the upstream joins to rerun), the stage is
-    computed exactly once, and the planner gets real file sizes for its join
-    choices.  ``checkpoint`` uses ``Dataset.checkpoint`` (same folder, but an
-    eager reliable checkpoint computes the plan twice unless cached);
-    ``persist`` caches (recomputed from lineage on loss); ``None`` leaves it to
-    Spark's exchange reuse.
-    """
-    if how is None:
-        return df
-    spark = df.sparkSession
-    if how == "table":
-        path = staging_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-    if how == "persist":
-        return df.persist()
-    if how == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
-    raise ValueError(how)
-
-
 def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "table",
                  insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> LeadStages:
     """All stages of one month.
@@ -95,12 +67,12 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     leads are read twice (directly and through scoring) and are materialised
     the same way.
     """
-    cohort = materialize(C.active_cohort(t, p, rank=None), reuse, "cohort")
+    cohort = materialize(C.active_cohort(t, p, rank=None, reuse=reuse), reuse, "cohort")
     # Owners are at most the month's policies: size-checked once, then every
     # owner semi-join (holdings, first dates, flags, profile) is map-side.
     owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
     first = C.first_contract(cohort)
-    hold = C.holdings(t, p, owners)
+    hold = C.holdings(t, p, owners, reuse=reuse)
     summary = C.holdings_summary(hold, p)
     agent_dim = D.agent_dimension(t, p)
     profile = P.customer_profile(t, p, owners, summary)

@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The original workload is a bounded monthly snapshot job: it has no stream
+source or sink, watermark, event-time window, stateful operator or UDF, so no
+streaming operator is built here.  A monthly run is re-runnable by design
+(dynamic partition overwrite of its month), which is what a scheduled batch
+needs; see ``cohortkit.plans.leads.run_month``.
+"""
