@@ -59,13 +59,14 @@ def agent_channel_flags(agent_mart: DataFrame, p: RunParams) -> DataFrame:
     )
 
 
-def channel_overlap_owners(policy_mart: DataFrame, agent_mart: DataFrame, p: RunParams) -> DataFrame:
+def channel_overlap_owners(policy_mart: DataFrame, agent_mart: DataFrame, p: RunParams,
+                           agent_flags: DataFrame | None = None) -> DataFrame:
     """Per owner with any flag: joint-Banca and joint-DMTM indicators (0/1).
 
     One pass over the policy mart looks both agents up in one small per-agent
     flag table, so the two channel tests share all their work.
     """
-    flags = bounded_broadcast(agent_channel_flags(agent_mart, p))
+    flags = agent_flags if agent_flags is not None else bounded_broadcast(agent_channel_flags(agent_mart, p))
     wa = flags.select(F.col("agt_code").alias("wa_code"), F.col("banca").alias("wb"), F.col("dmtm").alias("wd"))
     sa = flags.select(F.col("agt_code").alias("sa_code"), F.col("banca").alias("sb"), F.col("dmtm").alias("sd"))
     df = policy_mart.join(wa, "wa_code", "left").join(sa, "sa_code", "left")
@@ -87,6 +88,15 @@ def last_issue_dates(t: RoleTables, p: RunParams) -> DataFrame:
     return pol.groupBy("po_num").agg(F.max("pol_iss_dt").alias("last_pol_iss"))
 
 
+def _agent_flags(t: RoleTables, p: RunParams) -> DataFrame:
+    """Per-agent channel flags, size-checked once per role-table set."""
+    memo = t.__dict__.setdefault("_memo", {})
+    key = ("agent_flags", p.banca_channel, p.dmtm_prefixes)
+    if key not in memo:
+        memo[key] = bounded_broadcast(agent_channel_flags(t.agent_mart, p))
+    return memo[key]
+
+
 # ---- the single grouped pass ---------------------------------------------
 
 def _flag_rows(df: DataFrame, **values: Column) -> DataFrame:
@@ -108,7 +118,7 @@ def owner_flags(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
     parts = [
         _flag_rows(tgt, f_po=one),
         _flag_rows(recent_target_insureds(t.targets, t.links, p, *insured_keys), f_ins=one),
-        _flag_rows(channel_overlap_owners(t.policy_mart, t.agent_mart, p),
+        _flag_rows(channel_overlap_owners(t.policy_mart, t.agent_mart, p, _agent_flags(t, p)),
                    f_banca=F.col("banca"), f_dmtm=F.col("dmtm")),
         _flag_rows(last_issue_dates(t, p), last_pol_iss=F.col("last_pol_iss")),
     ]

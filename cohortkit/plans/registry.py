@@ -815,6 +815,48 @@ def publish_leads_rejoin(spark, sf):
     return stages(spark, sf, mode="rejoin").leads
 
 
+# ===========================================================================
+# Data quality (uniqueness of joined dimensions, owners dropped)
+# ===========================================================================
+
+def _dup(name: str, sql_from: str, key: str) -> str:
+    return (f"SELECT {O.q(name)} AS \"check\", COUNT(*) AS value FROM "
+            f"(SELECT {key} FROM {sql_from} GROUP BY {key} HAVING COUNT(*) > 1)")
+
+
+_DQ_DIMS = " UNION ALL ".join([
+    _dup("candidates.can_num", "can", "can_num"),
+    _dup("locations.loc_code", "loc", "loc_code"),
+    _dup("regional_heads.loc_cd", "rh", "loc_cd"),
+    _dup("scorecard.agt_code@snapshot", f"(SELECT * FROM sc WHERE monthend_dt = {O.q(PR.scorecard_month_end)})",
+         "agt_code"),
+    _dup("managers.loc_code", "(SELECT DISTINCT stru.loc_code, stru.loc_mrg, a2.agt_nm FROM stru JOIN agt a2 "
+         "ON stru.loc_mrg = a2.agt_code WHERE stru.loc_code IS NOT NULL)", "loc_code"),
+    _dup("lifestage.client_number@snapshot",
+         f"(SELECT * FROM cseg WHERE monthend_dt = {O.q(PR.lifestage_month)})", "client_number"),
+    _dup("agent_mart.agt_code", "tagt", "agt_code"),
+    _dup("need.cli_num", "need", "cli_num"),
+    _dup("new_need.po_num@month", f"(SELECT * FROM new_need WHERE CONCAT(SUBSTR(month, 1, 4), SUBSTR(month, 6, 2)) "
+         f"= {L.key})", "po_num"),
+])
+
+
+@register("dq_dimension_keys", RQ(_DQ_DIMS))
+def dq_dimension_keys(spark, sf):
+    from cohortkit.operators.quality import dimension_key_report
+    return dimension_key_report(roles(spark, sf), PR)
+
+
+@register("dq_dropped_owners", SQ(
+    "SELECT 'cohort_owners' AS \"check\", COUNT(DISTINCT po_num) AS value FROM onb_actv_cvg UNION ALL "
+    "SELECT 'owners_without_individual_profile', COUNT(*) FROM (SELECT DISTINCT po_num FROM onb_actv_cvg) o "
+    "WHERE NOT EXISTS (SELECT 1 FROM tcli WHERE tcli.cli_num = o.po_num AND tcli.cli_typ = 'Individual')"))
+def dq_dropped_owners(spark, sf):
+    from cohortkit.operators.quality import dropped_owner_report
+    t = roles(spark, sf)
+    return dropped_owner_report(t, C.cohort_owners(C.active_cohort(t, PR, rank=None)))
+
+
 def _two_month_oracle() -> str:
     prev = PR.with_(month_end=PR.month_end.replace(month=11, day=30))
     a = dict(O.stage_ctes(prev))["onb_actv_cvg"]

@@ -133,15 +133,17 @@ def agent_cols(d: Dialect) -> list[tuple[str, str]]:
 
 
 def candidate_cols(d: Dialect) -> list[tuple[str, str]]:
-    N = d.n_customers
     return [
         ("can_num", "s_suppkey"),
         ("email_addr", f"'agent' || {_s('s_suppkey')} || '@example.com'"),
-        ("id_num", _s(f"(s_suppkey * 3) % {N}")),
+        ("id_num", f"'ID' || {_s('s_suppkey % ' + str(ID_SPACE))}"),
     ]
 
 
 CANDIDATE_WHERE = "s_suppkey % 10 <> 9"
+# Party and agent ID numbers share a small ID space, so an agent is sometimes
+# one of the parties of a policy it services (the related-party exclusion).
+ID_SPACE = 50
 
 
 def tier_expr(shift: int) -> str:
@@ -190,13 +192,10 @@ def lifestage_branches(params: RunParams) -> list[tuple[str, str, str]]:
 def client_detail_cols(d: Dialect) -> list[tuple[str, str]]:
     return [
         ("cli_num", "c_custkey"),
-        ("id_num", f"CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE {_s('c_custkey')} END"),
+        ("id_num", f"CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 'ID' || {_s('c_custkey % ' + str(ID_SPACE))} END"),
     ]
 
 
-POLICY_MART_WHERE = "o_orderkey % 4 = 0"
-
-
 def policy_mart_cols(d: Dialect) -> list[tuple[str, str]]:
     S = d.n_suppliers
     return [
@@ -210,8 +209,8 @@ def agent_mart_cols(d: Dialect) -> list[tuple[str, str]]:
     n = _s("s_nationkey")
     return [
         ("agt_code", "s_suppkey"),
-        ("channel", "CASE WHEN s_suppkey % 50 = 5 THEN 'Banca' ELSE 'Agency' END"),
-        ("loc_cd", f"CASE WHEN s_suppkey % 50 = 7 THEN 'DMO' || {n} WHEN s_suppkey % 50 = 9 THEN 'FPC' || {n} "
+        ("channel", "CASE WHEN s_suppkey % 97 = 5 THEN 'Banca' ELSE 'Agency' END"),
+        ("loc_cd", f"CASE WHEN s_suppkey % 97 = 7 THEN 'DMO' || {n} WHEN s_suppkey % 97 = 9 THEN 'FPC' || {n} "
                    f"WHEN s_suppkey % 10 = 3 THEN NULL ELSE 'AGY' || {n} END"),
     ]
 
@@ -375,7 +374,7 @@ def _build_fixture_tables(spark: SparkSession, sf_dir: str, params: RunParams) -
         scorecard=scorecard,
         structure=structure,
         customers=_sel(customer, customer_cols(d)),
-        policy_mart=_sel(orders.where(POLICY_MART_WHERE), policy_mart_cols(d)),
+        policy_mart=_sel(orders, policy_mart_cols(d)),
         agent_mart=_sel(supplier, agent_mart_cols(d)),
         lifestage=lifestage,
         client_details=_sel(customer, client_detail_cols(d)),
@@ -434,7 +433,7 @@ def oracle_ctes(params: RunParams = FIXTURE_PARAMS) -> dict[str, str]:
         "scorecard": scorecard,
         "structure": "SELECT s_nationkey AS loc_code, MIN(s_suppkey) AS loc_mrg FROM supplier GROUP BY s_nationkey",
         "customers": f"SELECT {_cte_select(customer_cols(d))} FROM customer",
-        "policy_mart": f"SELECT {_cte_select(policy_mart_cols(d))} FROM orders WHERE {POLICY_MART_WHERE}",
+        "policy_mart": f"SELECT {_cte_select(policy_mart_cols(d))} FROM orders",
         "agent_mart": f"SELECT {_cte_select(agent_mart_cols(d))} FROM supplier",
         "lifestage": lifestage,
         "client_details": f"SELECT {_cte_select(client_detail_cols(d))} FROM customer",
