@@ -8,6 +8,7 @@ month-partitioned write, count) is timed the same way.  Prints one JSON line.
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import statistics
@@ -41,12 +42,40 @@ def _run(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
+def _job_group_io(log_dir: str, group: str) -> dict:
+    """Input and shuffle bytes of the stages of one job group, from Spark's event log."""
+    stages, written, read_in, shuffled_read = set(), 0, 0, 0
+    events = []
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isfile(path):
+            with open(path) as fh:
+                events.extend(json.loads(line) for line in fh if line.startswith("{"))
+    for e in events:
+        if e.get("Event") == "SparkListenerJobStart":
+            props = e.get("Properties") or {}
+            if props.get("spark.jobGroup.id") == group:
+                stages.update(e.get("Stage IDs", []))
+    for e in events:
+        if e.get("Event") == "SparkListenerTaskEnd" and e.get("Stage ID") in stages:
+            m = e.get("Task Metrics") or {}
+            written += (m.get("Shuffle Write Metrics") or {}).get("Shuffle Bytes Written", 0)
+            sr = m.get("Shuffle Read Metrics") or {}
+            shuffled_read += sr.get("Remote Bytes Read", 0) + sr.get("Local Bytes Read", 0)
+            read_in += (m.get("Input Metrics") or {}).get("Bytes Read", 0)
+    return {"stages": len(stages), "input_bytes": read_in, "shuffle_write_bytes": written,
+            "shuffle_read_bytes": shuffled_read}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    log_dir = tempfile.mkdtemp(prefix="cohortkit-eventlog-")
     spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
-                          app="cohortkit-bench")
+                          app="cohortkit-bench",
+                          extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
+                                      "spark.eventLog.compress": "false",
+                                      "spark.eventLog.rolling.enabled": "false"})
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortkit-bench-"))
     qs = registry.queries()
@@ -71,7 +100,15 @@ def main() -> None:
         runs.append(time.perf_counter() - t0)
     timings["run_month_job"] = round(statistics.median(runs), 3)
 
+    # one more run, tagged, for its I/O volume (read back from the event log)
+    spark.sparkContext.setJobGroup("io_run_month", "measured monthly job")
+    tables = build_fixture_tables(spark, sf_dir, FIXTURE_PARAMS)
+    run_month(spark, tables, FIXTURE_PARAMS, staging_path(spark, "bench_leads_io"))
+    spark.sparkContext.setJobGroup("other", "")
+
     sf = os.path.basename(sf_dir).replace("sf", "")
+    spark.stop()
+    io = _job_group_io(log_dir, "io_run_month")
     print(json.dumps({
         "metric": "median wall time per headline query (sum over queries)",
         "value": round(sum(timings.values()), 3),
@@ -79,9 +116,9 @@ def main() -> None:
         "queries": timings,
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "rows_published": n,
+        "run_month_io": io,
         "cpus": cpus,
     }))
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -28,7 +28,7 @@ SCALE_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "cohortkit") -> SparkSession:
+                  app: str = "cohortkit", extra_conf: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (no UI, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -40,7 +40,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
