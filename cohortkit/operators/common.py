@@ -44,7 +44,8 @@ def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFram
     if how == "table":
         path = staging_path(spark, name)
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        # read with the known schema: an empty stage writes no schema to infer
+        return spark.read.schema(df.schema).parquet(path)
     if how == "persist":
         return df.persist()
     if how == "checkpoint":

@@ -75,15 +75,21 @@ def write_month(df: DataFrame, path: str, partition_col: str = "onb_mth_yr") ->
        .partitionBy(partition_col).parquet(path))
 
 
-def read_published(spark: SparkSession, path: str, partition_col: str = "onb_mth_yr") -> DataFrame:
-    """Read the published table; the month key stays text (no partition type inference)."""
-    df = spark.read.parquet(path)
+def read_published(spark: SparkSession, path: str, partition_col: str = "onb_mth_yr",
+                   schema=None) -> DataFrame:
+    """Read the published table; the month key stays text (no partition type inference).
+
+    With ``schema`` (the written frame's), an empty table reads as an empty frame.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    df = reader.parquet(path)
     return df.withColumn(partition_col, F.col(partition_col).cast("string"))
 
 
-def read_month(spark: SparkSession, path: str, month_key: str, partition_col: str = "onb_mth_yr") -> DataFrame:
+def read_month(spark: SparkSession, path: str, month_key: str, partition_col: str = "onb_mth_yr",
+               schema=None) -> DataFrame:
     """Read back one month (partition pruning on the month key)."""
-    return read_published(spark, path, partition_col).where(F.col(partition_col) == F.lit(month_key))
+    return read_published(spark, path, partition_col, schema).where(F.col(partition_col) == F.lit(month_key))
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -94,4 +100,4 @@ def row_count(df: DataFrame) -> DataFrame:
 def publish(spark: SparkSession, leads: DataFrame, path: str, p: RunParams) -> int:
     """Write the month once, then count what was written (not a second execution)."""
     write_month(leads, path)
-    return read_month(spark, path, p.month_key).count()
+    return read_month(spark, path, p.month_key, schema=leads.schema).count()

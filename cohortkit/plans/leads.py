@@ -22,6 +22,7 @@ from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
 from cohortkit.operators.common import bounded_broadcast, materialize  # noqa: F401 (re-export)
 from cohortkit.params import RunParams
+from cohortkit.session import remove_staged_since, staging_mark
 from cohortkit.sources.tables import RoleTables
 
 
@@ -92,6 +93,12 @@ def lead_table(t: RoleTables, p: RunParams, mode: str = "in_place") -> DataFrame
 
 def run_month(spark: SparkSession, t: RoleTables, p: RunParams, out_path: str,
               mode: str = "in_place", reuse: str | None = "table") -> int:
-    """The monthly job: build, write the month's partition once, count it."""
+    """The monthly job: build, write the month's partition once, count it.
+
+    The staged intermediate tables are removed once the month is published.
+    """
+    mark = staging_mark()
     stages = build_stages(t, p, mode=mode, reuse=reuse)
-    return PB.publish(spark, stages.leads, out_path, p)
+    n = PB.publish(spark, stages.leads, out_path, p)
+    remove_staged_since(spark, mark)
+    return n

@@ -66,7 +66,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+_STAGED: list[str] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex[:12]}")
+    _STAGED.append(path)
+    return path
+
+
+def staging_mark() -> int:
+    """Position in the list of staged folders (to remove the ones created after it)."""
+    return len(_STAGED)
+
+
+def remove_staged_since(spark: SparkSession, mark: int) -> int:
+    """Delete staged folders created after ``mark`` (Hadoop FileSystem API; shared storage)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while len(_STAGED) > mark:
+        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        fs = path.getFileSystem(conf)
+        if fs.exists(path):
+            fs.delete(path, True)
+            removed += 1
+    return removed

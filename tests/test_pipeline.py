@@ -41,6 +41,26 @@ def test_rerun_replaces_only_its_month(spark):
     assert counts == {"199811": n_nov, "199812": n_dec}
 
 
+def test_month_without_cohort_publishes_nothing(spark):
+    import datetime as dt
+    p = FIXTURE_PARAMS.with_(month_end=dt.date(2030, 1, 31))
+    t = build_fixture_tables(spark, SF, p)
+    assert run_month(spark, t, p, staging_path(spark, "t_empty")) == 0
+    assert build_stages(t, p, mode="rejoin").leads.count() == 0
+
+
+def test_run_month_removes_its_staging(spark):
+    from cohortkit.session import _STAGED
+    t = build_fixture_tables(spark, SF, FIXTURE_PARAMS)
+    out = staging_path(spark, "t_clean")
+    before = list(_STAGED)
+    run_month(spark, t, FIXTURE_PARAMS, out)
+    assert list(_STAGED) == before
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(out)
+    assert path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     return build_stages(build_fixture_tables(spark, SF01, FIXTURE_PARAMS), FIXTURE_PARAMS)
