@@ -23,6 +23,7 @@ from cohortkit.sources.tables import RoleTables
 # all in-force policies of the month's owners.
 MONTH_POLICY_MAX_ROWS = 5_000_000
 HOLDING_POLICY_MAX_ROWS = 5_000_000
+OWNER_LINK_MAX_ROWS = 10_000_000
 
 COHORT_COLUMNS = [
     "pol_num", "po_num", "ins_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
@@ -117,6 +118,17 @@ def cohort_owners(cohort: DataFrame) -> DataFrame:
     return cohort.select("po_num").distinct()
 
 
+def owner_policy_links(t: RoleTables, p: RunParams, owners: DataFrame, reuse: str | None = None) -> DataFrame:
+    """(policy, owner) links of every policy of the cohort owners, any status.
+
+    Written once and size-checked: when bounded it is broadcast, and every
+    scan of the full policy history (holdings, first join date, repurchase)
+    becomes a map-side join instead of a shuffle of the policy table.
+    """
+    own = links_of(t.links, "O", "po_num").join(owners.select("po_num"), "po_num", "left_semi")
+    return staged_broadcast(own, p.extra.get("owner_link_max_rows", OWNER_LINK_MAX_ROWS), reuse, "owner_links")
+
+
 HOLDINGS_COLUMNS = [
     "pol_num", "po_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_prem",
     "pmt_mode", "inforce_ape", "cvg_iss_dt", "pol_iss_dt", "inforce_year", "purchase_order_base",
@@ -125,20 +137,24 @@ HOLDINGS_COLUMNS = [
 
 
 def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str | None = None,
-             reuse: str | None = None) -> DataFrame:
+             reuse: str | None = None, own_links: DataFrame | None = None) -> DataFrame:
     """Step 2: all in-force coverages, up to month end, of the cohort owners.
 
     The owner restriction (a semi-join) is applied on the policy side first,
     before the coverage join, so the largest table is joined only with the
     cohort's policies.  No insured join here (no fan-out).  ``owners=None``
-    keeps every owner.
+    keeps every owner; ``own_links`` (from :func:`owner_policy_links`) replaces
+    the owner-link restriction with a prepared, possibly broadcast, set.
     """
     wa, sa = agent_roles(t, p)
     pol = t.policy.where((F.col("pol_iss_dt") <= F.lit(p.month_end))
                          & F.col("pol_stat_cd").isin(*p.inforce_status))
-    own = links_of(t.links, "O", "po_num")
-    if owners is not None:
-        own = own.join(owners, "po_num", "left_semi")
+    if own_links is not None:
+        own = own_links
+    else:
+        own = links_of(t.links, "O", "po_num")
+        if owners is not None:
+            own = own.join(owners, "po_num", "left_semi")
     pol = (pol.join(own, "pol_num", "inner")
               .join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
               .join(sa, pol.agt_code == sa.sa_agt_code, "inner")

@@ -36,7 +36,8 @@ def recent_target_owners(targets: DataFrame, p: RunParams) -> DataFrame:
 
 
 def recent_target_insureds(targets: DataFrame, links: DataFrame, p: RunParams,
-                           target_key: str = "tgt_cust_id", link_key: str = "pol_num") -> DataFrame:
+                           target_key: str = "tgt_cust_id", link_key: str = "pol_num",
+                           owners: DataFrame | None = None) -> DataFrame:
     """Insureds linked to recent campaign targets.
 
     The join key pair is a parameter: the original joins the target's customer
@@ -46,6 +47,8 @@ def recent_target_insureds(targets: DataFrame, links: DataFrame, p: RunParams,
     tg = recent_targets(targets, p).select(F.col(target_key).alias("_k"))
     ins = links.where(F.col("link_typ") == F.lit("I")).select(F.col(link_key).alias("_k"),
                                                               F.col("cli_num").alias("po_num"))
+    if owners is not None:   # only insureds who are cohort owners can match (map-side filter)
+        ins = ins.join(owners.select("po_num"), "po_num", "left_semi")
     return tg.join(ins, "_k", "inner").select("po_num").distinct()
 
 
@@ -76,13 +79,14 @@ def channel_overlap_owners(policy_mart: DataFrame, agent_mart: DataFrame, p: Run
             .where((F.col("banca") == 1) | (F.col("dmtm") == 1)))
 
 
-def last_issue_dates(t: RoleTables, p: RunParams) -> DataFrame:
+def last_issue_dates(t: RoleTables, p: RunParams, own_links: DataFrame | None = None) -> DataFrame:
     """Per owner: latest issue date in [month start, month end + N months]."""
     from cohortkit.operators.cohort import agent_roles
     wa, sa = agent_roles(t, p)
     pol = t.policy.where(F.col("pol_iss_dt").between(F.lit(p.month_start), F.lit(p.repurchase_end))
                          & F.col("pol_stat_cd").isin(*p.issued_status))
-    pol = (pol.join(links_of(t.links, "O", "po_num"), "pol_num", "inner")
+    own = own_links if own_links is not None else links_of(t.links, "O", "po_num")
+    pol = (pol.join(own, "pol_num", "inner")
               .join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
               .join(sa, pol.agt_code == sa.sa_agt_code, "inner"))
     return pol.groupBy("po_num").agg(F.max("pol_iss_dt").alias("last_pol_iss"))
@@ -107,20 +111,26 @@ def _flag_rows(df: DataFrame, **values: Column) -> DataFrame:
 
 
 def owner_flags(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
-                insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> DataFrame:
+                insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num"),
+                own_links: DataFrame | None = None) -> DataFrame:
     """Owner-keyed flags in one grouped pass: contact (owner, insured, either),
     Banca, DMTM and the latest repurchase date.
 
-    ``owners`` restricts every source to the cohort before the aggregation.
+    ``owners`` restricts every source to the cohort before the aggregation (the
+    large sources — insured links, policy mart, policy history — are cut to
+    the cohort owners before their joins).
     """
     one = F.lit(1)
     tgt = recent_targets(t.targets, p).select(F.col("tgt_cust_id").alias("po_num"))
+    mart = t.policy_mart
+    if owners is not None:
+        mart = mart.join(owners.select("po_num"), "po_num", "left_semi")
     parts = [
         _flag_rows(tgt, f_po=one),
-        _flag_rows(recent_target_insureds(t.targets, t.links, p, *insured_keys), f_ins=one),
-        _flag_rows(channel_overlap_owners(t.policy_mart, t.agent_mart, p, _agent_flags(t, p)),
+        _flag_rows(recent_target_insureds(t.targets, t.links, p, *insured_keys, owners=owners), f_ins=one),
+        _flag_rows(channel_overlap_owners(mart, t.agent_mart, p, _agent_flags(t, p)),
                    f_banca=F.col("banca"), f_dmtm=F.col("dmtm")),
-        _flag_rows(last_issue_dates(t, p), last_pol_iss=F.col("last_pol_iss")),
+        _flag_rows(last_issue_dates(t, p, own_links), last_pol_iss=F.col("last_pol_iss")),
     ]
     rows = reduce(DataFrame.unionByName, parts)
     if owners is not None:

@@ -35,15 +35,19 @@ PLACEHOLDERS = ["hml_propensity_grp", "no_high_prop", "hl_propensity_grp", "hml_
                 "hml_term", "hml_ul", "1h_high_prop"]
 
 
-def first_join_dates(t: RoleTables, p: RunParams, owners: DataFrame | None = None) -> DataFrame:
+def first_join_dates(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
+                     own_links: DataFrame | None = None) -> DataFrame:
     """Per owner: ``COALESCE(MIN(first issue), MIN(issue), MIN(effective))``.
 
     Restricting to the cohort's owners first (semi-join) gives the same values
     for them, since the result is joined back on the owner only.
     """
-    own = links_of(t.links, "O", "cli_num")
-    if owners is not None:
-        own = own.join(owners.select(F.col("po_num").alias("cli_num")), "cli_num", "left_semi")
+    if own_links is not None:
+        own = own_links.select("pol_num", F.col("po_num").alias("cli_num"))
+    else:
+        own = links_of(t.links, "O", "cli_num")
+        if owners is not None:
+            own = own.join(owners.select(F.col("po_num").alias("cli_num")), "cli_num", "left_semi")
     pol = t.policy.where(F.col("pol_stat_cd").isin(*p.issued_status))
     return (pol.join(own, "pol_num", "inner").groupBy("cli_num")
             .agg(F.coalesce(F.min("frst_iss_dt"), F.min("pol_iss_dt"), F.min("pol_eff_dt")).alias("frst_join_dt")))

@@ -73,12 +73,13 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     # owner semi-join (holdings, first dates, flags, profile) is map-side.
     owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
     first = C.first_contract(cohort)
-    hold = C.holdings(t, p, owners, reuse=reuse)
+    own_links = C.owner_policy_links(t, p, owners, reuse)
+    hold = C.holdings(t, p, owners, reuse=reuse, own_links=own_links)
     summary = C.holdings_summary(hold, p)
     agent_dim = D.agent_dimension(t, p)
-    profile = P.customer_profile(t, p, owners, summary)
+    profile = P.customer_profile(t, p, owners, summary, P.first_join_dates(t, p, owners, own_links))
     pairs = FL.party_ids(t, p, policies=first.select("pol_num").distinct())
-    oflags = FL.owner_flags(t, p, owners, insured_keys=insured_keys)
+    oflags = FL.owner_flags(t, p, owners, insured_keys=insured_keys, own_links=own_links)
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
     if mode == "rejoin":
