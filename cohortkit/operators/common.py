@@ -102,6 +102,12 @@ def dense_rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str], ou
     tasks; each task numbers its rows locally, and a tiny per-(task, group)
     count table gives each task's offset within its group.  No group is ever
     gathered into one task.
+
+    The local numbering is deterministic: range bounds are fixed once on the
+    driver (a recomputed map task after an executor loss routes its rows to
+    the same partitions), and each partition is fully sorted on distinct keys
+    before ids are taken, so the count table and the numbered rows — two
+    consumers of the same reused exchange — always agree.
     """
     keys = df.select(*by, *order).distinct()
     if method == "window":
