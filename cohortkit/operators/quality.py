@@ -28,17 +28,17 @@ def _count_row(name: str, df: DataFrame) -> DataFrame:
 def dimension_key_report(t: RoleTables, p: RunParams) -> DataFrame:
     """Number of keys occurring more than once, per dimension used by a join."""
     checks = [
-        ("candidates.can_num", key_multiplicity(t.candidates, ["can_num"])),
-        ("locations.loc_code", key_multiplicity(t.locations, ["loc_code"])),
-        ("regional_heads.loc_cd", key_multiplicity(t.regional_heads, ["loc_cd"])),
-        ("scorecard.agt_code@snapshot",
+        ("candidates:can_num", key_multiplicity(t.candidates, ["can_num"])),
+        ("locations:loc_code", key_multiplicity(t.locations, ["loc_code"])),
+        ("regional_heads:loc_cd", key_multiplicity(t.regional_heads, ["loc_cd"])),
+        ("scorecard:agt_code@snapshot",
          key_multiplicity(scorecard_snapshot(t.scorecard, p.scorecard_month_end), ["agt_code"])),
-        ("managers.loc_code", key_multiplicity(location_managers(t.structure, t.agents), ["loc_code"])),
-        ("lifestage.client_number@snapshot",
+        ("managers:loc_code", key_multiplicity(location_managers(t.structure, t.agents), ["loc_code"])),
+        ("lifestage:client_number@snapshot",
          key_multiplicity(lifestage_snapshot(t.lifestage, p.lifestage_month), ["po_num"])),
-        ("agent_mart.agt_code", key_multiplicity(t.agent_mart, ["agt_code"])),
-        ("need.cli_num", key_multiplicity(t.need, ["cli_num"])),
-        ("new_need.po_num@month", key_multiplicity(new_model_month(t.new_need, p.month_key), ["po_num"])),
+        ("agent_mart:agt_code", key_multiplicity(t.agent_mart, ["agt_code"])),
+        ("need:cli_num", key_multiplicity(t.need, ["cli_num"])),
+        ("new_need:po_num@month", key_multiplicity(new_model_month(t.new_need, p.month_key), ["po_num"])),
     ]
     return reduce(DataFrame.unionByName, [_count_row(n, df) for n, df in checks])
 

@@ -75,15 +75,15 @@ ME = L.me
 # ===========================================================================
 
 
-@register("src_parquet_scan", RQ("SELECT * FROM pol"))
+@register("src_parquet_scan", RQ("SELECT * FROM r_policy"))
 def src_parquet_scan(spark, sf):
     """Parquet scan through the policy contract (only its columns are read)."""
     from cohortkit.sources.fixtures import policy_cols, spark_dialect, table_rows
     n_cust = table_rows(spark, f"{sf}/customer.parquet")
     n_supp = table_rows(spark, f"{sf}/supplier.parquet")
     orders = read_parquet(spark, f"{sf}/orders.parquet")
-    pol = orders.selectExpr(*[f"{e} AS `{n}`" for n, e in policy_cols(spark_dialect(n_cust, n_supp))])
-    return conform(pol, "policy")
+    r_policy = orders.selectExpr(*[f"{e} AS `{n}`" for n, e in policy_cols(spark_dialect(n_cust, n_supp))])
+    return conform(r_policy, "policy")
 
 
 OLD_NEEDS_MONTH = "1998-12"
@@ -102,14 +102,14 @@ def _write_need_snapshots(spark, sf) -> str:
     return root
 
 
-@register("src_orc_snapshot", RQ(f"SELECT {O.q(PR.needs_month)} AS monthend_dt, cli_num FROM need"))
+@register("src_orc_snapshot", RQ(f"SELECT {O.q(PR.needs_month)} AS monthend_dt, cli_num FROM r_need"))
 def src_orc_snapshot(spark, sf):
     root = _write_need_snapshots(spark, sf)
     snap = ORC.read_orc_snapshot(spark, root, "monthend_dt", PR.needs_month)
     return snap.select("monthend_dt", F.col("row.cli_num").alias("cli_num"))
 
 
-@register("src_struct_unwrap", RQ("SELECT * FROM need"))
+@register("src_struct_unwrap", RQ("SELECT * FROM r_need"))
 def src_struct_unwrap(spark, sf):
     root = _write_need_snapshots(spark, sf)
     return ORC.unwrap_struct(ORC.read_orc_snapshot(spark, root, "monthend_dt", PR.needs_month))
@@ -143,7 +143,7 @@ _NEW_NEED_COLS = ("po_num, month, ci_decile, invst_decile, lt_decile, ci_hml, in
 
 @register("src_partition_union", RQ(
     f"SELECT {_NEW_NEED_COLS}, CASE WHEN CAST(SUBSTR(month, 6, 2) AS INTEGER) % 4 = 2 THEN 'x' END AS extra_note "
-    "FROM new_need WHERE CAST(SUBSTR(month, 6, 2) AS INTEGER) % 4 <> 0"))
+    "FROM r_new_need WHERE CAST(SUBSTR(month, 6, 2) AS INTEGER) % 4 <> 0"))
 def src_partition_union(spark, sf):
     root = _write_new_need_family(spark, sf)
     df = ORC.read_partition_union(spark, root, "orc", min_columns=8)
@@ -151,8 +151,8 @@ def src_partition_union(spark, sf):
 
 
 @register("set_union_all", RQ(
-    "SELECT pol_num, cli_num FROM lnk WHERE link_typ = 'O' UNION ALL "
-    "SELECT pol_num, cli_num FROM lnk WHERE link_typ = 'I'"))
+    "SELECT pol_num, cli_num FROM r_link WHERE link_typ = 'O' UNION ALL "
+    "SELECT pol_num, cli_num FROM r_link WHERE link_typ = 'I'"))
 def set_union_all(spark, sf):
     t = roles(spark, sf)
     owners = links_of(t.links, "O", "cli_num")
@@ -171,20 +171,20 @@ def snk_parquet_overwrite(spark, sf):
     return PB.read_published(spark, path)
 
 
-@register("snk_row_count", SQ("SELECT COUNT(*) AS row_count FROM onb_actv_cvg"))
+@register("snk_row_count", SQ("SELECT COUNT(*) AS row_count FROM m_cohort"))
 def snk_row_count(spark, sf):
     return PB.row_count(C.active_cohort(roles(spark, sf), PR, rank=None))
 
 
-@register("agg_count_distinct_global", RQ("SELECT COUNT(DISTINCT cli_num) AS unique_cli_num_count FROM need"))
+@register("agg_count_distinct_global", RQ("SELECT COUNT(DISTINCT cli_num) AS unique_cli_num_count FROM r_need"))
 def agg_count_distinct_global(spark, sf):
     root = _write_need_snapshots(spark, sf)
-    need = ORC.unwrap_struct(ORC.read_orc_snapshot(spark, root, "monthend_dt", PR.needs_month))
-    return need.agg(F.countDistinct("cli_num").alias("unique_cli_num_count"))
+    r_need = ORC.unwrap_struct(ORC.read_orc_snapshot(spark, root, "monthend_dt", PR.needs_month))
+    return r_need.agg(F.countDistinct("cli_num").alias("unique_cli_num_count"))
 
 
 @register("agg_count_distinct_grouped", RQ(
-    "SELECT month, COUNT(DISTINCT po_num) AS unique_po_num_count FROM new_need "
+    "SELECT month, COUNT(DISTINCT po_num) AS unique_po_num_count FROM r_new_need "
     "WHERE CAST(SUBSTR(month, 6, 2) AS INTEGER) % 4 <> 0 GROUP BY month"))
 def agg_count_distinct_grouped(spark, sf):
     root = _write_new_need_family(spark, sf)
@@ -200,11 +200,11 @@ def agg_count_distinct_grouped(spark, sf):
 @register("param_month_window", RQ(
     f"SELECT pol_num, {L.key} AS onb_mth_yr, {L.month_start} AS month_start, {ME} AS month_end, "
     f"{L.new_start} AS new_window_start, {L.rep_end} AS repurchase_end, {L.cutoff} AS recency_cutoff "
-    f"FROM pol WHERE YEAR(pol_iss_dt) = {L.year} AND MONTH(pol_iss_dt) = {L.month}"))
+    f"FROM r_policy WHERE YEAR(pol_iss_dt) = {L.year} AND MONTH(pol_iss_dt) = {L.month}"))
 def param_month_window(spark, sf):
     t = roles(spark, sf)
-    pol = t.policy.where(in_month("pol_iss_dt", PR.month_start, PR.next_month_start))
-    return pol.select(
+    r_policy = t.policy.where(in_month("pol_iss_dt", PR.month_start, PR.next_month_start))
+    return r_policy.select(
         "pol_num", F.lit(PR.month_key).alias("onb_mth_yr"), F.lit(PR.month_start).alias("month_start"),
         F.lit(PR.month_end).alias("month_end"), F.lit(PR.new_window_start).alias("new_window_start"),
         F.lit(PR.repurchase_end).alias("repurchase_end"), F.lit(PR.recency_cutoff).alias("recency_cutoff"))
@@ -213,10 +213,10 @@ def param_month_window(spark, sf):
 @register("scl_month_key", RQ(
     "SELECT pol_num, strftime(pol_iss_dt, '%Y%m') AS month_key, "
     "CONCAT(SUBSTR(CAST(pol_iss_dt AS VARCHAR), 1, 4), SUBSTR(CAST(pol_iss_dt AS VARCHAR), 6, 2)) AS month_key_text "
-    "FROM pol"))
+    "FROM r_policy"))
 def scl_month_key(spark, sf):
-    pol = roles(spark, sf).policy
-    return pol.select("pol_num", month_key_of("pol_iss_dt").alias("month_key"),
+    r_policy = roles(spark, sf).policy
+    return r_policy.select("pol_num", month_key_of("pol_iss_dt").alias("month_key"),
                       month_key_from_text(F.col("pol_iss_dt").cast("string")).alias("month_key_text"))
 
 
@@ -224,11 +224,11 @@ def scl_month_key(spark, sf):
     "SELECT pol_num, CAST(DATE_TRUNC('month', pol_iss_dt) AS DATE) AS month_start, "
     "CAST(pol_iss_dt + INTERVAL 2 MONTH AS DATE) AS plus_2m, "
     "CAST(DATE_TRUNC('month', pol_iss_dt) - INTERVAL 6 MONTH AS DATE) AS start_minus_6m, "
-    "LAST_DAY(pol_iss_dt) AS month_last_day FROM pol"))
+    "LAST_DAY(pol_iss_dt) AS month_last_day FROM r_policy"))
 def scl_month_arith(spark, sf):
-    pol = roles(spark, sf).policy
+    r_policy = roles(spark, sf).policy
     start = F.trunc("pol_iss_dt", "month")
-    return pol.select("pol_num", start.alias("month_start"), F.add_months("pol_iss_dt", 2).alias("plus_2m"),
+    return r_policy.select("pol_num", start.alias("month_start"), F.add_months("pol_iss_dt", 2).alias("plus_2m"),
                       F.add_months(start, -6).alias("start_minus_6m"),
                       F.last_day("pol_iss_dt").alias("month_last_day"))
 
@@ -247,10 +247,10 @@ def scl_to_date(spark, sf):
 
 @register("scl_tenure_years", RQ(
     f"SELECT pol_num, vers_num, plan_code, cvg_iss_dt, "
-    f"CAST(FLOOR(DATEDIFF('day', cvg_iss_dt, {ME}) / 365.25) AS INTEGER) AS inforce_year FROM cvg"))
+    f"CAST(FLOOR(DATEDIFF('day', cvg_iss_dt, {ME}) / 365.25) AS INTEGER) AS inforce_year FROM r_coverage"))
 def scl_tenure_years(spark, sf):
-    cvg = roles(spark, sf).coverage
-    return cvg.select("pol_num", "vers_num", "plan_code", "cvg_iss_dt",
+    r_coverage = roles(spark, sf).coverage
+    return r_coverage.select("pol_num", "vers_num", "plan_code", "cvg_iss_dt",
                       tenure_years(PR.month_end, "cvg_iss_dt").alias("inforce_year"))
 
 
@@ -261,7 +261,7 @@ def scl_tenure_years(spark, sf):
 
 @register("prj_rename", RQ(
     "SELECT cli_num AS po_num, cli_nm AS po_name, id_num AS po_id_num, sex_code AS po_sex_code, "
-    "full_address AS po_full_addr, city AS customer_city FROM tcli"))
+    "full_address AS po_full_addr, city AS customer_city FROM r_customer"))
 def prj_rename(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", "cli_nm", "id_num", "sex_code", "full_address", "city").withColumnsRenamed({
@@ -271,18 +271,18 @@ def prj_rename(spark, sf):
 
 @register("prj_cast_truncate", RQ(
     "SELECT pol_num, vers_num, plan_code, CAST(TRUNC(cvg_prem) AS INTEGER) AS cvg_prem, "
-    "CAST(TRUNC(-cvg_prem) AS INTEGER) AS neg_prem FROM cvg"))
+    "CAST(TRUNC(-cvg_prem) AS INTEGER) AS neg_prem FROM r_coverage"))
 def prj_cast_truncate(spark, sf):
-    cvg = roles(spark, sf).coverage
-    return cvg.select("pol_num", "vers_num", "plan_code", F.col("cvg_prem").cast("int").alias("cvg_prem"),
+    r_coverage = roles(spark, sf).coverage
+    return r_coverage.select("pol_num", "vers_num", "plan_code", F.col("cvg_prem").cast("int").alias("cvg_prem"),
                       (-F.col("cvg_prem")).cast("int").alias("neg_prem"))
 
 
 @register("prj_annualize", RQ(
-    "SELECT cvg.pol_num, cvg.vers_num, cvg.plan_code, "
-    f"{O.ape_sql('cvg.cvg_prem', 'pol.pmt_mode')} AS inforce_ape, "
-    f"{O.ape_sql('cvg.cvg_prem', 'CASE WHEN pol.pmt_mode = 5 THEN 0 ELSE pol.pmt_mode END')} AS inforce_ape_zero_mode "
-    "FROM cvg JOIN pol ON cvg.pol_num = pol.pol_num"))
+    "SELECT r_coverage.pol_num, r_coverage.vers_num, r_coverage.plan_code, "
+    f"{O.ape_sql('r_coverage.cvg_prem', 'r_policy.pmt_mode')} AS inforce_ape, "
+    f"{O.ape_sql('r_coverage.cvg_prem', 'CASE WHEN r_policy.pmt_mode = 5 THEN 0 ELSE r_policy.pmt_mode END')} AS inforce_ape_zero_mode "
+    "FROM r_coverage JOIN r_policy ON r_coverage.pol_num = r_policy.pol_num"))
 def prj_annualize(spark, sf):
     t = roles(spark, sf)
     df = t.coverage.join(t.policy, "pol_num", "inner")
@@ -292,18 +292,18 @@ def prj_annualize(spark, sf):
 
 
 @register("prj_typed_null", RQ(
-    "SELECT pol_num, CAST(NULL AS VARCHAR) AS hml_propensity_grp, CAST(NULL AS INTEGER) AS offer_acc FROM pol"))
+    "SELECT pol_num, CAST(NULL AS VARCHAR) AS hml_propensity_grp, CAST(NULL AS INTEGER) AS offer_acc FROM r_policy"))
 def prj_typed_null(spark, sf):
-    pol = roles(spark, sf).policy
-    return pol.select("pol_num", typed_null("string").alias("hml_propensity_grp"),
+    r_policy = roles(spark, sf).policy
+    return r_policy.select("pol_num", typed_null("string").alias("hml_propensity_grp"),
                       typed_null("int").alias("offer_acc"))
 
 
 @register("prj_distinct_wide", RQ(
-    "SELECT DISTINCT pol_num, vers_num, cvg_stat_cd, cvg_typ, cvg_reasn, cvg_iss_dt FROM cvg"))
+    "SELECT DISTINCT pol_num, vers_num, cvg_stat_cd, cvg_typ, cvg_reasn, cvg_iss_dt FROM r_coverage"))
 def prj_distinct_wide(spark, sf):
-    cvg = roles(spark, sf).coverage
-    return cvg.select("pol_num", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_iss_dt").distinct()
+    r_coverage = roles(spark, sf).coverage
+    return r_coverage.select("pol_num", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_iss_dt").distinct()
 
 
 # ===========================================================================
@@ -312,41 +312,41 @@ def prj_distinct_wide(spark, sf):
 
 
 @register("flt_month_window", RQ(
-    f"SELECT pol_num, pol_iss_dt FROM pol WHERE YEAR(pol_iss_dt) = {L.year} AND MONTH(pol_iss_dt) = {L.month}"))
+    f"SELECT pol_num, pol_iss_dt FROM r_policy WHERE YEAR(pol_iss_dt) = {L.year} AND MONTH(pol_iss_dt) = {L.month}"))
 def flt_month_window(spark, sf):
-    pol = roles(spark, sf).policy
-    return pol.where(in_month("pol_iss_dt", PR.month_start, PR.next_month_start)).select("pol_num", "pol_iss_dt")
+    r_policy = roles(spark, sf).policy
+    return r_policy.where(in_month("pol_iss_dt", PR.month_start, PR.next_month_start)).select("pol_num", "pol_iss_dt")
 
 
 @register("flt_code_membership", RQ(
-    f"SELECT pol_num, pol_stat_cd FROM pol WHERE pol_stat_cd IN {O.in_list(PR.inforce_status)}"))
+    f"SELECT pol_num, pol_stat_cd FROM r_policy WHERE pol_stat_cd IN {O.in_list(PR.inforce_status)}"))
 def flt_code_membership(spark, sf):
-    pol = roles(spark, sf).policy
-    return pol.where(F.col("pol_stat_cd").isin(*PR.inforce_status)).select("pol_num", "pol_stat_cd")
+    r_policy = roles(spark, sf).policy
+    return r_policy.where(F.col("pol_stat_cd").isin(*PR.inforce_status)).select("pol_num", "pol_stat_cd")
 
 
-@register("flt_date_bound", RQ(f"SELECT pol_num, pol_iss_dt FROM pol WHERE pol_iss_dt <= {ME}"))
+@register("flt_date_bound", RQ(f"SELECT pol_num, pol_iss_dt FROM r_policy WHERE pol_iss_dt <= {ME}"))
 def flt_date_bound(spark, sf):
-    pol = roles(spark, sf).policy
-    return pol.where(F.col("pol_iss_dt") <= F.lit(PR.month_end)).select("pol_num", "pol_iss_dt")
+    r_policy = roles(spark, sf).policy
+    return r_policy.where(F.col("pol_iss_dt") <= F.lit(PR.month_end)).select("pol_num", "pol_iss_dt")
 
 
 @register("flt_date_between", RQ(
-    f"SELECT pol_num, pol_iss_dt FROM pol WHERE pol_iss_dt BETWEEN {L.month_start} AND {L.rep_end}"))
+    f"SELECT pol_num, pol_iss_dt FROM r_policy WHERE pol_iss_dt BETWEEN {L.month_start} AND {L.rep_end}"))
 def flt_date_between(spark, sf):
-    pol = roles(spark, sf).policy
-    return (pol.where(F.col("pol_iss_dt").between(F.lit(PR.month_start), F.lit(PR.repurchase_end)))
+    r_policy = roles(spark, sf).policy
+    return (r_policy.where(F.col("pol_iss_dt").between(F.lit(PR.month_start), F.lit(PR.repurchase_end)))
             .select("pol_num", "pol_iss_dt"))
 
 
 @register("flt_recency_cutoff", RQ(
-    f"SELECT tgt_cust_id, batch_start_date FROM tgt_dm WHERE batch_start_date > {L.cutoff}"))
+    f"SELECT tgt_cust_id, batch_start_date FROM r_target WHERE batch_start_date > {L.cutoff}"))
 def flt_recency_cutoff(spark, sf):
     return FL.recent_targets(roles(spark, sf).targets, PR).select("tgt_cust_id", "batch_start_date")
 
 
 @register("flt_prefix_like", RQ(
-    "SELECT agt_code, loc_cd FROM tagt WHERE " + " OR ".join(f"loc_cd LIKE '{x}%'" for x in PR.dmtm_prefixes)))
+    "SELECT agt_code, loc_cd FROM r_agent_mart WHERE " + " OR ".join(f"loc_cd LIKE '{x}%'" for x in PR.dmtm_prefixes)))
 def flt_prefix_like(spark, sf):
     am = roles(spark, sf).agent_mart
     cond = None
@@ -357,7 +357,7 @@ def flt_prefix_like(spark, sf):
 
 
 @register("flt_null_tests", RQ(
-    "SELECT cli_num, mobl_phon_num, email_addr FROM tcli WHERE mobl_phon_num IS NULL OR email_addr IS NOT NULL"))
+    "SELECT cli_num, mobl_phon_num, email_addr FROM r_customer WHERE mobl_phon_num IS NULL OR email_addr IS NOT NULL"))
 def flt_null_tests(spark, sf):
     c = roles(spark, sf).customers
     return (c.where(F.col("mobl_phon_num").isNull() | F.col("email_addr").isNotNull())
@@ -370,22 +370,22 @@ def flt_null_tests(spark, sf):
 
 
 @register("join_semi_cohort", SQ(
-    "SELECT pol_num, cli_num FROM lnk WHERE link_typ = 'O' AND cli_num IN "
-    f"(SELECT DISTINCT po_num FROM onb_actv_cvg WHERE onb_mth_yr = {L.key})"))
+    "SELECT pol_num, cli_num FROM r_link WHERE link_typ = 'O' AND cli_num IN "
+    f"(SELECT DISTINCT po_num FROM m_cohort WHERE onb_mth_yr = {L.key})"))
 def join_semi_cohort(spark, sf):
     t = roles(spark, sf)
     owners = C.cohort_owners(C.active_cohort(t, PR, rank=None)).withColumnRenamed("po_num", "cli_num")
     return links_of(t.links, "O", "cli_num").join(owners, "cli_num", "left_semi")
 
 
-@register("join_role_alias", SQ("SELECT DISTINCT pol_num, po_num, ins_num FROM onb_actv_cvg"))
+@register("join_role_alias", SQ("SELECT DISTINCT pol_num, po_num, ins_num FROM m_cohort"))
 def join_role_alias(spark, sf):
     return C.active_cohort(roles(spark, sf), PR, rank=None).select("pol_num", "po_num", "ins_num").distinct()
 
 
 @register("join_left_snapshot", RQ(
-    "SELECT a.agt_code, sc.agent_tier, sc.agent_cluster FROM agt a LEFT JOIN sc ON sc.agt_code = a.agt_code "
-    f"AND sc.monthend_dt = {O.q(PR.scorecard_month_end)}"))
+    "SELECT a.agt_code, r_scorecard.agent_tier, r_scorecard.agent_cluster FROM r_agent a LEFT JOIN r_scorecard ON r_scorecard.agt_code = a.agt_code "
+    f"AND r_scorecard.monthend_dt = {O.q(PR.scorecard_month_end)}"))
 def join_left_snapshot(spark, sf):
     t = roles(spark, sf)
     return t.agents.select("agt_code").join(D.scorecard_snapshot(t.scorecard, PR.scorecard_month_end),
@@ -393,19 +393,19 @@ def join_left_snapshot(spark, sf):
 
 
 @register("join_left_then_filter", SQ(
-    "SELECT DISTINCT onb.po_num, tcli.cli_nm FROM onb_actv_cvg onb LEFT JOIN tcli ON onb.po_num = tcli.cli_num "
-    "WHERE tcli.cli_typ = 'Individual'"))
+    "SELECT DISTINCT ld.po_num, r_customer.cli_nm FROM m_cohort ld LEFT JOIN r_customer ON ld.po_num = r_customer.cli_num "
+    "WHERE r_customer.cli_typ = 'Individual'"))
 def join_left_then_filter(spark, sf):
     t = roles(spark, sf)
     owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
-    cli = t.customers.where(F.col("cli_typ") == "Individual").select(F.col("cli_num").alias("po_num"), "cli_nm")
-    return owners.join(cli, "po_num", "inner")
+    pf = t.customers.where(F.col("cli_typ") == "Individual").select(F.col("cli_num").alias("po_num"), "cli_nm")
+    return owners.join(pf, "po_num", "inner")
 
 
 @register("join_computed_key", SQ(
-    "SELECT onb.po_num, onb.pol_num, new_need.ci_decile, new_need.invst_decile, new_need.lt_decile "
-    "FROM onb_cli_final onb LEFT JOIN new_need ON onb.po_num = new_need.po_num "
-    "AND onb.onb_mth_yr = CONCAT(SUBSTR(new_need.month, 1, 4), SUBSTR(new_need.month, 6, 2))"))
+    "SELECT ld.po_num, ld.pol_num, r_new_need.ci_decile, r_new_need.invst_decile, r_new_need.lt_decile "
+    "FROM m_tagged ld LEFT JOIN r_new_need ON ld.po_num = r_new_need.po_num "
+    "AND ld.onb_mth_yr = CONCAT(SUBSTR(r_new_need.month, 1, 4), SUBSTR(r_new_need.month, 6, 2))"))
 def join_computed_key(spark, sf):
     st = stages(spark, sf)
     nn = S.new_model_month(roles(spark, sf).new_need, PR.month_key).select(
@@ -418,12 +418,12 @@ def join_computed_key(spark, sf):
 # ===========================================================================
 
 
-@register("agg_first_date", SQ("SELECT cli_num, frst_join_dt FROM iss"))
+@register("agg_first_date", SQ("SELECT cli_num, frst_join_dt FROM m_first_join"))
 def agg_first_date(spark, sf):
     return P.first_join_dates(roles(spark, sf), PR)
 
 
-@register("agg_holdings", SQ('SELECT po_num, total_ape, pol_cnt, "10yr_pol_cnt" FROM hld'))
+@register("agg_holdings", SQ('SELECT po_num, total_ape, pol_cnt, "10yr_pol_cnt" FROM m_holding_sum'))
 def agg_holdings(spark, sf):
     t = roles(spark, sf)
     owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
@@ -431,14 +431,14 @@ def agg_holdings(spark, sf):
 
 
 @register("agg_collect_party_ids", SQ(
-    "SELECT DISTINCT pol_num, UNNEST(dpdnt_id_list) AS id_num FROM onb_dpdnt_ids"))
+    "SELECT DISTINCT pol_num, UNNEST(dpdnt_id_list) AS id_num FROM m_party_sets"))
 def agg_collect_party_ids(spark, sf):
     t = roles(spark, sf)
     cohort = C.active_cohort(t, PR, rank=None)
     return FL.party_ids(t, PR, policies=cohort.select("pol_num").distinct())
 
 
-@register("agg_party_id_sets", SQ("SELECT pol_num, array_to_string(dpdnt_id_list, ',') AS dpdnt_ids FROM onb_dpdnt_ids"))
+@register("agg_party_id_sets", SQ("SELECT pol_num, array_to_string(dpdnt_id_list, ',') AS dpdnt_ids FROM m_party_sets"))
 def agg_party_id_sets(spark, sf):
     t = roles(spark, sf)
     cohort = C.active_cohort(t, PR, rank=None)
@@ -452,13 +452,13 @@ def agg_party_id_sets(spark, sf):
 
 
 @register("win_dense_rank_contract", SQ(
-    "SELECT DISTINCT po_num, pol_num, pol_iss_dt, purchase_order_base FROM onb_actv_cvg"))
+    "SELECT DISTINCT po_num, pol_num, pol_iss_dt, purchase_order_base FROM m_cohort"))
 def win_dense_rank_contract(spark, sf):
     df = C.active_cohort(roles(spark, sf), PR, rank="split")
     return df.select("po_num", "pol_num", "pol_iss_dt", "purchase_order_base").distinct()
 
 
-@register("win_dense_rank_date", SQ("SELECT DISTINCT po_num, pol_iss_dt, purchase_order_base FROM onb_allcvg"))
+@register("win_dense_rank_date", SQ("SELECT DISTINCT po_num, pol_iss_dt, purchase_order_base FROM m_holdings"))
 def win_dense_rank_date(spark, sf):
     t = roles(spark, sf)
     owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
@@ -469,18 +469,18 @@ _FIRST_COLS = [c for c in C.COHORT_COLUMNS if c != "purchase_order_base"]
 
 
 @register("cohort_first_contract", SQ(
-    f"SELECT {', '.join(_FIRST_COLS)} FROM onb_actv_cvg "
+    f"SELECT {', '.join(_FIRST_COLS)} FROM m_cohort "
     "WHERE purchase_order_base = 1 AND cvg_typ = 'B' AND cvg_reasn = 'O'"))
 def cohort_first_contract(spark, sf):
     return C.first_contract(C.active_cohort(roles(spark, sf), PR, rank=None)).select(*_FIRST_COLS)
 
 
-@register("cohort_active", SQ("SELECT * FROM onb_actv_cvg"))
+@register("cohort_active", SQ("SELECT * FROM m_cohort"))
 def cohort_active(spark, sf):
     return C.active_cohort(roles(spark, sf), PR, rank="split")
 
 
-@register("holdings_all", SQ("SELECT * FROM onb_allcvg"))
+@register("holdings_all", SQ("SELECT * FROM m_holdings"))
 def holdings_all(spark, sf):
     t = roles(spark, sf)
     owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
@@ -493,18 +493,18 @@ def holdings_all(spark, sf):
 
 
 @register("class_agent_relationship", RQ(
-    f"SELECT pol.pol_num, {O.relationship_sql()} AS cus_agt_rltnshp FROM pol JOIN agt sa ON pol.agt_code = sa.agt_code"))
+    f"SELECT r_policy.pol_num, {O.relationship_sql()} AS cus_agt_rltnshp FROM r_policy JOIN r_agent sv_ag ON r_policy.agt_code = sv_ag.agt_code"))
 def class_agent_relationship(spark, sf):
     t = roles(spark, sf)
-    sa = t.agents.select(F.col("agt_code").alias("sa_code"), "comp_prvd_num", "trmn_dt")
-    df = t.policy.join(sa, t.policy.agt_code == sa.sa_code, "inner")
+    sv_ag = t.agents.select(F.col("agt_code").alias("sa_code"), "comp_prvd_num", "trmn_dt")
+    df = t.policy.join(sv_ag, t.policy.agt_code == sv_ag.sa_code, "inner")
     return df.select("pol_num", T.agent_relationship("comp_prvd_num", "trmn_dt", "agt_code", "wa_cd_1", "wa_cd_2")
                      .alias("cus_agt_rltnshp"))
 
 
 @register("class_status_decode", RQ(
     "SELECT agt_code, CASE WHEN stat_cd = '01' THEN 'Active' WHEN stat_cd = '99' THEN 'Terminated' "
-    "ELSE 'Unknown' END AS agt_status FROM agt"))
+    "ELSE 'Unknown' END AS agt_status FROM r_agent"))
 def class_status_decode(spark, sf):
     a = roles(spark, sf).agents
     return a.select("agt_code", T.status_decode("stat_cd").alias("agt_status"))
@@ -513,7 +513,7 @@ def class_status_decode(spark, sf):
 @register("class_city", RQ(
     f"SELECT cli_num, CASE WHEN city = {O.q(R.NAMED_CITIES[0])} THEN {O.q(R.NAMED_CITIES[0])} "
     f"WHEN city = {O.q(R.NAMED_CITIES[1])} THEN {O.q(R.NAMED_CITIES[1])} WHEN city IS NULL THEN 'Unknown' "
-    "ELSE 'Others' END AS cust_city_cat FROM tcli"))
+    "ELSE 'Others' END AS cust_city_cat FROM r_customer"))
 def class_city(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", T.city_category("city").alias("cust_city_cat"))
@@ -521,14 +521,14 @@ def class_city(spark, sf):
 
 @register("class_new_existing", SQ(
     f"SELECT cli_num, CASE WHEN frst_join_dt BETWEEN {L.new_start} AND {ME} THEN 'New' ELSE 'Existing' END "
-    "AS cus_type FROM iss"))
+    "AS cus_type FROM m_first_join"))
 def class_new_existing(spark, sf):
     fj = P.first_join_dates(roles(spark, sf), PR)
     return fj.select("cli_num", T.new_or_existing("frst_join_dt", PR.new_window_start, PR.month_end).alias("cus_type"))
 
 
 @register("scl_band_age", RQ(
-    f"SELECT cli_num, cur_age, {O.band_sql('cur_age', R.AGE_BANDS, R.AGE_DEFAULT)} AS po_age_curr_grp FROM tcli"))
+    f"SELECT cli_num, cur_age, {O.band_sql('cur_age', R.AGE_BANDS, R.AGE_DEFAULT)} AS po_age_curr_grp FROM r_customer"))
 def scl_band_age(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", "cur_age", T.age_band("cur_age").alias("po_age_curr_grp"))
@@ -536,7 +536,7 @@ def scl_band_age(spark, sf):
 
 @register("scl_band_income", RQ(
     f"SELECT cli_num, mthly_incm, {O.band_sql('mthly_incm', R.INCOME_BANDS, R.INCOME_DEFAULT)} AS mthly_incm_cat "
-    "FROM tcli"))
+    "FROM r_customer"))
 def scl_band_income(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", "mthly_incm", T.income_band("mthly_incm").alias("mthly_incm_cat"))
@@ -544,17 +544,17 @@ def scl_band_income(spark, sf):
 
 # Per-owner holdings of *every* owner (not only the cohort) for the band/tier keys.
 _ALL_HLD = (
-    "all_hld AS (SELECT po_lnk.cli_num AS po_num, "
-    f"CAST(SUM({O.ape_sql('cvg.cvg_prem', 'pol.pmt_mode')}) AS DECIMAL(18,6)) AS total_ape, "
-    "COUNT(DISTINCT cvg.pol_num) AS pol_cnt, "
-    f"COUNT(DISTINCT CASE WHEN FLOOR(DATEDIFF('day', cvg.cvg_iss_dt, {ME}) / 365.25) >= {PR.tenure_years} "
-    'THEN cvg.pol_num END) AS "10yr_pol_cnt" '
-    "FROM cvg JOIN pol ON cvg.pol_num = pol.pol_num "
-    "JOIN lnk po_lnk ON pol.pol_num = po_lnk.pol_num AND po_lnk.link_typ = 'O' "
-    "JOIN agt wa ON pol.wa_cd_1 = wa.agt_code JOIN agt sa ON pol.agt_code = sa.agt_code "
-    f"WHERE pol.pol_iss_dt <= {ME} AND pol.pol_stat_cd IN {O.in_list(PR.inforce_status)} "
-    f"AND wa.comp_prvd_num IN {O.in_list(PR.writing_channels)} "
-    f"AND sa.comp_prvd_num IN {O.in_list(PR.servicing_channels)} GROUP BY po_lnk.cli_num)")
+    "all_hld AS (SELECT own_l.cli_num AS po_num, "
+    f"CAST(SUM({O.ape_sql('r_coverage.cvg_prem', 'r_policy.pmt_mode')}) AS DECIMAL(18,6)) AS total_ape, "
+    "COUNT(DISTINCT r_coverage.pol_num) AS pol_cnt, "
+    f"COUNT(DISTINCT CASE WHEN FLOOR(DATEDIFF('day', r_coverage.cvg_iss_dt, {ME}) / 365.25) >= {PR.tenure_years} "
+    'THEN r_coverage.pol_num END) AS "10yr_pol_cnt" '
+    "FROM r_coverage JOIN r_policy ON r_coverage.pol_num = r_policy.pol_num "
+    "JOIN r_link own_l ON r_policy.pol_num = own_l.pol_num AND own_l.link_typ = 'O' "
+    "JOIN r_agent wr_ag ON r_policy.wa_cd_1 = wr_ag.agt_code JOIN r_agent sv_ag ON r_policy.agt_code = sv_ag.agt_code "
+    f"WHERE r_policy.pol_iss_dt <= {ME} AND r_policy.pol_stat_cd IN {O.in_list(PR.inforce_status)} "
+    f"AND wr_ag.comp_prvd_num IN {O.in_list(PR.writing_channels)} "
+    f"AND sv_ag.comp_prvd_num IN {O.in_list(PR.servicing_channels)} GROUP BY own_l.cli_num)")
 
 
 def _all_hld_query(select: str) -> str:
@@ -593,14 +593,14 @@ def tier_near(spark, sf):
     return _all_holdings(spark, sf).select("po_num", T.near_tier("total_ape", "10yr_pol_cnt").alias("near_vip_cat"))
 
 
-@register("tier_lead_segment", SQ("SELECT DISTINCT po_num, lead_segment FROM onb_cli_pol"))
+@register("tier_lead_segment", SQ("SELECT DISTINCT po_num, lead_segment FROM m_combined"))
 def tier_lead_segment(spark, sf):
     return stages(spark, sf).combined.select("po_num", "lead_segment").distinct()
 
 
 @register("scl_default_label", RQ(
-    f"SELECT cli_num, COALESCE(cseg.customer_segment, {O.q(R.LIFESTAGE_DEFAULT)}) AS lifestage_segment "
-    f"FROM tcli LEFT JOIN cseg ON tcli.cli_num = cseg.client_number AND cseg.monthend_dt = {O.q(PR.lifestage_month)}"))
+    f"SELECT cli_num, COALESCE(r_lifestage.customer_segment, {O.q(R.LIFESTAGE_DEFAULT)}) AS lifestage_segment "
+    f"FROM r_customer LEFT JOIN r_lifestage ON r_customer.cli_num = r_lifestage.client_number AND r_lifestage.monthend_dt = {O.q(PR.lifestage_month)}"))
 def scl_default_label(spark, sf):
     t = roles(spark, sf)
     ls = P.lifestage_snapshot(t.lifestage, PR.lifestage_month).withColumnRenamed("po_num", "cli_num")
@@ -610,8 +610,8 @@ def scl_default_label(spark, sf):
 
 @register("scl_tier_indicators", RQ(
     "SELECT a.agt_code, " + ", ".join(
-        f"CASE WHEN LOWER(sc.agent_tier) = {O.q(v)} THEN 'Y' ELSE 'N' END AS \"{n}\"" for n, v in R.TIER_INDICATORS)
-    + f" FROM agt a LEFT JOIN sc ON sc.agt_code = a.agt_code AND sc.monthend_dt = {O.q(PR.scorecard_month_end)}"))
+        f"CASE WHEN LOWER(r_scorecard.agent_tier) = {O.q(v)} THEN 'Y' ELSE 'N' END AS \"{n}\"" for n, v in R.TIER_INDICATORS)
+    + f" FROM r_agent a LEFT JOIN r_scorecard ON r_scorecard.agt_code = a.agt_code AND r_scorecard.monthend_dt = {O.q(PR.scorecard_month_end)}"))
 def scl_tier_indicators(spark, sf):
     from cohortkit.functions.rules import lower_equals_flag
     t = roles(spark, sf)
@@ -620,7 +620,7 @@ def scl_tier_indicators(spark, sf):
 
 
 @register("scl_if_null_condition", RQ(
-    "SELECT cli_num, cur_age, CASE WHEN cur_age > 40 THEN 'Y' ELSE 'N' END AS over_40 FROM tcli"))
+    "SELECT cli_num, cur_age, CASE WHEN cur_age > 40 THEN 'Y' ELSE 'N' END AS over_40 FROM r_customer"))
 def scl_if_null_condition(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", "cur_age", yn(F.col("cur_age") > 40).alias("over_40"))
@@ -631,20 +631,20 @@ def scl_if_null_condition(spark, sf):
 # ===========================================================================
 
 
-@register("dim_agent", SQ("SELECT * FROM onb_agt_hist"))
+@register("dim_agent", SQ("SELECT * FROM m_agent_dim"))
 def dim_agent(spark, sf):
     return D.agent_dimension(roles(spark, sf), PR)
 
 
 @register("dim_agent_manager", RQ(
-    "SELECT DISTINCT stru.loc_code, stru.loc_mrg, a2.agt_nm AS mgr_nm FROM stru JOIN agt a2 "
-    "ON stru.loc_mrg = a2.agt_code WHERE stru.loc_code IS NOT NULL"))
+    "SELECT DISTINCT r_structure.loc_code, r_structure.loc_mrg, mgr_ag.agt_nm AS mgr_nm FROM r_structure JOIN r_agent mgr_ag "
+    "ON r_structure.loc_mrg = mgr_ag.agt_code WHERE r_structure.loc_code IS NOT NULL"))
 def dim_agent_manager(spark, sf):
     t = roles(spark, sf)
     return D.location_managers(t.structure, t.agents)
 
 
-@register("profile_customer", SQ("SELECT * FROM onb_cli_dtl"))
+@register("profile_customer", SQ("SELECT * FROM m_profile"))
 def profile_customer(spark, sf):
     return stages(spark, sf).profile
 
@@ -656,7 +656,7 @@ def profile_customer(spark, sf):
 
 @register("flag_reachability", RQ(
     "SELECT cli_num, CASE WHEN mobl_phon_num IS NOT NULL THEN 'Y' ELSE 'N' END AS mobile_ind, "
-    "CASE WHEN email_addr IS NOT NULL THEN 'Y' ELSE 'N' END AS email_ind FROM tcli"))
+    "CASE WHEN email_addr IS NOT NULL THEN 'Y' ELSE 'N' END AS email_ind FROM r_customer"))
 def flag_reachability(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", present_flag("mobl_phon_num").alias("mobile_ind"),
@@ -664,7 +664,7 @@ def flag_reachability(spark, sf):
 
 
 def _combined_flag(cols: list[str]) -> str:
-    return SQ(f"SELECT DISTINCT po_num, pol_num, {', '.join(cols)} FROM onb_cli_pol")
+    return SQ(f"SELECT DISTINCT po_num, pol_num, {', '.join(cols)} FROM m_combined")
 
 
 def _flag_query(spark, sf, cols):
@@ -682,7 +682,7 @@ def flag_recent_contact_insured(spark, sf):
 
 
 @register("flag_recent_contact_insured_by_client",
-          O.stage_query("SELECT DISTINCT po_num, pol_num, in_onb_ins, in_onb FROM onb_cli_pol",
+          O.stage_query("SELECT DISTINCT po_num, pol_num, in_onb_ins, in_onb FROM m_combined",
                         PR, insured_link_key="cli_num"))
 def flag_recent_contact_insured_by_client(spark, sf):
     st = build_stages(roles(spark, sf), PR, insured_keys=("tgt_cust_id", "cli_num"))
@@ -711,7 +711,7 @@ def flag_repurchase(spark, sf):
 
 @register("flag_unassigned", SQ(
     "SELECT DISTINCT pol_num, cus_agt_rltnshp, CASE WHEN cus_agt_rltnshp IN "
-    f"{O.in_list(R.ASSIGNED_RELATIONSHIPS)} THEN 'N' ELSE 'Y' END AS unassigned FROM onb_actv_cvg"))
+    f"{O.in_list(R.ASSIGNED_RELATIONSHIPS)} THEN 'N' ELSE 'Y' END AS unassigned FROM m_cohort"))
 def flag_unassigned(spark, sf):
     cohort = C.active_cohort(roles(spark, sf), PR, rank=None)
     return cohort.select("pol_num", "cus_agt_rltnshp", FL.unassigned_flag().alias("unassigned")).distinct()
@@ -722,27 +722,27 @@ def flag_unassigned(spark, sf):
 # ===========================================================================
 
 
-@register("combine_profile", SQ("SELECT * FROM onb_cli_pol"))
+@register("combine_profile", SQ("SELECT * FROM m_combined"))
 def combine_profile(spark, sf):
     return stages(spark, sf).combined
 
 
 @register("excl_any", SQ(
     "SELECT po_num, pol_num, plan_code, vers_num, insrd_num, " + ", ".join(R.EXCLUSION_FLAGS)
-    + ", excluded FROM onb_cli_final"))
+    + ", excluded FROM m_tagged"))
 def excl_any(spark, sf):
     return stages(spark, sf).final.select("po_num", "pol_num", "plan_code", "vers_num", "insrd_num",
                                           *R.EXCLUSION_FLAGS, "excluded")
 
 
 @register("excl_reason_priority", SQ(
-    "SELECT po_num, pol_num, plan_code, vers_num, insrd_num, excluded, excluded_grp FROM onb_cli_final"))
+    "SELECT po_num, pol_num, plan_code, vers_num, insrd_num, excluded, excluded_grp FROM m_tagged"))
 def excl_reason_priority(spark, sf):
     return stages(spark, sf).final.select("po_num", "pol_num", "plan_code", "vers_num", "insrd_num",
                                           "excluded", "excluded_grp")
 
 
-@register("stage_tagged_leads", SQ("SELECT * FROM onb_cli_final"))
+@register("stage_tagged_leads", SQ("SELECT * FROM m_tagged"))
 def stage_tagged_leads(spark, sf):
     return stages(spark, sf).final
 
@@ -756,17 +756,17 @@ def stage_tagged_leads(spark, sf):
     "SELECT cli_num, LEAST(decile_ci, decile_inv, decile_lt, decile_lp, decile_med) AS least_decile, "
     "CASE WHEN LEAST(decile_ci, decile_inv, decile_lt, decile_lp, decile_med) BETWEEN 1 AND 2 THEN 1 ELSE 0 END "
     "AS top2, CASE WHEN LEAST(decile_ci, decile_inv, decile_lt, decile_lp, decile_med) BETWEEN 1 AND 3 "
-    "THEN 1 ELSE 0 END AS top3 FROM need"))
+    "THEN 1 ELSE 0 END AS top3 FROM r_need"))
 def score_least_decile(spark, sf):
-    need = roles(spark, sf).need
-    return need.select(
+    r_need = roles(spark, sf).need
+    return r_need.select(
         "cli_num", F.least(*[F.col(c) for c in R.EXISTING_HIT_DECILES]).alias("least_decile"),
         F.when(least_in(R.EXISTING_HIT_DECILES, *R.TOP2), 1).otherwise(0).alias("top2"),
         F.when(least_in(R.EXISTING_HIT_DECILES, *R.TOP3), 1).otherwise(0).alias("top3"))
 
 
 def _score_sql(cols: list[str]) -> str:
-    return SQ(f"SELECT po_num, pol_num, {', '.join(cols)} FROM onb_cli_scoring")
+    return SQ(f"SELECT po_num, pol_num, {', '.join(cols)} FROM m_scored")
 
 
 def _score_query(spark, sf, cols):
@@ -792,7 +792,7 @@ def score_offer_flags(spark, sf):
                                     "offer_ul", "offer_lt"])
 
 
-@register("score_final_segment", SQ("SELECT * FROM onb_cli_scoring"))
+@register("score_final_segment", SQ("SELECT * FROM m_scored"))
 def score_final_segment(spark, sf):
     return stages(spark, sf).scoring
 
@@ -825,18 +825,18 @@ def _dup(name: str, sql_from: str, key: str) -> str:
 
 
 _DQ_DIMS = " UNION ALL ".join([
-    _dup("candidates.can_num", "can", "can_num"),
-    _dup("locations.loc_code", "loc", "loc_code"),
-    _dup("regional_heads.loc_cd", "rh", "loc_cd"),
-    _dup("scorecard.agt_code@snapshot", f"(SELECT * FROM sc WHERE monthend_dt = {O.q(PR.scorecard_month_end)})",
+    _dup("candidates:can_num", "r_candidate", "can_num"),
+    _dup("locations:loc_code", "r_location", "loc_code"),
+    _dup("regional_heads:loc_cd", "r_head", "loc_cd"),
+    _dup("scorecard:agt_code@snapshot", f"(SELECT * FROM r_scorecard WHERE monthend_dt = {O.q(PR.scorecard_month_end)})",
          "agt_code"),
-    _dup("managers.loc_code", "(SELECT DISTINCT stru.loc_code, stru.loc_mrg, a2.agt_nm FROM stru JOIN agt a2 "
-         "ON stru.loc_mrg = a2.agt_code WHERE stru.loc_code IS NOT NULL)", "loc_code"),
-    _dup("lifestage.client_number@snapshot",
-         f"(SELECT * FROM cseg WHERE monthend_dt = {O.q(PR.lifestage_month)})", "client_number"),
-    _dup("agent_mart.agt_code", "tagt", "agt_code"),
-    _dup("need.cli_num", "need", "cli_num"),
-    _dup("new_need.po_num@month", f"(SELECT * FROM new_need WHERE CONCAT(SUBSTR(month, 1, 4), SUBSTR(month, 6, 2)) "
+    _dup("managers:loc_code", "(SELECT DISTINCT r_structure.loc_code, r_structure.loc_mrg, mgr_ag.agt_nm FROM r_structure JOIN r_agent mgr_ag "
+         "ON r_structure.loc_mrg = mgr_ag.agt_code WHERE r_structure.loc_code IS NOT NULL)", "loc_code"),
+    _dup("lifestage:client_number@snapshot",
+         f"(SELECT * FROM r_lifestage WHERE monthend_dt = {O.q(PR.lifestage_month)})", "client_number"),
+    _dup("agent_mart:agt_code", "r_agent_mart", "agt_code"),
+    _dup("need:cli_num", "r_need", "cli_num"),
+    _dup("new_need:po_num@month", f"(SELECT * FROM r_new_need WHERE CONCAT(SUBSTR(month, 1, 4), SUBSTR(month, 6, 2)) "
          f"= {L.key})", "po_num"),
 ])
 
@@ -848,9 +848,9 @@ def dq_dimension_keys(spark, sf):
 
 
 @register("dq_dropped_owners", SQ(
-    "SELECT 'cohort_owners' AS \"check\", COUNT(DISTINCT po_num) AS value FROM onb_actv_cvg UNION ALL "
-    "SELECT 'owners_without_individual_profile', COUNT(*) FROM (SELECT DISTINCT po_num FROM onb_actv_cvg) o "
-    "WHERE NOT EXISTS (SELECT 1 FROM tcli WHERE tcli.cli_num = o.po_num AND tcli.cli_typ = 'Individual')"))
+    "SELECT 'cohort_owners' AS \"check\", COUNT(DISTINCT po_num) AS value FROM m_cohort UNION ALL "
+    "SELECT 'owners_without_individual_profile', COUNT(*) FROM (SELECT DISTINCT po_num FROM m_cohort) o "
+    "WHERE NOT EXISTS (SELECT 1 FROM r_customer WHERE r_customer.cli_num = o.po_num AND r_customer.cli_typ = 'Individual')"))
 def dq_dropped_owners(spark, sf):
     from cohortkit.operators.quality import dropped_owner_report
     t = roles(spark, sf)
@@ -859,8 +859,8 @@ def dq_dropped_owners(spark, sf):
 
 def _two_month_oracle() -> str:
     prev = PR.with_(month_end=PR.month_end.replace(month=11, day=30))
-    a = dict(O.stage_ctes(prev))["onb_actv_cvg"]
-    b = dict(O.stage_ctes(PR))["onb_actv_cvg"]
+    a = dict(O.stage_ctes(prev))["m_cohort"]
+    b = dict(O.stage_ctes(PR))["m_cohort"]
     return (O.oracle_with(PR) + f",\nprev_cohort AS ({a}),\ncur_cohort AS ({b})\n"
             "SELECT * EXCLUDE (purchase_order_base) FROM prev_cohort UNION ALL "
             "SELECT * EXCLUDE (purchase_order_base) FROM cur_cohort")

@@ -445,10 +445,11 @@ def oracle_ctes(params: RunParams = FIXTURE_PARAMS) -> dict[str, str]:
 
 # Oracle view names of the roles (prefixed so they never clash with the base tables).
 ORACLE_NAMES = {
-    "coverage": "cvg", "policy": "pol", "links": "lnk", "agents": "agt", "candidates": "can",
-    "locations": "loc", "regional_heads": "rh", "scorecard": "sc", "structure": "stru",
-    "customers": "tcli", "policy_mart": "tpol", "agent_mart": "tagt", "lifestage": "cseg",
-    "client_details": "dtl", "targets": "tgt_dm", "need": "need", "new_need": "new_need",
+    "coverage": "r_coverage", "policy": "r_policy", "links": "r_link", "agents": "r_agent",
+    "candidates": "r_candidate", "locations": "r_location", "regional_heads": "r_head",
+    "scorecard": "r_scorecard", "structure": "r_structure", "customers": "r_customer",
+    "policy_mart": "r_policy_mart", "agent_mart": "r_agent_mart", "lifestage": "r_lifestage",
+    "client_details": "r_client_id", "targets": "r_target", "need": "r_need", "new_need": "r_new_need",
 }
 
 
