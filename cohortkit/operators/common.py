@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.session import ensure_checkpoint_dir, staging_path
+from cohortkit.session import ensure_checkpoint_dir, path_bytes, staging_path
 
 # Dimensions below this many rows are broadcast; larger ones are left to the
 # planner (AQE turns a join into a broadcast from measured shuffle sizes).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
+# Bound for broadcasting a staged table, in bytes on disk (compressed Parquet,
+# the same size measure Spark's planner uses for file sources).
+STAGED_BROADCAST_BYTES = 64 * 1024 * 1024
+
 APE_TYPE = "decimal(18,6)"
 
 
@@ -42,10 +46,7 @@ def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFram
         return df
     spark = df.sparkSession
     if how == "table":
-        path = staging_path(spark, name)
-        df.write.mode("overwrite").parquet(path)
-        # read with the known schema: an empty stage writes no schema to infer
-        return spark.read.schema(df.schema).parquet(path)
+        return stage_table(df, name)[0]
     if how == "persist":
         return df.persist()
     if how == "checkpoint":
@@ -54,12 +55,29 @@ def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFram
     raise ValueError(how)
 
 
-def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str) -> DataFrame:
-    """Write a reduced side once, then broadcast it if its row count is within the bound.
+def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Write ``df`` once under the shared checkpoint folder; return it read back and its size in bytes.
+
+    It is read back with the known schema: an empty stage writes no schema to infer.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path_bytes(spark, path)
+
+
+def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str,
+                     max_bytes: int = STAGED_BROADCAST_BYTES) -> DataFrame:
+    """Write a reduced side once, then broadcast it if it is within the bound.
 
-    The count reads the written table (cheap), so the side is computed once
-    whether it ends up broadcast or shuffled.
+    With ``reuse="table"`` the bound is checked on the written table's size
+    (file-system metadata, no extra job); otherwise by a bounded row count.
+    Either way the side is computed once, whether it ends up broadcast or
+    shuffled.
     """
+    if reuse == "table":
+        out, nbytes = stage_table(df, name)
+        return F.broadcast(out) if nbytes <= max_bytes else out
     return bounded_broadcast(materialize(df, reuse, name), max_rows)
 
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortkit.operators import cohort as C
 from cohortkit.operators import combine as M
@@ -20,7 +21,12 @@ from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
-from cohortkit.operators.common import bounded_broadcast, materialize  # noqa: F401 (re-export)
+from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
+    STAGED_BROADCAST_BYTES,
+    bounded_broadcast,
+    materialize,
+    stage_table,
+)
 from cohortkit.params import RunParams
 from cohortkit.session import remove_staged_since, staging_mark
 from cohortkit.sources.tables import RoleTables
@@ -68,10 +74,18 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     leads are read twice (directly and through scoring) and are materialised
     the same way.
     """
-    cohort = materialize(C.active_cohort(t, p, rank=None, reuse=reuse), reuse, "cohort")
+    cohort_df = C.active_cohort(t, p, rank=None, reuse=reuse)
     # Owners are at most the month's policies: size-checked once, then every
-    # owner semi-join (holdings, first dates, flags, profile) is map-side.
-    owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
+    # owner semi-join (holdings, first dates, flags, profile) is map-side.  A
+    # staged cohort bounds its distinct owners by its own size on disk.
+    if reuse == "table":
+        cohort, cohort_bytes = stage_table(cohort_df, "cohort")
+        owners = C.cohort_owners(cohort)
+        owners = (F.broadcast(owners) if cohort_bytes <= STAGED_BROADCAST_BYTES
+                  else bounded_broadcast(owners, OWNER_MAX_ROWS))
+    else:
+        cohort = materialize(cohort_df, reuse, "cohort")
+        owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
     first = C.first_contract(cohort)
     own_links = C.owner_policy_links(t, p, owners, reuse)
     hold = C.holdings(t, p, owners, reuse=reuse, own_links=own_links)

@@ -77,6 +77,14 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes on disk under ``path`` (file-system metadata; no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
 def staging_mark() -> int:
     """Position in the list of staged folders (to remove the ones created after it)."""
     return len(_STAGED)
