@@ -18,7 +18,6 @@ from cohortkit.functions import tiers as T
 from cohortkit.functions.dates import in_month, month_key_from_text, month_key_of, tenure_years
 from cohortkit.functions.rules import least_in, present_flag, typed_null, yn
 from cohortkit.operators import cohort as C
-from cohortkit.operators import combine as M
 from cohortkit.operators import dims as D
 from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
