@@ -1,4 +1,4 @@
-"""Pipeline: entry smoke check, month re-run overwrite, invariants on the fixture tables."""
+"""Monthly run: entry smoke check, month re-run overwrite, invariants on the fixture tables."""
 
 import os
 
