@@ -21,9 +21,6 @@ from cohortkit.operators.common import bounded_broadcast, links_of
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
-OWNER_FLAG_COLUMNS = ["in_onb_po", "in_onb_ins", "in_onb", "in_banca", "in_dmtm", "last_pol_iss"]
-
-
 # ---- sources of the owner-keyed flags --------------------------------------
 
 def recent_targets(targets: DataFrame, p: RunParams) -> DataFrame:
@@ -31,10 +28,6 @@ def recent_targets(targets: DataFrame, p: RunParams) -> DataFrame:
     return targets.where(F.col("batch_start_date") > F.lit(p.recency_cutoff))
 
 
-def recent_target_owners(targets: DataFrame, p: RunParams) -> DataFrame:
-    return recent_targets(targets, p).select(F.col("tgt_cust_id").alias("po_num")).distinct()
-
-
 def recent_target_insureds(targets: DataFrame, links: DataFrame, p: RunParams,
                            target_key: str = "tgt_cust_id", link_key: str = "pol_num",
                            owners: DataFrame | None = None) -> DataFrame:
