@@ -73,7 +73,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     log_dir = tempfile.mkdtemp(prefix="cohortkit-eventlog-")
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, 2 * int(cpus) if cpus.isdigit() else 16),
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app="cohortkit-bench",
                           extra_conf={"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir,
                                       "spark.eventLog.compress": "false",
