@@ -85,7 +85,7 @@ class RunParams:
     # ---- derived values -------------------------------------------------
     @property
     def month_key(self) -> str:
-        """``yyyyMM`` of the target month (the reference's ``onb_mth_yr``)."""
+        """``yyyyMM`` of the target month (the output column ``onb_mth_yr``)."""
         return self.month_end.strftime("%Y%m")
 
     @property
