@@ -36,7 +36,7 @@ def month_start(d: dt.date) -> dt.date:
     return d.replace(day=1)
 
 
-# Fixed code lists of the business rules (values that define the results).
+# Code lists of the business rules (they define the results; in rule order).
 INFORCE_STATUS = ("1", "2", "3", "5")
 ISSUED_STATUS = ("1", "2", "3", "5", "7", "9", "A", "B", "D", "E", "F", "H", "L", "M", "T", "X")
 WRITING_CHANNELS = ("01", "97", "98")
