@@ -68,6 +68,20 @@ def _window_io(log_dir: str, start_ms: float, end_ms: float) -> dict:
             "shuffle_read_bytes": shuffled_read}
 
 
+def _plan_shape(df) -> dict:
+    """Operator counts of the initial physical plan (joins by type, exchanges, scans)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    count = lambda token: sum(line.count(token) for line in plan.splitlines())
+    return {
+        "file_scans": count("FileScan"),
+        "broadcast_hash_joins": count("BroadcastHashJoin"),
+        "sort_merge_joins": count("SortMergeJoin"),
+        "shuffle_exchanges": count("Exchange hashpartitioning") + count("Exchange rangepartitioning")
+        + count("Exchange SinglePartition"),
+        "cartesian_or_nested_loop": count("CartesianProduct") + count("BroadcastNestedLoopJoin"),
+    }
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -83,7 +97,9 @@ def main() -> None:
     qs = registry.queries()
 
     # warm-up: JVM, code paths and file metadata
-    _run(qs["publish_leads"](spark, sf_dir))
+    warm = qs["publish_leads"](spark, sf_dir)
+    _run(warm)
+    plan = _plan_shape(warm)
 
     timings: dict[str, float] = {}
     for key in HEADLINE:
@@ -119,6 +135,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "rows_published": n,
         "run_month_io": io,
+        "publish_leads_plan": plan,
         "cpus": cpus,
     }))
 
