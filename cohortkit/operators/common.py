@@ -20,14 +20,22 @@ STAGED_BROADCAST_BYTES = 64 * 1024 * 1024
 APE_TYPE = "decimal(18,6)"
 
 
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
+    """``(df, True)`` with a broadcast hint if ``df`` has at most ``max_rows`` rows, else ``(df, False)``.
+
+    The check reads at most ``max_rows + 1`` rows.
+    """
+    n = df.limit(max_rows + 1).count()
+    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows.  Past the bound the frame is
-    returned as is and joins shuffle (sort-merge / AQE-chosen).
+    Past the bound the frame is returned as is and joins shuffle (sort-merge /
+    AQE-chosen).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return broadcast_if_bounded(df, max_rows)[0]
 
 
 def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFrame:

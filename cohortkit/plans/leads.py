@@ -23,7 +23,7 @@ from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
 from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
     STAGED_BROADCAST_BYTES,
-    bounded_broadcast,
+    broadcast_if_bounded,
     materialize,
     stage_table,
 )
@@ -68,7 +68,7 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     """All stages of one month.
 
     The cohort is read by five later stages (owners, first contract, holdings,
-    party IDs, flags); with ``reuse="checkpoint"`` it is computed once and
+    party IDs, flags); with ``reuse="table"`` it is computed once and
     written to the shared checkpoint folder, so the coverage scan and its joins
     run once instead of once per consumer.  In ``rejoin`` mode the tagged
     leads are read twice (directly and through scoring) and are materialised
@@ -81,19 +81,27 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     if reuse == "table":
         cohort, cohort_bytes = stage_table(cohort_df, "cohort")
         owners = C.cohort_owners(cohort)
-        owners = (F.broadcast(owners) if cohort_bytes <= STAGED_BROADCAST_BYTES
-                  else bounded_broadcast(owners, OWNER_MAX_ROWS))
+        owners_bounded = cohort_bytes <= STAGED_BROADCAST_BYTES
+        owners, owners_bounded = ((F.broadcast(owners), True) if owners_bounded
+                                  else broadcast_if_bounded(owners, OWNER_MAX_ROWS))
     else:
         cohort = materialize(cohort_df, reuse, "cohort")
-        owners = bounded_broadcast(C.cohort_owners(cohort), OWNER_MAX_ROWS)
+        owners, owners_bounded = broadcast_if_bounded(C.cohort_owners(cohort), OWNER_MAX_ROWS)
+
+    def per_owner(df: DataFrame) -> DataFrame:
+        # Grouped by owner after the semi-join to the owner set: at most one row
+        # per owner, so the owners' bound holds for it too (no extra check).
+        return F.broadcast(df) if owners_bounded else df
+
     first = C.first_contract(cohort)
     own_links = C.owner_policy_links(t, p, owners, reuse)
     hold = C.holdings(t, p, owners, reuse=reuse, own_links=own_links)
-    summary = C.holdings_summary(hold, p)
+    summary = per_owner(C.holdings_summary(hold, p))
     agent_dim = D.agent_dimension(t, p)
-    profile = P.customer_profile(t, p, owners, summary, P.first_join_dates(t, p, owners, own_links))
+    first_dates = per_owner(P.first_join_dates(t, p, owners, own_links))
+    profile = P.customer_profile(t, p, owners, summary, first_dates)
     pairs = FL.party_ids(t, p, policies=first.select("pol_num").distinct())
-    oflags = FL.owner_flags(t, p, owners, insured_keys=insured_keys, own_links=own_links)
+    oflags = per_owner(FL.owner_flags(t, p, owners, insured_keys=insured_keys, own_links=own_links))
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
     if mode == "rejoin":
