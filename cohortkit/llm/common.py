@@ -59,3 +59,10 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 def batches(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches that hold rows."""
     return (b for b in it if b.num_rows)
+
+
+def worker_state() -> dict:
+    """What a Python worker keeps between its tasks (tokenizers and their caches, bounded by their owners)."""
+    import pyspark
+
+    return pyspark.__dict__.setdefault("_llm_worker_state", {})
