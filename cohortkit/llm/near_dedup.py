@@ -9,11 +9,14 @@ coordinate is its value.  Two texts agree in a coordinate with the probability o
 similarity.  A text whose darts leave a coordinate empty throws up to twice the rank.
 
 Equal word sequences are one class from the start (a grouped aggregate), represented by the smallest id.
-Bands of coordinates deal the representatives into buckets.  No bucket is paired within itself: its smallest
-members (1, 2, 4, ... in round after round) are its leaders, every member is checked against the leaders on
-the whole texts, and members that no leader covers go on to the next round, until all are covered or have
-led.  Checked links make classes by propagating the smallest id with pointer jumping.  Only ids and hashes
-are shuffled until the checks; those fetch the texts of paired documents alone.
+Bands of coordinates deal the representatives into buckets.  No bucket is paired within itself: its most
+central members (those in the fullest buckets; 1, 2, 4, ... in round after round) are its leaders, members
+are checked against the leaders on the whole texts, and members that no leader covers go on to the next
+round, until all are covered or have led.  In a bucket of up to ``SMALL`` texts a leader meets every member,
+so no link of the bucket is lost; in a larger one it meets the members not yet covered, so that the checks
+grow with the members and not with their square.  Checked links make classes by propagating the smallest id
+with pointer jumping.  Only ids and hashes are shuffled until the checks; the texts of documents that share
+a bucket are fetched once.
 
 Cases: null and word-free texts are one class (nothing tells them apart); a text of fewer than five words is
 one shingle; repeated rows of an id are one document (one row in the result, its smallest text counts); null
@@ -39,8 +42,10 @@ from cohortkit.llm.common import batches, prepare, staged, table, texts_of, to_a
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 6
+#: Members of a bucket up to which its leaders meet all of them.
+SMALL = 64
 #: Borders of the rank columns of cells: fine near 0, where long texts throw all their darts.
-COLUMNS = np.array([0.0, *(2.0**e for e in range(-8, 12))])
+COLUMNS = np.array([0.0, *(2.0**e for e in range(-4, 12))])
 WORD = re.compile(r"\w+")
 U = np.uint64
 
@@ -63,19 +68,22 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def shingles(words: list[str], size: int = WORDS) -> list[int]:
-    """Hashes of the five-word shingles, one for each occurrence."""
+def shingles(words: list[str], size: int = WORDS) -> np.ndarray:
+    """Hashes of the five-word shingles, one for each occurrence, from the hashes of their words in order."""
     if not words:
-        return []
-    h = xxhash.xxh64_intdigest
-    if len(words) < size:
-        return [h(" ".join(words).encode())]
-    return [h(" ".join(words[i:i + size]).encode()) for i in range(len(words) - size + 1)]
+        return np.zeros(0, U)
+    own = {w: xxhash.xxh64_intdigest(w.encode()) for w in set(words)}
+    h = np.fromiter(map(own.__getitem__, words), U, len(words))
+    n = max(1, len(words) - size + 1)
+    out = np.zeros(n, U)
+    for k in range(min(size, len(words))):
+        out = mix(out * U(0x9E3779B97F4A7C15) + h[k:k + n])
+    return out
 
 
-def weights(hashes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def weights(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(distinct shingles, weights) of one text."""
-    keys, n = np.unique(np.array(hashes, np.uint64), return_counts=True)
+    keys, n = np.unique(hashes, return_counts=True)
     return keys, 1 + np.log(n)
 
 
@@ -154,15 +162,12 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
         open_[todo] = True
         part = open_[owner]
         own, rank, h = darts(keys[part], weight[part], owner[part], np.where(open_, bound, 0), after)
-        coordinate = (mix(h ^ U(0x8EBC6AF09C88C6E3)) % U(k)).astype(np.int64)
-        order = np.lexsort((h, rank, coordinate, own))
-        place = own[order] * k + coordinate[order]
-        first = np.ones(len(place), bool)
-        first[1:] = place[1:] != place[:-1]
-        place, chosen = place[first], h[order][first]
+        place = own * k + (mix(h ^ U(0x8EBC6AF09C88C6E3)) % U(k)).astype(np.int64)
         new = ~have.ravel()[place]
-        value.ravel()[place[new]] = chosen[new]
-        have.ravel()[place[new]] = True
+        late_first = np.argsort(-rank[new], kind="stable")  # the earliest dart is written last and stays
+        place = place[new][late_first]
+        value.ravel()[place] = h[new][late_first]
+        have.ravel()[place] = True
         todo = todo[~have[todo].all(1)]
         after, bound = after.copy(), bound.copy()
         after[todo] = bound[todo]
@@ -222,33 +227,36 @@ def checked(pairs: DataFrame, docs: DataFrame, least: float = SIMILAR, text: str
     return rows.mapInArrow(run, "a long, b long")
 
 
-def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int = SMALL) -> DataFrame:
     """Checked links (a, b), a < b, between representatives that share a band's bucket.
 
     ``signed`` has (doc_id, bands), one row for each different text.
     """
     dealt = signed.select("doc_id", F.posexplode("bands").alias("band", "hash"))
-    shared = dealt.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1").select("band", "hash")
+    shared = dealt.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
     members = staged(dealt.join(shared, ["band", "hash"]), "bucket-members")
+    central = members.groupBy("doc_id").agg(F.sum("n").alias("central"))
+    texts = staged(docs.join(central.select("doc_id"), "doc_id", "left_semi"), "bucket-texts")
+    members = staged(members.join(central, "doc_id"), "central-members")
     open_rows, done, known, step = members, None, None, 1
     while not open_rows.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy("doc_id"))
+        rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy(F.desc("central"), "doc_id"))
         leaders = staged(open_rows.withColumn("rank", rank).where(F.col("rank") <= step).select("band", "hash", F.col("doc_id").alias("leader")),
                          "leaders")
-        met = members.join(leaders, ["band", "hash"]).where("doc_id <> leader")
-        pairs = met.select(F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")).distinct()
+        facing = members.where(F.col("n") <= small).unionByName(open_rows.where(F.col("n") > small))
+        met = staged(facing.join(leaders, ["band", "hash"]).where("doc_id <> leader").select(
+            "band", "hash", "doc_id", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")), "met")
+        pairs = met.select("a", "b").distinct()
         if known is not None:
             pairs = pairs.join(known, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
-        good = staged(checked(pairs, docs, least), "links")
+        good = staged(checked(pairs, texts, least), "links")
         known = pairs if known is None else known.unionByName(pairs)
         done = good if done is None else done.unionByName(good)
         # a member is covered where it led, or where one of the bucket's leaders is linked to it
-        covered = (met.select("band", "hash", "doc_id", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b"))
-                   .join(done, ["a", "b"], "left_semi").select("band", "hash", "doc_id")
+        covered = (met.join(done, ["a", "b"], "left_semi").select("band", "hash", "doc_id")
                    .unionByName(leaders.select("band", "hash", F.col("leader").alias("doc_id"))))
-        left = open_rows.join(covered.distinct(), ["band", "hash", "doc_id"], "left_anti")
-        open_rows = staged(left, "open-members")
+        open_rows = staged(open_rows.join(covered.distinct(), ["band", "hash", "doc_id"], "left_anti"), "open-members")
         step *= 2
     return done if done is not None else signed.sparkSession.createDataFrame([], "a long, b long")
 

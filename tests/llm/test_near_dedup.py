@@ -87,6 +87,22 @@ def test_groups_chains_and_shared_passages(spark):
     assert kept == set(got.values())
 
 
+def test_buckets_above_the_small_size(spark):
+    """With leaders that meet only uncovered members, a text and its many copies still make one class."""
+    r = random.Random(6)
+    base, rows = words(r, 200), []
+    for i in range(150):
+        t = list(base)
+        for j in r.sample(range(200), 4 if i else 0):
+            t[j] = "".join(r.choices("xyz", k=6))
+        rows.append((i, " ".join(t)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = N.sign(docs).select("doc_id", "bands")
+    found = N.components(N.links(signed, docs, small=8))
+    got = {x["doc_id"]: x["class_id"] for x in found.collect()}
+    assert {i: got.get(i, i) for i, _ in rows} == brute_classes(rows)
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, "one two"), (4, "One, two!"), (5, "a b c d e"), (5, "a b c d e"), (None, "x"), (6, "w " * 50_000)]
     docs = spark.createDataFrame([(*x, "k") for x in rows], "doc_id long, text string, class_id string")
