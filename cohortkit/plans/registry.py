@@ -492,7 +492,8 @@ def holdings_all(spark, sf):
 
 
 @register("class_agent_relationship", RQ(
-    f"SELECT r_policy.pol_num, {O.relationship_sql()} AS cus_agt_rltnshp FROM r_policy JOIN r_agent sv_ag ON r_policy.agt_code = sv_ag.agt_code"))
+    f"SELECT x.pol_num, {O.relationship_sql('s.comp_prvd_num', 's.trmn_dt', 'x.agt_code', 'x.wa_cd_1, x.wa_cd_2')} AS cus_agt_rltnshp "
+    "FROM r_policy x JOIN r_agent s USING (agt_code)"))
 def class_agent_relationship(spark, sf):
     t = roles(spark, sf)
     sv_ag = t.agents.select(F.col("agt_code").alias("sa_code"), "comp_prvd_num", "trmn_dt")
@@ -510,9 +511,7 @@ def class_status_decode(spark, sf):
 
 
 @register("class_city", RQ(
-    f"SELECT cli_num, CASE WHEN city = {O.q(R.NAMED_CITIES[0])} THEN {O.q(R.NAMED_CITIES[0])} "
-    f"WHEN city = {O.q(R.NAMED_CITIES[1])} THEN {O.q(R.NAMED_CITIES[1])} WHEN city IS NULL THEN 'Unknown' "
-    "ELSE 'Others' END AS cust_city_cat FROM r_customer"))
+    f"SELECT cli_num, {O.city_sql('city')} AS cust_city_cat FROM r_customer"))
 def class_city(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", T.city_category("city").alias("cust_city_cat"))
@@ -527,14 +526,14 @@ def class_new_existing(spark, sf):
 
 
 @register("scl_band_age", RQ(
-    f"SELECT cli_num, cur_age, {O.band_sql('cur_age', R.AGE_BANDS, R.AGE_DEFAULT)} AS po_age_curr_grp FROM r_customer"))
+    f"SELECT cli_num, cur_age, {O.band_sql('age', 'cur_age')} AS po_age_curr_grp FROM r_customer"))
 def scl_band_age(spark, sf):
     c = roles(spark, sf).customers
     return c.select("cli_num", "cur_age", T.age_band("cur_age").alias("po_age_curr_grp"))
 
 
 @register("scl_band_income", RQ(
-    f"SELECT cli_num, mthly_incm, {O.band_sql('mthly_incm', R.INCOME_BANDS, R.INCOME_DEFAULT)} AS mthly_incm_cat "
+    f"SELECT cli_num, mthly_incm, {O.band_sql('income', 'mthly_incm')} AS mthly_incm_cat "
     "FROM r_customer"))
 def scl_band_income(spark, sf):
     c = roles(spark, sf).customers
@@ -542,22 +541,9 @@ def scl_band_income(spark, sf):
 
 
 # Per-owner holdings of *every* owner (not only the cohort) for the band/tier keys.
-_ALL_HLD = (
-    "all_hld AS (SELECT own_l.cli_num AS po_num, "
-    f"CAST(SUM({O.ape_sql('r_coverage.cvg_prem', 'r_policy.pmt_mode')}) AS DECIMAL(18,6)) AS total_ape, "
-    "COUNT(DISTINCT r_coverage.pol_num) AS pol_cnt, "
-    f"COUNT(DISTINCT CASE WHEN FLOOR(DATEDIFF('day', r_coverage.cvg_iss_dt, {ME}) / 365.25) >= {PR.tenure_years} "
-    'THEN r_coverage.pol_num END) AS "10yr_pol_cnt" '
-    "FROM r_coverage JOIN r_policy ON r_coverage.pol_num = r_policy.pol_num "
-    "JOIN r_link own_l ON r_policy.pol_num = own_l.pol_num AND own_l.link_typ = 'O' "
-    "JOIN r_agent wr_ag ON r_policy.wa_cd_1 = wr_ag.agt_code JOIN r_agent sv_ag ON r_policy.agt_code = sv_ag.agt_code "
-    f"WHERE r_policy.pol_iss_dt <= {ME} AND r_policy.pol_stat_cd IN {O.in_list(PR.inforce_status)} "
-    f"AND wr_ag.comp_prvd_num IN {O.in_list(PR.writing_channels)} "
-    f"AND sv_ag.comp_prvd_num IN {O.in_list(PR.servicing_channels)} GROUP BY own_l.cli_num)")
-
-
 def _all_hld_query(select: str) -> str:
-    return O.oracle_with(PR) + ",\n" + _ALL_HLD + "\n" + select
+    held = O.holdings_sum_sql(f"({O.held_rows_sql(L)})", PR.tenure_years)
+    return O.roles_query(select, PR, (("all_hld", held),))
 
 
 def _all_holdings(spark, sf) -> DataFrame:
@@ -565,28 +551,28 @@ def _all_holdings(spark, sf) -> DataFrame:
 
 
 @register("scl_band_premium", _all_hld_query(
-    f"SELECT po_num, total_ape, {O.band_sql('total_ape', R.PREMIUM_BANDS, R.PREMIUM_DEFAULT)} AS total_ape_cat "
+    f"SELECT po_num, total_ape, {O.band_sql('premium', 'total_ape')} AS total_ape_cat "
     "FROM all_hld"))
 def scl_band_premium(spark, sf):
     return _all_holdings(spark, sf).select("po_num", "total_ape", T.premium_band("total_ape").alias("total_ape_cat"))
 
 
 @register("scl_band_count", _all_hld_query(
-    f"SELECT po_num, pol_cnt, {O.band_sql('pol_cnt', R.POLICY_COUNT_BANDS, R.POLICY_COUNT_DEFAULT)} AS pol_cnt_cat "
+    f"SELECT po_num, pol_cnt, {O.band_sql('policies', 'pol_cnt')} AS pol_cnt_cat "
     "FROM all_hld"))
 def scl_band_count(spark, sf):
     return _all_holdings(spark, sf).select("po_num", "pol_cnt", T.policy_count_band("pol_cnt").alias("pol_cnt_cat"))
 
 
 @register("tier_value", _all_hld_query(
-    f"SELECT po_num, {O.tier_sql('total_ape', chr(34) + '10yr_pol_cnt' + chr(34), R.VALUE_TIERS, R.VALUE_TIER_DEFAULT)}"
+    f"SELECT po_num, {O.band_sql('value', 'total_ape', chr(34) + '10yr_pol_cnt' + chr(34))}"
     " AS vip_cat FROM all_hld"))
 def tier_value(spark, sf):
     return _all_holdings(spark, sf).select("po_num", T.value_tier("total_ape", "10yr_pol_cnt").alias("vip_cat"))
 
 
 @register("tier_near", _all_hld_query(
-    f"SELECT po_num, {O.tier_sql('total_ape', chr(34) + '10yr_pol_cnt' + chr(34), R.NEAR_TIERS, R.NEAR_TIER_DEFAULT)}"
+    f"SELECT po_num, {O.band_sql('near', 'total_ape', chr(34) + '10yr_pol_cnt' + chr(34))}"
     " AS near_vip_cat FROM all_hld"))
 def tier_near(spark, sf):
     return _all_holdings(spark, sf).select("po_num", T.near_tier("total_ape", "10yr_pol_cnt").alias("near_vip_cat"))
@@ -598,7 +584,7 @@ def tier_lead_segment(spark, sf):
 
 
 @register("scl_default_label", RQ(
-    f"SELECT cli_num, COALESCE(r_lifestage.customer_segment, {O.q(R.LIFESTAGE_DEFAULT)}) AS lifestage_segment "
+    f"SELECT cli_num, COALESCE(r_lifestage.customer_segment, 'Undefined Segmentation') AS lifestage_segment "
     f"FROM r_customer LEFT JOIN r_lifestage ON r_customer.cli_num = r_lifestage.client_number AND r_lifestage.monthend_dt = {O.q(PR.lifestage_month)}"))
 def scl_default_label(spark, sf):
     t = roles(spark, sf)
@@ -608,9 +594,8 @@ def scl_default_label(spark, sf):
 
 
 @register("scl_tier_indicators", RQ(
-    "SELECT a.agt_code, " + ", ".join(
-        f"CASE WHEN LOWER(r_scorecard.agent_tier) = {O.q(v)} THEN 'Y' ELSE 'N' END AS \"{n}\"" for n, v in R.TIER_INDICATORS)
-    + f" FROM r_agent a LEFT JOIN r_scorecard ON r_scorecard.agt_code = a.agt_code AND r_scorecard.monthend_dt = {O.q(PR.scorecard_month_end)}"))
+    f"SELECT a.agt_code, {O.tier_flags_sql('sc.agent_tier')} FROM r_agent a "
+    f"LEFT JOIN (FROM r_scorecard WHERE monthend_dt = {O.q(PR.scorecard_month_end)}) sc USING (agt_code)"))
 def scl_tier_indicators(spark, sf):
     from cohortkit.functions.rules import lower_equals_flag
     t = roles(spark, sf)
@@ -636,8 +621,7 @@ def dim_agent(spark, sf):
 
 
 @register("dim_agent_manager", RQ(
-    "SELECT DISTINCT r_structure.loc_code, r_structure.loc_mrg, mgr_ag.agt_nm AS mgr_nm FROM r_structure JOIN r_agent mgr_ag "
-    "ON r_structure.loc_mrg = mgr_ag.agt_code WHERE r_structure.loc_code IS NOT NULL"))
+    "FROM m_managers"))
 def dim_agent_manager(spark, sf):
     t = roles(spark, sf)
     return D.location_managers(t.structure, t.agents)
@@ -829,8 +813,7 @@ _DQ_DIMS = " UNION ALL ".join([
     _dup("regional_heads:loc_cd", "r_head", "loc_cd"),
     _dup("scorecard:agt_code@snapshot", f"(SELECT * FROM r_scorecard WHERE monthend_dt = {O.q(PR.scorecard_month_end)})",
          "agt_code"),
-    _dup("managers:loc_code", "(SELECT DISTINCT r_structure.loc_code, r_structure.loc_mrg, mgr_ag.agt_nm FROM r_structure JOIN r_agent mgr_ag "
-         "ON r_structure.loc_mrg = mgr_ag.agt_code WHERE r_structure.loc_code IS NOT NULL)", "loc_code"),
+    _dup("managers:loc_code", "m_managers", "loc_code"),
     _dup("lifestage:client_number@snapshot",
          f"(SELECT * FROM r_lifestage WHERE monthend_dt = {O.q(PR.lifestage_month)})", "client_number"),
     _dup("agent_mart:agt_code", "r_agent_mart", "agt_code"),
@@ -858,11 +841,9 @@ def dq_dropped_owners(spark, sf):
 
 def _two_month_oracle() -> str:
     prev = PR.with_(month_end=PR.month_end.replace(month=11, day=30))
-    a = dict(O.stage_ctes(prev))["m_cohort"]
-    b = dict(O.stage_ctes(PR))["m_cohort"]
-    return (O.oracle_with(PR) + f",\nprev_cohort AS ({a}),\ncur_cohort AS ({b})\n"
-            "SELECT * EXCLUDE (purchase_order_base) FROM prev_cohort UNION ALL "
-            "SELECT * EXCLUDE (purchase_order_base) FROM cur_cohort")
+    return O.roles_query("SELECT * EXCLUDE (purchase_order_base) FROM prev_cohort UNION ALL BY NAME "
+                         "SELECT * EXCLUDE (purchase_order_base) FROM cur_cohort", PR,
+                         (("prev_cohort", O.cohort_sql(prev)), ("cur_cohort", O.cohort_sql(PR))))
 
 
 _ORACLES["snk_parquet_overwrite"] = _two_month_oracle()
