@@ -9,7 +9,6 @@ The library is a set of composable DataFrame operators:
 * ``operators``  — business operators: cohort, holdings, agent dimension,
                    customer profile, exclusion flags, scoring, publishing.
 * ``plans``      — the end-to-end lead plan and the query registry.
-* ``streaming``  — intentionally empty (the workload is a bounded snapshot job).
 
 Every operator is lazy: it takes DataFrames and a :class:`RunParams` and
 returns a DataFrame.  Only the publish step acts.

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions.dates import in_month, tenure_years
 from cohortkit.functions.tiers import agent_relationship
 from cohortkit.operators.common import (
-    APE_TYPE,
+    TOTAL_TYPE,
     agents_in,
     annualized,
     bounded_broadcast,
@@ -193,7 +193,7 @@ def holdings_summary(hold: DataFrame, p: RunParams) -> DataFrame:
         F.max((F.col("inforce_year") >= p.tenure_years).cast("int")).alias("_long"),
     )
     return per_policy.groupBy("po_num").agg(
-        F.sum("_ape").cast(APE_TYPE).alias("total_ape"),
+        F.sum("_ape").cast(TOTAL_TYPE).alias("total_ape"),
         F.count(F.col("pol_num")).cast("bigint").alias("pol_cnt"),
         F.coalesce(F.sum("_long"), F.lit(0)).cast("bigint").alias("10yr_pol_cnt"),
     )

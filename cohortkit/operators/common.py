@@ -6,26 +6,36 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, StringType, StructType
 
-from cohortkit.session import ensure_checkpoint_dir, path_bytes, staging_path
+from cohortkit.session import path_bytes, staging_path
 
 # Dimensions below this many rows are broadcast; larger ones are left to the
 # planner (AQE turns a join into a broadcast from measured shuffle sizes).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-# Bound for broadcasting a staged table, in bytes on disk (compressed Parquet,
-# the same size measure Spark's planner uses for file sources).
-STAGED_BROADCAST_BYTES = 64 * 1024 * 1024
+# Bound for broadcasting a staged table, in bytes in memory: its rows (from the
+# Parquet footers) times the width of a row (from the schema).
+STAGED_BROADCAST_BYTES = 256 * 1024 * 1024
+TEXT_BYTES = 48  # a text value in a row: header and some 40 characters
 
 APE_TYPE = "decimal(18,6)"
+TOTAL_TYPE = "decimal(38,6)"
+
+
+def row_width(schema: StructType) -> int:
+    """Bytes of one row in memory, by the types of its columns."""
+    def width(t: DataType) -> int:
+        return TEXT_BYTES if isinstance(t, StringType) else 24 if isinstance(t, DecimalType) else 8
+    return 16 + sum(width(f.dataType) for f in schema)
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
     """``(df, True)`` with a broadcast hint if ``df`` has at most ``max_rows`` rows, else ``(df, False)``.
 
-    The check reads at most ``max_rows + 1`` rows.
+    The count is a partial aggregate: one number per task.
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return (F.broadcast(df), True) if n <= max_rows else (df, False)
 
 
@@ -45,21 +55,12 @@ def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFram
     shared checkpoint directory and reads it back: lineage is cut (a lost
     executor does not force the upstream joins to rerun), the stage is
     computed exactly once, and the planner gets real file sizes for its join
-    choices.  ``checkpoint`` uses ``Dataset.checkpoint`` (same folder, but an
-    eager reliable checkpoint computes the plan twice unless cached);
-    ``persist`` caches (recomputed from lineage on loss); ``None`` leaves it to
-    Spark's exchange reuse.
+    choices.  ``None`` leaves it to Spark's exchange reuse.
     """
     if how is None:
         return df
-    spark = df.sparkSession
     if how == "table":
         return stage_table(df, name)[0]
-    if how == "persist":
-        return df.persist()
-    if how == "checkpoint":
-        ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
     raise ValueError(how)
 
 
@@ -76,17 +77,17 @@ def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str,
                      max_bytes: int = STAGED_BROADCAST_BYTES) -> DataFrame:
-    """Write a reduced side once, then broadcast it if it is within the bound.
+    """Write a reduced side once, then broadcast it if it is within the bounds.
 
-    With ``reuse="table"`` the bound is checked on the written table's size
-    (file-system metadata, no extra job); otherwise by a bounded row count.
-    Either way the side is computed once, whether it ends up broadcast or
-    shuffled.
+    With ``reuse="table"`` the rows of the written table are counted (Parquet
+    footers) and held against ``max_rows`` and, times the row width, against
+    ``max_bytes``; the side is computed once, whether it ends up broadcast or
+    shuffled.  With ``reuse=None`` a count of the frame decides, and the side
+    runs again in the join.
     """
-    if reuse == "table":
-        out, nbytes = stage_table(df, name)
-        return F.broadcast(out) if nbytes <= max_bytes else out
-    return bounded_broadcast(materialize(df, reuse, name), max_rows)
+    out = materialize(df, reuse, name)
+    n = out.count()
+    return F.broadcast(out) if n <= max_rows and n * row_width(out.schema) <= max_bytes else out
 
 
 def links_of(links: DataFrame, link_type: str, cli_alias: str) -> DataFrame:
@@ -129,11 +130,9 @@ def dense_rank_within(df: DataFrame, by: Sequence[str], order: Sequence[str], ou
     count table gives each task's offset within its group.  No group is ever
     gathered into one task.
 
-    The local numbering is deterministic: range bounds are fixed once on the
-    driver (a recomputed map task after an executor loss routes its rows to
-    the same partitions), and each partition is fully sorted on distinct keys
-    before ids are taken, so the count table and the numbered rows — two
-    consumers of the same reused exchange — always agree.
+    The numbered keys are written once (shared checkpoint folder) and both the
+    count table and the numbered rows are read from that table, so they agree
+    whatever Spark reuses or recomputes.
     """
     keys = df.select(*by, *order).distinct()
     if method == "window":
@@ -154,6 +153,7 @@ def _split_row_number(keys: DataFrame, by: Sequence[str], order: Sequence[str],
     tagged = (keys.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
               .select(*by, *order, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_rid")))
+    tagged = stage_table(tagged, "rank_keys")[0]
     # One row per (task, group): first id and row count.  Bounded by tasks × groups.
     stats = tagged.groupBy("_pid", *by).agg(F.min("_rid").alias("_first"), F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions import rulebook as R
 from cohortkit.functions.rules import yn
-from cohortkit.operators.common import bounded_broadcast, links_of
+from cohortkit.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast, links_of, staged_broadcast
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
@@ -42,7 +42,7 @@ def recent_target_insureds(targets: DataFrame, links: DataFrame, p: RunParams,
                                                               F.col("cli_num").alias("po_num"))
     if owners is not None:   # only insureds who are cohort owners can match (map-side filter)
         ins = ins.join(owners.select("po_num"), "po_num", "left_semi")
-    return tg.join(ins, "_k", "inner").select("po_num").distinct()
+    return ins.join(tg.distinct(), "_k", "left_semi").select("po_num").distinct()
 
 
 def agent_channel_flags(agent_mart: DataFrame, p: RunParams) -> DataFrame:
@@ -144,7 +144,7 @@ def owner_flags(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
 
 # ---- policy-keyed: party IDs and the related-party flag ---------------------
 
-def party_ids(t: RoleTables, p: RunParams, policies: DataFrame | None = None) -> DataFrame:
+def party_ids(t: RoleTables, p: RunParams, policies: DataFrame | None = None, reuse: str | None = None) -> DataFrame:
     """Distinct (policy, party ID) of the listed link types; NULL IDs dropped.
 
     This is the set of IDs per policy as rows, so no policy's parties are ever
@@ -152,7 +152,11 @@ def party_ids(t: RoleTables, p: RunParams, policies: DataFrame | None = None) ->
     """
     lnk = t.links.where(F.col("link_typ").isin(*p.party_link_types)).select("pol_num", "cli_num")
     if policies is not None:
+        # cut map-side to the (size-checked) policies, written once and, within
+        # its bound, broadcast to the client table, which is then not shuffled
         lnk = lnk.join(policies.select("pol_num"), "pol_num", "left_semi")
+        if reuse is not None:
+            lnk = staged_broadcast(lnk, DEFAULT_BROADCAST_ROWS, reuse, "party_links")
     dtl = t.client_details.where(F.col("id_num").isNotNull()).select("cli_num", "id_num")
     return lnk.join(dtl, "cli_num", "inner").select("pol_num", "id_num").distinct()
 

@@ -42,7 +42,7 @@ def _lead_select(seg_src: Column, cus_type: Column, top2: Column, rules: Column,
 
 
 def lead_table(final: DataFrame, need: DataFrame, new_need: DataFrame, p: RunParams,
-               mode: str = "in_place") -> DataFrame:
+               mode: str = "in_place", owners: DataFrame | None = None) -> DataFrame:
     """Step 9: the published lead table.
 
     ``in_place`` (default): the scoring columns are computed on the tagged rows
@@ -54,12 +54,12 @@ def lead_table(final: DataFrame, need: DataFrame, new_need: DataFrame, p: RunPar
     base = final.drop(*[c for c in NEED_DECILES + NEED_HML if c in final.columns])
     if mode == "in_place":
         sc = scoring_columns()
-        df = with_propensity(base, need, new_need, p)
+        df = with_propensity(base, need, new_need, p, owners)
         scored = df.select("*", sc["top2_hp_model"].alias("top2_hp_model"), sc["hp_rules"].alias("hp_rules"))
         return scored.select(*_lead_select(F.col("lead_segment"), F.col("cus_type"), F.col("top2_hp_model"),
                                            F.col("hp_rules"), F.col))
     if mode == "rejoin":
-        sco = score_leads(final, need, new_need, p)
+        sco = score_leads(final, need, new_need, p, owners)
         sco = sco.select(*[F.col(c).alias(f"sco_{c}") for c in sco.columns])
         on = ((base.po_num == sco.sco_po_num) & (base.pol_num == sco.sco_pol_num)
               & (base.onb_mth_yr == sco.sco_onb_mth_yr))
@@ -75,6 +75,12 @@ def write_month(df: DataFrame, path: str, partition_col: str = "onb_mth_yr") ->
        .partitionBy(partition_col).parquet(path))
 
 
+def replace_month(df: DataFrame, path: str, month_key: str, partition_col: str = "onb_mth_yr") -> None:
+    """Overwrite the directory of one month with its rows; an empty frame clears it."""
+    rows = df.where(F.col(partition_col) == F.lit(month_key)).drop(partition_col)
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_col}={month_key}")
+
+
 def read_published(spark: SparkSession, path: str, partition_col: str = "onb_mth_yr",
                    schema=None) -> DataFrame:
     """Read the published table; the month key stays text (no partition type inference).
@@ -99,5 +105,5 @@ def row_count(df: DataFrame) -> DataFrame:
 
 def publish(spark: SparkSession, leads: DataFrame, path: str, p: RunParams) -> int:
     """Write the month once, then count what was written (not a second execution)."""
-    write_month(leads, path)
+    replace_month(leads, path, p.month_key)
     return read_month(spark, path, p.month_key, schema=leads.schema).count()

@@ -38,12 +38,20 @@ def _hit(cols, bounds, key: str) -> Column:
     return F.when(least_in(cols, *bounds) & F.col(key).isNotNull(), F.lit(1)).otherwise(F.lit(0))
 
 
-def with_propensity(leads: DataFrame, need: DataFrame, new_need: DataFrame, p: RunParams) -> DataFrame:
-    """Attach both propensity models to the leads (left joins on the owner)."""
+def with_propensity(leads: DataFrame, need: DataFrame, new_need: DataFrame, p: RunParams,
+                    owners: DataFrame | None = None) -> DataFrame:
+    """Attach both propensity models to the leads (left joins on the owner).
+
+    With ``owners`` (the size-checked cohort owners) both models are first cut
+    to them, map-side, so that neither whole model is shuffled.
+    """
     nd = need.select(F.col("cli_num").alias("po_num"), F.col("cli_num").alias("_need_key"),
                      *NEED_DECILES, *NEED_HML)
     nn = new_model_month(new_need, p.month_key).select(
         "po_num", F.col("po_num").alias("_new_key"), *R.NEW_MODEL_DECILES)
+    if owners is not None:
+        keys = owners.select("po_num")
+        nd, nn = nd.join(keys, "po_num", "left_semi"), nn.join(keys, "po_num", "left_semi")
     return leads.join(nd, "po_num", "left").join(nn, "po_num", "left")
 
 
@@ -69,9 +77,10 @@ def scoring_columns() -> dict[str, Column]:
     return cols
 
 
-def score_leads(final: DataFrame, need: DataFrame, new_need: DataFrame, p: RunParams) -> DataFrame:
+def score_leads(final: DataFrame, need: DataFrame, new_need: DataFrame, p: RunParams,
+                owners: DataFrame | None = None) -> DataFrame:
     """Step 8: one row per lead × propensity match, 31 columns."""
     base = final.drop(*[c for c in NEED_DECILES + NEED_HML if c in final.columns])
-    df = with_propensity(base, need, new_need, p)
+    df = with_propensity(base, need, new_need, p, owners)
     return df.select("po_num", "pol_num", "sagt_cd", "cus_type", "near_vip_cat", "vip_cat",
                      *[c.alias(n) for n, c in scoring_columns().items()], "onb_mth_yr")

@@ -1,14 +1,15 @@
 """The monthly lead plan: every stage composed from the operators.
 
-``build_stages`` is lazy and returns each stage's DataFrame, so a caller (or a
-test) can inspect any step.  ``run_month`` is the job: it materialises the
-cohort once (read by four later stages), writes the month's partition and
-counts what was written.
+``build_stages`` returns each stage's DataFrame, so a caller (or a test) can
+inspect any step; it writes the reduced sides that several stages share (cohort,
+owners, links, policies) and checks their sizes, the rest is lazy.
+``run_month`` is the job: it builds the stages, replaces the month's partition,
+counts what was written and removes the staged folders.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,14 @@ from cohortkit.operators import scoring as S
 from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
     STAGED_BROADCAST_BYTES,
     broadcast_if_bounded,
+    dense_rank_within,
     materialize,
+    row_width,
     stage_table,
+    staged_broadcast,
 )
 from cohortkit.params import RunParams
-from cohortkit.session import remove_staged_since, staging_mark
+from cohortkit.session import remove_staged, staging_scope
 from cohortkit.sources.tables import RoleTables
 
 
@@ -54,17 +58,45 @@ class LeadStages:
     params: RunParams
     mode: str = "in_place"
 
+    staged: list[str] = field(default_factory=list)  # folders to remove with close()
+
+    @cached_property
+    def ranked_cohort(self) -> DataFrame:    # Step 1 with its rank column
+        return dense_rank_within(self.cohort, ["po_num"], ["pol_iss_dt", "pol_num"], "purchase_order_base").select(*C.COHORT_COLUMNS)
+
+    @cached_property
+    def ranked_holdings(self) -> DataFrame:  # Step 2 with its rank column
+        return dense_rank_within(self.holdings.drop("purchase_order_base"), ["po_num"], ["pol_iss_dt"],
+                                 "purchase_order_base").select(*C.HOLDINGS_COLUMNS)
+
     @cached_property
     def scoring(self) -> DataFrame:   # Step 8 (built on first use)
-        return S.score_leads(self.final, self.need, self.new_need, self.params)
+        return S.score_leads(self.final, self.need, self.new_need, self.params, self.owners)
 
     @cached_property
     def leads(self) -> DataFrame:     # Step 9 (built on first use)
-        return PB.lead_table(self.final, self.need, self.new_need, self.params, mode=self.mode)
+        return PB.lead_table(self.final, self.need, self.new_need, self.params, mode=self.mode, owners=self.owners)
+
+    def close(self) -> int:
+        """Remove the staged folders; the frames can't be read afterwards."""
+        return remove_staged(self.final.sparkSession, self.staged)
 
 
 def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "table",
                  insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> LeadStages:
+    """All stages of one month; runs the staging writes and size checks, the rest is lazy."""
+    with staging_scope() as made:
+        try:
+            stages = _build_stages(t, p, mode, reuse, insured_keys)
+        except BaseException:
+            remove_staged(t.policy.sparkSession, made)
+            raise
+    stages.staged = made
+    return stages
+
+
+def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str | None = "table",
+                 insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num")) -> LeadStages:
     """All stages of one month.
 
     The cohort is read by five later stages (owners, first contract, holdings,
@@ -79,19 +111,20 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     # owner semi-join (holdings, first dates, flags, profile) is map-side.  A
     # staged cohort bounds its distinct owners by its own size on disk.
     if reuse == "table":
-        cohort, cohort_bytes = stage_table(cohort_df, "cohort")
-        owners = C.cohort_owners(cohort)
-        owners_bounded = cohort_bytes <= STAGED_BROADCAST_BYTES
-        owners, owners_bounded = ((F.broadcast(owners), True) if owners_bounded
-                                  else broadcast_if_bounded(owners, OWNER_MAX_ROWS))
+        cohort = stage_table(cohort_df, "cohort")[0]
+        owners = stage_table(C.cohort_owners(cohort), "owners")[0]
+        n_owners = owners.count()
+        owners_bounded = n_owners <= OWNER_MAX_ROWS
+        owners = F.broadcast(owners) if owners_bounded else owners
     else:
         cohort = materialize(cohort_df, reuse, "cohort")
         owners, owners_bounded = broadcast_if_bounded(C.cohort_owners(cohort), OWNER_MAX_ROWS)
+        n_owners = OWNER_MAX_ROWS
 
     def per_owner(df: DataFrame) -> DataFrame:
         # Grouped by owner after the semi-join to the owner set: at most one row
-        # per owner, so the owners' bound holds for it too (no extra check).
-        return F.broadcast(df) if owners_bounded else df
+        # per owner, so its size is bounded by the owners times its own width.
+        return F.broadcast(df) if owners_bounded and n_owners * row_width(df.schema) <= STAGED_BROADCAST_BYTES else df
 
     first = C.first_contract(cohort)
     own_links = C.owner_policy_links(t, p, owners, reuse)
@@ -100,7 +133,10 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
     agent_dim = D.agent_dimension(t, p)
     first_dates = per_owner(P.first_join_dates(t, p, owners, own_links))
     profile = P.customer_profile(t, p, owners, summary, first_dates)
-    pairs = FL.party_ids(t, p, policies=first.select("pol_num").distinct())
+    policies = cohort.select("pol_num").distinct()
+    if reuse is not None:
+        policies = staged_broadcast(policies, OWNER_MAX_ROWS, reuse, "cohort_policies")
+    pairs = FL.party_ids(t, p, policies=policies, reuse=reuse)
     oflags = per_owner(FL.owner_flags(t, p, owners, insured_keys=insured_keys, own_links=own_links))
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
@@ -110,18 +146,14 @@ def build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: str
                       combined, final, t.need, t.new_need, p, mode)
 
 
-def lead_table(t: RoleTables, p: RunParams, mode: str = "in_place") -> DataFrame:
-    return build_stages(t, p, mode=mode).leads
-
-
 def run_month(spark: SparkSession, t: RoleTables, p: RunParams, out_path: str,
               mode: str = "in_place", reuse: str | None = "table") -> int:
     """The monthly job: build, write the month's partition once, count it.
 
     The staged intermediate tables are removed once the month is published.
     """
-    mark = staging_mark()
-    stages = build_stages(t, p, mode=mode, reuse=reuse)
-    n = PB.publish(spark, stages.leads, out_path, p)
-    remove_staged_since(spark, mark)
-    return n
+    with staging_scope() as made:
+        try:
+            return PB.publish(spark, build_stages(t, p, mode=mode, reuse=reuse).leads, out_path, p)
+        finally:
+            remove_staged(spark, made)

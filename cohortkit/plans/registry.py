@@ -149,6 +149,37 @@ def src_partition_union(spark, sf):
     return df.select(*[c.strip() for c in _NEW_NEED_COLS.split(",")], "extra_note")
 
 
+@register("src_partition_union_widened", RQ("SELECT pol_num, CAST(cli_num AS BIGINT) AS n FROM "
+                                            "(SELECT pol_num, ROW_NUMBER() OVER (ORDER BY pol_num) * 0 + 7 AS cli_num FROM r_policy)"))
+def src_partition_union_widened(spark, sf):
+    """Two directories whose column differs in width (int, bigint) and order; a third lacks a required name."""
+    root = staging_path(spark, "widened")
+    pol = roles(spark, sf).policy.select("pol_num")
+    even = F.pmod(F.xxhash64("pol_num"), F.lit(2)) == 0
+    pol.where(even).select("pol_num", F.lit(7).alias("n")).write.orc(f"{root}/part=a")
+    pol.where(~even).select(F.lit(7).cast("bigint").alias("n"), "pol_num").write.orc(f"{root}/part=b")
+    pol.select("pol_num").write.orc(f"{root}/part=c")
+    refused: list[str] = []
+    df = ORC.read_partition_union(spark, root, required=["pol_num", "n"], refused=refused)
+    if len(refused) != 1:
+        raise ValueError(f"refused: {refused}")
+    return df
+
+
+@register("src_roles_orc", SQ(O.leads_sql(PR, "in_place")))
+def src_roles_orc(spark, sf):
+    """The published leads of a run that reads both propensity models from their ORC layouts."""
+    from dataclasses import replace
+
+    from cohortkit.sources.tables import ROLE_COLUMNS, conform
+    t = roles(spark, sf)
+    need = conform(ORC.unwrap_struct(ORC.read_orc_snapshot(spark, _write_need_snapshots(spark, sf), "monthend_dt", PR.needs_month)), "need")
+    root = staging_path(spark, "new_need_full")
+    t.new_need.withColumn("part", F.col("month")).write.partitionBy("part").orc(root)
+    new = conform(ORC.read_partition_union(spark, root, required=ROLE_COLUMNS["new_need"][0]), "new_need")
+    return build_stages(replace(t, need=need, new_need=new), PR).leads
+
+
 @register("set_union_all", RQ(
     "SELECT pol_num, cli_num FROM r_link WHERE link_typ = 'O' UNION ALL "
     "SELECT pol_num, cli_num FROM r_link WHERE link_typ = 'I'"))
@@ -170,6 +201,20 @@ def snk_parquet_overwrite(spark, sf):
     return PB.read_published(spark, path)
 
 
+@register("snk_empty_rerun", None)
+def snk_empty_rerun(spark, sf):
+    """Publish two months, then the second again without rows: it is cleared, the first stays."""
+    t = roles(spark, sf)
+    path = staging_path(spark, "leads_rerun")
+    prev = PR.with_(month_end=PR.month_end.replace(month=11, day=30))
+    for p in (prev, PR):
+        PB.publish(spark, C.active_cohort(t, p, rank=None), path, p)
+    empty = C.active_cohort(t, PR, rank=None).where("false")
+    if PB.publish(spark, empty, path, PR) != 0:
+        raise ValueError("the month was not cleared")
+    return PB.read_published(spark, path, schema=empty.schema)
+
+
 @register("snk_row_count", SQ("SELECT COUNT(*) AS row_count FROM m_cohort"))
 def snk_row_count(spark, sf):
     return PB.row_count(C.active_cohort(roles(spark, sf), PR, rank=None))
@@ -847,3 +892,6 @@ def _two_month_oracle() -> str:
 
 
 _ORACLES["snk_parquet_overwrite"] = _two_month_oracle()
+_ORACLES["snk_empty_rerun"] = O.roles_query(
+    "SELECT * EXCLUDE (purchase_order_base) FROM prev_cohort", PR,
+    (("prev_cohort", O.cohort_sql(PR.with_(month_end=PR.month_end.replace(month=11, day=30)))),))

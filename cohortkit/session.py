@@ -8,9 +8,12 @@ shuffle sizes) and no UI.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -52,8 +55,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder
-    and is used as is.  Only when nothing is configured (tests, local runs) a
-    fresh folder under the system temp dir is chosen.
+    and is used as is.  Only under a local master, and when nothing is
+    configured, a fresh folder under the system temp dir is chosen; elsewhere
+    its files would stay on single machines, so the call is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,19 +65,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith(("local[", "local-cluster")) and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="cohortkit-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-_STAGED: list[str] = []
+_STAGED: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("staged", default=None)
+
+
+@contextlib.contextmanager
+def staging_scope() -> Iterator[list[str]]:
+    """Collects the folders staged inside the block (of this thread alone); scopes nest."""
+    outer, made = _STAGED.get(), []
+    token = _STAGED.set(made)
+    try:
+        yield made
+    finally:
+        _STAGED.reset(token)
+        if outer is not None:
+            outer.extend(made)
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "staging", f"{name}-{uuid.uuid4().hex[:12]}")
-    _STAGED.append(path)
+    if (made := _STAGED.get()) is not None:
+        made.append(path)
     return path
 
 
@@ -85,18 +105,13 @@ def path_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(p).getLength())
 
 
-def staging_mark() -> int:
-    """Position in the list of staged folders (to remove the ones created after it)."""
-    return len(_STAGED)
-
-
-def remove_staged_since(spark: SparkSession, mark: int) -> int:
-    """Delete staged folders created after ``mark`` (Hadoop FileSystem API; shared storage)."""
+def remove_staged(spark: SparkSession, paths: list[str]) -> int:
+    """Delete staged folders (Hadoop FileSystem API; shared storage); the list is emptied."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
-    while len(_STAGED) > mark:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
         fs = path.getFileSystem(conf)
         if fs.exists(path):
             fs.delete(path, True)

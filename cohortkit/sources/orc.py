@@ -15,10 +15,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NullType, StructType
+from pyspark.sql.types import (
+    ByteType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    NullType,
+    ShortType,
+    StringType,
+    StructType,
+)
 
 
 def read_orc_snapshot(spark: SparkSession, root: str, partition_col: str, value: str,
@@ -30,9 +42,13 @@ def read_orc_snapshot(spark: SparkSession, root: str, partition_col: str, value:
     The partition column is read as text so ``2023-03``-style values keep
     their form.
     """
-    df = (spark.read.option("mergeSchema", str(merge_schema).lower())
-          .option("recursiveFileLookup", "false").orc(root))
-    return df.where(F.col(partition_col).cast("string") == F.lit(value))
+    reader = spark.read.option("mergeSchema", str(merge_schema).lower())
+    names = {c.rstrip("/").rsplit("/", 1)[-1]: c for c in _list_children(spark, root)}
+    here = names.get(f"{partition_col}={value}")
+    if here is not None:  # only this partition's footers are read
+        df = reader.option("basePath", root).orc(here)
+        return df.withColumn(partition_col, F.lit(value))
+    return reader.orc(root).where(F.col(partition_col).cast("string") == F.lit(value))
 
 
 def unwrap_struct(df: DataFrame, struct_col: str = "row") -> DataFrame:
@@ -58,9 +74,9 @@ def non_null_fields(schema: StructType) -> list[str]:
     return [f.name for f in schema.fields if not isinstance(f.dataType, NullType)]
 
 
-def gate_schema(schema: StructType, min_columns: int | None = 8,
+def gate_schema(schema: StructType, min_columns: int | None = None,
                 required: Sequence[str] | None = None) -> bool:
-    """Gate of one partition: enough non-VOID columns and/or all required names."""
+    """Gate of one partition: all required names and/or enough non-VOID columns."""
     names = non_null_fields(schema)
     if min_columns is not None and len(names) < min_columns:
         return False
@@ -71,24 +87,48 @@ def gate_schema(schema: StructType, min_columns: int | None = 8,
     return True
 
 
+def wider(a: DataType, b: DataType) -> DataType:
+    """The type that holds values of both (whole numbers, then floating point, then text)."""
+    order = [ByteType(), ShortType(), IntegerType(), LongType(), FloatType(), DoubleType()]
+    if a == b:
+        return a
+    if a in order and b in order:
+        return order[max(order.index(a), order.index(b))]
+    return StringType()
+
+
 def read_partition_union(spark: SparkSession, root: str, fmt: str = "orc",
-                         min_columns: int | None = 8,
+                         min_columns: int | None = None,
                          required: Sequence[str] | None = None,
-                         empty_schema: StructType | None = None) -> DataFrame:
+                         empty_schema: StructType | None = None,
+                         refused: list[str] | None = None) -> DataFrame:
     """Union of the partition directories of ``root`` that pass the schema gate.
 
-    Columns are matched by name (never by position).  If no directory passes,
+    Columns are matched by name (never by position) and widened where their
+    types differ between directories; directories of one schema are one scan.
+    Refused directories are appended to ``refused``.  If no directory passes,
     an empty frame with ``empty_schema`` is returned instead of failing.
     """
-    passing = []
+    groups: dict[StructType, list[str]] = {}
     for child in _list_children(spark, root):
         schema = spark.read.format(fmt).load(child).schema  # footer read only
         if gate_schema(schema, min_columns, required):
-            passing.append(child)
-    if not passing:
+            groups.setdefault(schema, []).append(child)
+        elif refused is not None:
+            refused.append(child)
+    if not groups:
         if empty_schema is None:
             raise ValueError(f"no partition of {root} passes the schema gate")
         return spark.createDataFrame([], empty_schema)
-    df = spark.read.format(fmt).option("mergeSchema", "true").load(passing)
-    keep = non_null_fields(df.schema)
-    return df.select(*keep)
+    types: dict[str, DataType] = {}
+    for schema in groups:
+        for f in schema.fields:
+            if not isinstance(f.dataType, NullType):
+                types[f.name] = wider(types.get(f.name, f.dataType), f.dataType)
+    parts = []
+    for schema, children in groups.items():
+        df = spark.read.format(fmt).schema(schema).load(children)
+        here = non_null_fields(schema)
+        parts.append(df.select(*[F.col(n).cast(types[n]).alias(n) if n in here else F.lit(None).cast(types[n]).alias(n)
+                                 for n in types]))
+    return reduce(DataFrame.unionByName, parts)

@@ -13,6 +13,8 @@ from dataclasses import dataclass, fields
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortkit.sources.orc import read_orc_snapshot, read_partition_union, unwrap_struct
+
 # Columns each role must provide, and which of them are dates.
 ROLE_COLUMNS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
     "coverage": (("pol_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
@@ -80,7 +82,7 @@ def conform(df: DataFrame, role: str) -> DataFrame:
     missing = [c for c in cols if c.lower() not in present]
     if missing:
         raise ContractError(f"{role}: missing columns {missing}")
-    return df.select(*[F.to_date(F.col(c)).alias(c) if c in dates else F.col(c) for c in cols])
+    return df.select(*[F.col(c).try_cast("date").alias(c) if c in dates else F.col(c) for c in cols])
 
 
 def read_parquet(spark: SparkSession, path: str, role: str | None = None) -> DataFrame:
@@ -89,6 +91,16 @@ def read_parquet(spark: SparkSession, path: str, role: str | None = None) -> Dat
     return conform(df, role) if role else df
 
 
-def read_roles(spark: SparkSession, paths: dict[str, str]) -> RoleTables:
-    """Read every role from its own Parquet directory."""
-    return RoleTables(**{r: read_parquet(spark, paths[r], r) for r in RoleTables.role_names()})
+def read_roles(spark: SparkSession, paths: dict[str, str], needs_month: str | None = None) -> RoleTables:
+    """Read every role from its own Parquet directory.
+
+    With ``needs_month`` the two propensity models come from their ORC layouts: ``need`` is one month of a
+    table of structs (``monthend_dt`` partitions, struct column ``row``), ``new_need`` a family of directories.
+    """
+    found = {r: read_parquet(spark, paths[r], r) for r in RoleTables.role_names()
+             if needs_month is None or r not in ("need", "new_need")}
+    if needs_month is not None:
+        snapshot = read_orc_snapshot(spark, paths["need"], "monthend_dt", needs_month)
+        found["need"] = conform(unwrap_struct(snapshot), "need")
+        found["new_need"] = conform(read_partition_union(spark, paths["new_need"], required=ROLE_COLUMNS["new_need"][0]), "new_need")
+    return RoleTables(**found)

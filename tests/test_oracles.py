@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from cohortkit.plans import registry
 from tests.oracle import compare, duck_connect
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(registry.queries())
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not present")
 
@@ -20,6 +21,6 @@ def con():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
-    ok, msg = compare(df, con, E.oracle_sql()[key])
+    df = registry.queries()[key](spark, SF)
+    ok, msg = compare(df, con, registry.oracle_sql()[key])
     assert ok, msg

@@ -51,13 +51,25 @@ def test_split_equals_window_and_python_on_hot_owner(spark):
         assert r.r == expected[(r.po_num, r.pol_iss_dt, r.pol_num)]
 
 
-def test_hot_group_spans_several_tasks(spark):
-    rows = _skewed_rows()
-    keys = spark.createDataFrame(rows, "po_num string, pol_iss_dt date, pol_num string").distinct()
-    spread = (keys.repartitionByRange(8, "po_num", "pol_iss_dt", "pol_num")
-              .select("po_num", F.spark_partition_id().alias("pid"))
-              .where(F.col("po_num") == "HOT").select("pid").distinct().count())
-    assert spread > 1
+def test_split_rank_without_exchange_reuse(spark):
+    """400,000 rows, one hot owner: whole and equal to the row numbers, though nothing is reused."""
+    n = 400_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("O"), (F.col("id") % 5000).cast("string"))).alias("po_num"),
+        F.date_add(F.lit(dt.date(2023, 2, 1)), (F.col("id") % 28).cast("int")).alias("pol_iss_dt"), F.col("id").alias("pol_num"))
+    before = spark.conf.get("spark.sql.exchange.reuse", "true")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        keys = ["po_num", "pol_iss_dt", "pol_num"]
+        split = dense_rank_within(df, ["po_num"], ["pol_iss_dt", "pol_num"], "r", method="split")
+        window = dense_rank_within(df, ["po_num"], ["pol_iss_dt", "pol_num"], "r", method="window")
+        assert split.count() == n
+        wrong = split.join(window.withColumnRenamed("r", "want"), keys).where("r <> want")
+        assert wrong.count() == 0
+        spread = split.where("po_num = 'HOT'")
+        assert spread.agg(F.max("r")).first()[0] == -(-n // 3)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
 
 
 def test_rank_by_date_only_ties_same_day(spark):
