@@ -10,7 +10,7 @@ similarity.  A text whose darts leave a coordinate empty throws up to twice the
 
 Equal word sequences are one class from the start (a grouped aggregate), represented by the smallest id.
 Bands of coordinates deal the representatives into buckets.  No bucket is paired within itself: its most
-central members (those in the fullest buckets; 1, 2, 4, ... in round after round) are its leaders, members
+central members (those in the fullest buckets; 1, 1, 2, 2, 4, 4, ... in round after round) are its leaders, members
 are checked against the leaders on the whole texts, and members that no leader covers go on to the next
 round, until all are covered or have led.  In a bucket of up to ``SMALL`` texts a leader meets every member,
 so no link of the bucket is lost; in a larger one it meets the members not yet covered, so that the checks
@@ -43,7 +43,7 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 6
 #: Members of a bucket up to which its leaders meet all of them.
-SMALL = 64
+SMALL = 16
 #: Borders of the rank columns of cells: fine near 0, where long texts throw all their darts.
 COLUMNS = np.array([0.0, *(2.0**e for e in range(-4, 12))])
 WORD = re.compile(r"\w+")
@@ -238,10 +238,10 @@ def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int
     central = members.groupBy("doc_id").agg(F.sum("n").alias("central"))
     texts = staged(docs.join(central.select("doc_id"), "doc_id", "left_semi"), "bucket-texts")
     members = staged(members.join(central, "doc_id"), "central-members")
-    open_rows, done, known, step = members, None, None, 1
+    open_rows, done, known, turn = members, None, None, 0
     while not open_rows.isEmpty():
         rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy(F.desc("central"), "doc_id"))
-        leaders = staged(open_rows.withColumn("rank", rank).where(F.col("rank") <= step).select("band", "hash", F.col("doc_id").alias("leader")),
+        leaders = staged(open_rows.withColumn("rank", rank).where(F.col("rank") <= 1 << turn // 2).select("band", "hash", F.col("doc_id").alias("leader")),
                          "leaders")
         facing = members.where(F.col("n") <= small).unionByName(open_rows.where(F.col("n") > small))
         met = staged(facing.join(leaders, ["band", "hash"]).where("doc_id <> leader").select(
@@ -257,7 +257,7 @@ def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int
         covered = (met.join(done, ["a", "b"], "left_semi").select("band", "hash", "doc_id")
                    .unionByName(leaders.select("band", "hash", F.col("leader").alias("doc_id"))))
         open_rows = staged(open_rows.join(covered.distinct(), ["band", "hash", "doc_id"], "left_anti"), "open-members")
-        step *= 2
+        turn += 1
     return done if done is not None else signed.sparkSession.createDataFrame([], "a long, b long")
 
 
