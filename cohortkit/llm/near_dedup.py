@@ -9,14 +9,14 @@ coordinate is its value.  Two texts agree in a coordinate with the probability o
 similarity.  A text whose darts leave a coordinate empty throws up to twice the rank.
 
 Equal word sequences are one class from the start (a grouped aggregate), represented by the smallest id.
-Bands of coordinates deal the representatives into buckets.  No bucket is paired within itself: its most
-central members (those in the fullest buckets; 1, 1, 2, 2, 4, 4, ... in round after round) are its leaders, members
-are checked against the leaders on the whole texts, and members that no leader covers go on to the next
-round, until all are covered or have led.  In a bucket of up to ``SMALL`` texts a leader meets every member,
-so no link of the bucket is lost; in a larger one it meets the members not yet covered, so that the checks
-grow with the members and not with their square.  Checked links make classes by propagating the smallest id
-with pointer jumping.  Only ids and hashes are shuffled until the checks; the texts of documents that share
-a bucket are fetched once.
+Bands of coordinates deal the representatives into buckets.  A bucket of two is a pair; a larger one is cut
+into blocks of bounded size, dealt by a hash, and each block finds its classes on the whole shingle sets:
+a class grows from its smallest id, and only members that have no class yet are compared.  Then, in buckets
+of several blocks, the members outside the bucket's commonest class meet all members of other classes,
+block by block.  So each pair of a bucket is either compared or already in one class, no pairs are written
+(a block returns one link for each member that it places), and a group of near copies of any size is spread
+over many tasks.  Links make classes by propagating the smallest id with pointer jumping.  Only ids and
+hashes are shuffled until the checks; the sets of documents that share a bucket are built once.
 
 Cases: null and word-free texts are one class (nothing tells them apart); a text of fewer than five words is
 one shingle; repeated rows of an id are one document (one row in the result, its smallest text counts); null
@@ -31,10 +31,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortkit.llm.common import batches, prepare, staged, table, texts_of, to_arrow
@@ -42,8 +41,8 @@ from cohortkit.llm.common import batches, prepare, staged, table, texts_of, to_a
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 6
-#: Members of a bucket up to which its leaders meet all of them.
-SMALL = 16
+#: Members of one block (buckets up to this size are compared whole), and bytes of their shingle sets.
+BLOCK, BLOCK_BYTES = 256, 16 << 20
 #: Borders of the rank columns of cells: fine near 0, where long texts throw all their darts.
 COLUMNS = np.array([0.0, *(2.0**e for e in range(-4, 12))])
 WORD = re.compile(r"\w+")
@@ -198,67 +197,145 @@ def sign(docs: DataFrame, text: str = "text", bands: int = BANDS, rows: int = RO
     return docs.select("doc_id", text).mapInArrow(run, "doc_id long, same binary, bands array<long>")
 
 
-def checked(pairs: DataFrame, docs: DataFrame, least: float = SIMILAR, text: str = "text") -> DataFrame:
-    """The pairs (a, b) whose whole texts are similar; only paired documents' texts are fetched."""
-    mine = docs.select(F.col("doc_id"), F.coalesce(text, F.lit("")).alias(text))
-    rows = (pairs.join(mine.select(F.col("doc_id").alias("a"), F.col(text).alias("text_a")), "a")
-            .join(mine.select(F.col("doc_id").alias("b"), F.col(text).alias("text_b")), "b"))
+def shingle_sets(docs: DataFrame, ids: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, size, data): the shingle hashes, one for each occurrence, of the documents in ``ids``."""
+    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        held: dict[int, tuple] = {}
         for b in batches(it):
-            a_ids, b_ids = b.column("a").to_pylist(), b.column("b").to_pylist()
-            ta, tb = b.column("text_a"), b.column("text_b")
-            out: dict[str, list] = {"a": [], "b": []}
-            for i, (x, y) in enumerate(zip(a_ids, b_ids, strict=True)):
-                sets = []
-                for n, t in ((x, ta), (y, tb)):
-                    if n not in held:
-                        if len(held) > 256:
-                            held.clear()
-                        held[n] = weights(shingles(words_of(t[i].as_py())))
-                    sets.append(held[n])
-                if similarity(*sets) >= least:
-                    out["a"].append(x)
-                    out["b"].append(y)
-            yield to_arrow(out, schema)
+            sets = [np.sort(shingles(words_of(t))) for t in texts_of(b, text)]
+            yield to_arrow({"doc_id": b.column("doc_id").to_pylist(), "size": [len(s) for s in sets],
+                            "data": [s.tobytes() for s in sets]}, schema)
 
-    return rows.mapInArrow(run, "a long, b long")
+    wanted = docs.select("doc_id", F.coalesce(text, F.lit("")).alias(text)).join(ids, "doc_id", "left_semi")
+    return wanted.groupBy("doc_id").agg(F.min(text).alias(text)).mapInArrow(run, "doc_id long, size long, data binary")
+
+
+def weights_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return weights(np.frombuffer(data, U))
+
+
+def checked(pairs: DataFrame, sets: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """The pairs (a, b) whose whole texts are similar, from their shingle sets."""
+    rows = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("data").alias("data_a")), "a")
+            .join(sets.select(F.col("doc_id").alias("b"), F.col("data").alias("data_b")), "b"))
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches(it):
+            alike = [similarity(weights_of(x.as_py()), weights_of(y.as_py())) >= least
+                     for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True)]
+            yield b.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
+
+    return rows.mapInArrow(run, "a long, b long")
 
-def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int = SMALL) -> DataFrame:
-    """Checked links (a, b), a < b, between representatives that share a band's bucket.
 
-    ``signed`` has (doc_id, bands), one row for each different text.
+class Block:
+    """The weighted sets of one block's members, for one against many."""
+
+    def __init__(self, data: list[bytes]):
+        sets = [weights_of(d) for d in data]
+        keys, self.ids = np.unique(np.concatenate([k for k, _ in sets]), return_inverse=True)
+        self.weight = np.concatenate([w for _, w in sets])
+        self.ends = np.cumsum([len(k) for k, _ in sets])
+        self.starts = np.concatenate(([0], self.ends[:-1]))
+        self.total = np.add.reduceat(self.weight, self.starts)
+        self.row = np.zeros(len(keys))
+
+    def similar(self, x: int, others: np.ndarray, least: float) -> np.ndarray:
+        """Those of ``others`` that are similar to member x."""
+        low, high = np.minimum(self.total[others], self.total[x]), np.maximum(self.total[others], self.total[x])
+        others = others[low >= least * high]  # the similarity cannot exceed the ratio of the weights
+        if not len(others):
+            return others
+        size = self.ends[others] - self.starts[others]
+        first = np.cumsum(size) - size
+        at = np.arange(size.sum()) + np.repeat(self.starts[others] - first, size)
+        mine = slice(self.starts[x], self.ends[x])
+        self.row[self.ids[mine]] = self.weight[mine]
+        shared = np.add.reduceat(np.minimum(self.row[self.ids[at]], self.weight[at]), first)
+        self.row[self.ids[mine]] = 0
+        return others[shared / (self.total[others] + self.total[x] - shared) >= least]
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.Table:
+    return pa.table({"a": pa.array([min(p) for p in found], pa.int64()), "b": pa.array([max(p) for p in found], pa.int64())})
+
+
+def _classes_within(least: float):
+    """A block's links: from the smallest id of each of its classes to the others."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("doc_id")
+        ids, block, found = rows["doc_id"].to_numpy(), Block(rows["data"].to_pylist()), []
+        left = np.arange(len(ids))
+        while len(left):
+            root, left = left[0], left[1:]
+            work = [root]
+            while work and len(left):
+                hit = block.similar(work.pop(), left, least)
+                left = np.setdiff1d(left, hit, assume_unique=True)
+                found += [(int(ids[root]), int(ids[y])) for y in hit]
+                work += hit.tolist()
+        return _pairs(found)
+    return run
+
+
+def _links_across(least: float):
+    """Links of the asking members of a block with members of other classes: one for each class met."""
+    def run(rows: pa.Table) -> pa.Table:
+        ids, classes = rows["doc_id"].to_numpy(), rows["class_id"].to_numpy()
+        asks = rows["asks"].to_numpy(zero_copy_only=False)
+        block, members, found = Block(rows["data"].to_pylist()), np.flatnonzero(~asks), []
+        for x in np.flatnonzero(asks):
+            met = {int(classes[y]): int(ids[y]) for y in block.similar(x, members[classes[members] != classes[x]], least)}
+            found += [(int(ids[x]), y) for y in met.values()]
+        return _pairs(found)
+    return run
+
+
+def _blocks(rows: DataFrame, small: int) -> DataFrame:
+    """(band, hash, blocks): the number of blocks that a bucket's rows need."""
+    return rows.groupBy("band", "hash").agg(F.greatest(
+        F.ceil(F.count("*") / small), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+
+
+def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int = BLOCK) -> DataFrame:
+    """Checked links (a, b), a < b, that connect what is similar among representatives of a common bucket.
+
+    ``signed`` has (doc_id, bands), one row for each different text; ``small`` is the size of a block.
     """
-    dealt = signed.select("doc_id", F.posexplode("bands").alias("band", "hash"))
-    shared = dealt.groupBy("band", "hash").agg(F.count("*").alias("n")).where("n > 1")
-    members = staged(dealt.join(shared, ["band", "hash"]), "bucket-members")
-    central = members.groupBy("doc_id").agg(F.sum("n").alias("central"))
-    texts = staged(docs.join(central.select("doc_id"), "doc_id", "left_semi"), "bucket-texts")
-    members = staged(members.join(central, "doc_id"), "central-members")
-    open_rows, done, known, turn = members, None, None, 0
-    while not open_rows.isEmpty():
-        rank = F.row_number().over(Window.partitionBy("band", "hash").orderBy(F.desc("central"), "doc_id"))
-        leaders = staged(open_rows.withColumn("rank", rank).where(F.col("rank") <= 1 << turn // 2).select("band", "hash", F.col("doc_id").alias("leader")),
-                         "leaders")
-        facing = members.where(F.col("n") <= small).unionByName(open_rows.where(F.col("n") > small))
-        met = staged(facing.join(leaders, ["band", "hash"]).where("doc_id <> leader").select(
-            "band", "hash", "doc_id", F.least("doc_id", "leader").alias("a"), F.greatest("doc_id", "leader").alias("b")), "met")
-        pairs = met.select("a", "b").distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["a", "b"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        good = staged(checked(pairs, texts, least), "links")
-        known = pairs if known is None else known.unionByName(pairs)
-        done = good if done is None else done.unionByName(good)
-        # a member is covered where it led, or where one of the bucket's leaders is linked to it
-        covered = (met.join(done, ["a", "b"], "left_semi").select("band", "hash", "doc_id")
-                   .unionByName(leaders.select("band", "hash", F.col("leader").alias("doc_id"))))
-        open_rows = staged(open_rows.join(covered.distinct(), ["band", "hash", "doc_id"], "left_anti"), "open-members")
-        turn += 1
-    return done if done is not None else signed.sparkSession.createDataFrame([], "a long, b long")
+    key = ["band", "hash"]
+    dealt = signed.select("doc_id", F.posexplode("bands").alias(*key))
+    buckets = staged(dealt.groupBy(*key).agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                     .where("n > 1"), "buckets")
+    pairs = staged(buckets.where("n = 2").select("a", "b").distinct(), "pairs")
+    crowds = staged(dealt.join(buckets.where("n > 2").select(*key), key), "crowds")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowds.select("doc_id")).distinct()
+    sets = staged(shingle_sets(docs, ids), "shingle-sets")
+    data = sets.select("doc_id", "data")
+    sized = crowds.join(sets.select("doc_id", "size"), "doc_id")
+    members = staged(sized.join(_blocks(sized, small), key).withColumn(
+        "block", F.expr("cast(pmod(xxhash64(doc_id, band, 0), blocks) as int)")), "members")
+    within = members.select("doc_id", *key, "block").join(data, "doc_id").groupBy(*key, "block").applyInArrow(
+        _classes_within(least), "a long, b long")
+    found = staged(checked(pairs, sets, least).unionByName(within).distinct(), "links")
+    cut = members.where("blocks > 1")
+    if cut.isEmpty():
+        return found
+    named = cut.join(components(found).select("doc_id", "class_id"), "doc_id", "left").withColumn(
+        "class_id", F.coalesce("class_id", "doc_id"))
+    named = staged(named, "named-members")
+    common = named.groupBy(*key, "class_id").agg(F.count("*").alias("n")).groupBy(*key).agg(
+        F.max(F.struct("n", "class_id"))["class_id"].alias("common"))
+    asking = staged(named.join(common, key).where("class_id <> common"), "asking")
+    asked = _blocks(asking, small)
+    number = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    own = ["doc_id", "class_id", *key]
+    ask = asking.join(asked.withColumnRenamed("blocks", "parts"), key).withColumn("block", number).select(
+        *own, "block", F.expr("cast(pmod(xxhash64(doc_id, band, 1), parts) as int)").alias("part"), F.lit(True).alias("asks"))
+    meet = named.drop("blocks").join(asked, key).select(*own, "block", number.alias("part"), F.lit(False).alias("asks"))
+    across = ask.unionByName(meet).join(data, "doc_id").groupBy(*key, "block", "part").applyInArrow(
+        _links_across(least), "a long, b long")
+    return found.unionByName(staged(across.distinct(), "links-across"))
 
 
 def components(edges: DataFrame) -> DataFrame:
