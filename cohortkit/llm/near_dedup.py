@@ -207,7 +207,8 @@ def shingle_sets(docs: DataFrame, ids: DataFrame, text: str = "text") -> DataFra
             yield to_arrow({"doc_id": b.column("doc_id").to_pylist(), "size": [len(s) for s in sets],
                             "data": [s.tobytes() for s in sets]}, schema)
 
-    wanted = docs.select("doc_id", F.coalesce(text, F.lit("")).alias(text)).join(ids, "doc_id", "left_semi")
+    # one plan at every size: the ids grow with the documents, so they are never broadcast
+    wanted = docs.select("doc_id", F.coalesce(text, F.lit("")).alias(text)).join(ids.hint("merge"), "doc_id", "left_semi")
     return wanted.groupBy("doc_id").agg(F.min(text).alias(text)).mapInArrow(run, "doc_id long, size long, data binary")
 
 
