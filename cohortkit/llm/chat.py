@@ -62,22 +62,20 @@ def doubled_steps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         "id", F.when(F.col("there"), F.col("parent")).alias("up"), F.lit(0).cast("long").alias("depth"),
         F.col("score").cast("double").alias("total"))
     node = staged(node, "reply-0")
+    ended, open_rows = [node.where("up is null")], node.where("up is not null")
     steps: list[DataFrame] = []
-    while True:
-        open_rows = node.where("up is not null").select("id", "up")
-        if open_rows.isEmpty():
-            break
-        steps.append(open_rows)
-        above = node.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("above"),
-                            F.col("total").alias("sum_above"))
-        # a message's row covers the 2^k messages from itself upwards; the join doubles that
-        joined = node.join(above, "up", "left")
-        size = 1 << (len(steps) - 1)
-        node = staged(joined.select("id", F.col("next").alias("up"),
-                                    F.when(F.col("up").isNull(), F.col("depth")).otherwise(F.col("above") + size).alias("depth"),
-                                    F.when(F.col("up").isNull(), F.col("total")).otherwise(F.col("total") + F.col("sum_above")).alias("total")),
-                      f"reply-{len(steps)}")
-    return steps, node.select("id", "depth", "total")
+    while not open_rows.isEmpty():
+        above = reduce(DataFrame.unionByName, [*ended, open_rows]).select(
+            F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("above"), F.col("total").alias("sum_above"))
+        # an open row covers the 2^k messages from itself upwards; the join doubles that, and ended rows stay out of it
+        size = 1 << len(steps)
+        steps.append(open_rows.select("id", "up"))
+        node = staged(open_rows.join(above, "up").select(
+            "id", F.col("next").alias("up"), (F.col("above") + size).alias("depth"), (F.col("total") + F.col("sum_above")).alias("total")),
+            f"reply-{len(steps)}")
+        ended.append(node.where("up is null"))
+        open_rows = node.where("up is not null")
+    return steps, reduce(DataFrame.unionByName, ended).select("id", "depth", "total")
 
 
 def best_paths(messages: DataFrame, per_tree: int = 1) -> DataFrame:
