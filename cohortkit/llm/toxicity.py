@@ -7,8 +7,9 @@ categories.  The label table here has one (``toxic``), so the categories before
 the toxic training documents are clustered by the terms that set them apart, and each cluster (a
 family of toxic language) is a category; the last link is ``toxic`` itself.
 
-Features are the presence of words and word beginnings in the whole text; those that training finds
-more frequent in toxic documents are kept.  Training reads at most ``SAMPLE`` labelled documents of
+Features are the presence of words and word beginnings in the whole text, and of beginnings that are
+dense there (repeated, and one word in ``DENSE`` or more); those that training finds more frequent in
+toxic documents are kept.  Training reads at most ``SAMPLE`` labelled documents of
 each class (rows whose crc32(doc_id as text) mod 3 is 1 are left out for measuring); scoring is one
 pass without a shuffle.
 
@@ -37,6 +38,8 @@ FAMILIES = 4
 FOLDS = 5
 #: Length of the word beginnings that are features beside the words.
 BEGINNINGS = (4, 5, 6)
+#: A beginning is dense if it begins this many words of a text, and one word in ``DENSE`` or more.
+REPEATED, DENSE = 2, 200
 #: A feature is kept if it is in this many toxic documents and this many times likelier there.
 LEAST_DOCS, LEAST_RATIO = 4, 6.0
 CACHE_WORDS = 300_000
@@ -47,8 +50,19 @@ def word_features(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) >= n)]
 
 
+def is_dense(count: int, words: int) -> bool:
+    return count >= REPEATED and count * DENSE >= words
+
+
 def text_features(text: str) -> set[str]:
-    return {f for w in set(WORD.findall(text.lower())) for f in word_features(w)}
+    """Words, beginnings (``word*``) and dense beginnings (``word**``) of a text."""
+    words = Counter(WORD.findall(text.lower()))
+    found: Counter[str] = Counter()
+    for w, n in words.items():
+        for f in word_features(w):
+            found[f] += n
+    total = words.total()
+    return found.keys() | {f"{f}*" for f, n in found.items() if f.endswith("*") and is_dense(n, total)}
 
 
 def choose_features(docs: list[set[str]], toxic: np.ndarray, limit: int = FEATURES) -> list[str]:
@@ -157,21 +171,35 @@ def score(docs: DataFrame, model: tuple[list[str], list[np.ndarray]] | float, te
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features, chain = held.value
         at = {f: i for i, f in enumerate(features)}
-        cache: dict[str, tuple[int, ...]] = {}
+        cache: dict[str, tuple[tuple[int, ...], tuple[int, ...]]] = {}
 
-        def numbers(word: str) -> tuple[int, ...]:
+        def numbers(word: str) -> tuple[tuple[int, ...], tuple[int, ...]]:
+            """Features that the word brings, and those that it brings where its beginning is dense."""
             got = cache.get(word)
             if got is None:
                 if len(cache) > CACHE_WORDS:
                     cache.clear()
-                got = cache[word] = tuple(at[f] for f in word_features(word) if f in at)
+                own = word_features(word)
+                got = cache[word] = (tuple(at[f] for f in own if f in at), tuple(at[f"{f}*"] for f in own[1:] if f"{f}*" in at))
             return got
 
+        def active_in(text: str) -> set[int]:
+            words = Counter(WORD.findall(text.lower()))
+            present: set[int] = set()
+            begun: Counter[int] = Counter()
+            for w, n in words.items():
+                plain, dense = numbers(w)
+                present.update(plain)
+                for i in dense:
+                    begun[i] += n
+            total = words.total() if begun else 0
+            return present | {i for i, n in begun.items() if is_dense(n, total)}
+
         none = run_chain(chain, np.array([], int), len(features))
         for b in batches(it):
             rows = []
             for t in texts_of(b, text):
-                active = {i for w in set(WORD.findall(t.lower())) for i in numbers(w)}
+                active = active_in(t)
                 rows.append(run_chain(chain, np.array(sorted(active)), len(features)) if active else none)
             s = np.array([r[-1] for r in rows])
             more = {"family_scores": pa.array([r[:-1] for r in rows], pa.list_(pa.float64())), "score": pa.array(s),
