@@ -63,27 +63,31 @@ def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
     )
 
 
-def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse: str | None = None) -> DataFrame:
-    """Step 1: in-force coverages of policies issued in the target month.
-
-    Grain: coverage × owner link × insured link (a policy with two insureds
-    yields two rows per coverage).  ``purchase_order_base`` is the dense rank
-    of the policy among the owner's policies of the month by (issue date,
-    policy number).  ``rank=None`` omits it (first-contract selection does not
-    need the full rank, see :func:`first_contract`).
+def cohort_base(t: RoleTables, p: RunParams, reuse: str | None = None,
+                insured_only: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Step 1 before the insured link, and the month's insured links.
+
+    Grain: coverage × owner link.  ``insured_only`` keeps the policies that
+    have an insured (a semi-join); a caller that joins the insureds at once
+    can leave it out.  A group policy with many insureds costs one row per
+    coverage here: :func:`with_insured` multiplies only the rows it is given.
     """
     # One month of new business: size-checked, then broadcast to every join that
-    # needs it.  Coverage and the two link roles are cut to the month's
-    # policies map-side, so neither large table is shuffled.  Past the bound
-    # the joins fall back to shuffles (AQE, runtime bloom filters).
+    # needs it.  Coverage and the links (both roles in one scan) are cut to the
+    # month's policies map-side, so neither large table is shuffled.  Past the
+    # bounds the joins fall back to shuffles (AQE, runtime bloom filters).
     pol = staged_broadcast(month_policies(t, p), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS),
                            reuse, "month_policies")
-    keys = pol.select("pol_num")
-    owners = links_of(t.links, "O", "po_num").join(keys, "pol_num", "left_semi")
-    insureds = links_of(t.links, "I", "ins_num").join(keys, "pol_num", "left_semi")
-    cvg = t.coverage.join(pol, "pol_num", "inner").join(owners, "pol_num", "inner").join(insureds, "pol_num", "inner")
-    df = cvg.select(
-        "pol_num", "po_num", "ins_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
+    links = t.links.where(F.col("link_typ").isin("O", "I")).join(pol.select("pol_num"), "pol_num", "left_semi")
+    links = links.select("pol_num", "cli_num", "link_typ")
+    if reuse is not None:
+        links = staged_broadcast(links, p.extra.get("owner_link_max_rows", OWNER_LINK_MAX_ROWS), reuse, "month_links")
+    insureds = links_of(links, "I", "ins_num")
+    cvg = t.coverage.join(pol, "pol_num", "inner").join(links_of(links, "O", "po_num"), "pol_num", "inner")
+    if insured_only:
+        cvg = cvg.join(insureds.select("pol_num"), "pol_num", "left_semi")
+    base = cvg.select(
+        "pol_num", "po_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn",
         F.col("cvg_prem").cast("int").alias("cvg_prem"),
         "pmt_mode",
         annualized("cvg_prem", "pmt_mode").alias("inforce_ape"),
@@ -91,6 +95,24 @@ def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse
         "wagt_cd", "wagt_comp_prvd_num", "sagt_cd", "sagt_comp_prvd_num", "cus_agt_rltnshp",
         F.lit(p.month_key).alias("onb_mth_yr"),
     )
+    return base, insureds
+
+
+def with_insured(base: DataFrame, insureds: DataFrame) -> DataFrame:
+    """One row per insured link of each row of ``base``."""
+    return base.join(insureds, "pol_num", "inner").select(*[c for c in COHORT_COLUMNS if c != "purchase_order_base"])
+
+
+def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse: str | None = None) -> DataFrame:
+    """Step 1: in-force coverages of policies issued in the target month.
+
+    Grain: coverage × owner link × insured link (a policy with two insureds
+    yields two rows per coverage).  ``purchase_order_base`` is the dense rank
+    of the policy among the owner's policies of the month by (issue date,
+    policy number).  ``rank=None`` omits it (first-contract selection does not
+    need the full rank, see :func:`first_contract`).
+    """
+    df = with_insured(*cohort_base(t, p, reuse, insured_only=False))
     if rank is None:
         return df
     df = dense_rank_within(df, ["po_num"], ["pol_iss_dt", "pol_num"], "purchase_order_base", method=rank)

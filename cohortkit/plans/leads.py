@@ -100,25 +100,26 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
     """All stages of one month.
 
     The cohort is read by five later stages (owners, first contract, holdings,
-    party IDs, flags); with ``reuse="table"`` it is computed once and
-    written to the shared checkpoint folder, so the coverage scan and its joins
-    run once instead of once per consumer.  In ``rejoin`` mode the tagged
+    party IDs, flags); with ``reuse="table"`` it is computed once, at coverage ×
+    owner grain, and written to the shared checkpoint folder, so the coverage
+    scan and its joins run once instead of once per consumer.  The insured link
+    is joined to the first-contract rows alone; ``cohort`` joins it on demand.  In ``rejoin`` mode the tagged
     leads are read twice (directly and through scoring) and are materialised
     the same way.
     """
-    cohort_df = C.active_cohort(t, p, rank=None, reuse=reuse)
+    base_df, insureds = C.cohort_base(t, p, reuse=reuse)
     # Owners are at most the month's policies: size-checked once, then every
     # owner semi-join (holdings, first dates, flags, profile) is map-side.  A
     # staged cohort bounds its distinct owners by its own size on disk.
     if reuse == "table":
-        cohort = stage_table(cohort_df, "cohort")[0]
-        owners = stage_table(C.cohort_owners(cohort), "owners")[0]
+        base = stage_table(base_df, "cohort")[0]
+        owners = stage_table(C.cohort_owners(base), "owners")[0]
         n_owners = owners.count()
         owners_bounded = n_owners <= OWNER_MAX_ROWS
         owners = F.broadcast(owners) if owners_bounded else owners
     else:
-        cohort = materialize(cohort_df, reuse, "cohort")
-        owners, owners_bounded = broadcast_if_bounded(C.cohort_owners(cohort), OWNER_MAX_ROWS)
+        base = materialize(base_df, reuse, "cohort")
+        owners, owners_bounded = broadcast_if_bounded(C.cohort_owners(base), OWNER_MAX_ROWS)
         n_owners = OWNER_MAX_ROWS
 
     def per_owner(df: DataFrame) -> DataFrame:
@@ -126,14 +127,15 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
         # per owner, so its size is bounded by the owners times its own width.
         return F.broadcast(df) if owners_bounded and n_owners * row_width(df.schema) <= STAGED_BROADCAST_BYTES else df
 
-    first = C.first_contract(cohort)
+    cohort = C.with_insured(base, insureds)
+    first = C.with_insured(C.first_contract(base), insureds)
     own_links = C.owner_policy_links(t, p, owners, reuse)
     hold = C.holdings(t, p, owners, reuse=reuse, own_links=own_links)
     summary = per_owner(C.holdings_summary(hold, p))
     agent_dim = D.agent_dimension(t, p)
     first_dates = per_owner(P.first_join_dates(t, p, owners, own_links))
     profile = P.customer_profile(t, p, owners, summary, first_dates)
-    policies = cohort.select("pol_num").distinct()
+    policies = base.select("pol_num").distinct()
     if reuse is not None:
         policies = staged_broadcast(policies, OWNER_MAX_ROWS, reuse, "cohort_policies")
     pairs = FL.party_ids(t, p, policies=policies, reuse=reuse)

@@ -96,6 +96,29 @@ def test_cohort_grain_fanout_and_rank(spark, roles):
     assert rel["P1"] == "Original Agent" and rel["P3"] == "Reassigned Agent" and rel["P5"] == "Orphaned-Collector"
 
 
+def test_insureds_join_the_first_contract_rows_only(spark, roles):
+    base, insureds = C.cohort_base(roles, P)
+    # a group policy: many insureds cost no rows before the first-contract filter
+    many = insureds.unionByName(spark.range(50).selectExpr("'P2' AS pol_num", "CONCAT('G', id) AS ins_num"))
+    assert "ins_num" not in base.columns
+    kept = roles.coverage.join(base.select("pol_num").distinct(), "pol_num", "left_semi")
+    assert dict(base.groupBy("pol_num").count().collect()) == dict(kept.groupBy("pol_num").count().collect())
+    assert C.with_insured(base, many).where("pol_num = 'P2'").count() == 51 * base.where("pol_num = 'P2'").count()
+    late = C.with_insured(C.first_contract(base), insureds)
+    early = C.first_contract(C.active_cohort(roles, P, rank=None))
+    early = early.select(*late.columns)
+    assert sorted(map(tuple, late.collect()), key=str) == sorted(map(tuple, early.collect()), key=str)
+
+
+def test_policies_without_insured_leave_the_base(spark, roles):
+    from dataclasses import replace
+
+    bare = replace(roles, links=roles.links.where("NOT (pol_num = 'P3' AND link_typ = 'I')"))
+    base, _ = C.cohort_base(bare, P)
+    got = {r.pol_num for r in base.collect()}
+    assert got == {r.pol_num for r in C.active_cohort(bare, P, rank=None).collect()} and "P3" not in got
+
+
 def test_first_contract_keeps_ties(spark, roles):
     first = C.first_contract(C.active_cohort(roles, P, rank=None)).collect()
     assert sorted((r.pol_num, r.plan_code, r.ins_num) for r in first) == [
