@@ -2,9 +2,11 @@
 
 The standard library's event parser streams a page into lines (one for each block of text).  A line
 carries its text-to-tag ratio, the share of its text in links, and the container that it stands in.
-The ratios are smoothed with a Gaussian and clustered by a threshold; the container that holds most
-of the clustered text is the content region, and every line of that region that is not furniture
-(menus, forms, notices, adverts, comments ...) belongs to the main text - short paragraphs too.
+The ratios are smoothed with a Gaussian and clustered by a threshold (or are one cluster, if the two
+means lie close).  Every article and main element, and every outermost div or the body around them that
+holds clustered text, is a content region; every line of a region that is not furniture (menus, forms,
+notices, adverts, comments ...) belongs to the main text - short paragraphs too.  Sections and table
+cells belong to what holds them.  Outside articles, lines of links far below the threshold are menus.
 
 Cases: a null or empty page has the empty text; repeated pages are extracted alike; other columns
 pass through; unclosed or truncated markup is closed where the next block or the page ends.
@@ -43,6 +45,9 @@ contentinfo complementary skip hidden""".split())
 HEADERS = frozenset("header site-header page-header".split())
 #: Standard deviation of the Gaussian, in lines.
 SIGMA = 1.0
+#: Means of the smoothed ratios that differ by less than this factor are one cluster.
+APART = 2.0
+#: Share of link text above which a line outside articles and far below the threshold is a menu.
 LINK_SHARE = 0.6
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(r"[^a-z0-9]+")
@@ -77,6 +82,7 @@ class Lines(HTMLParser):
         self.regions = 0
         self.links = 0
         self.containers = 0
+        self.articles: set[int] = set()  # containers that are article or main elements
         self.text: list[str] = []
         self.tags = self.linked = 0
         self.lines: list[tuple[str, int, int, int]] = []
@@ -123,9 +129,11 @@ class Lines(HTMLParser):
             return
         drops = furniture(tag, attrs, self.regions > 0)
         container = self._container()
-        if tag in REGION or (tag in ("div", "section", "td") and not self.regions):
+        if not self.regions and (tag in REGION or (tag == "div" and not container)):
             self.containers += 1
-            container = self.containers if not self.regions else container
+            container = self.containers
+            if tag in REGION:
+                self.articles.add(container)
         self.open.append((tag, drops, container))
         self.dropping += drops
         self.regions += tag in REGION
@@ -161,10 +169,10 @@ class Lines(HTMLParser):
         return self.lines
 
 
-def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
-    """Lines whose smoothed ratio lies above the threshold between the two clusters."""
+def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> tuple[np.ndarray, np.ndarray]:
+    """Lines whose smoothed ratio lies above the threshold between the two clusters, and whose own ratio comes near it."""
     if not len(ratios):
-        return np.zeros(0, bool)
+        return np.zeros(0, bool), np.zeros(0, bool)
     reach = int(3 * sigma) or 1
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
     smooth = np.convolve(np.pad(ratios, reach, mode="edge"), kernel / kernel.sum(), "valid")
@@ -176,7 +184,8 @@ def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
         if new == (low, high):
             break
         low, high = new
-    return smooth >= (low + high) / 2
+    cut = (low + high) / 2
+    return (smooth >= cut) | (low * APART >= high), ratios * APART >= cut
 
 
 def main_text(html: str) -> str:
@@ -186,13 +195,12 @@ def main_text(html: str) -> str:
     lines = parser.finish()
     if not lines:
         return ""
-    chosen = content_lines(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines]))
-    weight: dict[int, int] = {}
-    for (text, _, linked, container), c in zip(lines, chosen.tolist(), strict=True):
-        weight[container] = weight.get(container, 0) + (len(text) - linked if c else 0)
-    region = max(weight, key=lambda k: (weight[k], -k))
-    kept = [t for t, _, linked, c in lines if c == region and linked <= LINK_SHARE * len(t)]
-    return "\n".join(kept or [t for t, _, _, c in lines if c == region])
+    chosen, dense = content_lines(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines]))
+    held = {c for (text, _, linked, c), above in zip(lines, chosen.tolist(), strict=True) if above and linked < len(text)}
+    regions = held | parser.articles
+    kept = [t for (t, _, linked, c), own in zip(lines, dense.tolist(), strict=True)
+            if c in regions and (own or c in parser.articles or linked <= LINK_SHARE * len(t))]
+    return "\n".join(kept or [t for t, _, _, _ in lines])
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

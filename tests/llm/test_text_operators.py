@@ -171,6 +171,24 @@ def test_main_text():
     assert H.main_text("<body><div class=menu><a>a</a></div><div><p>Only text here, no article.</p><p>Yes.</p></div>") == "Only text here, no article.\nYes."
 
 
+LONG = "A paragraph of some forty words that goes on and on, so that its ratio of text to tags is high. " * 3
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div id=content><section><p>{LONG}</p></section><section><p>{LONG}B</p></section></div>", [LONG, LONG + "B"]),
+    (f"<body><section><p>{LONG}</p></section><section><p>Short, but a part.</p></section>", [LONG, "Short, but a part."]),
+    (f"<div id=content><div><div><p>{LONG}</p></div></div><div><p>Yes.</p></div><div><p>{LONG}B</p></div></div>", [LONG, "Yes.", LONG + "B"]),
+    (f"<div><p>{LONG}</p></div><div><p>{LONG}{LONG}B</p></div>", [LONG, LONG + LONG + "B"]),
+    (f"<article><p>{LONG}</p></article><article><p>Two.</p></article><article><p>{LONG}C</p></article>", [LONG, "Two.", LONG + "C"]),
+    (f"<table><tr><td><a href=x>Menu</a><td><p>{LONG}</p><p>No.</p><td><p>{LONG}B</p></table>", [LONG, "No.", LONG + "B"]),
+    (f"<div><p>{LONG}</p><table><tr><td>1<td>2<tr><td>3<td>4</table></div>", [LONG, "1", "2", "3", "4"]),
+    (f"<article><p>{LONG}</p><ul><li><a href=x>Linked item</a></ul><p><a href=y>{LONG}B</a></p></article>", [LONG, "Linked item", LONG + "B"]),
+    (f"<div><p>{LONG}</p><p><a href=y>{LONG}B</a></p></div><div><a href=z>Imprint</a></div>", [LONG, LONG + "B"]),
+])
+def test_every_content_region_is_kept(page, want):
+    assert H.main_text(page).split("\n") == [w.strip() for w in want]
+
+
 def test_pages_edges(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<p>" + "w " * 60_000), (3, "u", "<article><p>x</article>")],
                                   "page_id long, url string, html string").selectExpr("*", "'k' as main_text")
