@@ -9,7 +9,9 @@ notices, adverts, comments ...) belongs to the main text - short paragraphs too.
 cells belong to what holds them.  Outside articles, lines of links far below the threshold are menus.
 
 Cases: a null or empty page has the empty text; repeated pages are extracted alike; other columns
-pass through; unclosed or truncated markup is closed where the next block or the page ends.
+pass through; unclosed or truncated markup is closed where the next block or the page ends, and an
+unclosed head where the body begins.  An element that is furniture by its names only (or a form) is not
+dropped if it holds the page's articles, that is more text than is left without it.
 """
 
 from __future__ import annotations
@@ -42,6 +44,13 @@ cookie cookies consent gdpr notice notices alert popup modal overlay sidebar sid
 breadcrumb breadcrumbs footer masthead topbar toolbar share sharing social related recommended recommendations
 newsletter subscribe signup login search pagination pager comment comments disqus reply replies respond widget
 contentinfo complementary skip hidden""".split())
+#: Words that may stand beside those in a compound name (`sidebar-left`, not `has-sidebar` or `social-science`).
+BESIDE = frozenset("""left right top bottom upper lower first last primary secondary main side inner outer box block
+wrap wrapper container section area zone region list item items link links bar button buttons icon icons post posts
+page site global unit slot form widget widgets panel message header footer body text title inline sticky fixed mobile
+desktop small large js id""".split())
+#: What may stand in a head; anything else begins the body.
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 HEADERS = frozenset("header site-header page-header".split())
 #: Standard deviation of the Gaussian, in lines.
 SIGMA = 1.0
@@ -53,6 +62,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(r"[^a-z0-9]+")
 
 
+def named(word: str) -> bool:
+    """Whether a class, id or role name is that of furniture: as a whole, or in all its parts."""
+    parts = {p for p in _TOKEN.split(word) if p and not p.isdigit()}
+    return word in FURNITURE or (bool(parts & FURNITURE) and parts <= FURNITURE | BESIDE)
+
+
 def furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
     """Whether an element starts something other than main text; ``inside``: within an article."""
     if tag in DROPPED or (tag == "header" and not inside):
@@ -63,7 +78,7 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bo
         value = (value or "").lower()
         if name in ("class", "id", "role"):
             words = value.split()
-            if any(w in FURNITURE or (set(_TOKEN.split(w)) & FURNITURE) for w in words):
+            if any(map(named, words)):
                 return True
             if not inside and any(w in HEADERS for w in words):
                 return True
@@ -75,10 +90,15 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bo
 class Lines(HTMLParser):
     """Streams a page into lines of (text, tags, link characters, container)."""
 
-    def __init__(self):
+    def __init__(self, spared: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int]] = []  # element, whether it drops its text, container
-        self.dropping = 0
+        self.dropping = self.hard = 0  # open elements that drop their text; of these, those that always do
+        self.spared = spared  # elements by number that do not drop their text
+        self.elements = 0
+        self.soft: list[tuple[int, int]] = []  # (number, depth) of the open elements that may be spared
+        self.around: set[int] = set()  # those that hold an article or main
+        self.lost = 0  # characters of articles in them
         self.regions = 0
         self.links = 0
         self.containers = 0
@@ -98,6 +118,10 @@ class Lines(HTMLParser):
 
     def _pop(self) -> None:
         tag, drops, _ = self.open[-1]
+        if drops and self.soft and self.soft[-1][1] == len(self.open):
+            self.soft.pop()
+        elif drops:
+            self.hard -= 1
         if tag in BLOCK:
             self._line()
         self.open.pop()
@@ -115,7 +139,13 @@ class Lines(HTMLParser):
             if self.open[i][0] in until:
                 return
 
+    def _body(self, tag: str) -> None:
+        """Close a head that is still open where ``tag`` or text begins the body."""
+        if tag == "body" or (tag not in IN_HEAD and tag != "head" and self.open and self.open[-1][0] == "head"):
+            self._close({"head"}, frozenset(("body",)))
+
     def handle_starttag(self, tag, attrs):
+        self._body(tag)
         self.tags += 1
         if tag in BLOCK:
             self._close({"p"}, BLOCK)
@@ -127,7 +157,14 @@ class Lines(HTMLParser):
             if tag in ("br", "hr", "wbr"):
                 self.text.append(" " if tag != "wbr" else "")
             return
-        drops = furniture(tag, attrs, self.regions > 0)
+        self.elements += 1
+        drops = furniture(tag, attrs, self.regions > 0) and self.elements not in self.spared
+        if drops and (tag == "form" or tag not in DROPPED and tag != "header"):
+            self.soft.append((self.elements, len(self.open) + 1))
+        elif drops:
+            self.hard += 1
+        if tag in REGION and not self.hard:
+            self.around |= {n for n, _ in self.soft}
         container = self._container()
         if not self.regions and (tag in REGION or (tag == "div" and not container)):
             self.containers += 1
@@ -156,6 +193,10 @@ class Lines(HTMLParser):
             self._close({tag}, frozenset(("td", "th", "table")) if tag in ("b", "i", "em", "strong", "span", "a", "p") else frozenset())
 
     def handle_data(self, data):
+        if data.strip():
+            self._body("")
+        if self.soft and self.regions and not self.hard:
+            self.lost += len(data.strip())
         if not self.dropping:
             self.text.append(data)
             if self.links:
@@ -193,6 +234,10 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
+    if parser.around and parser.lost > sum(len(t) for t, *_ in lines):
+        parser = Lines(frozenset(parser.around))
+        parser.feed(html)
+        lines = parser.finish()
     if not lines:
         return ""
     chosen, dense = content_lines(np.array([len(t) / max(1, tags) for t, tags, _, _ in lines]))

@@ -189,6 +189,20 @@ def test_every_content_region_is_kept(page, want):
     assert H.main_text(page).split("\n") == [w.strip() for w in want]
 
 
+@pytest.mark.parametrize("page, want", [
+    *((f"<body><div class='{c}'><article><p>{LONG}</p><p>No.</p><div class=ad>Buy</div></article></div>", [LONG, "No."])
+      for c in ("content has-sidebar", "no-comments", "ad-free", "social-science", "social", "sidebar main-sidebar")),
+    *((f"<body><div class='{c}'><p>{LONG}</p><p>No.</p></div>", [LONG, "No."]) for c in ("has-sidebar", "no-comments", "ad-free", "social-science")),
+    (f"<body><form id=page><div class=menu>Menu</div><main><p>{LONG}</p></main></form>", [LONG]),
+    (f"<body><p>{LONG}</p><div id=comments><article>Great post</article></div><div class='cookie-notice'>We</div><div class=sidebar-left-2>x</div>", [LONG]),
+    (f"<html><head><meta charset=x><title>T</title><style>p{{}}</style><body><article><p>{LONG}</p></article>", [LONG]),
+    (f"<head><title>T</title><noscript><img src=x></noscript><p>{LONG}</p>", [LONG]),
+    (f"<head><title>T</title><script>var a;</script> {LONG}", [LONG]),
+])
+def test_articles_are_not_dropped(page, want):
+    assert H.main_text(page).split("\n") == [w.strip() for w in want]
+
+
 def test_pages_edges(spark):
     pages = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<p>" + "w " * 60_000), (3, "u", "<article><p>x</article>")],
                                   "page_id long, url string, html string").selectExpr("*", "'k' as main_text")
