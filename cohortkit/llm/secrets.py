@@ -6,14 +6,15 @@ Unicode escapes, base64 runs and compressed payloads are unwrapped into new laye
 that it came from, so what is found in any layer is reported in code points of the text itself.
 
 Cases: a null text is empty and has no spans; repeated documents are scanned alike; other columns
-pass through; a payload that does not decode to text is left alone; a compressed payload is expanded
+pass through; base64 is read line by line and over line breaks, and of a run that is not text as a whole
+the parts that are text or compressed at any of the four alignments; of other escapes, the valid ones
+are decoded; a payload that holds no text is left alone; a compressed payload is expanded
 up to ``EXPAND_BYTES`` (a guard against bombs, not a cut of the scanned text).
 """
 
 from __future__ import annotations
 
 import base64
-import binascii
 import bz2
 import hashlib
 import lzma
@@ -38,6 +39,15 @@ URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"(?:\\u[0-9a-fA-F]{4}|\\u\{[0-9a-fA-F]{1,6}\}|\\U[0-9a-fA-F]{8}|\\x[0-9a-fA-F]{2}"
                     r"|&#[0-9]{1,7};|&#[xX][0-9a-fA-F]{1,6};)")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The same over line breaks (possessive, and from the start of a run only, so that the time stays linear).
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++={0,2}")
+BREAK = re.compile(r"\s+")
+_WIDE = (rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+         rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}")
+VALID = re.compile(rb"(?:[\x00-\x7f]|" + _WIDE + rb")+")
+#: Text inside other bytes, in UTF-8: twelve characters, as the shortest secret has.
+TEXT = re.compile(rb"(?:[\t\n\r\f\x20-\x7f]|" + _WIDE + rb"){12,}")
+MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
 
@@ -85,6 +95,14 @@ class Layer:
             begin, end = self.first[begin], self.last[end - 1]
         return Layer("".join(texts), begin, end)
 
+    def parts(self, pieces: list[tuple[int, int, str, np.ndarray]]) -> Layer:
+        """The new texts of ``pieces`` alone, one after the other."""
+        begin = np.concatenate([s + offsets[:, 0] for s, _, _, offsets in pieces])
+        end = np.concatenate([s + offsets[:, 1] for s, _, _, offsets in pieces])
+        if self.first is not None:
+            begin, end = self.first[begin], self.last[end - 1]
+        return Layer("".join(new for _, _, new, _ in pieces), begin, end)
+
 
 def expand(data: bytes) -> bytes | None:
     """The content of a gzip, zlib, bzip2 or xz payload; None for anything else."""
@@ -112,33 +130,48 @@ def as_text(data: bytes) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
-def _payload(data: bytes, step: tuple[int, int] | None) -> tuple[str, np.ndarray | None] | None:
+def _payload(data: bytes, step: tuple[int, int]) -> tuple[str, np.ndarray | None] | None:
     """(text, offsets of each character in the encoded run or None for the whole run) of decoded bytes."""
     inner = expand(data)
     if inner is not None:
         text = as_text(inner)
         return None if text is None else (text, None)
     text = as_text(data)
-    if text is None or step is None:
-        return None if text is None else (text, None)
-    sizes = np.array([len(c.encode()) for c in text])
+    return None if text is None else (text, _offsets(text, step))
+
+
+def _offsets(text: str, step: tuple[int, int]) -> np.ndarray:
+    """First and last offset of each character in the encoded run."""
+    sizes = np.array([len(c.encode()) for c in text], np.int64)
     ends = np.cumsum(sizes)
     per, width = step  # so many decoded bytes come from so many characters
-    return text, np.stack([(ends - sizes) // per * width, -(-ends // per) * width], 1)
+    return np.stack([(ends - sizes) // per * width, -(-ends // per) * width], 1)
 
 
 def _url(m: re.Match) -> tuple[int, int, str, np.ndarray | None] | None:
-    found = _payload(bytes.fromhex(m[0].replace("%", "")), (1, 3))
-    return found and (m.start(), m.end(), *found)
-
-
-def _escape(run: list[re.Match]) -> tuple[int, int, str, np.ndarray | None] | None:
+    data = bytes.fromhex(m[0].replace("%", ""))
+    found = _payload(data, (1, 3))
+    if found is not None:
+        return m.start(), m.end(), *found
+    texts, offsets, at = [], [], 0  # the valid characters decoded, other bytes as they stand
+    for part in [*VALID.finditer(data), None]:
+        start, good = (part.start(), part[0].decode()) if part else (len(data), "")
+        places = np.arange(at * 3, start * 3)
+        texts += [m[0][at * 3:start * 3], good]
+        offsets += [np.stack([places, places + 1], 1), _offsets(good, (1, 3)) + start * 3]
+        at = part.end() if part else start
+    text = "".join(texts)
+    return None if text == m[0] else (m.start(), m.end(), text, np.concatenate(offsets))
+
+
+def _code(s: str) -> int:
+    return int(s[3:-1], 16) if s[1] in "uU#" and s[2] in "{xX" and s[-1] in "};" else int(s[2:-1]) if s[0] == "&" else int(s[2:], 16)
+
+
+def _escape(run: list[re.Match]) -> tuple[int, int, str, np.ndarray | None]:
     units, offsets, base = [], [], run[0].start()
     for m in run:
-        s = m[0]
-        code = int(s[3:-1], 16) if s[1] in "uU#" and s[2] in "{xX" and s[-1] in "};" else int(s[2:-1]) if s[0] == "&" else int(s[2:], 16)
-        if code > 0x10FFFF:
-            return None
+        code = _code(m[0])
         if 0xDC00 <= code < 0xE000 and units and 0xD800 <= units[-1] < 0xDC00:
             units[-1] = 0x10000 + ((units[-1] - 0xD800) << 10) + (code - 0xDC00)
             offsets[-1][1] = m.end() - base
@@ -149,37 +182,92 @@ def _escape(run: list[re.Match]) -> tuple[int, int, str, np.ndarray | None] | No
     return base, run[-1].end(), text, np.array(offsets)
 
 
-def _base64(m: re.Match) -> tuple[int, int, str, np.ndarray | None] | None:
-    body = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4))
-    except (binascii.Error, ValueError):
-        return None
-    found = _payload(data, (3, 4))
-    if found is None:
+def _decoded(body: str) -> bytes:
+    body = body[:len(body) - (len(body) % 4 == 1)].replace("-", "+").replace("_", "/")
+    return base64.b64decode(body + "=" * (-len(body) % 4))
+
+
+def _base64(body: str, at: np.ndarray, end: int) -> tuple[int, int, str, np.ndarray | None] | None:
+    """A whole base64 run that is text; ``at``: places of its characters in the layer, which it leaves at ``end``."""
+    if len(body) % 4 == 1 or (found := _payload(_decoded(body), (3, 4))) is None:
         return None
     text, offsets = found
-    return m.start(), m.end(), text, None if offsets is None else np.minimum(offsets, m.end() - m.start())
+    if offsets is not None:
+        ends = np.append(at[1:], end)
+        offsets = np.stack([at[offsets[:, 0]], np.where(offsets[:, 1] > len(body), end, ends[np.minimum(offsets[:, 1], len(body)) - 1])], 1) - at[0]
+    return int(at[0]), end, text, offsets
+
+
+def _aligned(body: str, at: np.ndarray, end: int, skip: int) -> tuple[int, int, str, np.ndarray | None] | None:
+    """The texts and compressed payloads inside a base64 run from its character ``skip`` on; what is between is one mark."""
+    data = _decoded(body[skip:])
+    texts, offsets, done = [], [], 0
+
+    def place(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return np.stack([at[skip + first // 3 * 4], at[np.minimum(skip - (-last // 3) * 4, len(body)) - 1] + 1], 1) - at[0]
+
+    def take(start: int, stop: int, text: str, each: bool) -> None:
+        nonlocal done
+        texts.append("�" + text)
+        offsets.append(place(np.array([min(done, start)]), np.array([max(start, 1)])))
+        sizes = np.array([len(c.encode()) for c in text], np.int64) if each else np.zeros(len(text), np.int64)
+        ends = start + np.cumsum(sizes)
+        offsets.append(place(ends - sizes, ends) if each else place(np.full(len(text), start), np.full(len(text), stop)))
+        done = stop
+
+    for m in sorted([*TEXT.finditer(data), *MAGIC.finditer(data)], key=lambda m: (m.start(), m.end())):
+        if m.re is MAGIC and m.start() >= done:
+            inner = expand(data[m.start():])
+            if inner and (text := as_text(inner)):
+                take(m.start(), len(data), text, False)
+        elif m.re is TEXT and m.start() >= done:
+            take(m.start(), m.end(), m[0].decode(), True)
+    return (int(at[0]), end, "".join(texts), np.concatenate(offsets)) if texts else None
+
+
+def _runs(runs: list[tuple[str, np.ndarray, int]], layer: Layer) -> Iterator[Layer]:
+    """The layers of base64 runs: those that are text as a whole, and the parts of the others at the four alignments."""
+    found = [_base64(*x) for x in runs]
+    if pieces := [p for p in found if p]:
+        yield layer.cut(pieces)
+    rest = [x for x, p in zip(runs, found, strict=True) if not p]
+    if pieces := [p for x in rest for skip in range(4) if (p := _aligned(*x, skip))]:
+        yield layer.parts(pieces)
+
+
+def _unbroken(m: re.Match) -> tuple[str, np.ndarray, int]:
+    body = m[0].rstrip("=")
+    return body, np.arange(m.start(), m.start() + len(body)), m.end()
+
+
+def _joined_lines(m: re.Match) -> tuple[str, np.ndarray, int]:
+    lines, places, at = [], [], 0
+    body = m[0].rstrip("=")
+    for b in [*BREAK.finditer(body), None]:
+        stop = b.start() if b else len(body)
+        lines.append(body[at:stop])
+        places.append(np.arange(m.start() + at, m.start() + stop))
+        at = b.end() if b else stop
+    return "".join(lines), np.concatenate(places), m.end()
 
 
 def unwrap(layer: Layer) -> Iterator[Layer]:
-    """The layers directly inside one layer, one for each kind of wrapping that it holds."""
+    """The layers directly inside one layer: of each kind of wrapping, and each reading of base64, that it holds."""
     t = layer.text
     if "%" in t and (pieces := [p for p in map(_url, URL.finditer(t)) if p]):
         yield layer.cut(pieces)
-    if ("\\" in t or "&#" in t) and (found := list(ESCAPE.finditer(t))):
+    if ("\\" in t or "&#" in t) and (found := [m for m in ESCAPE.finditer(t) if _code(m[0]) <= 0x10FFFF]):
         runs: list[list[re.Match]] = []
         for m in found:
             if runs and runs[-1][-1].end() == m.start():
                 runs[-1].append(m)
             else:
                 runs.append([m])
-        if pieces := [p for p in map(_escape, runs) if p]:
-            yield layer.cut(pieces)
-    if pieces := [p for p in map(_base64, BASE64.finditer(t)) if p]:
-        yield layer.cut(pieces)
+        yield layer.cut([_escape(x) for x in runs])
+    if runs64 := [_unbroken(m) for m in BASE64.finditer(t)]:
+        yield from _runs(runs64, layer)
+        if lines := [_joined_lines(m) for m in WRAPPED.finditer(t)]:
+            yield from _runs(lines, layer)
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]]]:

@@ -1,10 +1,13 @@
 """op4, op8, op9, op10, op3: against brute force written another way, and the edge cases."""
 
 import base64
+import bz2
 import gzip
 import hashlib
+import lzma
 import random
 import re
+import zlib
 from urllib.parse import quote
 
 import numpy as np
@@ -77,6 +80,33 @@ def test_layers_are_unwrapped_and_mapped():
     assert (0, 2, len(url)) in S.scan(url)[1]
 
 
+def wrapped_or_torn(secret):
+    noise = " ".join(hashlib.sha512(bytes([i])).hexdigest()[:23] for i in range(9))
+    plain = f"{noise} {secret} {noise}".encode()
+    coded = base64.b64encode(plain).decode()
+    for width, br in ((64, "\n"), (76, "\r\n"), (50, "\n  ")):
+        yield br.join(coded[i:i + width] for i in range(0, len(coded), width))
+        for pack in (gzip.compress, zlib.compress, bz2.compress, lzma.compress):
+            packed = base64.b64encode(pack(plain)).decode()
+            yield br.join(packed[i:i + width] for i in range(0, len(packed), width))
+            yield "/run/" + packed
+    for prefix in ("/run/", "blob_", "a-", "ab+", "/", "path/to/some/"):
+        yield prefix + coded
+        yield prefix + base64.urlsafe_b64encode(plain).decode().rstrip("=") + "/" + "x" * 20
+    yield "".join(f"%{b:02x}" for b in b"\xff" + secret.encode() + b"\xe9\x00")
+    yield "\\U00110000" + "".join(f"\\u{ord(c):04x}" for c in secret)
+
+
+def test_wrapped_prefixed_and_torn_layers():
+    secret = "password=hunter2secret AKIA" + "Z" * 16
+    for wrapped in wrapped_or_torn(secret):
+        text = f"é before\n{wrapped} after"
+        spans = S.scan(text)[1]
+        a, b = text.index(wrapped), text.index(wrapped) + len(wrapped)
+        assert {k for k, _, _ in spans} >= {0, 1}, wrapped
+        assert all(a <= s < e <= b for _, s, e in spans), wrapped
+
+
 def test_redaction_and_edges(spark):
     docs = documents(spark, [*TEXTS, "see token=abcdefgh ok", "k " + quote("secret=abcdefgh", safe="") + "."])
     out = {r["doc_id"]: r["text"] for r in S.redact(docs).collect()}
