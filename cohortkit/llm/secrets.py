@@ -2,20 +2,22 @@
 
 A text is the first layer. Every layer is scanned with the three patterns; then its URL escapes,
 Unicode escapes, base64 runs and compressed payloads are unwrapped into new layers until none is new
-(a digest of each layer is kept, so cycles end). A decoded character carries the span of the text
+(a digest of each layer and its place are kept, so cycles end). A decoded character carries the span of the text
 that it came from, so what is found in any layer is reported in code points of the text itself.
 
 Cases: a null text is empty and has no spans; repeated documents are scanned alike; other columns
 pass through; base64 is read line by line and over line breaks, and of a run that is not text as a whole
 the parts that are text or compressed at any of the four alignments; of other escapes, the valid ones
-are decoded; a payload that holds no text is left alone; a compressed payload is expanded
-up to ``EXPAND_BYTES`` (a guard against bombs, not a cut of the scanned text).
+are decoded; a payload that holds no text is left alone; a compressed payload is expanded member by
+member, and beyond ``EXPAND_BYTES`` in overlapping windows of that size, each a layer of its own, so that
+all of it is scanned in bounded memory.  Only an encoded run of over half a window may be split by one.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import codecs
 import hashlib
 import lzma
 import re
@@ -31,6 +33,10 @@ from cohortkit.llm.common import batches, prepare, table, texts_of
 
 KINDS = ("assign", "access", "hex")
 EXPAND_BYTES = 64 << 20
+#: Bytes expanded at a time, bytes that windows overlap by at least, and characters of encoded runs.
+CHUNK = 1 << 20
+OVERLAP = 1 << 16
+RUN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{}&#;\r\n"
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -103,37 +109,111 @@ class Layer:
             begin, end = self.first[begin], self.last[end - 1]
         return Layer("".join(new for _, _, new, _ in pieces), begin, end)
 
-
-def expand(data: bytes) -> bytes | None:
-    """The content of a gzip, zlib, bzip2 or xz payload; None for anything else."""
+    def wide(self, large: list[tuple[int, int, bytes]]) -> Iterator[Layer]:
+        """The windows of compressed payloads (start, end, bytes), each character from the whole payload."""
+        for s, e, data in large:
+            first, last = self.span(s, e)
+            for text in windows(data):
+                yield Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text)))
+
+
+def _opener(data: bytes):
+    """A decompressor for a gzip, zlib, bzip2 or xz payload; None for anything else."""
+    if data[:2] == b"\x1f\x8b":
+        return zlib.decompressobj(31)
+    if data[:1] == b"\x78" and len(data) > 6 and (data[0] * 256 + data[1]) % 31 == 0:
+        return zlib.decompressobj(15)
+    if data[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    return lzma.LZMADecompressor() if data[:6] == b"\xfd7zXZ\x00" else None
+
+
+def chunks(data: bytes, left: list[int]) -> Iterator[bytes]:
+    """The content of a compressed payload, member by member; ``left`` gets the number of bytes behind it."""
+    whole = 0
+    while (d := _opener(data)) is not None:
+        fed = data
+        try:
+            while not d.eof:
+                out = d.decompress(fed, CHUNK)
+                fed = getattr(d, "unconsumed_tail", b"")
+                if out:
+                    yield out
+                elif not fed:
+                    left[:] = [0]
+                    return  # a torn member
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            if not whole:
+                raise
+            break
+        whole += 1
+        left[:] = [len(d.unused_data)]
+        data = d.unused_data.lstrip(b"\0")  # members may be padded
+
+
+def expand(data: bytes) -> tuple[bytes | None, int]:
+    """The content of a compressed payload and its end in ``data``; of a content over a window, the first bytes over it.
+
+    None for anything else.
+    """
+    if _opener(data) is None:
+        return None, 0
+    left, parts, size = [0], [], 0
     try:
-        if data[:2] == b"\x1f\x8b":
-            return zlib.decompressobj(31).decompress(data, EXPAND_BYTES)
-        if data[:1] == b"\x78" and len(data) > 6 and (data[0] * 256 + data[1]) % 31 == 0:
-            return zlib.decompressobj(15).decompress(data, EXPAND_BYTES)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, EXPAND_BYTES)
-        if data[:6] == b"\xfd7zXZ\x00":
-            return lzma.LZMADecompressor().decompress(data, EXPAND_BYTES)
+        for part in chunks(data, left):
+            parts.append(part)
+            size += len(part)
+            if size > EXPAND_BYTES:
+                break
     except (zlib.error, OSError, EOFError, lzma.LZMAError):
-        return None
-    return None
+        return None, 0
+    return b"".join(parts), len(data) - left[0]
+
+
+def windows(data: bytes) -> Iterator[str]:
+    """The texts of a compressed payload of any size, in windows that overlap by OVERLAP or by the run at their end."""
+    held, fresh, more = bytearray(), 0, chunks(data, [])
+    while more is not None:
+        try:
+            part = next(more, None)
+        except (zlib.error, OSError, EOFError, lzma.LZMAError):
+            part = None
+        if part is None:
+            more = None
+        else:
+            held += part
+            fresh += len(part)
+        if fresh and (more is None or len(held) >= EXPAND_BYTES):
+            start = next((i for i in range(min(4, len(held))) if held[i] & 0xC0 != 0x80), 0)
+            if text := as_text(bytes(held[start:]), False):
+                yield text
+            run = len(held) - len(held.rstrip(RUN))
+            held, fresh = held[-min(max(run, OVERLAP), len(held) // 2 or 1):], 0
 
 
-def as_text(data: bytes) -> str | None:
-    """Decoded bytes if they are text (UTF-8 without control characters other than white space)."""
+def as_text(data: bytes, final: bool = True) -> str | None:
+    """Decoded bytes if they are text (UTF-8 without control characters other than white space).
+
+    ``final``: a character that is not whole at the end counts as an error.
+    """
     try:
-        text = data.decode()
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, final)
     except UnicodeDecodeError:
         return None
     odd = sum(1 for c in text if ord(c) < 32 and c not in "\t\n\r\f")
     return text if text and odd * 20 <= len(text) else None
 
 
-def _payload(data: bytes, step: tuple[int, int]) -> tuple[str, np.ndarray | None] | None:
-    """(text, offsets of each character in the encoded run or None for the whole run) of decoded bytes."""
-    inner = expand(data)
+def _payload(data: bytes, step: tuple[int, int], large: list[bytes]) -> tuple[str, np.ndarray | None] | None:
+    """(text, offsets of each character in the encoded run or None for the whole run) of decoded bytes.
+
+    A compressed payload of more than a window is no text here, but put into ``large``.
+    """
+    inner, _ = expand(data)
     if inner is not None:
+        if len(inner) > EXPAND_BYTES:
+            large.append(data)
+            return None
         text = as_text(inner)
         return None if text is None else (text, None)
     text = as_text(data)
@@ -148,11 +228,12 @@ def _offsets(text: str, step: tuple[int, int]) -> np.ndarray:
     return np.stack([(ends - sizes) // per * width, -(-ends // per) * width], 1)
 
 
-def _url(m: re.Match) -> tuple[int, int, str, np.ndarray | None] | None:
-    data = bytes.fromhex(m[0].replace("%", ""))
-    found = _payload(data, (1, 3))
+def _url(m: re.Match, large: list[tuple[int, int, bytes]]) -> tuple[int, int, str, np.ndarray | None] | None:
+    data, much = bytes.fromhex(m[0].replace("%", "")), []
+    found = _payload(data, (1, 3), much)
     if found is not None:
         return m.start(), m.end(), *found
+    large += [(m.start(), m.end(), x) for x in much]
     texts, offsets, at = [], [], 0  # the valid characters decoded, other bytes as they stand
     for part in [*VALID.finditer(data), None]:
         start, good = (part.start(), part[0].decode()) if part else (len(data), "")
@@ -187,9 +268,11 @@ def _decoded(body: str) -> bytes:
     return base64.b64decode(body + "=" * (-len(body) % 4))
 
 
-def _base64(body: str, at: np.ndarray, end: int) -> tuple[int, int, str, np.ndarray | None] | None:
+def _base64(body: str, at: np.ndarray, end: int, large: list[tuple[int, int, bytes]]) -> tuple[int, int, str, np.ndarray | None] | None:
     """A whole base64 run that is text; ``at``: places of its characters in the layer, which it leaves at ``end``."""
-    if len(body) % 4 == 1 or (found := _payload(_decoded(body), (3, 4))) is None:
+    much: list[bytes] = []
+    if len(body) % 4 == 1 or (found := _payload(_decoded(body), (3, 4), much)) is None:
+        large += [(int(at[0]), end, x) for x in much]
         return None
     text, offsets = found
     if offsets is not None:
@@ -198,7 +281,7 @@ def _base64(body: str, at: np.ndarray, end: int) -> tuple[int, int, str, np.ndar
     return int(at[0]), end, text, offsets
 
 
-def _aligned(body: str, at: np.ndarray, end: int, skip: int) -> tuple[int, int, str, np.ndarray | None] | None:
+def _aligned(body: str, at: np.ndarray, end: int, skip: int, large: list[tuple[int, int, bytes]]) -> tuple[int, int, str, np.ndarray | None] | None:
     """The texts and compressed payloads inside a base64 run from its character ``skip`` on; what is between is one mark."""
     data = _decoded(body[skip:])
     texts, offsets, done = [], [], 0
@@ -217,9 +300,13 @@ def _aligned(body: str, at: np.ndarray, end: int, skip: int) -> tuple[int, int,
 
     for m in sorted([*TEXT.finditer(data), *MAGIC.finditer(data)], key=lambda m: (m.start(), m.end())):
         if m.re is MAGIC and m.start() >= done:
-            inner = expand(data[m.start():])
-            if inner and (text := as_text(inner)):
-                take(m.start(), len(data), text, False)
+            inner, stop = expand(data[m.start():])
+            if inner and len(inner) > EXPAND_BYTES:
+                if skip or m.start() or len(body) % 4 == 1:  # else it is known as a whole
+                    first, last = place(np.array([m.start()]), np.array([len(data)]))[0] + at[0]
+                    large.append((int(first), int(last), data[m.start():]))
+            elif inner and (text := as_text(inner)):
+                take(m.start(), m.start() + stop, text, False)
         elif m.re is TEXT and m.start() >= done:
             take(m.start(), m.end(), m[0].decode(), True)
     return (int(at[0]), end, "".join(texts), np.concatenate(offsets)) if texts else None
@@ -227,12 +314,14 @@ def _aligned(body: str, at: np.ndarray, end: int, skip: int) -> tuple[int, int,
 
 def _runs(runs: list[tuple[str, np.ndarray, int]], layer: Layer) -> Iterator[Layer]:
     """The layers of base64 runs: those that are text as a whole, and the parts of the others at the four alignments."""
-    found = [_base64(*x) for x in runs]
+    large: list[tuple[int, int, bytes]] = []
+    found = [_base64(*x, large) for x in runs]
     if pieces := [p for p in found if p]:
         yield layer.cut(pieces)
     rest = [x for x, p in zip(runs, found, strict=True) if not p]
-    if pieces := [p for x in rest for skip in range(4) if (p := _aligned(*x, skip))]:
+    if pieces := [p for x in rest for skip in range(4) if (p := _aligned(*x, skip, large))]:
         yield layer.parts(pieces)
+    yield from layer.wide(large)
 
 
 def _unbroken(m: re.Match) -> tuple[str, np.ndarray, int]:
@@ -254,8 +343,11 @@ def _joined_lines(m: re.Match) -> tuple[str, np.ndarray, int]:
 def unwrap(layer: Layer) -> Iterator[Layer]:
     """The layers directly inside one layer: of each kind of wrapping, and each reading of base64, that it holds."""
     t = layer.text
-    if "%" in t and (pieces := [p for p in map(_url, URL.finditer(t)) if p]):
-        yield layer.cut(pieces)
+    if "%" in t:
+        large: list[tuple[int, int, bytes]] = []
+        if pieces := [p for m in URL.finditer(t) if (p := _url(m, large))]:
+            yield layer.cut(pieces)
+        yield from layer.wide(large)
     if ("\\" in t or "&#" in t) and (found := [m for m in ESCAPE.finditer(t) if _code(m[0]) <= 0x10FFFF]):
         runs: list[list[re.Match]] = []
         for m in found:
@@ -273,10 +365,10 @@ def unwrap(layer: Layer) -> Iterator[Layer]:
 def scan(text: str) -> tuple[list[tuple[int, int, int]], set[tuple[int, int, int]]]:
     """(spans of the text itself, spans of all layers), as (kind number, start, end) in code points."""
     base = find(text)
-    spans, work, seen = set(base), [Layer(text)], {hashlib.md5(text.encode("utf-8", "surrogatepass")).digest()}
+    spans, work, seen = set(base), [Layer(text)], {(hashlib.md5(text.encode("utf-8", "surrogatepass")).digest(), 0, len(text))}
     while work:
         for inner in unwrap(work.pop()):
-            mark = hashlib.md5(inner.text.encode("utf-8", "surrogatepass")).digest()
+            mark = (hashlib.md5(inner.text.encode("utf-8", "surrogatepass")).digest(), *inner.span(0, len(inner.text)))
             if mark not in seen:
                 seen.add(mark)
                 spans |= {(k, *inner.span(s, e)) for k, s, e in find(inner.text)}

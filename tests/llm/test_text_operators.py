@@ -107,6 +107,26 @@ def test_wrapped_prefixed_and_torn_layers():
         assert all(a <= s < e <= b for _, s, e in spans), wrapped
 
 
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zlib.compress])
+def test_all_of_a_compressed_layer_is_scanned(pack, monkeypatch):
+    secret = b"password=hunter2secret AKIA" + b"Z" * 16 + b" "
+    joined = base64.b64encode(pack(b"first member ") + pack(b"second ") + pack(secret)).decode()
+    assert {k for k, _, _ in S.scan(f"a {joined} b")[1]} == {0, 1}
+    monkeypatch.setattr(S, "EXPAND_BYTES", 300_000)
+    monkeypatch.setattr(S, "CHUNK", 10_000)
+    for before in (70_000, 299_990, 299_980 + 7, 299_999, 1_000_003):
+        filler = ("é. " * (before // 4 + 1)).encode()[:before]
+        filler = filler.decode(errors="ignore").encode()
+        for inner in (secret, base64.b64encode(b"x" * 40 + b" " + secret) + b" "):
+            coded = base64.b64encode(pack(filler + b" " * (before - len(filler)) + inner + "ü ".encode() * 200_000)).decode()
+            for run in (coded, "/run/" + coded, "".join(f"%{b:02x}" for b in base64.b64decode(coded))):
+                text = f"a {run} b {run} c"
+                spans = S.scan(text)[1]
+                second = len(run) + 5
+                assert {k for k, _, e in spans if e < second} == {k for k, s, _ in spans if s >= second} == {0, 1}
+                assert all(2 <= s < e <= len(text) - 2 for _, s, e in spans)
+
+
 def test_redaction_and_edges(spark):
     docs = documents(spark, [*TEXTS, "see token=abcdefgh ok", "k " + quote("secret=abcdefgh", safe="") + "."])
     out = {r["doc_id"]: r["text"] for r in S.redact(docs).collect()}
