@@ -4,7 +4,8 @@ The benchmark is cut into blocks of bounded size (``BLOCK_BYTES`` of text); one
 at a time and the documents are scanned against it, so a benchmark of any size works in the same
 memory. A scan reads a document once, needs no shuffle and reports the hit spans of the text.
 
-Cases: a null or word-free text has no words and no hits; a null or word-free item has no windows;
+Cases: a null or word-free text has no words and no hits; a null or word-free item has no windows; an
+item with a null id counts for hits and spans, but is in no list of ids;
 repeated items and repeated documents are reported as they are (items by distinct id, documents one
 row each); an empty table gives an empty or hit-free result; other columns pass through untouched.
 """
@@ -41,7 +42,7 @@ def words_of(data: bytes) -> list[bytes]:
     return WORD.findall(data.lower())
 
 
-def ngram_set(items: list[tuple[str, str]], window: int = WINDOW) -> tuple[dict, dict]:
+def ngram_set(items: list[tuple[str | None, str]], window: int = WINDOW) -> tuple[dict, dict]:
     """(word -> number, length -> {window of numbers -> item ids}) of one benchmark block."""
     vocab: dict[bytes, int] = {}
     grams: dict[int, dict[tuple, set]] = defaultdict(lambda: defaultdict(set))
@@ -111,12 +112,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text")).where(
-        F.col("item_id").isNotNull() & F.col("text").isNotNull())
+        F.col("text").isNotNull())
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = int(-(-total // block_bytes)) or 1
     out = docs.drop("bench_words", "bench_hit", "bench_items", "bench_spans")
     for k in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
         held = spark.sparkContext.broadcast(ngram_set([tuple(r) for r in part.collect()], window))
         out = out.mapInArrow(_scanner(held, text, k > 0), _schema(out, k > 0))
     return out
@@ -137,7 +138,7 @@ def _scanner(held, text: str, has: bool):
             for i, t in enumerate(texts_of(b, text)):
                 n, hit, found = scan(t.encode(), vocab, grams)
                 spans = _merge(before[3][i] if has else [], spans_of(t, hit))
-                items = sorted(found | set(before[2][i] if has else ()))
+                items = sorted((found - {None}) | set(before[2][i] if has else ()))
                 count = _words_in(t, spans) if has else int(hit.sum())
                 for c, v in zip(cols, (n, count, items, spans), strict=True):
                     c.append(v)

@@ -209,6 +209,15 @@ def test_leaks_edges(spark):
     assert D.find_leaks(docs, items.where("false")).where("bench_hit > 0").count() == 0
 
 
+def test_items_without_an_id_count(spark):
+    items = spark.createDataFrame([(None, "alpha beta"), (None, "gamma delta"), (1, "gamma delta"), (None, None)], "item_id long, text string")
+    docs = documents(spark, ["x alpha beta y", "gamma delta", "alpha", "gamma delta alpha beta"])
+    for block in (D.BLOCK_BYTES, 80):
+        got = {r["doc_id"]: (r["bench_hit"], r["bench_items"]) for r in D.find_leaks(docs, items, block_bytes=block).collect()}
+        assert got == {0: (2, []), 1: (2, ["1"]), 2: (0, []), 3: (4, ["1"])}
+    assert [r["doc_id"] for r in D.drop_leaks(docs, items).collect()] == [2]
+
+
 # ---- pages -------------------------------------------------------------------
 
 def test_main_text():
