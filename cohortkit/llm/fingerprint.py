@@ -36,7 +36,7 @@ ROWS, RANGES = 2048, 200_000
 CELL = 96
 #: Cells of the stored sketch; growth on failure; sketch cells that one peeling holds in memory.
 BASE, GROWTH, HELD = 24, 4, 1 << 21
-PIECE = re.compile(rf"[^\n.!?]{{1,{CELL}}}[\n.!?]*\s?|[\n.!?]+\s?")
+PIECE = re.compile(rf"[^\n.!?]{{1,{CELL}}}[\n.!?]{{0,{CELL}}}\s?|[\n.!?]{{1,{CELL}}}\s?")
 U = np.uint64
 SEEDS = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0x27D4EB2F165667C5))
 

@@ -12,7 +12,8 @@ quarantined gap.  Plain and compressed archives are read alike; memory is that o
 
 Cases: a null payload is empty; empty payloads count as equal; repeated rows of a page id are a record
 each (those of the largest id are all responses); a null page id never is the largest; a null url
-becomes a URN; an empty table writes nothing and reads as no rows.
+becomes a URN; control characters of a url, and blanks at its ends, are percent-encoded; an empty table writes
+nothing and reads as no rows.
 """
 
 from __future__ import annotations
@@ -39,7 +40,9 @@ VERSION = b"WARC/1.1\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 STARTS = re.compile(rb"\x1f\x8b\x08[\x00-\x1f]|WARC/1\.[01]\r\n")
 LONGEST_START = 10
+#: Longest header of a plain record; that of a compressed one ends with its member.
 HEADER_BYTES = 1 << 20
+_UNSAFE = re.compile(r"[\x00-\x1f\x7f]|^ +| +$")
 
 MANIFEST = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
 ENTRY = pa.schema([("kind", pa.string()), ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
@@ -54,12 +57,17 @@ def digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
+def encoded(uri: str) -> str:
+    """A url as one header line that reads back the same: control characters and outer blanks percent-encoded."""
+    return _UNSAFE.sub(lambda m: "".join(f"%{ord(c):02X}" for c in m[0]), uri)
+
+
 def record(record_id: str, uri: str, payload: bytes, refers_to: str | None) -> bytes:
     """One WARC record: the HTTP response, or its header alone for a revisit."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if refers_to else http + payload
     head = [f"WARC-Type: {'revisit' if refers_to else 'response'}", f"WARC-Record-ID: <{record_id}>", f"WARC-Date: {DATE}",
-            f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{digest(payload)}", f"WARC-Block-Digest: sha1:{digest(block)}"]
+            f"WARC-Target-URI: {encoded(uri)}", f"WARC-Payload-Digest: sha1:{digest(payload)}", f"WARC-Block-Digest: sha1:{digest(block)}"]
     if refers_to:
         head += [f"WARC-Refers-To: <{refers_to}>", f"WARC-Profile: {PROFILE}"]
     head += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
@@ -90,6 +98,8 @@ def write_archives(records: DataFrame, folder: str, roll: int = ROLL, compress:
         for b in batches(it):
             for rid, uri, payload, to in zip(*(b.column(c).to_pylist() for c in ("record_id", "uri", "payload", "refers_to")), strict=True):
                 data = record(rid, uri, (payload or "").encode(), to)
+                if not compress and data.find(b"\r\n\r\n", 0, HEADER_BYTES) < 0:
+                    raise ValueError(f"the header of {rid} is too long for a plain record")
                 data = member(data) if compress else data
                 if out is not None and done[-1][2] + len(data) > roll:
                     out.close()
@@ -112,11 +122,11 @@ class Bad(Exception):
     """A failed check."""
 
 
-def parse(data: bytes) -> tuple[dict[str, str], bytes, int]:
+def parse(data: bytes, longest: int = HEADER_BYTES) -> tuple[dict[str, str], bytes, int]:
     """(headers, block, length) of the record at the start of ``data``; Bad if a check fails."""
     if not re.match(rb"WARC/1\.[01]\r\n", data):
         raise Bad("no version line")
-    end = data.find(b"\r\n\r\n", 0, HEADER_BYTES)
+    end = data.find(b"\r\n\r\n", 0, longest)
     if end < 0:
         raise Bad("header without an end")
     headers = {}
@@ -171,7 +181,7 @@ def read_at(file, offset: int, path: str, payload: bool) -> tuple[tuple, int]:
         if not unzip.eof:
             raise Bad("gzip member cut off")
         whole = b"".join(parts)
-        headers, block, length = parse(whole)
+        headers, block, length = parse(whole, len(whole))
         if length != len(whole):
             raise Bad("member holds more than a record")
         return as_entry(path, offset, used, headers, block, payload), offset + used
@@ -224,19 +234,23 @@ def salvage(file, size: int, path: str, payload: bool = True) -> Iterator[tuple]
         offset = after
 
 
-def read_archives(manifest: DataFrame, payload: bool = True) -> DataFrame:
-    """Records and gaps of the archives named by ``manifest.path``, a file per task at a time."""
+def read_archives(manifest: DataFrame, payload: bool = True, whole: bool = False) -> DataFrame:
+    """Records and gaps of the archives named by ``manifest.path``, a file per task at a time.
+
+    ``whole``: fail if a file does not hold as many records as ``manifest.records`` says.
+    """
     n = manifest.count()
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            for path in b.column("path").to_pylist():
+            for path, records in zip(*(b.column(c).to_pylist() for c in ("path", "records")), strict=True):
                 files, name = open_folder(path)
                 rows: list[tuple] = []
-                held = 0
+                held = read = 0
                 with files.open_input_file(name) as f:
                     for e in salvage(f, f.size(), path, payload):
                         rows.append(e)
+                        read += e[0] == "record"
                         held += 200 + len(e[-1] or b"")
                         if held > 8 << 20:
                             yield to_arrow(dict(zip(ENTRY.names, map(list, zip(*rows, strict=True)), strict=True)), ENTRY)
@@ -244,7 +258,10 @@ def read_archives(manifest: DataFrame, payload: bool = True) -> DataFrame:
                 if rows:
                     yield to_arrow(dict(zip(ENTRY.names, map(list, zip(*rows, strict=True)), strict=True)), ENTRY)
 
-    return manifest.select("path").repartition(max(1, n)).mapInArrow(run, ENTRY_DDL)
+                if whole and read != records:
+                    raise ValueError(f"{path}: {read} records read of {records} written")
+
+    return manifest.select("path", "records" if whole else F.lit(None).cast("long").alias("records")).repartition(max(1, n)).mapInArrow(run, ENTRY_DDL)
 
 
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -264,7 +281,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     manifest = write_archives(with_revisits(pages), shared_folder(spark, "warc"))
     number = lambda c: F.expr(f"try_cast(substring({c}, 10) as bigint)")
-    return (read_archives(manifest, payload=False).where("kind = 'record'")
+    return (read_archives(manifest, payload=False, whole=True).where("kind = 'record'")
             .select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                     number("refers_to").alias("refers_to")))
 

@@ -122,6 +122,19 @@ def test_archives_through_spark(spark):
     assert W.read_archives(W.write_archives(rows.where("false"), shared_folder(spark, "warc-none"))).count() == 0
 
 
+def test_pages_with_any_url_are_read_back(spark, tmp_path):
+    urls = ["http://a/\r\n\r\nb", "http://a/\r\nX", " http://a ", "http://a/" + "x" * W.HEADER_BYTES, "a\x00\u2028b", "", "http://a/é%0A b"]
+    pages = spark.createDataFrame([(i, u, f"text {i % 3}") for i, u in enumerate(urls)], "page_id long, url string, html string")
+    pages.write.parquet(str(tmp_path / "pages.parquet"))
+    assert sorted(r["page_id"] for r in W.op2(spark, str(tmp_path)).collect()) == list(range(len(urls)))
+    manifest = W.write_archives(W.with_revisits(pages), shared_folder(spark, "warc-urls"))
+    read = {r["record_id"]: r["uri"] for r in W.read_archives(manifest, whole=True).collect()}
+    assert read["urn:page:0"] == "http://a/%0D%0A%0D%0Ab" and read["urn:page:6"] == urls[6]
+    with pytest.raises(Exception, match="records read of"):
+        W.read_archives(manifest.withColumn("records", W.F.col("records") + 1), whole=True).count()
+
+
+
 # ---- reply trees -------------------------------------------------------------
 
 def test_best_path_of_a_tree(spark):

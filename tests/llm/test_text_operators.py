@@ -308,3 +308,11 @@ def test_fingerprint_edges(spark):
     alone = FP.fingerprints(docs.where("doc_id = 7")).collect()
     assert alone[0]["near_next"] == 1.0
     assert FP.fingerprints(docs.where("false")).count() == 0
+
+
+def test_runs_of_end_marks_are_bounded(spark):
+    texts = ["." * 200_000, "." * 150_000, "a" + "\n" * 70_000]
+    assert all("".join(FP.PIECE.findall(t)) == t and max(map(len, FP.PIECE.findall(t))) <= 2 * FP.CELL + 1 for t in texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["near_next"] for r in FP.fingerprints(docs).collect()}
+    assert abs(got[0] - 0.75) < 0.01 and got[1] == 0
