@@ -18,8 +18,8 @@ block by block.  So each pair of a bucket is either compared or already in one c
 over many tasks.  Links make classes by propagating the smallest id with pointer jumping.  Only ids and
 hashes are shuffled until the checks; the sets of documents that share a bucket are built once.
 
-Cases: null and word-free texts are one class (nothing tells them apart); a text of fewer than five words is
-one shingle; repeated rows of an id are one document (one row in the result, its smallest text counts); null
+Cases: word-free texts are one class if they are equal (null as the empty text); a text of fewer than five words
+is one shingle; repeated rows of an id are one document (one row in the result, its smallest text counts); null
 ids are left out of the classes and returned as they came, without a class; an empty table gives no rows.
 """
 
@@ -184,14 +184,16 @@ def band_hashes(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
 
 
 def sign(docs: DataFrame, text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, same, bands): a digest of the word sequence, and the band hashes (none without words)."""
+    """(doc_id, same, bands): a digest of the word sequence (of a text without words, of the text), and the band
+    hashes (none without words)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            words = [words_of(t) for t in texts_of(b, text)]
+            texts = texts_of(b, text)
+            words = [words_of(t) for t in texts]
             sets = [weights(shingles(w)) for w in words]
             hashed = band_hashes(signatures(sets, bands * rows), bands, rows)
             yield to_arrow({"doc_id": b.column("doc_id").to_pylist(),
-                            "same": [hashlib.md5(" ".join(w).encode()).digest() for w in words],
+                            "same": [hashlib.md5((" ".join(w) or "\0" + t).encode()).digest() for w, t in zip(words, texts, strict=True)],
                             "bands": [h.tolist() if w else [] for h, w in zip(hashed, words, strict=True)]}, SIGNATURE)
 
     return docs.select("doc_id", text).mapInArrow(run, "doc_id long, same binary, bands array<long>")
@@ -376,6 +378,9 @@ def keep_one(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: the class of near copies that it is in, and whether it represents the class."""
+    """Per document: the class of near copies that it is in, and whether it represents the class; rows without an
+    id have no class and represent themselves (as in ``keep_one``)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return near_classes(docs).select("doc_id", "class_id", (F.col("doc_id") == F.col("class_id")).alias("is_representative"))
+    alone = docs.where("doc_id is null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(None).cast("long").alias("class_id"))
+    return near_classes(docs).select("doc_id", "class_id").unionByName(alone).select(
+        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("is_representative"))

@@ -114,6 +114,14 @@ def test_edges(spark):
     assert N.near_classes(docs.where("false")).count() == 0
 
 
+def test_rows_without_an_id_or_words(spark, tmp_path):
+    rows = [(1, "..."), (2, "!?"), (3, "..."), (4, None), (5, ""), (6, "one"), (None, "one"), (None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = [tuple(x) for x in N.op6(spark, str(tmp_path)).collect()]
+    want = [(1, 1, True), (2, 2, True), (3, 1, False), (4, 4, True), (5, 4, False), (6, 6, True), (None, None, True), (None, None, True)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 @pytest.mark.parametrize("mean", [0.004, 1.0, 64.0])
 def test_darts_per_cell_are_poisson(mean):
     steps = N.poisson_steps(mean)
