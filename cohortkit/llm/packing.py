@@ -11,6 +11,7 @@ partition in its upper bits, so it is unique without any exchange between tasks.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterator
 
@@ -29,14 +30,42 @@ BLOCK_TOKENS = 8 << 20
 #: Entries of a worker's chunk cache; it is emptied when full.
 CACHE_ENTRIES = 500_000
 TOKENIZER = "byte_bpe_50k.json"
-#: Chunks of a worker for which both libraries are compared.
-PROOF = 2000
+#: Fixed value: the pre-token pattern of byte-level BPE, which both libraries split by.
+PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                     ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 DDL = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+def byte_characters() -> dict[str, int]:
+    """Fixed rule of byte-level vocabularies: printable bytes stand for themselves, others follow from U+0100."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+
+
+def merges_by_rank(spec: dict) -> bool:
+    """Whether a tokenizer file merges as its ids rank the tokens, so that the ids alone tell every merge.
+
+    So it is if the model is plain BPE over the byte alphabet, each token but the bytes is made by one merge, the
+    merges stand in the order of their tokens' ids, and texts are split by the byte-level pattern alone.
+    """
+    model, split, vocab = spec["model"], spec.get("pre_tokenizer") or {}, spec["model"].get("vocab", {})
+    plain = not any(model.get(x) for x in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix",
+                                           "byte_fallback", "ignore_merges"))
+    if model.get("type", "BPE") != "BPE" or not plain or spec.get("normalizer"):
+        return False
+    if split.get("type") != "ByteLevel" or not split.get("use_regex", True) or split.get("add_prefix_space"):
+        return False
+    alphabet, special = byte_characters(), {t["content"] for t in spec.get("added_tokens", ())}
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [a + b for a, b in pairs]
+    ids = [vocab.get(t, -1) for t in made]
+    return (all(x < y for x, y in zip(ids, ids[1:], strict=False)) and (not ids or ids[0] >= 256)
+            and {t for t in vocab if t not in special} == set(alphabet) | set(made)
+            and all(a in vocab and b in vocab and max(vocab[a], vocab[b]) < i for (a, b), i in zip(pairs, ids, strict=True)))
+
+
 class Encoder:
     """Byte-level BPE ids (little-endian unsigned 32-bit) of whole texts, through a cache of chunks.
 
@@ -44,8 +73,8 @@ class Encoder:
     pre-token.  A text is therefore the concatenation of its blank-led chunks, whose ids depend on the chunk
     alone; a text with any other blank goes through the tokenizer whole.  New chunks are encoded together,
     with line breaks between (a token of their own), by a second library that reads the vocabulary of the
-    same file and is faster; its ids are compared with the tokenizer's for the first ``PROOF`` chunks of a
-    worker, and on any difference the tokenizer does all the work.
+    same file and is faster.  It is used only if the file itself shows that both give the same ids
+    (:func:`merges_by_rank`), for characters that both split alike; otherwise the tokenizer does the work.
     """
 
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
@@ -55,42 +84,48 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache: dict[str, bytes] = {}
-        self.entries, self.proved = entries, 0
+        self.entries = entries
+        self.alike: set[str] = set()
+        self.unlike: set[str] = set()  # characters whose chunks go through the tokenizer
         self.fast = self._second()
         self.line_break = self._slow(["\n"])[0]
 
     def _second(self):
-        """The faster encoder of the same vocabulary (None where it cannot be built)."""
+        """The faster encoder of the same vocabulary (None where it cannot be built or could differ)."""
         try:
-            import public_tokenizers
             import tiktoken
         except ImportError:
             return None
-        # Fixed rule of byte-level vocabularies: printable bytes stand for themselves, others follow from U+0100.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(plain))}
+        if not merges_by_rank(json.loads(self.tokenizer.to_str())):
+            return None
+        ranks = {data: i for i, data in self.token_bytes().items()}
+        return tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def token_bytes(self) -> dict[int, bytes]:
+        """The bytes that each id stands for, special tokens left out."""
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
-        ranks = {}
-        for token, rank in self.tokenizer.get_vocab().items():
-            if token in special:
-                continue
-            if any(c not in byte_of for c in token):
-                return None
-            ranks[bytes(byte_of[c] for c in token)] = rank
-        return tiktoken.Encoding("chunks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        byte_of = byte_characters()
+        return {i: bytes(byte_of[c] for c in t) for t, i in self.tokenizer.get_vocab().items() if t not in special}
 
     def _slow(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _classify(self, characters: set[str]) -> None:
+        """Sort characters by whether both libraries split next to them alike (their tables of letters may differ)."""
+        for c in characters:
+            probes = [f"{x}{c}{x}" for x in ("x", "1", "!", " ")]
+            same = self._slow(probes) == [np.asarray(self.fast.encode_ordinary(x), "<u4").tobytes() for x in probes]
+            (self.alike if same else self.unlike).add(c)
+
     def _learn(self, parts: list[str]) -> None:
         """Ids of blank-led chunks without white space at their ends."""
-        chunks = [" " + p for p in parts]
-        if self.fast is not None and self.proved < PROOF:
-            self.proved += len(chunks)
-            if self._slow(chunks) != [np.asarray(self.fast.encode_ordinary(c), "<u4").tobytes() for c in chunks]:
-                self.fast = None
-        if self.fast is None:
-            self.cache.update(zip(parts, self._slow(chunks), strict=True))
+        if self.fast is not None:
+            self._classify(set().union(*parts) - self.alike - self.unlike)
+        slow = parts if self.fast is None else [p for p in parts if not self.unlike.isdisjoint(p)] if self.unlike else []
+        self.cache.update(zip(slow, self._slow([" " + p for p in slow]), strict=True))
+        if slow:
+            parts = sorted(set(parts).difference(slow))
+        if not parts:
             return
         inner = [p for p in parts if "\n" in p]
         self.cache.update((p, np.asarray(self.fast.encode_ordinary(" " + p), "<u4").tobytes()) for p in inner)
@@ -100,14 +135,28 @@ class Encoder:
         data = ids.tobytes()
         self.cache.update((p, data[x:y]) for p, x, y in zip(lines, [0, *(c + 4 for c in cuts)], [*cuts, len(data)], strict=True))
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _known(self, cut: list[list[str]]) -> set[str]:
+        """Put the chunks of texts into the cache; those with white space at an end, or empty, are returned instead."""
         if len(self.cache) > self.entries:
             self.cache.clear()
-        cache, cut = self.cache, [t.split(" ") for t in texts]
-        missing = {p for parts in cut for p in set(parts[1:]).difference(cache)}
+        missing = {p for parts in cut for p in set(parts).difference(self.cache)}
         odd = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
         if missing := sorted(missing - odd):
             self._learn(missing)
+        return odd
+
+    def encode_after_blank(self, texts: list[str]) -> list[bytes]:
+        """The ids of a blank and each text."""
+        cut = [t.split(" ") for t in texts]
+        odd, get = self._known(cut), self.cache.__getitem__
+        whole = [i for i, parts in enumerate(cut) if odd and not odd.isdisjoint(parts)]
+        entire = dict(zip(whole, self._slow([" " + texts[i] for i in whole]), strict=True)) if whole else {}
+        return [entire[i] if i in entire else b"".join(map(get, parts)) for i, parts in enumerate(cut)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        cut = [t.split(" ") for t in texts]
+        odd, cache = self._known([parts[1:] for parts in cut]), self.cache
         out, whole, heads = [], [], {}
         for i, (t, parts) in enumerate(zip(texts, cut, strict=True)):
             if t and (not parts[0] or parts[0][-1].isspace() or (odd and not odd.isdisjoint(parts[1:]))):
