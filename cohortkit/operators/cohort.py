@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.dates import in_month, tenure_years
@@ -14,6 +14,7 @@ from cohortkit.operators.common import (
     bounded_broadcast,
     dense_rank_within,
     links_of,
+    stage_table,
     staged_broadcast,
 )
 from cohortkit.params import RunParams
@@ -63,7 +64,7 @@ def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
     )
 
 
-def cohort_base(t: RoleTables, p: RunParams, reuse: str | None = None,
+def cohort_base(t: RoleTables, p: RunParams, reuse: str | None = "table",
                 insured_only: bool = True) -> tuple[DataFrame, DataFrame]:
     """Step 1 before the insured link, and the month's insured links.
 
@@ -103,7 +104,7 @@ def with_insured(base: DataFrame, insureds: DataFrame) -> DataFrame:
     return base.join(insureds, "pol_num", "inner").select(*[c for c in COHORT_COLUMNS if c != "purchase_order_base"])
 
 
-def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse: str | None = None) -> DataFrame:
+def active_cohort(t: RoleTables, p: RunParams, rank: str | None = "split", reuse: str | None = "table") -> DataFrame:
     """Step 1: in-force coverages of policies issued in the target month.
 
     Grain: coverage × owner link × insured link (a policy with two insureds
@@ -143,14 +144,55 @@ def cohort_owners(cohort: DataFrame) -> DataFrame:
 def owner_policy_links(t: RoleTables, p: RunParams, owners: DataFrame, reuse: str | None = None) -> DataFrame:
     """(policy, owner) links of every policy of the cohort owners, any status.
 
-    Written once and size-checked: when bounded it is broadcast, and every
-    scan of the full policy history (holdings, first join date, repurchase)
-    becomes a map-side join instead of a shuffle of the policy table.
+    Written once and size-checked: when bounded it is broadcast, and the scan
+    of the full policy history (:func:`policy_history`) becomes a map-side
+    join instead of a shuffle of the policy table.
     """
     own = links_of(t.links, "O", "po_num").join(owners.select("po_num"), "po_num", "left_semi")
     return staged_broadcast(own, p.extra.get("owner_link_max_rows", OWNER_LINK_MAX_ROWS), reuse, "owner_links")
 
 
+def policy_history(t: RoleTables, p: RunParams, own_links: DataFrame | None = None,
+                   reuse: str | None = None) -> tuple[DataFrame, int | None]:
+    """(policy, owner) rows of all issued or in-force policies, and their number if they were staged.
+
+    The one scan of the policy history: holdings, first join dates and
+    repurchases are filters and conditional aggregates over this table.  The
+    channel of the writing and of the servicing agent is set where that agent
+    qualifies, else NULL (left lookups), so a row of two qualifying agents is
+    a row of the inner joins.  ``own_links`` cuts it to some owners (map-side
+    when they are broadcast); None takes every owner.
+    """
+    wa, sa = agent_roles(t, p)
+    own = own_links if own_links is not None else links_of(t.links, "O", "po_num")
+    pol = t.policy.where(F.col("pol_stat_cd").isin(*sorted({*p.inforce_status, *p.issued_status})))
+    rows = (pol.join(own, "pol_num", "inner")
+               .join(wa, pol.wa_cd_1 == wa.wa_agt_code, "left")
+               .join(sa, pol.agt_code == sa.sa_agt_code, "left")
+               .select("pol_num", "po_num", "pmt_mode", "pol_iss_dt", "frst_iss_dt", "pol_eff_dt", "pol_stat_cd",
+                       F.col("wa_cd_1").alias("wagt_cd"), F.col("wa_comp_prvd_num").alias("wagt_comp_prvd_num"),
+                       F.col("agt_code").alias("sagt_cd"), F.col("sa_comp_prvd_num").alias("sagt_comp_prvd_num")))
+    return (rows, None) if reuse is None else stage_table(rows, "policy_history")
+
+
+def with_agents() -> Column:
+    """Rows of :func:`policy_history` whose writing and servicing agents both qualify."""
+    return F.col("wagt_comp_prvd_num").isNotNull() & F.col("sagt_comp_prvd_num").isNotNull()
+
+
+def owner_facts(history: DataFrame, p: RunParams) -> DataFrame:
+    """Per owner of :func:`policy_history`: first join date and latest repurchase date, in one grouped pass.
+
+    ``frst_join_dt`` is ``COALESCE(MIN(first issue), MIN(issue), MIN(effective))`` over issued policies;
+    ``last_pol_iss`` the latest issue date in [month start, month end + N months] over issued policies whose
+    agents both qualify.  Owners without an issued policy have no row.
+    """
+    window = F.col("pol_iss_dt").between(F.lit(p.month_start), F.lit(p.repurchase_end)) & with_agents()
+    return (history.where(F.col("pol_stat_cd").isin(*p.issued_status)).groupBy("po_num").agg(
+        F.coalesce(F.min("frst_iss_dt"), F.min("pol_iss_dt"), F.min("pol_eff_dt")).alias("frst_join_dt"),
+        F.max(F.when(window, F.col("pol_iss_dt"))).alias("last_pol_iss")))
+
+
 HOLDINGS_COLUMNS = [
     "pol_num", "po_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_prem",
     "pmt_mode", "inforce_ape", "cvg_iss_dt", "pol_iss_dt", "inforce_year", "purchase_order_base",
@@ -159,36 +201,28 @@ HOLDINGS_COLUMNS = [
 
 
 def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str | None = None,
-             reuse: str | None = None, own_links: DataFrame | None = None) -> DataFrame:
+             reuse: str | None = "table", history: tuple[DataFrame, int | None] | None = None) -> DataFrame:
     """Step 2: all in-force coverages, up to month end, of the cohort owners.
 
     The owner restriction (a semi-join) is applied on the policy side first,
     before the coverage join, so the largest table is joined only with the
     cohort's policies.  No insured join here (no fan-out).  ``owners=None``
-    keeps every owner; ``own_links`` (from :func:`owner_policy_links`) replaces
-    the owner-link restriction with a prepared, possibly broadcast, set.
+    keeps every owner; ``history`` is a prepared :func:`policy_history` of the
+    owners.
     """
-    wa, sa = agent_roles(t, p)
-    pol = t.policy.where((F.col("pol_iss_dt") <= F.lit(p.month_end))
-                         & F.col("pol_stat_cd").isin(*p.inforce_status))
-    if own_links is not None:
-        own = own_links
-    else:
-        own = links_of(t.links, "O", "po_num")
-        if owners is not None:
-            own = own.join(owners, "po_num", "left_semi")
-    pol = (pol.join(own, "pol_num", "inner")
-              .join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
-              .join(sa, pol.agt_code == sa.sa_agt_code, "inner")
-              .select("pol_num", "po_num", "pmt_mode", "pol_iss_dt",
-                      F.col("wa_cd_1").alias("wagt_cd"), F.col("wa_comp_prvd_num").alias("wagt_comp_prvd_num"),
-                      F.col("agt_code").alias("sagt_cd"), F.col("sa_comp_prvd_num").alias("sagt_comp_prvd_num")))
+    if history is None:
+        own = None if owners is None else owner_policy_links(t, p, owners, reuse)
+        history = policy_history(t, p, own, None if owners is None else reuse)
+    rows, n = history
+    pol = rows.where((F.col("pol_iss_dt") <= F.lit(p.month_end)) & F.col("pol_stat_cd").isin(*p.inforce_status)
+                     & with_agents()).select("pol_num", "po_num", "pmt_mode", "pol_iss_dt", "wagt_cd",
+                                             "wagt_comp_prvd_num", "sagt_cd", "sagt_comp_prvd_num")
     if owners is not None:
-        # The cohort owners' policies: written once, broadcast to the coverage
-        # join when bounded (a hot owner can push it past the bound; then the
-        # join shuffles, keyed by policy, which a hot owner does not skew).
-        pol = staged_broadcast(pol, p.extra.get("holding_policy_max_rows", HOLDING_POLICY_MAX_ROWS),
-                               reuse, "holding_policies")
+        # The cohort owners' policies: a filter of the staged history, whose rows
+        # bound them; broadcast to the coverage join when bounded (a hot owner can
+        # push it past the bound; then the join shuffles, keyed by policy, which a
+        # hot owner does not skew).
+        pol = bounded_broadcast(pol, p.extra.get("holding_policy_max_rows", HOLDING_POLICY_MAX_ROWS), n)
     df = t.coverage.join(pol, "pol_num", "inner").select(
         "pol_num", "po_num", "plan_code", "vers_num", "cvg_stat_cd", "cvg_typ", "cvg_reasn", "cvg_prem",
         "pmt_mode", annualized("cvg_prem", "pmt_mode").alias("inforce_ape"), "cvg_iss_dt", "pol_iss_dt",

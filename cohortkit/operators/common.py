@@ -4,18 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StringType, StructType
 
-from cohortkit.session import path_bytes, staging_path
+from cohortkit.session import staging_path
 
 # Dimensions below this many rows are broadcast; larger ones are left to the
 # planner (AQE turns a join into a broadcast from measured shuffle sizes).
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
-# Bound for broadcasting a staged table, in bytes in memory: its rows (from the
-# Parquet footers) times the width of a row (from the schema).
+# Bound for broadcasting a side, in bytes in memory: its rows (counted, for a
+# staged table by the write itself) times the width of a row (from the schema).
 STAGED_BROADCAST_BYTES = 256 * 1024 * 1024
 TEXT_BYTES = 48  # a text value in a row: header and some 40 characters
 
@@ -30,22 +30,19 @@ def row_width(schema: StructType) -> int:
     return 16 + sum(width(f.dataType) for f in schema)
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """``(df, True)`` with a broadcast hint if ``df`` has at most ``max_rows`` rows, else ``(df, False)``.
-
-    The count is a partial aggregate: one number per task.
-    """
-    n = df.count()
-    return (F.broadcast(df), True) if n <= max_rows else (df, False)
+def within_bounds(df: DataFrame, rows: int, max_rows: int, max_bytes: int = STAGED_BROADCAST_BYTES) -> bool:
+    """Whether a side of so many rows may be broadcast: by its rows, and by its rows times their width."""
+    return rows <= max_rows and rows * row_width(df.schema) <= max_bytes
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, rows: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only after checking its rows and bytes (:func:`within_bounds`).
 
-    Past the bound the frame is returned as is and joins shuffle (sort-merge /
-    AQE-chosen).
+    ``rows`` is the row count where it is known; else a count runs (a partial
+    aggregate, one number per task).  Past the bound the frame is returned as
+    is and joins shuffle (sort-merge / AQE-chosen).
     """
-    return broadcast_if_bounded(df, max_rows)[0]
+    return F.broadcast(df) if within_bounds(df, df.count() if rows is None else rows, max_rows) else df
 
 
 def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFrame:
@@ -65,29 +62,32 @@ def materialize(df: DataFrame, how: str | None, name: str = "stage") -> DataFram
 
 
 def stage_table(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Write ``df`` once under the shared checkpoint folder; return it read back and its size in bytes.
+    """Write ``df`` once under the shared checkpoint folder; return it read back and its rows.
 
-    It is read back with the known schema: an empty stage writes no schema to infer.
+    The rows are counted by the write itself (an observed metric), not by
+    another job.  It is read back with the known schema: an empty stage writes
+    no schema to infer.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path_bytes(spark, path)
+    seen = Observation(f"{name}-rows")
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), int(seen.get["rows"])
 
 
-def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str,
-                     max_bytes: int = STAGED_BROADCAST_BYTES) -> DataFrame:
+def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str) -> DataFrame:
     """Write a reduced side once, then broadcast it if it is within the bounds.
 
-    With ``reuse="table"`` the rows of the written table are counted (Parquet
-    footers) and held against ``max_rows`` and, times the row width, against
-    ``max_bytes``; the side is computed once, whether it ends up broadcast or
-    shuffled.  With ``reuse=None`` a count of the frame decides, and the side
-    runs again in the join.
+    With ``reuse="table"`` the rows are counted by the write and held against
+    ``max_rows`` and, times the row width, against the byte bound; the side is
+    computed once, whether it ends up broadcast or shuffled.  With
+    ``reuse=None`` a count of the frame decides, and the side runs again in
+    the join.
     """
-    out = materialize(df, reuse, name)
-    n = out.count()
-    return F.broadcast(out) if n <= max_rows and n * row_width(out.schema) <= max_bytes else out
+    if reuse is None:
+        return bounded_broadcast(df, max_rows)
+    out, n = stage_table(df, name)
+    return bounded_broadcast(out, max_rows, n)
 
 
 def links_of(links: DataFrame, link_type: str, cli_alias: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions import rulebook as R
 from cohortkit.functions.rules import yn
+from cohortkit.operators.cohort import owner_facts, policy_history
 from cohortkit.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast, links_of, staged_broadcast
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
@@ -72,17 +73,14 @@ def channel_overlap_owners(policy_mart: DataFrame, agent_mart: DataFrame, p: Run
             .where((F.col("banca") == 1) | (F.col("dmtm") == 1)))
 
 
-def last_issue_dates(t: RoleTables, p: RunParams, own_links: DataFrame | None = None) -> DataFrame:
-    """Per owner: latest issue date in [month start, month end + N months]."""
-    from cohortkit.operators.cohort import agent_roles
-    wa, sa = agent_roles(t, p)
-    pol = t.policy.where(F.col("pol_iss_dt").between(F.lit(p.month_start), F.lit(p.repurchase_end))
-                         & F.col("pol_stat_cd").isin(*p.issued_status))
-    own = own_links if own_links is not None else links_of(t.links, "O", "po_num")
-    pol = (pol.join(own, "pol_num", "inner")
-              .join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
-              .join(sa, pol.agt_code == sa.sa_agt_code, "inner"))
-    return pol.groupBy("po_num").agg(F.max("pol_iss_dt").alias("last_pol_iss"))
+def last_issue_dates(t: RoleTables, p: RunParams, facts: DataFrame | None = None) -> DataFrame:
+    """Per owner: latest issue date in [month start, month end + N months].
+
+    Read from ``facts`` (:func:`cohortkit.operators.cohort.owner_facts`), or
+    from the policy history of every owner.
+    """
+    facts = facts if facts is not None else owner_facts(policy_history(t, p)[0], p)
+    return facts.where(F.col("last_pol_iss").isNotNull()).select("po_num", "last_pol_iss")
 
 
 def _agent_flags(t: RoleTables, p: RunParams) -> DataFrame:
@@ -105,7 +103,7 @@ def _flag_rows(df: DataFrame, **values: Column) -> DataFrame:
 
 def owner_flags(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
                 insured_keys: tuple[str, str] = ("tgt_cust_id", "pol_num"),
-                own_links: DataFrame | None = None) -> DataFrame:
+                facts: DataFrame | None = None) -> DataFrame:
     """Owner-keyed flags in one grouped pass: contact (owner, insured, either),
     Banca, DMTM and the latest repurchase date.
 
@@ -123,7 +121,7 @@ def owner_flags(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
         _flag_rows(recent_target_insureds(t.targets, t.links, p, *insured_keys, owners=owners), f_ins=one),
         _flag_rows(channel_overlap_owners(mart, t.agent_mart, p, _agent_flags(t, p)),
                    f_banca=F.col("banca"), f_dmtm=F.col("dmtm")),
-        _flag_rows(last_issue_dates(t, p, own_links), last_pol_iss=F.col("last_pol_iss")),
+        _flag_rows(last_issue_dates(t, p, facts), last_pol_iss=F.col("last_pol_iss")),
     ]
     rows = reduce(DataFrame.unionByName, parts)
     if owners is not None:

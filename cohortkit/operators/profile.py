@@ -17,6 +17,7 @@ from cohortkit.functions.tiers import (
     premium_band,
     value_tier,
 )
+from cohortkit.operators.cohort import owner_facts, policy_history
 from cohortkit.operators.common import links_of
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
@@ -36,21 +37,16 @@ PLACEHOLDERS = ["hml_propensity_grp", "no_high_prop", "hl_propensity_grp", "hml_
 
 
 def first_join_dates(t: RoleTables, p: RunParams, owners: DataFrame | None = None,
-                     own_links: DataFrame | None = None) -> DataFrame:
+                     facts: DataFrame | None = None) -> DataFrame:
     """Per owner: ``COALESCE(MIN(first issue), MIN(issue), MIN(effective))``.
 
-    Restricting to the cohort's owners first (semi-join) gives the same values
-    for them, since the result is joined back on the owner only.
+    Read from ``facts`` (:func:`cohortkit.operators.cohort.owner_facts`), or
+    from the policy history of ``owners`` (None: of every owner).
     """
-    if own_links is not None:
-        own = own_links.select("pol_num", F.col("po_num").alias("cli_num"))
-    else:
-        own = links_of(t.links, "O", "cli_num")
-        if owners is not None:
-            own = own.join(owners.select(F.col("po_num").alias("cli_num")), "cli_num", "left_semi")
-    pol = t.policy.where(F.col("pol_stat_cd").isin(*p.issued_status))
-    return (pol.join(own, "pol_num", "inner").groupBy("cli_num")
-            .agg(F.coalesce(F.min("frst_iss_dt"), F.min("pol_iss_dt"), F.min("pol_eff_dt")).alias("frst_join_dt")))
+    if facts is None:
+        own = None if owners is None else links_of(t.links, "O", "po_num").join(owners.select("po_num"), "po_num", "left_semi")
+        facts = owner_facts(policy_history(t, p, own)[0], p)
+    return facts.select(F.col("po_num").alias("cli_num"), "frst_join_dt")
 
 
 def lifestage_snapshot(lifestage: DataFrame, month: str) -> DataFrame:

@@ -1,15 +1,21 @@
-"""Publish (Steps 9–10): the 79-column lead table, month-partitioned write, count."""
+"""Publish (Steps 9–10): the 79-column lead table, versioned month write with its counts."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import json
+import uuid
+from dataclasses import asdict, dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortkit.functions.rules import typed_null, yn
 from cohortkit.functions.tiers import publish_segment
 from cohortkit.operators.combine import FLAG_PART, POLICY_PART
 from cohortkit.operators.scoring import NEED_DECILES, NEED_HML, score_leads, scoring_columns, with_propensity
 from cohortkit.params import RunParams
+from cohortkit.session import children, read_text, remove_staged, replace_text
 
 OWNER_PART = [
     "po_num", "po_name", "po_id_num", "po_sex_code", "po_birth_dt", "po_age_curr", "po_age_curr_grp",
@@ -75,21 +81,90 @@ def write_month(df: DataFrame, path: str, partition_col: str = "onb_mth_yr") ->
        .partitionBy(partition_col).parquet(path))
 
 
-def replace_month(df: DataFrame, path: str, month_key: str, partition_col: str = "onb_mth_yr") -> None:
-    """Overwrite the directory of one month with its rows; an empty frame clears it."""
+POINTERS = "_published"  # Spark's readers skip names that begin with an underscore
+
+
+@dataclass(frozen=True)
+class Version:
+    """One published month: the folder of its rows and what was counted while they were written."""
+
+    month: str
+    version: str
+    rows: int
+    null_keys: int | None       # rows whose key is NULL (None: no such column)
+    keys: int | None            # distinct keys, approximate (a mergeable sketch)
+    schema: str                 # of the rows, as JSON
+    previous: tuple[str, ...] = ()  # versions kept for readers that are still on them
+
+
+def _pointer(path: str, month_key: str) -> str:
+    return f"{path.rstrip('/')}/{POINTERS}/{month_key}.json"
+
+
+def _folder(path: str, month_key: str, version: str, partition_col: str) -> str:
+    return f"{path.rstrip('/')}/{partition_col}={month_key}/version={version}"
+
+
+def published_versions(spark: SparkSession, path: str) -> list[Version]:
+    """The current version of each published month, by month."""
+    names = [n for n in children(spark, f"{path.rstrip('/')}/{POINTERS}") if n.endswith(".json")]
+    found = [json.loads(read_text(spark, _pointer(path, n.removesuffix(".json")))) for n in names]
+    return sorted((Version(**{**f, "previous": tuple(f["previous"])}) for f in found), key=lambda v: v.month)
+
+
+def publish_month(df: DataFrame, path: str, month_key: str, partition_col: str = "onb_mth_yr", key: str = "po_num",
+                  keep: int = 1) -> Version:
+    """Write one month's rows as a new version, then switch the month's pointer to it.
+
+    Until the switch (the rename of one small file) readers see the old
+    version, so a lost job or a failed write leaves the month as it was; an
+    empty frame clears the month in the same way.  Rows, rows without a key
+    and distinct keys are counted by the write.  ``keep`` older versions stay
+    for readers that have begun; older ones are removed.
+    """
+    spark = df.sparkSession
     rows = df.where(F.col(partition_col) == F.lit(month_key)).drop(partition_col)
-    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_col}={month_key}")
+    seen = Observation(f"published-{month_key}")
+    counts = [F.count(F.lit(1)).alias("rows")]
+    if key in rows.columns:
+        counts += [F.count_if(F.col(key).isNull()).alias("null_keys"), F.approx_count_distinct(key).alias("keys")]
+    version = uuid.uuid4().hex[:16]
+    folder = _folder(path, month_key, version, partition_col)
+    try:
+        rows.observe(seen, *counts).write.mode("errorifexists").parquet(folder)
+    except BaseException:
+        remove_staged(spark, [folder])
+        raise
+    old = next((v for v in published_versions(spark, path) if v.month == month_key), None)
+    chain = ((old.version, *old.previous) if old else ())
+    got = seen.get
+    new = Version(month_key, version, int(got["rows"]), got.get("null_keys"), got.get("keys"), rows.schema.json(), chain[:keep])
+    replace_text(spark, _pointer(path, month_key), json.dumps(asdict(new)))
+    remove_staged(spark, [_folder(path, month_key, v, partition_col) for v in chain[keep:]])
+    return new
 
 
 def read_published(spark: SparkSession, path: str, partition_col: str = "onb_mth_yr",
                    schema=None) -> DataFrame:
     """Read the published table; the month key stays text (no partition type inference).
 
-    With ``schema`` (the written frame's), an empty table reads as an empty frame.
+    Of months written by :func:`publish_month` their current versions are
+    read; a table of :func:`write_month` is read as it lies.  The columns are
+    those of ``schema``, or of the last month.  A table whose months are all
+    empty reads as an empty frame.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    df = reader.parquet(path)
-    return df.withColumn(partition_col, F.col(partition_col).cast("string"))
+    current = published_versions(spark, path)
+    if not current:
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        df = reader.parquet(path)
+        return df.withColumn(partition_col, F.col(partition_col).cast("string"))
+    if schema is None:
+        schema = StructType.fromJson(json.loads(current[-1].schema)).add(partition_col, "string")
+    folders = [_folder(path, v.month, v.version, partition_col) for v in current if v.rows]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    df = spark.read.schema(schema).option("basePath", path).parquet(*folders)
+    return df.select(*[f.name for f in schema.fields])
 
 
 def read_month(spark: SparkSession, path: str, month_key: str, partition_col: str = "onb_mth_yr",
@@ -104,6 +179,5 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def publish(spark: SparkSession, leads: DataFrame, path: str, p: RunParams) -> int:
-    """Write the month once, then count what was written (not a second execution)."""
-    replace_month(leads, path, p.month_key)
-    return read_month(spark, path, p.month_key, schema=leads.schema).count()
+    """Publish the month (:func:`publish_month`); its rows, as counted by the write."""
+    return publish_month(leads, path, p.month_key).rows

@@ -23,17 +23,16 @@ from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
 from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
-    STAGED_BROADCAST_BYTES,
-    broadcast_if_bounded,
+    bounded_broadcast,
     dense_rank_within,
     materialize,
-    row_width,
     stage_table,
     staged_broadcast,
+    within_bounds,
 )
 from cohortkit.params import RunParams
 from cohortkit.session import remove_staged, staging_scope
-from cohortkit.sources.tables import RoleTables
+from cohortkit.sources.tables import RoleTables, read_roles
 
 
 # Upper bound on distinct cohort owners for the broadcast path (rows).
@@ -113,33 +112,35 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
     # staged cohort bounds its distinct owners by its own size on disk.
     if reuse == "table":
         base = stage_table(base_df, "cohort")[0]
-        owners = stage_table(C.cohort_owners(base), "owners")[0]
-        n_owners = owners.count()
-        owners_bounded = n_owners <= OWNER_MAX_ROWS
-        owners = F.broadcast(owners) if owners_bounded else owners
+        owners, n_owners = stage_table(C.cohort_owners(base), "owners")
     else:
         base = materialize(base_df, reuse, "cohort")
-        owners, owners_bounded = broadcast_if_bounded(C.cohort_owners(base), OWNER_MAX_ROWS)
-        n_owners = OWNER_MAX_ROWS
+        owners = C.cohort_owners(base)
+        n_owners = owners.count()
+    owners = bounded_broadcast(owners, OWNER_MAX_ROWS, n_owners)
 
     def per_owner(df: DataFrame) -> DataFrame:
         # Grouped by owner after the semi-join to the owner set: at most one row
         # per owner, so its size is bounded by the owners times its own width.
-        return F.broadcast(df) if owners_bounded and n_owners * row_width(df.schema) <= STAGED_BROADCAST_BYTES else df
+        return F.broadcast(df) if within_bounds(df, n_owners, OWNER_MAX_ROWS) else df
 
     cohort = C.with_insured(base, insureds)
     first = C.with_insured(C.first_contract(base), insureds)
     own_links = C.owner_policy_links(t, p, owners, reuse)
-    hold = C.holdings(t, p, owners, reuse=reuse, own_links=own_links)
+    history = C.policy_history(t, p, own_links, reuse)
+    hold = C.holdings(t, p, owners, reuse=reuse, history=history)
+    facts = C.owner_facts(history[0], p)
+    if reuse is not None:  # one grouped pass, read by the profile and by the flags
+        facts = stage_table(facts, "owner_facts")[0]
     summary = per_owner(C.holdings_summary(hold, p))
     agent_dim = D.agent_dimension(t, p)
-    first_dates = per_owner(P.first_join_dates(t, p, owners, own_links))
+    first_dates = per_owner(P.first_join_dates(t, p, facts=facts))
     profile = P.customer_profile(t, p, owners, summary, first_dates)
     policies = base.select("pol_num").distinct()
     if reuse is not None:
         policies = staged_broadcast(policies, OWNER_MAX_ROWS, reuse, "cohort_policies")
     pairs = FL.party_ids(t, p, policies=policies, reuse=reuse)
-    oflags = per_owner(FL.owner_flags(t, p, owners, insured_keys=insured_keys, own_links=own_links))
+    oflags = per_owner(FL.owner_flags(t, p, owners, insured_keys=insured_keys, facts=facts))
     combined = M.combine(first, profile, agent_dim, oflags, pairs)
     final = M.tag_exclusions(combined)
     if mode == "rejoin":
@@ -159,3 +160,9 @@ def run_month(spark: SparkSession, t: RoleTables, p: RunParams, out_path: str,
             return PB.publish(spark, build_stages(t, p, mode=mode, reuse=reuse).leads, out_path, p)
         finally:
             remove_staged(spark, made)
+
+
+def run(spark: SparkSession, sources: dict[str, str | DataFrame], p: RunParams, out_path: str,
+        propensity: str = "orc", mode: str = "in_place") -> int:
+    """One monthly run from its sources: the parameters choose the month, the snapshots and the propensity month."""
+    return run_month(spark, read_roles(spark, sources, p, propensity), p, out_path, mode=mode)

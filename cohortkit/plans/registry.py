@@ -23,10 +23,10 @@ from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
-from cohortkit.operators.common import annualized, links_of
+from cohortkit.operators.common import annualized, links_of, staged_broadcast
 from cohortkit.params import RunParams
 from cohortkit.plans import oracle as O
-from cohortkit.plans.leads import build_stages
+from cohortkit.plans.leads import OWNER_MAX_ROWS, build_stages, run
 from cohortkit.session import staging_path
 from cohortkit.sources import orc as ORC
 from cohortkit.sources.fixtures import FIXTURE_PARAMS, build_fixture_tables, need_struct_frame
@@ -65,6 +65,11 @@ def stages(spark: SparkSession, sf: str, mode: str = "in_place"):
 
 
 
+def _owners(t: RoleTables) -> DataFrame:
+    """The distinct cohort owners, staged once and broadcast within their bound."""
+    return staged_broadcast(C.cohort_owners(C.active_cohort(t, PR, rank=None)), OWNER_MAX_ROWS, "table", "owners")
+
+
 RQ, SQ = O.roles_query, O.stage_query
 L = O.Lit(PR)
 ME = L.me
@@ -149,15 +154,20 @@ def src_partition_union(spark, sf):
     return df.select(*[c.strip() for c in _NEW_NEED_COLS.split(",")], "extra_note")
 
 
-@register("src_partition_union_widened", RQ("SELECT pol_num, CAST(cli_num AS BIGINT) AS n FROM "
-                                            "(SELECT pol_num, ROW_NUMBER() OVER (ORDER BY pol_num) * 0 + 7 AS cli_num FROM r_policy)"))
+@register("src_partition_union_widened", RQ(
+    "SELECT pol_num, 7::BIGINT AS n, CAST(pol_num % 1000 * 0.25 AS DECIMAL(14,4)) AS amount, CAST(pol_num % 90 AS DECIMAL(13,3)) AS fee, "
+    "CAST(pol_iss_dt AS TIMESTAMP) AS issued FROM r_policy"))
 def src_partition_union_widened(spark, sf):
-    """Two directories whose column differs in width (int, bigint) and order; a third lacks a required name."""
+    """Directories whose columns differ in type (integers, decimals, dates) and order; a third lacks a required name."""
     root = staging_path(spark, "widened")
-    pol = roles(spark, sf).policy.select("pol_num")
+    pol = roles(spark, sf).policy.select("pol_num", "pol_iss_dt")
     even = F.pmod(F.xxhash64("pol_num"), F.lit(2)) == 0
-    pol.where(even).select("pol_num", F.lit(7).alias("n")).write.orc(f"{root}/part=a")
-    pol.where(~even).select(F.lit(7).cast("bigint").alias("n"), "pol_num").write.orc(f"{root}/part=b")
+    amount, fee = F.col("pol_num") % 1000 * F.lit("0.25").cast("decimal(3,2)"), F.col("pol_num") % 90
+    pol.where(even).select("pol_num", F.lit(7).alias("n"), amount.cast("decimal(10,2)").alias("amount"), fee.cast("int").alias("fee"),
+                           F.col("pol_iss_dt").alias("issued")).write.orc(f"{root}/part=a")
+    pol.where(~even).select(F.lit(7).cast("bigint").alias("n"), amount.cast("decimal(14,4)").alias("amount"),
+                            F.col("pol_iss_dt").cast("timestamp").alias("issued"), fee.cast("decimal(5,3)").alias("fee"),
+                            "pol_num").write.orc(f"{root}/part=b")
     pol.select("pol_num").write.orc(f"{root}/part=c")
     refused: list[str] = []
     df = ORC.read_partition_union(spark, root, required=["pol_num", "n"], refused=refused)
@@ -168,16 +178,15 @@ def src_partition_union_widened(spark, sf):
 
 @register("src_roles_orc", SQ(O.leads_sql(PR, "in_place")))
 def src_roles_orc(spark, sf):
-    """The published leads of a run that reads both propensity models from their ORC layouts."""
-    from dataclasses import replace
-
-    from cohortkit.sources.tables import ROLE_COLUMNS, conform
-    t = roles(spark, sf)
-    need = conform(ORC.unwrap_struct(ORC.read_orc_snapshot(spark, _write_need_snapshots(spark, sf), "monthend_dt", PR.needs_month)), "need")
+    """The published leads of a run whose parameters choose the ORC snapshot of the propensity model."""
+    sources = dict(vars(roles(spark, sf)))
+    sources["need"] = _write_need_snapshots(spark, sf)
     root = staging_path(spark, "new_need_full")
-    t.new_need.withColumn("part", F.col("month")).write.partitionBy("part").orc(root)
-    new = conform(ORC.read_partition_union(spark, root, required=ROLE_COLUMNS["new_need"][0]), "new_need")
-    return build_stages(replace(t, need=need, new_need=new), PR).leads
+    sources["new_need"].withColumn("part", F.col("month")).write.partitionBy("part").orc(root)
+    sources["new_need"] = root
+    out = staging_path(spark, "leads_from_orc")
+    run(spark, {r: sources[r] for r in RoleTables.role_names()}, PR, out)
+    return PB.read_published(spark, out)
 
 
 @register("set_union_all", RQ(
@@ -212,7 +221,7 @@ def snk_empty_rerun(spark, sf):
     empty = C.active_cohort(t, PR, rank=None).where("false")
     if PB.publish(spark, empty, path, PR) != 0:
         raise ValueError("the month was not cleared")
-    return PB.read_published(spark, path, schema=empty.schema)
+    return PB.read_published(spark, path)
 
 
 @register("snk_row_count", SQ("SELECT COUNT(*) AS row_count FROM m_cohort"))
@@ -220,6 +229,16 @@ def snk_row_count(spark, sf):
     return PB.row_count(C.active_cohort(roles(spark, sf), PR, rank=None))
 
 
+@register("snk_published_counts", SQ(
+    "SELECT onb_mth_yr AS month, COUNT(*) AS rows, COUNT(*) FILTER (po_num IS NULL) AS null_keys FROM m_cohort GROUP BY ALL"))
+def snk_published_counts(spark, sf):
+    """What the write of a month counted, from its pointer: no second read of the rows."""
+    path = staging_path(spark, "leads_counts")
+    PB.publish(spark, C.active_cohort(roles(spark, sf), PR, rank=None), path, PR)
+    found = [(v.month, v.rows, v.null_keys) for v in PB.published_versions(spark, path)]
+    return spark.createDataFrame(found, "month string, rows long, null_keys long")
+
+
 @register("agg_count_distinct_global", RQ("SELECT COUNT(DISTINCT cli_num) AS unique_cli_num_count FROM r_need"))
 def agg_count_distinct_global(spark, sf):
     root = _write_need_snapshots(spark, sf)
@@ -470,7 +489,7 @@ def agg_first_date(spark, sf):
 @register("agg_holdings", SQ('SELECT po_num, total_ape, pol_cnt, "10yr_pol_cnt" FROM m_holding_sum'))
 def agg_holdings(spark, sf):
     t = roles(spark, sf)
-    owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
+    owners = _owners(t)
     return C.holdings_summary(C.holdings(t, PR, owners), PR)
 
 
@@ -505,7 +524,7 @@ def win_dense_rank_contract(spark, sf):
 @register("win_dense_rank_date", SQ("SELECT DISTINCT po_num, pol_iss_dt, purchase_order_base FROM m_holdings"))
 def win_dense_rank_date(spark, sf):
     t = roles(spark, sf)
-    owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
+    owners = _owners(t)
     return C.holdings(t, PR, owners, rank="split").select("po_num", "pol_iss_dt", "purchase_order_base").distinct()
 
 
@@ -527,7 +546,7 @@ def cohort_active(spark, sf):
 @register("holdings_all", SQ("SELECT * FROM m_holdings"))
 def holdings_all(spark, sf):
     t = roles(spark, sf)
-    owners = C.cohort_owners(C.active_cohort(t, PR, rank=None))
+    owners = _owners(t)
     return C.holdings(t, PR, owners, rank="split")
 
 

@@ -97,12 +97,41 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def path_bytes(spark: SparkSession, path: str) -> int:
-    """Bytes on disk under ``path`` (file-system metadata; no Spark job)."""
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (Hadoop FileSystem API); none if there is no such folder."""
+    folder, fs = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, whole."""
+    file, fs = _file_system(spark, path)
+    stream = fs.open(file)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file beside ``path`` and rename it over ``path``: readers see the old or the new one whole."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+    file, fs = _file_system(spark, path)
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex[:12]}.new")
+    stream = fs.create(fresh)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.makeQualified(file).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(file), options)
 
 
 def remove_staged(spark: SparkSession, paths: list[str]) -> int:

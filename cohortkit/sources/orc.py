@@ -19,18 +19,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ByteType,
-    DataType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    LongType,
-    NullType,
-    ShortType,
-    StringType,
-    StructType,
-)
+from pyspark.sql.types import NullType, StringType, StructType
 
 
 def read_orc_snapshot(spark: SparkSession, root: str, partition_col: str, value: str,
@@ -87,14 +76,16 @@ def gate_schema(schema: StructType, min_columns: int | None = None,
     return True
 
 
-def wider(a: DataType, b: DataType) -> DataType:
-    """The type that holds values of both (whole numbers, then floating point, then text)."""
-    order = [ByteType(), ShortType(), IntegerType(), LongType(), FloatType(), DoubleType()]
-    if a == b:
-        return a
-    if a in order and b in order:
-        return order[max(order.index(a), order.index(b))]
-    return StringType()
+def refuse_mixed_text(schemas: Sequence[StructType]) -> None:
+    """Raise if a column is text in one schema and something else in another: neither reading would be safe."""
+    kinds: dict[str, set[bool]] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            if not isinstance(f.dataType, NullType):
+                kinds.setdefault(f.name.lower(), set()).add(isinstance(f.dataType, StringType))
+    mixed = sorted(name for name, k in kinds.items() if len(k) > 1)
+    if mixed:
+        raise ValueError(f"columns that are text in some directories only: {mixed}")
 
 
 def read_partition_union(spark: SparkSession, root: str, fmt: str = "orc",
@@ -104,8 +95,10 @@ def read_partition_union(spark: SparkSession, root: str, fmt: str = "orc",
                          refused: list[str] | None = None) -> DataFrame:
     """Union of the partition directories of ``root`` that pass the schema gate.
 
-    Columns are matched by name (never by position) and widened where their
-    types differ between directories; directories of one schema are one scan.
+    Columns are matched by name (never by position); where their types differ
+    between directories, Spark's union finds the common type (wider integers,
+    decimals, timestamps for dates), but text is never mixed with other types.
+    Directories of one schema are one scan.
     Refused directories are appended to ``refused``.  If no directory passes,
     an empty frame with ``empty_schema`` is returned instead of failing.
     """
@@ -120,15 +113,7 @@ def read_partition_union(spark: SparkSession, root: str, fmt: str = "orc",
         if empty_schema is None:
             raise ValueError(f"no partition of {root} passes the schema gate")
         return spark.createDataFrame([], empty_schema)
-    types: dict[str, DataType] = {}
-    for schema in groups:
-        for f in schema.fields:
-            if not isinstance(f.dataType, NullType):
-                types[f.name] = wider(types.get(f.name, f.dataType), f.dataType)
-    parts = []
-    for schema, children in groups.items():
-        df = spark.read.format(fmt).schema(schema).load(children)
-        here = non_null_fields(schema)
-        parts.append(df.select(*[F.col(n).cast(types[n]).alias(n) if n in here else F.lit(None).cast(types[n]).alias(n)
-                                 for n in types]))
-    return reduce(DataFrame.unionByName, parts)
+    refuse_mixed_text(list(groups))
+    parts = [spark.read.format(fmt).schema(schema).load(children).select(*non_null_fields(schema))
+             for schema, children in groups.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

@@ -12,7 +12,9 @@ from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from cohortkit.params import RunParams
 from cohortkit.sources.orc import read_orc_snapshot, read_partition_union, unwrap_struct
 
 # Columns each role must provide, and which of them are dates.
@@ -44,6 +46,17 @@ ROLE_COLUMNS: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
 }
 
 
+# Columns that rules compare or add as numbers: text in their place is refused
+# ('10' sorts before '2').
+ROLE_NUMBERS: dict[str, tuple[str, ...]] = {
+    "coverage": ("cvg_prem",),
+    "policy": ("pmt_mode",),
+    "customers": ("cur_age", "mthly_incm"),
+    "need": ("decile_acc", "decile_ci", "decile_med", "decile_inv", "decile_lp", "decile_lt"),
+    "new_need": ("ci_decile", "invst_decile", "lt_decile"),
+}
+
+
 @dataclass
 class RoleTables:
     """All inputs of one run, as DataFrames (no catalog, no temp views)."""
@@ -76,12 +89,15 @@ class ContractError(ValueError):
 
 
 def conform(df: DataFrame, role: str) -> DataFrame:
-    """Select the role's columns (pruning) and cast its dates to DATE."""
+    """Select the role's columns (pruning) and cast its dates to DATE; numbers must be numbers."""
     cols, dates = ROLE_COLUMNS[role]
-    present = {c.lower() for c in df.columns}
+    present = {f.name.lower(): f.dataType for f in df.schema}
     missing = [c for c in cols if c.lower() not in present]
     if missing:
         raise ContractError(f"{role}: missing columns {missing}")
+    texts = [c for c in ROLE_NUMBERS.get(role, ()) if isinstance(present[c.lower()], StringType)]
+    if texts:
+        raise ContractError(f"{role}: text where numbers are compared {texts}")
     return df.select(*[F.col(c).try_cast("date").alias(c) if c in dates else F.col(c) for c in cols])
 
 
@@ -91,16 +107,27 @@ def read_parquet(spark: SparkSession, path: str, role: str | None = None) -> Dat
     return conform(df, role) if role else df
 
 
-def read_roles(spark: SparkSession, paths: dict[str, str], needs_month: str | None = None) -> RoleTables:
-    """Read every role from its own Parquet directory.
+def read_roles(spark: SparkSession, sources: dict[str, str | DataFrame], params: RunParams | None = None,
+               propensity: str = "parquet") -> RoleTables:
+    """Read every role from its own Parquet directory (or take it from a frame), by its contract.
 
-    With ``needs_month`` the two propensity models come from their ORC layouts: ``need`` is one month of a
-    table of structs (``monthend_dt`` partitions, struct column ``row``), ``new_need`` a family of directories.
+    With ``propensity="orc"`` the two propensity models are read from their ORC layouts: ``need`` is the
+    snapshot of ``params.needs_month`` in a table of structs (``monthend_dt`` partitions, struct column
+    ``row``), ``new_need`` a family of directories whose schemas drift.
     """
-    found = {r: read_parquet(spark, paths[r], r) for r in RoleTables.role_names()
-             if needs_month is None or r not in ("need", "new_need")}
-    if needs_month is not None:
-        snapshot = read_orc_snapshot(spark, paths["need"], "monthend_dt", needs_month)
-        found["need"] = conform(unwrap_struct(snapshot), "need")
-        found["new_need"] = conform(read_partition_union(spark, paths["new_need"], required=ROLE_COLUMNS["new_need"][0]), "new_need")
-    return RoleTables(**found)
+    if propensity not in ("parquet", "orc"):
+        raise ValueError(f"unknown propensity layout {propensity!r}")
+    if propensity == "orc" and params is None:
+        raise ValueError("the ORC snapshot is chosen by the run parameters (needs_month)")
+
+    def role(name: str) -> DataFrame:
+        source = sources[name]
+        if not isinstance(source, str):
+            return conform(source, name)
+        if propensity == "orc" and name == "need":
+            return conform(unwrap_struct(read_orc_snapshot(spark, source, "monthend_dt", params.needs_month)), name)
+        if propensity == "orc" and name == "new_need":
+            return conform(read_partition_union(spark, source, required=ROLE_COLUMNS[name][0]), name)
+        return read_parquet(spark, source, name)
+
+    return RoleTables(**{r: role(r) for r in RoleTables.role_names()})

@@ -27,7 +27,7 @@ def tables(spark):
 
 
 def test_cohort_month_filter_is_pushed_and_columns_pruned(tables):
-    text = _formatted(C.active_cohort(tables, FIXTURE_PARAMS, rank=None))
+    text = _formatted(C.active_cohort(tables, FIXTURE_PARAMS, rank=None, reuse=None))
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThan(o_orderdate" in text
     lineitem_schema = [ln for ln in text.splitlines() if ln.startswith("ReadSchema") and "l_orderkey" in ln]
     assert lineitem_schema and all("l_quantity" not in ln and "l_tax" not in ln for ln in lineitem_schema)

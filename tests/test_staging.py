@@ -63,9 +63,11 @@ def test_empty_rerun_clears_its_month(spark, tmp_path):
     rows = spark.createDataFrame([("a", "202301"), ("b", "202302")], "po_num string, onb_mth_yr string")
     out = str(tmp_path / "leads")
     for key in ("202301", "202302"):
-        PB.replace_month(rows, out, key)
-    PB.replace_month(rows.where("false"), out, "202302")
-    assert [tuple(r) for r in PB.read_published(spark, out, schema=rows.schema).collect()] == [("a", "202301")]
+        PB.publish_month(rows, out, key)
+    PB.publish_month(rows.where("false"), out, "202302")
+    assert [tuple(r) for r in PB.read_published(spark, out).collect()] == [("a", "202301")]
+    PB.publish_month(rows.where("false"), out, "202301")
+    assert PB.read_published(spark, out).collect() == []
     assert remove_staged(spark, []) == 0
 
 
@@ -78,6 +80,6 @@ def test_totals_above_ten_to_the_twelfth_and_malformed_dates(spark):
                                  "po_num string, pol_num string, inforce_ape decimal(18,6), inforce_year int")
     assert holdings_summary(held, SMOKE_PARAMS).first()["total_ape"] == Decimal(2) * Decimal(10) ** 13
     cols, dates = ROLE_COLUMNS["policy"]
-    one = spark.createDataFrame([tuple("not a date" if c in dates else "x" for c in cols)], list(cols))
+    one = spark.createDataFrame([tuple(1 if c == "pmt_mode" else "not a date" if c in dates else "x" for c in cols)], list(cols))
     got = conform(one, "policy").first()
     assert all(got[c] is None for c in dates)
