@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,20 +34,44 @@ def location_managers(structure: DataFrame, agents: DataFrame) -> DataFrame:
             .select("loc_code", "loc_mrg", "mgr_nm").distinct())
 
 
-def agent_dimension(t: RoleTables, p: RunParams) -> DataFrame:
+def as_of(df: DataFrame, keys: Sequence[str], effective: str | None = None, at: object = None) -> DataFrame:
+    """One row for each key: that with the latest ``effective`` value up to ``at`` (no date or limit: of all rows).
+
+    Ties go to the greatest of the remaining columns, in their order, NULL below
+    any value; so the row depends on the data alone, not on how it is read.
+    One grouped pass with map-side combine (``max_by``); keys stay columns.
+    """
+    rest = [c for c in df.columns if c not in keys and c != effective]
+    if effective is not None and at is not None:
+        df = df.where(F.col(effective) <= F.lit(at))
+    # a flag before each value: max() of a struct orders NULL first anyway, the flag states it
+    order = F.struct(*([F.col(effective)] if effective else []), *[x for c in rest for x in (F.col(c).isNotNull(), F.col(c))])
+    kept = ([effective] if effective else []) + rest
+    best = df.groupBy(*keys).agg(F.max_by(F.struct(*kept), order).alias("_row"))
+    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in kept]).select(*df.columns)
+
+
+def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False) -> DataFrame:
     """Servicing-channel agents with their descriptive attributes, DISTINCT.
 
     All right sides are dimensions keyed by agent or location; the agent table
     itself drives the joins.  Duplicate right-side keys multiply rows exactly
-    as in SQL; DISTINCT then removes only identical rows.
+    as in SQL; DISTINCT then removes only identical rows.  With ``unique``
+    each right side has one row for each key (:func:`as_of`), the scorecard
+    its last snapshot up to the run's, so no lead is multiplied.
     """
     sa = t.agents.where(F.col("comp_prvd_num").isin(*p.servicing_channels))
     can = t.candidates.select("can_num", "email_addr", F.col("id_num").alias("agt_id_num"))
     loc = t.locations.select("loc_code", "city", "region")
     rh = t.regional_heads.select(F.col("loc_cd").alias("loc_code"), F.col("rh_name").alias("agent_rh"))
-    sc = scorecard_snapshot(t.scorecard, p.scorecard_month_end)
     mgr = location_managers(t.structure, t.agents).select(
         "loc_code", F.col("loc_mrg").alias("mgr_cd"), "mgr_nm")
+    if unique:
+        can, loc, rh, mgr = as_of(can, ["can_num"]), as_of(loc, ["loc_code"]), as_of(rh, ["loc_code"]), as_of(mgr, ["loc_code"])
+        sc = as_of(t.scorecard.select("agt_code", "monthend_dt", "agent_tier", "agent_cluster"), ["agt_code"],
+                   "monthend_dt", p.scorecard_month_end).drop("monthend_dt")
+    else:
+        sc = scorecard_snapshot(t.scorecard, p.scorecard_month_end)
     df = (sa.join(can, "can_num", "left")
             .join(loc, "loc_code", "left")
             .join(rh, "loc_code", "left")

@@ -8,6 +8,7 @@ the session's checkpoint directory and read back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from cohortkit.plans import oracle as O
 from cohortkit.plans.leads import OWNER_MAX_ROWS, build_stages, run
 from cohortkit.session import staging_path
 from cohortkit.sources import orc as ORC
+from cohortkit.sources.bucketed import with_bucketed, write_bucketed
 from cohortkit.sources.fixtures import FIXTURE_PARAMS, build_fixture_tables, need_struct_frame
 from cohortkit.sources.tables import RoleTables, conform, read_parquet
 
@@ -113,6 +115,15 @@ def src_orc_snapshot(spark, sf):
     return snap.select("monthend_dt", F.col("row.cli_num").alias("cli_num"))
 
 
+@register("src_bucketed_roles", SQ("SELECT * FROM m_cohort"))
+def src_bucketed_roles(spark, sf):
+    """The cohort from coverage, policy and links stored bucketed by policy number."""
+    prefix = f"roles_{uuid.uuid4().hex[:12]}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    write_bucketed(roles(spark, sf), prefix, buckets, staging_path(spark, prefix))
+    return C.active_cohort(with_bucketed(spark, roles(spark, sf), prefix), PR)
+
+
 @register("src_struct_unwrap", RQ("SELECT * FROM r_need"))
 def src_struct_unwrap(spark, sf):
     root = _write_need_snapshots(spark, sf)
@@ -684,6 +695,45 @@ def dim_agent(spark, sf):
     return D.agent_dimension(roles(spark, sf), PR)
 
 
+def _last(rows: str, key: str, order: str) -> str:
+    """One row for each key: the last by ``order``."""
+    return f"(SELECT * FROM {rows} QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY {order}) = 1)"
+
+
+def _descending(*columns: str) -> str:
+    return ", ".join(f"{c} DESC NULLS LAST" for c in columns)
+
+
+_PLANTED = (("p_location", "SELECT * FROM r_location UNION ALL SELECT * REPLACE ('Old ' || city AS city) FROM r_location UNION ALL FROM r_location"),
+            ("p_candidate", "SELECT * FROM r_candidate UNION ALL SELECT * REPLACE (NULL AS email_addr) FROM r_candidate"),
+            ("p_scorecard", "SELECT * FROM r_scorecard UNION ALL SELECT * REPLACE ('2999-12-31' AS monthend_dt, 'later' AS agent_tier) "
+             "FROM r_scorecard UNION ALL SELECT * REPLACE ('zz' AS agent_cluster) FROM r_scorecard"))
+
+
+@register("dim_agent_asof", O.roles_query(
+    f"SELECT a.agt_code, lo.city, lo.region, ca.email_addr, ca.id_num AS agt_id_num, sc.agent_tier, sc.agent_cluster, "
+    f"hd.rh_name AS agent_rh, mg.loc_mrg AS mgr_cd FROM r_agent a "
+    f"LEFT JOIN {_last('p_location', 'loc_code', _descending('city', 'region'))} lo ON lo.loc_code = a.loc_code "
+    f"LEFT JOIN {_last('p_candidate', 'can_num', _descending('email_addr', 'id_num'))} ca ON ca.can_num = a.can_num "
+    f"LEFT JOIN {_last(f'(FROM p_scorecard WHERE monthend_dt <= {O.q(PR.scorecard_month_end)})', 'agt_code', _descending('monthend_dt', 'agent_tier', 'agent_cluster'))} sc "
+    "ON sc.agt_code = a.agt_code "
+    f"LEFT JOIN {_last('r_head', 'loc_cd', _descending('rh_name'))} hd ON hd.loc_cd = a.loc_code "
+    f"LEFT JOIN {_last('m_managers', 'loc_code', _descending('loc_mrg', 'mgr_nm'))} mg ON mg.loc_code = a.loc_code "
+    f"WHERE a.comp_prvd_num IN {O.in_list(PR.servicing_channels)}", PR, _PLANTED))
+def dim_agent_asof(spark, sf):
+    """The agent dimension over right sides with planted duplicates and later snapshots: one row for each agent."""
+    from dataclasses import replace
+    t = roles(spark, sf)
+    loc, can, sc = t.locations, t.candidates, t.scorecard
+    planted = replace(
+        t, locations=loc.unionByName(loc.withColumn("city", F.concat(F.lit("Old "), "city"))).unionByName(loc),
+        candidates=can.unionByName(can.withColumn("email_addr", F.lit(None).cast("string"))),
+        scorecard=sc.unionByName(sc.withColumn("monthend_dt", F.lit("2999-12-31")).withColumn("agent_tier", F.lit("later")))
+        .unionByName(sc.withColumn("agent_cluster", F.lit("zz"))))
+    return D.agent_dimension(planted, PR, unique=True).select(
+        "agt_code", "city", "region", "email_addr", "agt_id_num", "agent_tier", "agent_cluster", "agent_rh", "mgr_cd")
+
+
 @register("dim_agent_manager", RQ(
     "FROM m_managers"))
 def dim_agent_manager(spark, sf):
@@ -893,6 +943,28 @@ def dq_dimension_keys(spark, sf):
     return dimension_key_report(roles(spark, sf), PR)
 
 
+@register("dq_dropped_rows", SQ(f"""
+SELECT CASE WHEN x.pol_num IS NULL THEN 'no policy'
+            WHEN YEAR(x.pol_iss_dt) <> {L.year} OR MONTH(x.pol_iss_dt) <> {L.month} THEN 'issued outside the month'
+            WHEN x.pol_stat_cd NOT IN {O.in_list(PR.inforce_status)} THEN 'not in force'
+            WHEN NOT EXISTS (FROM r_agent w WHERE w.agt_code = x.wa_cd_1 AND w.comp_prvd_num IN {O.in_list(PR.writing_channels)})
+              THEN 'writing agent does not qualify'
+            WHEN NOT EXISTS (FROM r_agent s WHERE s.agt_code = x.agt_code AND s.comp_prvd_num IN {O.in_list(PR.servicing_channels)})
+              THEN 'servicing agent does not qualify'
+            WHEN NOT EXISTS (FROM r_link k WHERE k.pol_num = c.pol_num AND k.link_typ = 'O') THEN 'no owner'
+            WHEN NOT EXISTS (FROM r_link k WHERE k.pol_num = c.pol_num AND k.link_typ = 'I') THEN 'no insured'
+            WHEN NOT EXISTS (FROM m_cohort k WHERE k.pol_num = c.pol_num AND k.purchase_order_base = 1) THEN 'not the first contract of an owner'
+            WHEN NOT (c.cvg_typ = 'B' AND c.cvg_reasn = 'O') THEN 'not a base coverage'
+            WHEN NOT EXISTS (FROM m_cohort k JOIN r_customer u ON u.cli_num = k.po_num AND u.cli_typ = 'Individual'
+                             WHERE k.pol_num = c.pol_num AND k.purchase_order_base = 1) THEN 'first owner is no individual customer'
+            ELSE 'kept' END AS reason, COUNT(*) AS coverages
+FROM r_coverage c LEFT JOIN r_policy x USING (pol_num) GROUP BY ALL"""))
+def dq_dropped_rows(spark, sf):
+    """Where the coverage rows of a run go: the first reason of each for leaving, or kept."""
+    from cohortkit.operators.quality import dropped_row_ledger
+    return dropped_row_ledger(roles(spark, sf), PR)
+
+
 @register("dq_dropped_owners", SQ(
     "SELECT 'cohort_owners' AS \"check\", COUNT(DISTINCT po_num) AS value FROM m_cohort UNION ALL "
     "SELECT 'owners_without_individual_profile', COUNT(*) FROM (SELECT DISTINCT po_num FROM m_cohort) o "

@@ -74,3 +74,62 @@ def test_contract_selects_role_columns_and_casts_dates(spark):
     t = t.withColumn("batch_start_date", F.to_timestamp("batch_start_date"))
     out = conform(t, "targets").first()
     assert str(out.batch_start_date) == "2023-01-15"
+
+
+def test_partition_union_takes_common_types_and_refuses_text(spark):
+    from decimal import Decimal
+    root = staging_path(spark, "t_types")
+    spark.sql("select 1 as k, cast(1.25 as decimal(10,2)) as d, 7 as n, date'2023-01-01' as t").write.orc(f"{root}/a")
+    spark.sql("select 2L as k, cast(2.125 as decimal(12,3)) as d, cast(0.5 as decimal(5,1)) as n, timestamp'2023-01-02 03:00:00' as t").write.orc(f"{root}/b")
+    df = ORC.read_partition_union(spark, root)
+    types = dict(df.dtypes)
+    assert types == {"k": "bigint", "d": "decimal(12,3)", "n": "decimal(11,1)", "t": "timestamp"}
+    assert sorted((r.k, r.d, r.n) for r in df.collect()) == [(1, Decimal("1.250"), Decimal("7.0")), (2, Decimal("2.125"), Decimal("0.5"))]
+    spark.sql("select 3 as k, '10' as d").write.orc(f"{root}/c")
+    with pytest.raises(ValueError, match="text"):
+        ORC.read_partition_union(spark, root)
+
+
+def test_text_deciles_are_refused(spark):
+    df = spark.createDataFrame([("P1", "2023-03", "10", "2", "3")], "po_num string, month string, ci_decile string, invst_decile string, lt_decile string")
+    with pytest.raises(ContractError, match="ci_decile"):
+        conform(df, "new_need")
+
+
+def test_the_run_parameters_choose_the_propensity_month(spark, tmp_path):
+    """Two snapshots of the model; runs of two needs_month read one each, and publish different hits."""
+    import datetime as dt
+    from decimal import Decimal
+
+    from cohortkit.operators.publish import read_published
+    from cohortkit.params import RunParams
+    from cohortkit.plans.leads import run
+    from cohortkit.sources.tables import RoleTables, read_roles
+    from tests.units import SCHEMAS, make_roles
+    iss = dt.date(2023, 2, 10)
+    t = make_roles(
+        spark, policy=[dict(pol_num="P1", pmt_mode=12, pol_iss_dt=iss, pol_stat_cd="1", wa_cd_1="W", agt_code="A")],
+        coverage=[dict(pol_num="P1", plan_code="B", vers_num="1", cvg_stat_cd="1", cvg_typ="B", cvg_reasn="O",
+                       cvg_prem=Decimal("10.00"), cvg_iss_dt=iss)],
+        links=[dict(pol_num="P1", cli_num="C1", link_typ=x) for x in "OI"],
+        customers=[dict(cli_num="C1", cli_typ="Individual", mthly_incm=Decimal(1))],
+        agents=[dict(agt_code=a, comp_prvd_num="01", stat_cd="01") for a in "WA"])
+    names = [part.split()[0] for part in SCHEMAS["need"].split(", ")]
+    root, new = str(tmp_path / "need"), str(tmp_path / "new")
+    for month, decile in (("2023-02", 9), ("2023-03", 1)):
+        row = tuple("C1" if n == "cli_num" else decile if n.startswith("decile") else "H" for n in names)
+        (spark.createDataFrame([row], SCHEMAS["need"]).select(F.struct("*").alias("row"), F.lit(month).alias("monthend_dt"))
+         .write.mode("append").partitionBy("monthend_dt").orc(root))
+    spark.createDataFrame([("C9", "2023-02", 1, 1, 1)], SCHEMAS["new_need"]).write.orc(f"{new}/m=1")
+    sources = {r: getattr(t, r) for r in RoleTables.role_names()} | {"need": root, "new_need": new}
+    hits = {}
+    for month in ("2023-02", "2023-03"):
+        p = RunParams(month_end=dt.date(2023, 2, 28), run_date=dt.date(2023, 4, 1), needs_month=month)
+        out = str(tmp_path / f"leads-{month}")
+        assert run(spark, sources, p, out) == 1
+        hits[month] = read_published(spark, out).first()["high_prop_model"]
+    assert hits == {"2023-02": "N", "2023-03": "Y"}
+    with pytest.raises(ValueError, match="needs_month"):
+        read_roles(spark, sources, propensity="orc")
+    with pytest.raises(ValueError, match="layout"):
+        read_roles(spark, sources, propensity="csv")
