@@ -1,26 +1,28 @@
 """MinHash near-dedup with DartMinHash signatures, banded joins and exact checks.
 
-A text is a weighted set: its five-word shingles, weighted 1 + ln(occurrences).  DartMinHash throws hashed
-darts into the plane (weight x rank) of each element: the plane is cut into cells, each cell's number of
-darts and their places follow from a hash of (element, cell), and only darts below the element's weight
-count.  Darts of rank up to a bound that falls with the total weight are thrown (about k ln k + 2k of them,
-whatever the size of the text); each is hashed to one of k coordinates, and the earliest dart of a
-coordinate is its value.  Two texts agree in a coordinate with the probability of their weighted Jaccard
-similarity.  A text whose darts leave a coordinate empty throws up to twice the rank.
-
-Equal word sequences are one class from the start (a grouped aggregate), represented by the smallest id.
-Bands of coordinates deal the representatives into buckets.  A bucket of two is a pair; a larger one is cut
-into blocks of bounded size, dealt by a hash, and each block finds its classes on the whole shingle sets:
-a class grows from its smallest id, and only members that have no class yet are compared.  Then, in buckets
-of several blocks, the members outside the bucket's commonest class meet all members of other classes,
-block by block.  So each pair of a bucket is either compared or already in one class, no pairs are written
-(a block returns one link for each member that it places), and a group of near copies of any size is spread
-over many tasks.  Links make classes by propagating the smallest id with pointer jumping.  Only ids and
-hashes are shuffled until the checks; the sets of documents that share a bucket are built once.
-
-Cases: word-free texts are one class if they are equal (null as the empty text); a text of fewer than five words
-is one shingle; repeated rows of an id are one document (one row in the result, its smallest text counts); null
-ids are left out of the classes and returned as they came, without a class; an empty table gives no rows.
+A text is the set of its five-word shingles, and two texts are near copies from a Jaccard similarity of 0.8 on.
+The signatures weight a shingle 1 + ln(occurrences) / 10, so that repeated ones count a little more while the
+weighted similarity stays close to the plain one that decides.  DartMinHash throws hashed darts into the plane
+(weight x rank) of each element: the plane is cut into cells, each cell's number of darts and their places follow
+from a hash of (element, cell), and only darts below the element's weight count.  Darts of rank up to a bound that
+falls with the total weight are thrown (about k ln k + 2k of them, whatever the size of the text); each is hashed
+to one of k coordinates, and the earliest dart of a coordinate is its value.  Two texts agree in a coordinate with
+the probability of their weighted similarity.  A text whose darts leave a coordinate empty throws up to twice the rank.
+
+Equal word sequences are one node from the start (a grouped aggregate) with one text of theirs.  Bands of
+coordinates deal the nodes into buckets.  A bucket of two is a pair; a larger one is cut into blocks of bounded
+size, dealt by a hash, and each block finds its classes on the whole shingle sets: a class grows from its smallest
+node, and only members that have no class yet are compared.  Then, in buckets of several blocks, the members
+outside the bucket's commonest class meet all members of other classes, block by block.  So each pair of a bucket
+is either compared or already in one class, no pairs are written (a block returns one link for each member that it
+places), and a group of near copies of any size is spread over many tasks.  Links make classes by propagating the
+smallest node with pointer jumping; a class is named by its smallest document id.  Only ids and hashes are shuffled
+until the checks; the sets of texts that share a bucket are built once.
+
+Cases: word-free texts are one node if they are equal (null as the empty text); a text of fewer than five words
+is one shingle; ids are BIGINT (other types are cast); repeated rows of an id are one document, and if their texts
+differ, it is linked by each of them, so that its classes are one; null ids are left out of the classes and
+returned as they came, without a class; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -36,10 +38,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, prepare, staged, table, texts_of, to_arrow
+from cohortkit.llm.common import batches, kept, prepare, scratch, staged, table, texts_of, to_arrow
 
 WORDS = 5
 SIMILAR = 0.8
+#: How much the logarithm of a shingle's occurrences adds to its weight in the signature.
+SLOPE = 0.1
 BANDS, ROWS = 24, 6
 #: Members of one block (buckets up to this size are compared whole), and bytes of their shingle sets.
 BLOCK, BLOCK_BYTES = 256, 16 << 20
@@ -48,7 +52,7 @@ COLUMNS = np.array([0.0, *(2.0**e for e in range(-4, 12))])
 WORD = re.compile(r"\w+")
 U = np.uint64
 
-SIGNATURE = pa.schema([("doc_id", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64()))])
+SIGNATURE = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -81,17 +85,16 @@ def shingles(words: list[str], size: int = WORDS) -> np.ndarray:
 
 
 def weights(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingles, weights) of one text."""
+    """(distinct shingles, weights) of one text, as the signature sees it."""
     keys, n = np.unique(hashes, return_counts=True)
-    return keys, 1 + np.log(n)
+    return keys, 1 + SLOPE * np.log(n)
 
 
-def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two weighted sets; two empty ones are alike."""
-    shared, ia, ib = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    low = np.minimum(a[1][ia], b[1][ib]).sum()
-    total = a[1].sum() + b[1].sum() - low
-    return float(low / total) if total else 1.0
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity of two sets of distinct shingles; two empty ones are alike."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    total = len(a) + len(b) - shared
+    return shared / total if total else 1.0
 
 
 def poisson_steps(mean: float) -> np.ndarray:
@@ -183,49 +186,62 @@ def band_hashes(values: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.
     return out.view(np.int64)
 
 
-def sign(docs: DataFrame, text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, same, bands): a digest of the word sequence (of a text without words, of the text), and the band
-    hashes (none without words)."""
+def hashed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, text, hash) of the rows with an id: null texts as empty ones, and a hash of the text."""
+    own = F.coalesce(F.col(text), F.lit(""))
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), own.alias("text"), F.xxhash64(own).alias("hash"))
+
+
+def sign(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, hash, same, bands) of :func:`hashed` rows: a digest of the word sequence (of a text without words, of
+    the text), and the band hashes (none without words)."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            texts = texts_of(b, text)
-            words = [words_of(t) for t in texts]
-            sets = [weights(shingles(w)) for w in words]
-            hashed = band_hashes(signatures(sets, bands * rows), bands, rows)
-            yield to_arrow({"doc_id": b.column("doc_id").to_pylist(),
-                            "same": [hashlib.md5((" ".join(w) or "\0" + t).encode()).digest() for w, t in zip(words, texts, strict=True)],
-                            "bands": [h.tolist() if w else [] for h, w in zip(hashed, words, strict=True)]}, SIGNATURE)
+            own = texts_of(b, "text")
+            words = [words_of(t) for t in own]
+            values = band_hashes(signatures([weights(shingles(w)) for w in words], bands * rows), bands, rows)
+            yield pa.RecordBatch.from_arrays([
+                b.column("doc_id"), b.column("hash"),
+                pa.array([hashlib.md5((" ".join(w) or "\0" + t).encode()).digest() for w, t in zip(words, own, strict=True)], pa.binary()),
+                pa.array([h.tolist() if w else [] for h, w in zip(values, words, strict=True)], pa.list_(pa.int64()))], schema=SIGNATURE)
+
+    return texts.select("doc_id", "hash", "text").mapInArrow(run, "doc_id long, hash long, same binary, bands array<long>")
 
-    return docs.select("doc_id", text).mapInArrow(run, "doc_id long, same binary, bands array<long>")
 
+def nodes_of(signed: DataFrame) -> DataFrame:
+    """(node, same, doc_id, hash, bands): one row for each different word sequence, with the id and hash of one of its
+    texts (the smallest id).  Numbers of nodes come from the written rows, so the table is to be staged."""
+    firsts = signed.groupBy("same").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.min("bands").alias("bands"))
+    return firsts.select(F.monotonically_increasing_id().alias("node"), "same", "first.doc_id", "first.hash", "bands")
 
-def shingle_sets(docs: DataFrame, ids: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, size, data): the shingle hashes, one for each occurrence, of the documents in ``ids``."""
-    schema = pa.schema([("doc_id", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
+
+def shingle_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, size, data): the distinct shingle hashes of the texts that ``wanted`` (node, doc_id, hash) names."""
+    schema = pa.schema([("node", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            sets = [np.sort(shingles(words_of(t))) for t in texts_of(b, text)]
-            yield to_arrow({"doc_id": b.column("doc_id").to_pylist(), "size": [len(s) for s in sets],
+            sets = [np.unique(shingles(words_of(t))) for t in texts_of(b, "text")]
+            yield to_arrow({"node": b.column("node").to_pylist(), "size": [len(s) for s in sets],
                             "data": [s.tobytes() for s in sets]}, schema)
 
-    # one plan at every size: the ids grow with the documents, so they are never broadcast
-    wanted = docs.select("doc_id", F.coalesce(text, F.lit("")).alias(text)).join(ids.hint("merge"), "doc_id", "left_semi")
-    return wanted.groupBy("doc_id").agg(F.min(text).alias(text)).mapInArrow(run, "doc_id long, size long, data binary")
+    # one plan at every size: the nodes grow with the documents, so they are never broadcast
+    rows = texts.join(wanted.hint("merge"), ["doc_id", "hash"]).groupBy("node").agg(F.min("text").alias("text"))
+    return rows.mapInArrow(run, "node long, size long, data binary")
 
 
-def weights_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    return weights(np.frombuffer(data, U))
+def set_of(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, U)
 
 
 def checked(pairs: DataFrame, sets: DataFrame, least: float = SIMILAR) -> DataFrame:
     """The pairs (a, b) whose whole texts are similar, from their shingle sets."""
-    rows = (pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("data").alias("data_a")), "a")
-            .join(sets.select(F.col("doc_id").alias("b"), F.col("data").alias("data_b")), "b"))
+    rows = (pairs.join(sets.select(F.col("node").alias("a"), F.col("data").alias("data_a")), "a")
+            .join(sets.select(F.col("node").alias("b"), F.col("data").alias("data_b")), "b"))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches(it):
-            alike = [similarity(weights_of(x.as_py()), weights_of(y.as_py())) >= least
+            alike = [similarity(set_of(x.as_py()), set_of(y.as_py())) >= least
                      for x, y in zip(b.column("data_a"), b.column("data_b"), strict=True)]
             yield b.select(["a", "b"]).filter(pa.array(alike, pa.bool_()))
 
@@ -233,31 +249,30 @@ def checked(pairs: DataFrame, sets: DataFrame, least: float = SIMILAR) -> DataFr
 
 
 class Block:
-    """The weighted sets of one block's members, for one against many."""
+    """The shingle sets of one block's members, for one against many."""
 
     def __init__(self, data: list[bytes]):
-        sets = [weights_of(d) for d in data]
-        keys, self.ids = np.unique(np.concatenate([k for k, _ in sets]), return_inverse=True)
-        self.weight = np.concatenate([w for _, w in sets])
-        self.ends = np.cumsum([len(k) for k, _ in sets])
-        self.starts = np.concatenate(([0], self.ends[:-1]))
-        self.total = np.add.reduceat(self.weight, self.starts)
-        self.row = np.zeros(len(keys))
+        sets = [set_of(d) for d in data]
+        keys, self.ids = np.unique(np.concatenate(sets), return_inverse=True)
+        self.total = np.array([len(x) for x in sets])
+        self.ends = np.cumsum(self.total)
+        self.starts = self.ends - self.total
+        self.mine = np.zeros(len(keys), bool)
 
     def similar(self, x: int, others: np.ndarray, least: float) -> np.ndarray:
         """Those of ``others`` that are similar to member x."""
         low, high = np.minimum(self.total[others], self.total[x]), np.maximum(self.total[others], self.total[x])
-        others = others[low >= least * high]  # the similarity cannot exceed the ratio of the weights
+        others = others[low >= least * high]  # the similarity cannot exceed the ratio of the sizes
         if not len(others):
             return others
-        size = self.ends[others] - self.starts[others]
+        size = self.total[others]
         first = np.cumsum(size) - size
         at = np.arange(size.sum()) + np.repeat(self.starts[others] - first, size)
-        mine = slice(self.starts[x], self.ends[x])
-        self.row[self.ids[mine]] = self.weight[mine]
-        shared = np.add.reduceat(np.minimum(self.row[self.ids[at]], self.weight[at]), first)
-        self.row[self.ids[mine]] = 0
-        return others[shared / (self.total[others] + self.total[x] - shared) >= least]
+        own = self.ids[self.starts[x]:self.ends[x]]
+        self.mine[own] = True
+        shared = np.add.reduceat(self.mine[self.ids[at]].astype(np.int64), first)
+        self.mine[own] = False
+        return others[shared >= least * (size + self.total[x] - shared)]
 
 
 def _pairs(found: list[tuple[int, int]]) -> pa.Table:
@@ -265,10 +280,10 @@ def _pairs(found: list[tuple[int, int]]) -> pa.Table:
 
 
 def _classes_within(least: float):
-    """A block's links: from the smallest id of each of its classes to the others."""
+    """A block's links: from the smallest node of each of its classes to the others."""
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("doc_id")
-        ids, block, found = rows["doc_id"].to_numpy(), Block(rows["data"].to_pylist()), []
+        rows = rows.sort_by("node")
+        ids, block, found = rows["node"].to_numpy(), Block(rows["data"].to_pylist()), []
         left = np.arange(len(ids))
         while len(left):
             root, left = left[0], left[1:]
@@ -285,7 +300,7 @@ def _classes_within(least: float):
 def _links_across(least: float):
     """Links of the asking members of a block with members of other classes: one for each class met."""
     def run(rows: pa.Table) -> pa.Table:
-        ids, classes = rows["doc_id"].to_numpy(), rows["class_id"].to_numpy()
+        ids, classes = rows["node"].to_numpy(), rows["class_id"].to_numpy()
         asks = rows["asks"].to_numpy(zero_copy_only=False)
         block, members, found = Block(rows["data"].to_pylist()), np.flatnonzero(~asks), []
         for x in np.flatnonzero(asks):
@@ -301,48 +316,49 @@ def _blocks(rows: DataFrame, small: int) -> DataFrame:
         F.ceil(F.count("*") / small), F.ceil(F.sum("size") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
 
 
-def links(signed: DataFrame, docs: DataFrame, least: float = SIMILAR, small: int = BLOCK) -> DataFrame:
-    """Checked links (a, b), a < b, that connect what is similar among representatives of a common bucket.
+def links(nodes: DataFrame, texts: DataFrame, least: float = SIMILAR, small: int = BLOCK) -> DataFrame:
+    """Checked links (a, b), a < b, that connect what is similar among nodes of a common bucket.
 
-    ``signed`` has (doc_id, bands), one row for each different text; ``small`` is the size of a block.
+    ``nodes`` is the staged table of :func:`nodes_of`, ``texts`` that of :func:`hashed`; ``small`` is the size of a block.
     """
     key = ["band", "hash"]
-    dealt = signed.select("doc_id", F.posexplode("bands").alias(*key))
-    buckets = staged(dealt.groupBy(*key).agg(F.count("*").alias("n"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+    dealt = nodes.select("node", F.posexplode("bands").alias(*key))
+    buckets = staged(dealt.groupBy(*key).agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
                      .where("n > 1"), "buckets")
     pairs = staged(buckets.where("n = 2").select("a", "b").distinct(), "pairs")
     crowds = staged(dealt.join(buckets.where("n > 2").select(*key), key), "crowds")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(crowds.select("doc_id")).distinct()
-    sets = staged(shingle_sets(docs, ids), "shingle-sets")
-    data = sets.select("doc_id", "data")
-    sized = crowds.join(sets.select("doc_id", "size"), "doc_id")
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowds.select("node")).distinct()
+    wanted = nodes.select("node", "doc_id", "hash").join(ids, "node", "left_semi")
+    sets = staged(shingle_sets(texts, wanted), "shingle-sets")
+    data = sets.select("node", "data")
+    sized = crowds.join(sets.select("node", "size"), "node")
     members = staged(sized.join(_blocks(sized, small), key).withColumn(
-        "block", F.expr("cast(pmod(xxhash64(doc_id, band, 0), blocks) as int)")), "members")
-    within = members.select("doc_id", *key, "block").join(data, "doc_id").groupBy(*key, "block").applyInArrow(
+        "block", F.expr("cast(pmod(xxhash64(node, band, 0), blocks) as int)")), "members")
+    within = members.select("node", *key, "block").join(data, "node").groupBy(*key, "block").applyInArrow(
         _classes_within(least), "a long, b long")
     found = staged(checked(pairs, sets, least).unionByName(within).distinct(), "links")
     cut = members.where("blocks > 1")
     if cut.isEmpty():
         return found
-    named = cut.join(components(found).select("doc_id", "class_id"), "doc_id", "left").withColumn(
-        "class_id", F.coalesce("class_id", "doc_id"))
+    named = cut.join(components(found).select("node", "class_id"), "node", "left").withColumn(
+        "class_id", F.coalesce("class_id", "node"))
     named = staged(named, "named-members")
     common = named.groupBy(*key, "class_id").agg(F.count("*").alias("n")).groupBy(*key).agg(
         F.max(F.struct("n", "class_id"))["class_id"].alias("common"))
     asking = staged(named.join(common, key).where("class_id <> common"), "asking")
     asked = _blocks(asking, small)
     number = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = ["doc_id", "class_id", *key]
+    own = ["node", "class_id", *key]
     ask = asking.join(asked.withColumnRenamed("blocks", "parts"), key).withColumn("block", number).select(
-        *own, "block", F.expr("cast(pmod(xxhash64(doc_id, band, 1), parts) as int)").alias("part"), F.lit(True).alias("asks"))
+        *own, "block", F.expr("cast(pmod(xxhash64(node, band, 1), parts) as int)").alias("part"), F.lit(True).alias("asks"))
     meet = named.drop("blocks").join(asked, key).select(*own, "block", number.alias("part"), F.lit(False).alias("asks"))
-    across = ask.unionByName(meet).join(data, "doc_id").groupBy(*key, "block", "part").applyInArrow(
+    across = ask.unionByName(meet).join(data, "node").groupBy(*key, "block", "part").applyInArrow(
         _links_across(least), "a long, b long")
     return found.unionByName(staged(across.distinct(), "links-across"))
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(doc_id, class_id): the smallest id that links lead to, by propagation with pointer jumping."""
+    """(node, class_id): the smallest node that links lead to, by propagation with pointer jumping."""
     both = staged(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(
         edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).distinct(), "edges")
     label = staged(both.groupBy("x").agg(F.least(F.col("x"), F.min("y")).alias("to")), "labels")
@@ -353,28 +369,39 @@ def components(edges: DataFrame) -> DataFrame:
         new = staged(label.join(near, "x", "left").join(jump, "to", "left").select(
             "x", F.least("to", "other", "further").alias("to"), F.col("to").alias("old")), "labels")
         if new.where("to <> old").isEmpty():
-            return new.select(F.col("x").alias("doc_id"), F.col("to").alias("class_id"))
+            return new.select(F.col("x").alias("node"), F.col("to").alias("class_id"))
         label = new.select("x", "to")
 
 
 def near_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id): the class of each document, named by its smallest id."""
-    prepare(docs.sparkSession)
-    docs = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = staged(sign(docs), "signatures")
-    same = staged(signed.groupBy("same").agg(F.min("doc_id").alias("first"), F.min("bands").alias("bands")), "same-texts")
-    firsts = same.groupBy("first").agg(F.min("bands").alias("bands")).select(F.col("first").alias("doc_id"), "bands")
-    found = components(links(firsts, docs, least))
-    named = same.select("same", "first").join(found.select(F.col("doc_id").alias("first"), "class_id"), "first", "left").select(
-        "same", F.coalesce("class_id", "first").alias("class_id"))
-    return signed.join(named, "same").groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
+    spark = prepare(docs.sparkSession)
+    with scratch(spark) as made:
+        texts = hashed(docs)
+        signed = staged(sign(texts), "signatures")
+        nodes = staged(nodes_of(signed), "nodes")
+        owned = staged(signed.select("doc_id", "same").distinct().join(nodes.select("same", "node"), "same").select("doc_id", "node"), "owned")
+        # an id with several texts joins their classes
+        several = owned.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a < last")
+        by_id = owned.join(several.select("doc_id", "a"), "doc_id").where("a < node").select("a", F.col("node").alias("b"))
+        found = staged(components(links(nodes, texts, least).unionByName(by_id)), "classes")
+        first = nodes.select("node", F.col("doc_id").alias("first"))
+        named = found.join(first, "node").groupBy("class_id").agg(F.min("first").alias("name"))
+        names = found.join(named, "class_id").select("node", "name")
+        every = first.join(names, "node", "left").select("node", F.coalesce("name", "first").alias("class_id"))
+        return kept(owned.join(every, "node").groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "near-classes", made)
 
 
 def keep_one(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """One document of each class (that of the smallest id), and the rows without an id."""
+    """One document of each class (that of the smallest id), and the rows without an id.
+
+    Repeated rows of a kept id are one row for each different text; all columns stay as they are.
+    """
     found = near_classes(docs, least).where("doc_id = class_id").select("doc_id")
-    kept = docs.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    row = F.struct(*docs.columns)
+    rows = docs.select("doc_id", row.alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
+    one = rows.where("doc_id is not null").join(found, rows.doc_id.cast("long") == found.doc_id, "left_semi").dropDuplicates(["doc_id", "hash"])
+    return one.unionByName(rows.where("doc_id is null")).select("row.*")
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,13 +6,15 @@ layer; the chunk vectors are pooled over the whole document (maximum and mean) a
 probability.  Every byte of a document is read: documents are padded to whole half chunks, and the
 memory of a call is that of one Arrow batch cut into bounded runs.
 
-Training is numpy as well, on a bounded sample of labelled rows (``sample`` per class), whose texts
-alone reach the driver; labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1.
+Training is numpy as well, on a bounded number of labelled rows (``sample`` per class), whose whole texts
+are read in every epoch, run by run, and pooled per document as in scoring; they alone reach the driver.
+Labels are learned only from rows whose crc32(doc_id as text) mod 3 is not 1.
 
 Cases: a null or empty text has no chunks and is scored by its zero vector; repeated rows get equal
 scores; repeated labels of a document count as their larger value, null labels are ignored; with no
-labels of one class every score is the share of label 1 (0.5 without any labels); other columns pass
-through, columns named as the results are replaced.
+labels of one class every score is the share of label 1 (0.5 without any labels); a null id is a row like
+others (held out as the empty id is); other columns pass through, in ``score`` columns named as the results
+are replaced.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, prepare, table, texts_of
+from cohortkit.llm.common import batches, prepare, scratch, set_aside, staged, table, texts_of
 
 HALF = 128  # bytes of half a chunk
 CHUNK = 2 * HALF
@@ -32,11 +34,9 @@ DIM, WIDTH, FILTERS, HIDDEN = 8, 8, 16, 24
 PAIRS = WIDTH // 2  # filters move two bytes at a time
 #: Labelled documents of each class that training reads, at most.
 SAMPLE = 800
-#: Half chunks of one document that one training step reads, at most (drawn anew in each epoch).
-TRAIN_HALVES = 16
 EPOCHS, RATE, BATCH = 6, 0.006, 16
-#: Half chunks in one run of the network (bounds the memory of scoring).
-RUN_HALVES = 256
+#: Half chunks in one run of the network (bounds the memory of scoring), and in one run of its gradients.
+RUN_HALVES, RUN_ROWS = 256, 2048
 
 
 class Network:
@@ -60,6 +60,15 @@ class Network:
             out += y[:, k:length + k, k]
         return out
 
+    def tops(self, halves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(greatest response, its position) of each filter in each half chunk, run by run."""
+        top, at = np.empty((len(halves), FILTERS), self.p["b"].dtype), np.empty((len(halves), FILTERS), np.int64)
+        for s in range(0, len(halves), 64):
+            r = self.convolve(halves[s:s + 64])
+            at[s:s + 64] = best = r.argmax(1)
+            top[s:s + 64] = np.take_along_axis(r, best[:, None], 1)[:, 0]
+        return top, at
+
     def pooled(self, halves: np.ndarray) -> np.ndarray:
         """Maximum of each filter over each half chunk, at least 0."""
         out = np.empty((len(halves), FILTERS), np.float32)
@@ -112,11 +121,9 @@ def halves_of(data: bytes) -> np.ndarray:
 
 
 def _step(net: Network, halves: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict:
-    """Gradients of the weighted log loss of one batch (chunks here are pairs of neighbouring rows)."""
+    """Gradients of the weighted log loss of one batch of whole documents (chunks are pairs of neighbouring rows)."""
     p = net.p
-    r = net.convolve(halves)
-    at = r.argmax(1)
-    top = np.take_along_axis(r, at[:, None], 1)[:, 0]
+    top, at = net.tops(halves)
     v = np.maximum(top, 0)
     nxt = np.arange(len(v)) + 1
     nxt[first[1:] - 1] -= 1
@@ -141,19 +148,21 @@ def _step(net: Network, halves: np.ndarray, first: np.ndarray, y: np.ndarray, we
     np.add.at(dv, nxt, np.where(use, dchunk, 0))
     dv *= top > 0
     g["b"] = dv.sum(0)
-    rows = np.arange(len(v))[:, None]
-    emb = np.zeros_like(p["E"])
+    emb = np.zeros(p["E"].shape)
     gw = np.zeros_like(p["W"]).reshape(2 * DIM, PAIRS, FILTERS)
     w = p["W"].reshape(2 * DIM, PAIRS, FILTERS)
-    for k in range(PAIRS):
-        pos = 2 * (at + k)
-        a, b = halves[rows, pos], halves[rows, pos + 1]
-        x = np.concatenate([p["E"][a], p["E"][b]], 2)  # rows, filters, 2 * DIM
-        gw[:, k] = np.einsum("nfd,nf->df", x, dv)
-        dx = dv[:, :, None] * w[:, k].T[None]
-        np.add.at(emb, a.ravel(), dx[:, :, :DIM].reshape(-1, DIM))
-        np.add.at(emb, b.ravel(), dx[:, :, DIM:].reshape(-1, DIM))
-    g["E"], g["W"] = emb, gw.reshape(2 * DIM, -1)
+    for s in range(0, len(v), RUN_ROWS):  # only the winning positions have gradients
+        part = slice(s, s + RUN_ROWS)
+        rows, own = np.arange(len(v))[part, None], dv[part]
+        for k in range(PAIRS):
+            pos = 2 * (at[part] + k)
+            a, b = halves[rows, pos], halves[rows, pos + 1]
+            x = np.concatenate([p["E"][a], p["E"][b]], 2)  # rows, filters, 2 * DIM
+            gw[:, k] += np.einsum("nfd,nf->df", x, own)
+            dx = (own[:, :, None] * w[:, k].T[None]).reshape(-1, 2 * DIM)
+            for d in range(DIM):
+                emb[:, d] += np.bincount(a.ravel(), dx[:, d], 256) + np.bincount(b.ravel(), dx[:, DIM + d], 256)
+    g["E"], g["W"] = emb.astype(p["E"].dtype), gw.reshape(2 * DIM, -1)
     return g
 
 
@@ -170,13 +179,8 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EPOC
     for _ in range(epochs):
         order = r.permutation(use)
         for at in range(0, len(order), BATCH):
-            ids, parts = order[at:at + BATCH], []
-            for i in ids:
-                d = docs[i]
-                if len(d) > TRAIN_HALVES:  # runs of neighbours from anywhere in the document
-                    starts = r.choice(len(d) // 4, TRAIN_HALVES // 4, replace=False) * 4
-                    d = d[np.sort((starts[:, None] + np.arange(4)).ravel())]
-                parts.append(d)
+            ids = order[at:at + BATCH]
+            parts = [docs[i] for i in ids]
             first = np.concatenate([[0], np.cumsum([len(d) for d in parts])])
             g = _step(net, np.concatenate(parts), first, y[ids], weight[ids])
             t += 1
@@ -189,15 +193,22 @@ def fit(texts: list[bytes], labels: np.ndarray, share: float, epochs: int = EPOC
 
 
 def held_out(doc_id: str | Column = "doc_id") -> Column:
-    """Rows whose label is never learned."""
-    return F.crc32(F.coalesce(F.col(doc_id) if isinstance(doc_id, str) else doc_id, F.lit("")).cast("string").cast("binary")) % 3 == 1
+    """Rows whose label is never learned (a null id counts as the empty text)."""
+    own = F.col(doc_id) if isinstance(doc_id, str) else doc_id
+    return F.crc32(F.coalesce(own.cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int = SAMPLE) -> tuple[list[str], np.ndarray, float]:
     """(texts, labels, share of label 1): at most ``sample`` documents of each class, by a hash of the id."""
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("y")))
-    known = docs.select("doc_id").join(known, "doc_id", "left_semi").distinct().join(known, "doc_id")
+    spark = docs.sparkSession
+    with scratch(spark):  # ids and labels alone are written; they are read for the counts and for the choice
+        known = staged(docs.select("doc_id").join(known, "doc_id", "left_semi").distinct().join(known, "doc_id"), "known-labels")
+        return _chosen_texts(docs, known, sample)
+
+
+def _chosen_texts(docs: DataFrame, known: DataFrame, sample: int) -> tuple[list[str], np.ndarray, float]:
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     rank = F.xxhash64("doc_id")
     chosen = []
@@ -242,8 +253,9 @@ def score(docs: DataFrame, model: Network | float, text: str = "text") -> DataFr
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts."""
-    return score(docs, train(docs, labels)).where("predicted = 1").select(*docs.columns)
+    """The documents that the classifier accepts, with their own columns as they are."""
+    inner, own = set_aside(docs, "score", "predicted")
+    return score(inner, train(docs, labels)).where("predicted = 1").select(*own)
 
 
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:

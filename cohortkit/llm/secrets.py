@@ -8,9 +8,11 @@ that it came from, so what is found in any layer is reported in code points of t
 Cases: a null text is empty and has no spans; repeated documents are scanned alike; other columns
 pass through; base64 is read line by line and over line breaks, and of a run that is not text as a whole
 the parts that are text or compressed at any of the four alignments; of other escapes, the valid ones
-are decoded; a payload that holds no text is left alone; a compressed payload is expanded member by
-member, and beyond ``EXPAND_BYTES`` in overlapping windows of that size, each a layer of its own, so that
-all of it is scanned in bounded memory.  Only an encoded run of over half a window may be split by one.
+are decoded; payloads are read as UTF-8 or UTF-16, and of one that is neither as a whole (one bad byte is
+enough) the runs that are text; a payload that holds no text is left alone.  A compressed payload is expanded
+member by member, and beyond ``EXPAND_BYTES`` in overlapping windows of that size, each a layer of its own; an
+encoded run at the end of a window is carried into the next one whole, so memory is a window and the longest
+such run (one of over ``LONGEST_RUN`` is read in overlapping windows of that size).
 """
 
 from __future__ import annotations
@@ -29,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, prepare, table, texts_of
+from cohortkit.llm.common import batches, prepare, set_aside, table, texts_of
 
 KINDS = ("assign", "access", "hex")
 EXPAND_BYTES = 64 << 20
 #: Bytes expanded at a time, bytes that windows overlap by at least, and characters of encoded runs.
 CHUNK = 1 << 20
 OVERLAP = 1 << 16
+LONGEST_RUN = 1 << 30
 RUN = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-=%\\{}&#;\r\n"
 
 ASSIGN = re.compile(r"""(?ai:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -53,6 +56,10 @@ _WIDE = (rb"[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef
 VALID = re.compile(rb"(?:[\x00-\x7f]|" + _WIDE + rb")+")
 #: Text inside other bytes, in UTF-8: twelve characters, as the shortest secret has.
 TEXT = re.compile(rb"(?:[\t\n\r\f\x20-\x7f]|" + _WIDE + rb"){12,}")
+#: The same in UTF-16, of characters of the first 127.
+LITTLE = re.compile(rb"(?:[\t\n\r\f\x20-\x7e]\x00){12,}")
+BIG = re.compile(rb"(?:\x00[\t\n\r\f\x20-\x7e]){12,}")
+TEXTS = {TEXT: "utf-8", LITTLE: "utf-16-le", BIG: "utf-16-be"}
 MAGIC = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 
 SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -71,7 +78,7 @@ def find(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A decoded text; character i came from code points first[i]..last[i] of the document."""
+    """A decoded text; character i came from code points first[i]..last[i] of the document (below 2^31)."""
 
     def __init__(self, text: str, first: np.ndarray | None = None, last: np.ndarray | None = None):
         self.text, self.first, self.last = text, first, last
@@ -90,21 +97,21 @@ class Layer:
             at = e
         texts.append(self.text[at:])
         sources.append(np.arange(at, len(self.text)))
-        begin = np.concatenate(sources).astype(np.int64)
+        begin = np.concatenate(sources).astype(np.int32)
         ends, at = [], 0
         for s, e, new, offsets in pieces:
             ends += [np.arange(at + 1, s + 1), np.full(len(new), e) if offsets is None else s + offsets[:, 1]]
             at = e
         ends.append(np.arange(at + 1, len(self.text) + 1))
-        end = np.concatenate(ends).astype(np.int64)
+        end = np.concatenate(ends).astype(np.int32)
         if self.first is not None:
             begin, end = self.first[begin], self.last[end - 1]
         return Layer("".join(texts), begin, end)
 
     def parts(self, pieces: list[tuple[int, int, str, np.ndarray]]) -> Layer:
         """The new texts of ``pieces`` alone, one after the other."""
-        begin = np.concatenate([s + offsets[:, 0] for s, _, _, offsets in pieces])
-        end = np.concatenate([s + offsets[:, 1] for s, _, _, offsets in pieces])
+        begin = np.concatenate([s + offsets[:, 0] for s, _, _, offsets in pieces]).astype(np.int32)
+        end = np.concatenate([s + offsets[:, 1] for s, _, _, offsets in pieces]).astype(np.int32)
         if self.first is not None:
             begin, end = self.first[begin], self.last[end - 1]
         return Layer("".join(new for _, _, new, _ in pieces), begin, end)
@@ -114,7 +121,7 @@ class Layer:
         for s, e, data in large:
             first, last = self.span(s, e)
             for text in windows(data):
-                yield Layer(text, np.broadcast_to(np.int64(first), len(text)), np.broadcast_to(np.int64(last), len(text)))
+                yield Layer(text, np.broadcast_to(np.int32(first), len(text)), np.broadcast_to(np.int32(last), len(text)))
 
 
 def _opener(data: bytes):
@@ -171,8 +178,8 @@ def expand(data: bytes) -> tuple[bytes | None, int]:
 
 
 def windows(data: bytes) -> Iterator[str]:
-    """The texts of a compressed payload of any size, in windows that overlap by OVERLAP or by the run at their end."""
-    held, fresh, more = bytearray(), 0, chunks(data, [])
+    """The texts of a compressed payload of any size, in windows that overlap by OVERLAP or by the whole run at their end."""
+    held, fresh, run, more = bytearray(), 0, 0, chunks(data, [])
     while more is not None:
         try:
             part = next(more, None)
@@ -183,12 +190,16 @@ def windows(data: bytes) -> Iterator[str]:
         else:
             held += part
             fresh += len(part)
-        if fresh and (more is None or len(held) >= EXPAND_BYTES):
+            rest = len(part.rstrip(RUN))
+            run = len(part) - rest if rest else run + len(part)  # bytes of the run that ends here
+        # a window that is one run so far goes on until the run ends
+        if fresh and (more is None or (fresh >= EXPAND_BYTES and run < fresh) or len(held) >= LONGEST_RUN + EXPAND_BYTES):
             start = next((i for i in range(min(4, len(held))) if held[i] & 0xC0 != 0x80), 0)
-            if text := as_text(bytes(held[start:]), False):
+            window = bytes(held[start:])
+            if text := as_text(window, False) or loose_text(window):
                 yield text
-            run = len(held) - len(held.rstrip(RUN))
-            held, fresh = held[-min(max(run, OVERLAP), len(held) // 2 or 1):], 0
+            held, fresh = held[-max(min(run, LONGEST_RUN), OVERLAP):], 0
+            run = min(run, len(held))
 
 
 def as_text(data: bytes, final: bool = True) -> str | None:
@@ -204,6 +215,39 @@ def as_text(data: bytes, final: bool = True) -> str | None:
     return text if text and odd * 20 <= len(text) else None
 
 
+def as_wide(data: bytes) -> str | None:
+    """Decoded bytes if they are text in UTF-16 (told by a mark, or by zeros in every other byte of most characters)."""
+    if len(data) < 8 or len(data) % 2:
+        return None
+    low, high = data[::2].count(0), data[1::2].count(0)
+    if data[:2] == b"\xff\xfe" or (high * 4 >= len(data) and high > 2 * low):
+        code = "utf-16-le"
+    elif data[:2] == b"\xfe\xff" or (low * 4 >= len(data) and low > 2 * high):
+        code = "utf-16-be"
+    else:
+        return None
+    try:
+        text = data.decode(code)
+    except UnicodeDecodeError:
+        return None
+    odd = sum(1 for c in text if ord(c) < 32 and c not in "\t\n\r\f")
+    return text if odd * 20 <= len(text) else None
+
+
+def text_runs(data: bytes) -> list[re.Match]:
+    """The runs of text inside other bytes, by place; of overlapping ones the first."""
+    out: list[re.Match] = []
+    for m in sorted((m for p in TEXTS for m in p.finditer(data)), key=lambda m: (m.start(), -m.end())):
+        if not out or m.start() >= out[-1].end():
+            out.append(m)
+    return out
+
+
+def loose_text(data: bytes) -> str | None:
+    """The runs of text inside other bytes, what is between them as one mark each."""
+    return "\ufffd".join(m[0].decode(TEXTS[m.re]) for m in text_runs(data)) or None
+
+
 def _payload(data: bytes, step: tuple[int, int], large: list[bytes]) -> tuple[str, np.ndarray | None] | None:
     """(text, offsets of each character in the encoded run or None for the whole run) of decoded bytes.
 
@@ -214,15 +258,21 @@ def _payload(data: bytes, step: tuple[int, int], large: list[bytes]) -> tuple[st
         if len(inner) > EXPAND_BYTES:
             large.append(data)
             return None
-        text = as_text(inner)
+        text = as_text(inner) or as_wide(inner) or loose_text(inner)
         return None if text is None else (text, None)
-    text = as_text(data)
-    return None if text is None else (text, _offsets(text, step))
+    if (text := as_text(data)) is not None:
+        return text, _offsets(text, step)
+    return None if (text := as_wide(data)) is None else (text, _offsets(text, step, "utf-16-le"))
+
+
+def _sizes(text: str, code: str) -> np.ndarray:
+    """Bytes of each character."""
+    return np.array([len(c.encode(code)) for c in text], np.int64)
 
 
-def _offsets(text: str, step: tuple[int, int]) -> np.ndarray:
+def _offsets(text: str, step: tuple[int, int], code: str = "utf-8") -> np.ndarray:
     """First and last offset of each character in the encoded run."""
-    sizes = np.array([len(c.encode()) for c in text], np.int64)
+    sizes = _sizes(text, code)
     ends = np.cumsum(sizes)
     per, width = step  # so many decoded bytes come from so many characters
     return np.stack([(ends - sizes) // per * width, -(-ends // per) * width], 1)
@@ -289,26 +339,26 @@ def _aligned(body: str, at: np.ndarray, end: int, skip: int, large: list[tuple[i
     def place(first: np.ndarray, last: np.ndarray) -> np.ndarray:
         return np.stack([at[skip + first // 3 * 4], at[np.minimum(skip - (-last // 3) * 4, len(body)) - 1] + 1], 1) - at[0]
 
-    def take(start: int, stop: int, text: str, each: bool) -> None:
+    def take(start: int, stop: int, text: str, code: str | None) -> None:
         nonlocal done
         texts.append("�" + text)
         offsets.append(place(np.array([min(done, start)]), np.array([max(start, 1)])))
-        sizes = np.array([len(c.encode()) for c in text], np.int64) if each else np.zeros(len(text), np.int64)
+        sizes = _sizes(text, code) if code else np.zeros(len(text), np.int64)
         ends = start + np.cumsum(sizes)
-        offsets.append(place(ends - sizes, ends) if each else place(np.full(len(text), start), np.full(len(text), stop)))
+        offsets.append(place(ends - sizes, ends) if code else place(np.full(len(text), start), np.full(len(text), stop)))
         done = stop
 
-    for m in sorted([*TEXT.finditer(data), *MAGIC.finditer(data)], key=lambda m: (m.start(), m.end())):
+    for m in sorted([*text_runs(data), *MAGIC.finditer(data)], key=lambda m: (m.start(), m.end())):
         if m.re is MAGIC and m.start() >= done:
             inner, stop = expand(data[m.start():])
             if inner and len(inner) > EXPAND_BYTES:
                 if skip or m.start() or len(body) % 4 == 1:  # else it is known as a whole
                     first, last = place(np.array([m.start()]), np.array([len(data)]))[0] + at[0]
                     large.append((int(first), int(last), data[m.start():]))
-            elif inner and (text := as_text(inner)):
-                take(m.start(), m.start() + stop, text, False)
-        elif m.re is TEXT and m.start() >= done:
-            take(m.start(), m.end(), m[0].decode(), True)
+            elif inner and (text := as_text(inner) or as_wide(inner) or loose_text(inner)):
+                take(m.start(), m.start() + stop, text, None)
+        elif m.re is not MAGIC and m.start() >= done:
+            take(m.start(), m.end(), m[0].decode(TEXTS[m.re]), TEXTS[m.re])
     return (int(at[0]), end, "".join(texts), np.concatenate(offsets)) if texts else None
 
 
@@ -402,7 +452,8 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """``docs`` with every span (overlaps merged) replaced by ``mark`` and ``n_chars`` renewed."""
+    """``docs`` with every span (overlaps merged) replaced by ``mark`` and ``n_chars`` renewed; all own columns stay."""
+    docs, own = set_aside(docs, "base_spans", "secret_spans")
     merged = F.expr("""aggregate(secret_spans, cast(array() as array<struct<start:int,end:int>>), (m, s) ->
         if(size(m) > 0 and s.start <= element_at(m, -1).end,
            concat(slice(m, 1, size(m) - 1), array(named_struct('start', element_at(m, -1).start,
@@ -413,7 +464,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> Dat
     out = find_secrets(docs, text).withColumn(text, F.when(F.size("secret_spans") > 0, cut).otherwise(F.col(text)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length(text)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    return out.select(*own)
 
 
 def _joined(spans: str):

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 def brute_classes(rows, least=N.SIMILAR):
     """Smallest id of each connected class, from all pairs that share a shingle (and equal word sequences)."""
-    sets = {i: N.weights(N.shingles(N.words_of(t or ""))) for i, t in rows}
+    sets = {i: np.unique(N.shingles(N.words_of(t or ""))) for i, t in rows}
     parent = {i: i for i in sets}
 
     def root(i):
@@ -22,7 +22,7 @@ def brute_classes(rows, least=N.SIMILAR):
         return i
 
     at = {}
-    for i, (keys, _) in sets.items():
+    for i, keys in sets.items():
         for k in keys.tolist():
             at.setdefault(k, []).append(i)
         if not len(keys):
@@ -39,6 +39,13 @@ def words(r, n):
     return ["".join(r.choices("abcdefgh", k=5)) for _ in range(n)]
 
 
+def weighted(a, b):
+    """Weighted Jaccard similarity, from dictionaries."""
+    a, b = (dict(zip(k.tolist(), w.tolist())) for k, w in (a, b))
+    low = sum(min(w, b[k]) for k, w in a.items() if k in b)
+    return low / (sum(a.values()) + sum(b.values()) - low)
+
+
 def test_agreement_estimates_weighted_similarity():
     r = random.Random(3)
     for change in (0, 4, 12, 40):
@@ -48,7 +55,7 @@ def test_agreement_estimates_weighted_similarity():
             b[i] = "x" * 6
         sets = [N.weights(N.shingles(t)) for t in (a, b)]
         v = N.signatures(sets, 1024)
-        assert abs((v[0] == v[1]).mean() - N.similarity(*sets)) < 0.06
+        assert abs((v[0] == v[1]).mean() - weighted(*sets)) < 0.06
 
 
 def test_signature_does_not_depend_on_the_batch():
@@ -97,9 +104,14 @@ def test_buckets_above_the_small_size(spark):
             t[j] = "".join(r.choices("xyz", k=6))
         rows.append((i, " ".join(t)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    signed = N.sign(docs).select("doc_id", "bands")
-    found = N.components(N.links(signed, docs, small=8))
-    got = {x["doc_id"]: x["class_id"] for x in found.collect()}
+    texts = N.hashed(docs)
+    nodes = N.staged(N.nodes_of(N.sign(texts)), "nodes")
+    found = N.components(N.links(nodes, texts, small=8))
+    ids = {x["node"]: x["doc_id"] for x in nodes.collect()}
+    members = {}
+    for x in found.collect():
+        members.setdefault(x["class_id"], []).append(ids[x["node"]])
+    got = {i: min(m) for m in members.values() for i in m}
     assert {i: got.get(i, i) for i, _ in rows} == brute_classes(rows)
 
 
@@ -127,3 +139,47 @@ def test_darts_per_cell_are_poisson(mean):
     steps = N.poisson_steps(mean)
     n = np.searchsorted(steps, np.random.default_rng(1).random(50_000), "right")
     assert abs(n.mean() - mean) < 5 * (mean / 50_000) ** 0.5
+
+
+def test_an_id_with_several_texts_is_linked_by_each(spark):
+    r = random.Random(8)
+    a, b, c = (" ".join(words(r, 60)) for _ in range(3))
+    rows = [(1, a, "x"), (1, b, "x"), (1, a, "x"), (2, a + " tail", "y"), (3, b + " tail", "y"), (4, c, "z"), (5, c, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, hash string").withColumn("row", N.F.lit(0))
+    assert {x["doc_id"]: x["class_id"] for x in N.near_classes(docs).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    kept = N.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((x["doc_id"], x["text"]) for x in kept.collect()) == sorted([(1, a), (1, b), (4, c)])
+
+
+def test_repeated_lines_do_not_hide_a_copy(spark):
+    r = random.Random(9)
+    line, rest = words(r, 20), words(r, 100)
+    texts = [" ".join(rest + line), " ".join(rest + line * 50), " ".join(words(r, 120))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {x["doc_id"]: x["class_id"] for x in N.near_classes(docs).collect()} == {0: 0, 1: 0, 2: 2}
+
+
+def test_a_hot_id_with_many_texts(spark):
+    r = random.Random(10)
+    rows = [(7, " ".join(words(r, 30))) for _ in range(300)] + [(i, " ".join(words(r, 30))) for i in range(100, 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x["doc_id"]: x["class_id"] for x in N.near_classes(docs).collect()}
+    assert len(got) == 601 and all(i == c for i, c in got.items())
+    assert N.keep_one(docs).count() == 900
+
+
+def test_scratch_tables_are_removed(spark):
+    import os
+
+    from cohortkit.llm.common import scratch, staged
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z")], "doc_id long, text string")
+    with scratch(spark):
+        classes = N.near_classes(docs)
+        kept_rows = classes.count()  # the result outlives the scope of the operator, and ends with this one
+    assert kept_rows == 3
+    with scratch(spark) as outer:
+        staged(docs, "t")
+        path = outer[0].removeprefix("file:")
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path)

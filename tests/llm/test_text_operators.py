@@ -191,8 +191,47 @@ def test_best_fit_is_the_tightest_window():
 def test_blocks_give_the_same_as_one_set(spark):
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
     one = sorted(map(str, D.find_leaks(docs.select("doc_id", "text"), items).collect()))
-    many = sorted(map(str, D.find_leaks(docs.select("doc_id", "text"), items, block_bytes=2000).collect()))
-    assert one == many
+    for block in (20_000, 9_000):
+        assert 1 < D.benchmark_blocks(items, block)[1] < 12
+        many = sorted(map(str, D.find_leaks(docs.select("doc_id", "text"), items, block_bytes=block).collect()))
+        assert one == many
+
+
+def test_blocks_are_bounded_in_bytes(spark):
+    """What is broadcast is a few times the text, measured, and the estimate that deals items to blocks covers it."""
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    rows = [(str(r["item_id"]), r["text"]) for r in items.collect()] * 40
+    block = D.ngram_set(rows)
+    text = sum(len(t.encode()) for _, t in rows)
+    words = sum(len(D.words_of(t.encode())) for _, t in rows)
+    assert block.nbytes() <= text + words * (D.WORD_BYTES + 12) + len(rows) * D.ITEM_BYTES
+    assert block.nbytes() < 8 * text
+    dealt, blocks = D.benchmark_blocks(items, 9_000)
+    sizes = {}
+    for r in dealt.collect():
+        sizes.setdefault(r["block"], []).append((r["item_id"], r["text"]))
+    largest = max(D.ngram_set([x]).nbytes() for x in rows)
+    assert all(D.ngram_set(x).nbytes() <= 1.5 * 9_000 + largest for x in sizes.values())
+    assert max(sizes) < blocks and sum(map(len, sizes.values())) == items.distinct().count()
+
+
+def test_equal_hashes_are_no_hits(spark, monkeypatch):
+    """With every word hashed alike, only windows of the same words count."""
+    monkeypatch.setattr(D, "word_hash", lambda w: 5)
+    block = D.ngram_set([("1", "alpha beta"), ("2", "gamma delta")])
+    assert [D.scan(t, block, {})[2] for t in (b"x alpha beta", b"beta alpha", b"gamma delta alpha beta")] == [{"1"}, set(), {"1", "2"}]
+
+
+def test_results_named_as_own_columns(spark):
+    items = spark.createDataFrame([(1, "alpha beta")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x alpha beta y", "mine", 7, 1.5), (2, "clean", None, 8, None)],
+                                 "doc_id long, text string, bench_hit string, bench_spans int, row double")
+    for block in (D.BLOCK_BYTES, 150):
+        more = items.unionByName(spark.createDataFrame([(2, "other words here")], items.schema))
+        found = D.find_leaks(docs.select("doc_id", "text", "row"), more, block_bytes=block)
+        assert sorted((r["doc_id"], r["bench_hit"], r["row"]) for r in found.collect()) == [(1, 2, 1.5), (2, 0, None)]
+    assert [tuple(r) for r in D.drop_leaks(docs, items).collect()] == [(2, "clean", None, 8, None)]
+    assert sorted(tuple(r) for r in D.remove_spans(docs, items).collect())[0] == (1, "x \n y", "mine", 7, 1.5)
 
 
 def test_leaks_edges(spark):
@@ -212,7 +251,7 @@ def test_leaks_edges(spark):
 def test_items_without_an_id_count(spark):
     items = spark.createDataFrame([(None, "alpha beta"), (None, "gamma delta"), (1, "gamma delta"), (None, None)], "item_id long, text string")
     docs = documents(spark, ["x alpha beta y", "gamma delta", "alpha", "gamma delta alpha beta"])
-    for block in (D.BLOCK_BYTES, 80):
+    for block in (D.BLOCK_BYTES, 150):
         got = {r["doc_id"]: (r["bench_hit"], r["bench_items"]) for r in D.find_leaks(docs, items, block_bytes=block).collect()}
         assert got == {0: (2, []), 1: (2, ["1"]), 2: (0, []), 3: (4, ["1"])}
     assert [r["doc_id"] for r in D.drop_leaks(docs, items).collect()] == [2]
