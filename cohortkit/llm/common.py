@@ -94,9 +94,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
     """``df`` with its columns of these names renamed, and columns that give ``df``'s own ones back, for operators
-    that add columns of these names on the way."""
+    that add columns of these names on the way (names with dots, which Arrow functions don't take, are renamed too)."""
     clash = {c.lower() for c in names}
-    new = {c: f"__own_{i}_{uuid.uuid4().hex[:8]}" for i, c in enumerate(df.columns) if c.lower() in clash}
+    new = {c: f"__own_{i}_{uuid.uuid4().hex[:8]}" for i, c in enumerate(df.columns) if c.lower() in clash or "." in c or "`" in c}
     quoted = lambda c: "`" + c.replace("`", "``") + "`"
     return df.withColumnsRenamed(new), [F.col(quoted(new.get(c, c))).alias(c) for c in df.columns]
 

@@ -5,14 +5,17 @@ the k-th copy of a cell is an element of its own, so a text is a set of 64-bit d
 cell's length in their low bits.  A sketch adds each digest to one cell of each of three ranges.  Two
 sketches are subtracted and peeled: a cell that holds one digest gives it up, which frees others.  The
 recovered digests are exactly the cells that only one text has, and give the likeness of the texts (shared
-characters over all characters).  Where peeling stops early, both sketches are built four times larger.
+characters over all characters).  Where peeling stops early, both sketches are built four times larger; once they
+are several times larger than both texts' cells and still don't peel (equal digests), the digests are compared as they are.
 
 ``neighbours`` pairs every document with the next one in ascending order of ids in one shuffle: ids
 alone give range bounds, texts go to their range once, and the first document of each range is also
-sent to the range before it.  Nothing is gathered but the bounds, one number per ``ROWS`` documents.
+sent to the range before it.  An id with more rows than a range (the null id, say) is cut into ranges by a hash of
+the texts.  Nothing is gathered but the bounds, one or two numbers per ``ROWS`` documents.
 
-Cases: a null text is empty; a null id comes before all ids; rows with equal ids are ordered by text;
-a single document is its own next one; two empty texts are alike (1.0); an empty table gives no rows.
+Cases: a null text is empty; a null id comes before all ids; rows with equal ids are ordered by a hash of their text,
+so rows that are equal in both stand together, in one range; ids are BIGINT (other types are cast); a single
+document is its own next one; two empty texts are alike (1.0); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,12 +36,13 @@ from pyspark.sql import functions as F
 from cohortkit.llm.common import batches, prepare, table, to_arrow
 
 #: Documents in one range, and ranges at most (their bounds are held by the driver).
-ROWS, RANGES = 2048, 200_000
+ROWS, RANGES = 256, 200_000
 CELL = 96
 #: Cells of the stored sketch; growth on failure; sketch cells that one peeling holds in memory.
 BASE, GROWTH, HELD = 24, 4, 1 << 21
 PIECE = re.compile(rf"[^\n.!?]{{1,{CELL}}}[\n.!?]{{0,{CELL}}}\s?|[\n.!?]{{1,{CELL}}}\s?")
 U = np.uint64
+LEAST = -(1 << 63)
 SEEDS = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0x27D4EB2F165667C5))
 
 
@@ -140,10 +145,22 @@ def differing(a: tuple, b: tuple, rows_a: np.ndarray, rows_b: np.ndarray, base:
             np.add.at(only_a, part[owner[good & (sign > 0)]], length[good & (sign > 0)])
             np.add.at(only_b, part[owner[good & (sign < 0)]], length[good & (sign < 0)])
             failed.append(part[~clear])
-        todo, size = np.concatenate(failed), size * GROWTH
+        todo = np.concatenate(failed)
+        cells = (a[1][rows_a[todo] + 1] - a[1][rows_a[todo]]) + (b[1][rows_b[todo] + 1] - b[1][rows_b[todo]])
+        for i in todo[size > GROWTH * cells + base]:  # more room than any set of different digests needs
+            only_a[i], only_b[i] = exactly(take(*a, rows_a[i:i + 1])[0], take(*b, rows_b[i:i + 1])[0])
+        todo, size = todo[size <= GROWTH * cells + base], size * GROWTH
     return only_a, only_b
 
 
+def exactly(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
+    """Characters that only the first, and only the second list of digests has, repeated ones counted as such."""
+    keys, number = np.unique(np.concatenate([a, b]), return_inverse=True)
+    more = np.bincount(number[:len(a)], minlength=len(keys)) - np.bincount(number[len(a):], minlength=len(keys))
+    length = (keys & U(0xFFFF)).astype(np.int64)
+    return int((np.maximum(more, 0) * length).sum()), int((np.maximum(-more, 0) * length).sum())
+
+
 def likeness(chars_a: np.ndarray, chars_b: np.ndarray, only_a: np.ndarray, only_b: np.ndarray) -> np.ndarray:
     """Shared characters over the characters of both texts; 1 for two empty texts."""
     union = chars_a + only_b
@@ -174,35 +191,56 @@ def edited_pieces(pieces: list[str], text: str, cut: int) -> list[str]:
     return pieces[:k] + PIECE.findall(text, end)
 
 
+def _inside(keyed: DataFrame, bounds: list[int]) -> list[tuple[int, int]]:
+    """(key, hash) bounds inside the keys that fill several ranges: as many as the key occurs in ``bounds``."""
+    times = {k: n for k, n in Counter(bounds).items() if n > 1}
+    if not times:
+        return []
+    most = max(times.values())
+    found = keyed.where(F.col("key").isin(*times)).groupBy("key").agg(F.percentile_approx(
+        "hash", [i / most for i in range(1, most)], max(10_000, 4 * most)).alias("hashes")).collect()
+    return [(r["key"], h) for r in found for h in r["hashes"][::max(1, most // times[r["key"]])]]
+
+
 def neighbours(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     """Rows (part, guest, key, doc_id, text) such that each document is followed, within its part, by the
     next one; ``guest`` rows close a part and belong to another."""
     spark = prepare(docs.sparkSession)
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LEAST))
     ids = docs.select(key.alias("key"))
     n = ids.count()
     parts = max(1, min(RANGES, -(-n // rows)))
-    bounds = sorted(set(ids.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).first()[0] or [])
+    bounds = sorted(ids.agg(F.percentile_approx("key", [i / parts for i in range(1, parts)], max(10_000, 4 * parts))).first()[0] or []
                     ) if parts > 1 and n else []
-    edges = np.array(bounds, np.int64)
+    own = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    edges = sorted({(k, LEAST) for k in bounds} | set(_inside(docs.select(key.alias("key"), own.alias("hash")), bounds)))
+    edge_key, edge_hash = np.array([k for k, _ in edges], np.int64), np.array([h for _, h in edges], np.int64)
+    cut = own if len(edges) > len(set(bounds)) else F.lit(LEAST)  # without such ids, the texts aren't read for the bounds
 
     @F.pandas_udf("long")
-    def part_of(k: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, k.to_numpy(), "right"))
-
-    firsts = sorted((r["part"], r["key"]) for r in ids.groupBy(part_of("key").alias("part")).agg(F.min("key").alias("key")).collect())
-    before = {k: firsts[i - 1][0] for i, (_, k) in enumerate(firsts)}
+    def part_of(k: pd.Series, h: pd.Series) -> pd.Series:
+        low, high = np.searchsorted(edge_key, k.to_numpy(), "left"), np.searchsorted(edge_key, k.to_numpy(), "right")
+        part = high.copy()
+        for x in np.unique(low[high - low > 1]):
+            rows = np.flatnonzero((low == x) & (high - low > 1))
+            part[rows] = x + np.searchsorted(edge_hash[x:high[rows[0]]], h.to_numpy()[rows], "right")
+        return pd.Series(part)
+
+    dealt = docs.select(key.alias("key"), cut.cast("long").alias("cut"))
+    firsts = sorted((r["part"], r["key"], r["cut"]) for r in dealt.groupBy(part_of("key", "cut").alias("part")).agg(
+        F.min(F.struct("key", "cut")).alias("first")).select("part", "first.key", "first.cut").collect())
+    before = {(k, h): firsts[i - 1][0] for i, (_, k, h) in enumerate(firsts)}
 
     @F.pandas_udf("long")
-    def guest_of(k: pd.Series) -> pd.Series:
-        return k.map(before).astype("Int64")
+    def guest_of(k: pd.Series, h: pd.Series) -> pd.Series:
+        return pd.Series([before.get(x) for x in zip(k.tolist(), h.tolist(), strict=True)], dtype="Int64")
 
-    home = F.struct(part_of("key").alias("part"), F.lit(0).alias("guest"))
-    away = F.struct(guest_of("key").alias("part"), F.lit(1).alias("guest"))
-    return (docs.select(key.alias("key"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    home = F.struct(part_of("key", "cut").alias("part"), F.lit(0).alias("guest"))
+    away = F.struct(guest_of("key", "cut").alias("part"), F.lit(1).alias("guest"))
+    return (docs.select(key.alias("key"), cut.cast("long").alias("cut"), own.alias("hash"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .withColumn("to", F.explode(F.array(home, away)))
-            .where("to.part is not null").select("to.part", "to.guest", "key", "doc_id", "text")
-            .repartition("part").sortWithinPartitions("part", "guest", "key", "text"))
+            .where("to.part is not null").select("to.part", "to.guest", "key", "hash", "doc_id", "text")
+            .repartition("part").sortWithinPartitions("part", "guest", "key", "hash", "text"))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),

@@ -8,15 +8,17 @@ holds clustered text, is a content region; every line of a region that is not fu
 notices, adverts, comments ...) belongs to the main text - short paragraphs too.  Sections and table
 cells belong to what holds them.  Outside articles, lines of links far below the threshold are menus.
 
-Cases: a null or empty page has the empty text; repeated pages are extracted alike; other columns
-pass through; unclosed or truncated markup is closed where the next block or the page ends, and an
-unclosed head where the body begins.  An element that is furniture by its names only (or a form) is not
+Cases: a null or empty page, and one without a line that is more than links, has the empty text; repeated pages are extracted alike; other columns
+pass through (in ``extract`` a column ``main_text`` is replaced); unclosed or truncated markup is closed where
+the next block or the page ends, and an unclosed head where the body begins; marks of comments or tags that
+never end are blanks, so that time stays in proportion to the page.  An element that is furniture by its names only (or a form) is not
 dropped if it holds the page's articles, that is more text than is left without it.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,8 +34,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main nav ol p pre section summary
 table tbody td tfoot th thead title tr ul""".split())
-DROPPED = frozenset("""script style noscript template svg math canvas object iframe head title nav footer aside form
-button select textarea input label fieldset dialog menu audio video map""".split())
+DROPPED = frozenset("""script style noscript template svg annotation annotation-xml canvas object iframe head title nav footer
+aside form button select textarea input label fieldset dialog menu audio video map""".split())
 REGION = frozenset("article main".split())
 #: Elements that the next one of their group closes.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -48,7 +50,10 @@ contentinfo complementary skip hidden""".split())
 BESIDE = frozenset("""left right top bottom upper lower first last primary secondary main side inner outer box block
 wrap wrapper container section area zone region list item items link links bar button buttons icon icons post posts
 page site global unit slot form widget widgets panel message header footer body text title inline sticky fixed mobile
-desktop small large js id""".split())
+desktop small large js id article articles content story stories news blog user users reader readers visitor guest member
+privacy policy law legal eu gdpr info information this that it us our your all more also new old count counter number
+thread threads tree root row col column group holder module view label heading toggle top2 nojs print email facebook
+twitter""".split())
 #: What may stand in a head; anything else begins the body.
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 HEADERS = frozenset("header site-header page-header".split())
@@ -60,12 +65,29 @@ APART = 2.0
 LINK_SHARE = 0.6
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _TOKEN = re.compile(r"[^a-z0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])")
+#: What a comment ends with, and what else may be left open to the end of a page.
+_COMMENT_END = re.compile(r"--!?>")
 
 
 def named(word: str) -> bool:
-    """Whether a class, id or role name is that of furniture: as a whole, or in all its parts."""
-    parts = {p for p in _TOKEN.split(word) if p and not p.isdigit()}
-    return word in FURNITURE or (bool(parts & FURNITURE) and parts <= FURNITURE | BESIDE)
+    """Whether a class, id or role name is that of furniture: as a whole, or in all its parts (at signs and capitals)."""
+    parts = {p for p in _TOKEN.split(_CAMEL.sub("-", word).lower()) if p and not p.isdigit()}
+    return word.lower() in FURNITURE or (bool(parts & FURNITURE) and parts <= FURNITURE | BESIDE)
+
+
+def closed(html: str) -> str:
+    """The page without the marks of comments, tags and declarations that never end, for which the parser would look to
+    the end of the page again and again; their content stays, as text."""
+    last = 0
+    for m in _COMMENT_END.finditer(html):
+        last = m.end()
+    if "<!--" in html[last:]:
+        html = html[:last] + html[last:].replace("<!--", " ")
+    end = html.rfind(">") + 1
+    if "<" in html[end:]:
+        html = html[:end] + html[end:].replace("<", " ")
+    return html
 
 
 def furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bool:
@@ -75,12 +97,11 @@ def furniture(tag: str, attrs: list[tuple[str, str | None]], inside: bool) -> bo
     if tag in ("html", "body", "article", "main"):
         return False
     for name, value in attrs:
-        value = (value or "").lower()
+        words, value = (value or "").split(), (value or "").lower()
         if name in ("class", "id", "role"):
-            words = value.split()
             if any(map(named, words)):
                 return True
-            if not inside and any(w in HEADERS for w in words):
+            if not inside and any(w.lower() in HEADERS for w in words):
                 return True
         elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _HIDDEN.search(value)):
             return True
@@ -93,12 +114,15 @@ class Lines(HTMLParser):
     def __init__(self, spared: frozenset[int] = frozenset()):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, int]] = []  # element, whether it drops its text, container
+        self.places: dict[str, list[int]] = defaultdict(list)  # where the open elements of a name stand in it
+        self.blocks: list[int] = []  # where the open block elements stand
         self.dropping = self.hard = 0  # open elements that drop their text; of these, those that always do
         self.spared = spared  # elements by number that do not drop their text
         self.elements = 0
         self.soft: list[tuple[int, int]] = []  # (number, depth) of the open elements that may be spared
         self.around: set[int] = set()  # those that hold an article or main
         self.lost = 0  # characters of articles in them
+        self.sections = True  # whether a CDATA section may still end
         self.regions = 0
         self.links = 0
         self.containers = 0
@@ -107,6 +131,14 @@ class Lines(HTMLParser):
         self.tags = self.linked = 0
         self.lines: list[tuple[str, int, int, int]] = []
 
+    def parse_marked_section(self, i, report=1):
+        """A marked section ends as CDATA does, any other (or one without that end) at the next closing sign."""
+        end = self.rawdata.find("]]>", i) if self.sections and self.rawdata.startswith("<![CDATA[", i) else -1
+        if end < 0:
+            self.sections &= not self.rawdata.startswith("<![CDATA[", i)  # none behind this one either
+            end = self.rawdata.find(">", i) - 2
+        return end + 3 if end >= -1 else -1
+
     def _container(self) -> int:
         return self.open[-1][2] if self.open else 0
 
@@ -124,20 +156,20 @@ class Lines(HTMLParser):
             self.hard -= 1
         if tag in BLOCK:
             self._line()
+            self.blocks.pop()
         self.open.pop()
+        self.places[tag].pop()
         self.dropping -= drops
         self.regions -= tag in REGION
         self.links -= tag == "a"
 
     def _close(self, tags: set[str], until: frozenset[str]) -> None:
         """Close the innermost of ``tags`` and what is open inside it, if no element of ``until`` is between."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] in tags:
-                while len(self.open) > i:
-                    self._pop()
-                return
-            if self.open[i][0] in until:
-                return
+        last = lambda names: max((self.places[t][-1] for t in names if self.places.get(t)), default=-1)
+        at = last(tags)
+        if at > last(until - tags):
+            while len(self.open) > at:
+                self._pop()
 
     def _body(self, tag: str) -> None:
         """Close a head that is still open where ``tag`` or text begins the body."""
@@ -148,7 +180,8 @@ class Lines(HTMLParser):
         self._body(tag)
         self.tags += 1
         if tag in BLOCK:
-            self._close({"p"}, BLOCK)
+            if self.blocks and self.open[self.blocks[-1]][0] == "p":
+                self._close({"p"}, frozenset())
             self._line()
             self.tags += 1
         if tag in CLOSES:
@@ -171,6 +204,9 @@ class Lines(HTMLParser):
             container = self.containers
             if tag in REGION:
                 self.articles.add(container)
+        self.places[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.blocks.append(len(self.open))
         self.open.append((tag, drops, container))
         self.dropping += drops
         self.regions += tag in REGION
@@ -185,7 +221,7 @@ class Lines(HTMLParser):
 
     def handle_endtag(self, tag):
         self.tags += 1
-        if tag == "p" and not any(x[0] == "p" for x in self.open):
+        if tag == "p" and not self.places.get("p"):
             self._line()
         elif tag == "br":
             self.text.append(" ")
@@ -231,6 +267,7 @@ def content_lines(ratios: np.ndarray, sigma: float = SIGMA) -> tuple[np.ndarray,
 
 def main_text(html: str) -> str:
     """The main text of one page: its blocks, in page order, joined by line breaks."""
+    html = closed(html)
     parser = Lines()
     parser.feed(html)
     lines = parser.finish()
@@ -245,7 +282,7 @@ def main_text(html: str) -> str:
     regions = held | parser.articles
     kept = [t for (t, _, linked, c), own in zip(lines, dense.tolist(), strict=True)
             if c in regions and (own or c in parser.articles or linked <= LINK_SHARE * len(t))]
-    return "\n".join(kept or [t for t, _, _, _ in lines])
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

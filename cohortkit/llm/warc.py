@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from cohortkit.llm.common import batches, prepare, shared_folder, staged, table, to_arrow
 
 ROLL = 32 << 20
+#: Tasks that read archives, at most (each one file after another; files are of about one size).
+READERS = 20_000
 LEVEL = 4
 BLOCK = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -235,7 +237,7 @@ def salvage(file, size: int, path: str, payload: bool = True) -> Iterator[tuple]
 
 
 def read_archives(manifest: DataFrame, payload: bool = True, whole: bool = False) -> DataFrame:
-    """Records and gaps of the archives named by ``manifest.path``, a file per task at a time.
+    """Records and gaps of the archives named by ``manifest.path``, a file at a time in each of a bounded number of tasks.
 
     ``whole``: fail if a file does not hold as many records as ``manifest.records`` says.
     """
@@ -261,7 +263,7 @@ def read_archives(manifest: DataFrame, payload: bool = True, whole: bool = False
                 if whole and read != records:
                     raise ValueError(f"{path}: {read} records read of {records} written")
 
-    return manifest.select("path", "records" if whole else F.lit(None).cast("long").alias("records")).repartition(max(1, n)).mapInArrow(run, ENTRY_DDL)
+    return manifest.select("path", "records" if whole else F.lit(None).cast("long").alias("records")).repartition(max(1, min(n, READERS))).mapInArrow(run, ENTRY_DDL)
 
 
 def with_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:

@@ -355,3 +355,127 @@ def test_runs_of_end_marks_are_bounded(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["near_next"] for r in FP.fingerprints(docs).collect()}
     assert abs(got[0] - 0.75) < 0.01 and got[1] == 0
+
+
+def test_equal_digests_end(spark):
+    """A sketch of equal digests never peels: the lists are compared instead, with their repetitions."""
+    keys = np.array([(7 << 16) | 5, (7 << 16) | 5, (9 << 16) | 4, (7 << 16) | 5], np.uint64)
+    a, b = (keys[:3], np.array([0, 3])), (keys[3:], np.array([0, 1]))
+    one, two = FP.differing(a, b, np.array([0]), np.array([0]))
+    assert (one.tolist(), two.tolist()) == ([9], [0])
+    both = FP.differing(a, a, np.array([0]), np.array([0]))
+    assert [x.tolist() for x in both] == [[0], [0]]
+
+
+def test_an_id_of_many_rows_is_several_ranges(spark):
+    rows = [(None if i % 3 else i, f"text {i}. " * (i % 5)) for i in range(900)] + [(5, "same")] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    near = FP.neighbours(docs, 20)
+    homes = near.where("guest = 0")
+    assert homes.count() == len(rows)
+    sizes = [r["count"] for r in homes.where("doc_id is null").groupBy("part").count().collect()]
+    assert len(sizes) > 15 and max(sizes) < 260  # texts of the null id repeat: 5 of 600 are empty copies
+    got = FP.fingerprints(docs).collect()
+    assert sorted((r["doc_id"] or -1, r["n_chars"]) for r in got) == sorted((i or -1, len(t)) for i, t in rows)
+    # the chain of neighbours is one cycle over all rows: edited texts tell each next text
+    order = sorted(((-1 if i is None else i), t) for i, t in rows)
+    assert len(got) == len(order)
+
+
+# ---- pages on broken markup --------------------------------------------------
+
+@pytest.mark.parametrize("page", ["<p>a <!--", "<a href=\"x", "<b>", "<p a=\"<p>", "<![CDATA[", "<![if x", "--><!--", "<div><table><a>", "</", "&am", "<![a]"])
+def test_broken_pages_take_time_in_proportion(page):
+    import time
+    start = time.time()
+    H.main_text(page * (1_000_000 // len(page)) + "<p>end</p>")
+    assert time.time() - start < 5
+
+
+@pytest.mark.parametrize("first, last", [("<b>", "</x>"), ("<div>", "</x>"), ("<a><table><b>", "</a>"), ("<div>", "</p>"), ("<li>", "</ul>")])
+def test_unmatched_end_tags_take_time_in_proportion(first, last):
+    import time
+    start = time.time()
+    H.main_text(first * 60_000 + last * 60_000)
+    assert time.time() - start < 5
+
+
+@pytest.mark.parametrize("name", ["article-comments", "user-comments", "related-articles", "cookieBanner", "privacy-banner", "cookie-law-info-bar",
+                                  "share-this", "commentList", "AdSlot"])
+@pytest.mark.parametrize("inside", [True, False])
+def test_notices_and_reader_comments_are_dropped(name, inside):
+    box = f"<div class='{name}'><p>Nothing of the article.</p></div>"
+    page = f"<body><article><p>{LONG}</p>{box if inside else ''}<p>End.</p></article>{'' if inside else box}"
+    assert H.main_text(page) == LONG.strip() + "\nEnd."
+
+
+def test_formulas_links_and_marked_sections():
+    assert H.main_text(f"<article><p>{LONG}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>.</p></article>").endswith("\nLet x=2.")
+    assert H.main_text("<ul><li><a href=a>Home</a></li><li><a href=b>About us</a></li><li><a href=c>Contact</a></li></ul>") == ""
+    assert H.main_text(f"<article><p>{LONG}</p><p>a <![if gte mso 9]>b<![endif]> <![CDATA[ c > d ]]>e</p><p>f <!-- g</p></article>").endswith("\na b e\nf g")
+
+
+# ---- pages against a plain extractor -----------------------------------------
+
+def plain_article(html):
+    """The blocks of the article of a well-formed page: a tree, what is furniture cut off, text by block element."""
+    from html import unescape
+    html = re.sub(r"<!--.*?-->", "", html, flags=re.S)
+    root = {"tag": "#", "attrs": "", "kids": []}
+    stack = [root]
+    for m in re.finditer(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)([^>]*)>|([^<]+)", html):
+        close, tag, attrs, data = m[1], (m[2] or "").lower(), m[3], m[4]
+        if stack[-1]["tag"] in ("script", "style") and not (close and tag == stack[-1]["tag"]):
+            continue
+        if data is not None:
+            stack[-1]["kids"].append(unescape(data))
+        elif close:
+            names = [x["tag"] for x in stack]
+            if tag in names:
+                del stack[len(names) - 1 - names[::-1].index(tag):]
+        else:
+            node = {"tag": tag, "attrs": attrs, "kids": []}
+            stack[-1]["kids"].append(node)
+            if tag not in H.VOID:
+                stack.append(node)
+
+    def find(node):
+        for k in node["kids"]:
+            if isinstance(k, dict):
+                yield from ([k] if k["tag"] == "article" else find(k))
+
+    def names(node):
+        return [w for _, v in re.findall(r"(?:class|id|role)\s*=\s*([\"']?)([^\"'>]*)\1", node["attrs"]) for w in v.split()]
+
+    lines = [""]
+
+    def walk(node):
+        if node["tag"] in H.DROPPED or any(map(H.named, names(node))):
+            return
+        block = node["tag"] in H.BLOCK
+        if block:
+            lines.append("")
+        for k in node["kids"]:
+            if isinstance(k, str):
+                lines[-1] += k
+            elif k["tag"] in ("br", "hr"):
+                lines[-1] += " "
+            else:
+                walk(k)
+        if block:
+            lines.append("")
+
+    for article in find(root):
+        walk(article)
+    return "\n".join(x for x in (" ".join(t.split()) for t in lines) if x)
+
+
+def test_pages_equal_a_plain_extractor(spark):
+    """All given pages have one well-formed article."""
+    sf = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    got = {r["page_id"]: r for r in QUERIES["op10_main_text"](spark, sf).collect()}
+    assert len(got) == len(rows)
+    for r in rows:
+        want = plain_article(r["html"] or "")
+        assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
