@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes a stage's rows as Parquet to
 the shared folder and gives them, read again, to the next.  All stages but the last return the columns of
-``documents``.  Cases (in every stage): null texts are empty texts, extra columns pass through until
-packing, an empty table stays empty, repeated rows of an id count as one document from the second stage on.
+``documents``.  Cases (in every stage): null texts are empty texts, extra columns pass through as they are until
+packing, whatever their names, an empty table stays empty, repeated rows of an id are one document from the second
+stage on (one row for each different text), rows without an id go their own way.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.llm import decontaminate, near_dedup, packing, quality, secrets
-from cohortkit.llm.common import staged, table
+from cohortkit.llm.common import kept, scratch, staged, table  # noqa: F401 (staged re-exported)
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,6 +55,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage, from ``documents``."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+    with scratch(spark) as stages:  # what a stage wrote on its way goes with the stage, its rows with the run
+        for name, stage in STAGES:
+            with scratch(spark) as made:
+                docs = kept(stage(spark, docs, sf_dir), name, made)
+        stages.kept.append(stages.pop())
     return docs
