@@ -13,7 +13,9 @@ from cohortkit.operators.common import (
     annualized,
     bounded_broadcast,
     dense_rank_within,
+    SALT_ROWS,
     links_of,
+    salted_join,
     stage_table,
     staged_broadcast,
 )
@@ -44,15 +46,15 @@ def agent_roles(t: RoleTables, p: RunParams):
     return memo[key]
 
 
-def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
-    """In-force policies issued in the target month, with qualifying agents.
+def month_policies(t: RoleTables, p: RunParams, issued: Column | None = None) -> DataFrame:
+    """In-force policies issued in the target month (or as ``issued`` says), with qualifying agents.
 
     Policy-grain work (filters, agent lookups, relationship class) happens
     before the coverage join, on the far smaller policy side.
     """
     wa, sa = agent_roles(t, p)
-    pol = t.policy.where(in_month("pol_iss_dt", p.month_start, p.next_month_start)
-                         & F.col("pol_stat_cd").isin(*p.inforce_status))
+    issued = issued if issued is not None else in_month("pol_iss_dt", p.month_start, p.next_month_start)
+    pol = t.policy.where(issued & F.col("pol_stat_cd").isin(*p.inforce_status))
     pol = (pol.join(wa, pol.wa_cd_1 == wa.wa_agt_code, "inner")
               .join(sa, pol.agt_code == sa.sa_agt_code, "inner"))
     return pol.select(
@@ -65,7 +67,7 @@ def month_policies(t: RoleTables, p: RunParams) -> DataFrame:
 
 
 def cohort_base(t: RoleTables, p: RunParams, reuse: str | None = "table",
-                insured_only: bool = True) -> tuple[DataFrame, DataFrame]:
+                insured_only: bool = True, issued: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """Step 1 before the insured link, and the month's insured links.
 
     Grain: coverage × owner link.  ``insured_only`` keeps the policies that
@@ -77,7 +79,7 @@ def cohort_base(t: RoleTables, p: RunParams, reuse: str | None = "table",
     # needs it.  Coverage and the links (both roles in one scan) are cut to the
     # month's policies map-side, so neither large table is shuffled.  Past the
     # bounds the joins fall back to shuffles (AQE, runtime bloom filters).
-    pol = staged_broadcast(month_policies(t, p), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS),
+    pol = staged_broadcast(month_policies(t, p, issued), p.extra.get("month_policy_max_rows", MONTH_POLICY_MAX_ROWS),
                            reuse, "month_policies")
     links = t.links.where(F.col("link_typ").isin("O", "I")).join(pol.select("pol_num"), "pol_num", "left_semi")
     links = links.select("pol_num", "cli_num", "link_typ")
@@ -141,14 +143,19 @@ def cohort_owners(cohort: DataFrame) -> DataFrame:
     return cohort.select("po_num").distinct()
 
 
-def owner_policy_links(t: RoleTables, p: RunParams, owners: DataFrame, reuse: str | None = None) -> DataFrame:
+def owner_policy_links(t: RoleTables, p: RunParams, owners: DataFrame, reuse: str | None = None,
+                       salted: bool = False) -> DataFrame:
     """(policy, owner) links of every policy of the cohort owners, any status.
 
     Written once and size-checked: when bounded it is broadcast, and the scan
     of the full policy history (:func:`policy_history`) becomes a map-side
     join instead of a shuffle of the policy table.
     """
-    own = links_of(t.links, "O", "po_num").join(owners.select("po_num"), "po_num", "left_semi")
+    links = links_of(t.links, "O", "po_num")
+    if salted:  # the owners are past their bound: a shuffle, in which no owner is one task
+        own = salted_join(links, owners.select("po_num"), "po_num", "left_semi", p.extra.get("salt_rows", SALT_ROWS))
+    else:
+        own = links.join(owners.select("po_num"), "po_num", "left_semi")
     return staged_broadcast(own, p.extra.get("owner_link_max_rows", OWNER_LINK_MAX_ROWS), reuse, "owner_links")
 
 

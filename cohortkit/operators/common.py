@@ -90,6 +90,32 @@ def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str)
     return bounded_broadcast(out, max_rows, n)
 
 
+#: Rows of one key that a task of a salted join reads.
+SALT_ROWS = 1_000_000
+
+
+def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", rows: int = SALT_ROWS) -> DataFrame:
+    """Join on ``key`` where ``big`` may have any number of rows of one key, and ``small`` few.
+
+    One count (partial, map-side) finds the keys with more than ``rows`` rows;
+    there are at most rows-of-``big`` / ``rows`` of them, so they are broadcast.
+    Their rows in ``big`` are dealt to salts by a hash of the whole row, and
+    only their rows in ``small`` are copied, once for each salt; all other
+    keys have one salt.  ``how`` is inner, left, left_semi or left_anti; NULL
+    keys match nothing, as in a plain join.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"a salted join can't be {how!r}")
+    heavy = big.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).select(
+        F.col(key).alias("_k"), F.ceil(F.col("_n") / rows).cast("int").alias("_salts"))
+    heavy = F.broadcast(stage_table(heavy, "heavy_keys")[0])
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    dealt = big.join(heavy, big[key] == heavy["_k"], "left").withColumn("_salt", F.pmod(F.xxhash64(*big.columns), salts).cast("int"))
+    copies = small.join(heavy, small[key] == heavy["_k"], "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    joined = dealt.drop("_k", "_salts").join(copies.drop("_k", "_salts"), [key, "_salt"], how)
+    return joined.drop("_salt").select(key, *[c for c in joined.columns if c not in (key, "_salt")])
+
+
 def links_of(links: DataFrame, link_type: str, cli_alias: str) -> DataFrame:
     """Party links of one role type, e.g. owners (``'O'``) or insureds (``'I'``)."""
     return (links.where(F.col("link_typ") == F.lit(link_type))

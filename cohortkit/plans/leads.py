@@ -23,7 +23,6 @@ from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
 from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
-    bounded_broadcast,
     dense_rank_within,
     materialize,
     stage_table,
@@ -117,16 +116,18 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
         base = materialize(base_df, reuse, "cohort")
         owners = C.cohort_owners(base)
         n_owners = owners.count()
-    owners = bounded_broadcast(owners, OWNER_MAX_ROWS, n_owners)
+    owner_rows = p.extra.get("owner_max_rows", OWNER_MAX_ROWS)
+    owners_bounded = within_bounds(owners, n_owners, owner_rows)
+    owners = F.broadcast(owners) if owners_bounded else owners
 
     def per_owner(df: DataFrame) -> DataFrame:
         # Grouped by owner after the semi-join to the owner set: at most one row
         # per owner, so its size is bounded by the owners times its own width.
-        return F.broadcast(df) if within_bounds(df, n_owners, OWNER_MAX_ROWS) else df
+        return F.broadcast(df) if within_bounds(df, n_owners, owner_rows) else df
 
     cohort = C.with_insured(base, insureds)
     first = C.with_insured(C.first_contract(base), insureds)
-    own_links = C.owner_policy_links(t, p, owners, reuse)
+    own_links = C.owner_policy_links(t, p, owners, reuse, salted=not owners_bounded)
     history = C.policy_history(t, p, own_links, reuse)
     hold = C.holdings(t, p, owners, reuse=reuse, history=history)
     facts = C.owner_facts(history[0], p)

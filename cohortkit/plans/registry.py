@@ -18,14 +18,15 @@ from cohortkit.functions import rulebook as R
 from cohortkit.functions import tiers as T
 from cohortkit.functions.dates import in_month, month_key_from_text, month_key_of, tenure_years
 from cohortkit.functions.rules import least_in, present_flag, typed_null, yn
+from cohortkit.operators import backfill as BF
 from cohortkit.operators import cohort as C
 from cohortkit.operators import dims as D
 from cohortkit.operators import flags as FL
 from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
-from cohortkit.operators.common import annualized, links_of, staged_broadcast
-from cohortkit.params import RunParams
+from cohortkit.operators.common import annualized, links_of, materialize, staged_broadcast
+from cohortkit.params import RunParams, add_months, last_day
 from cohortkit.plans import oracle as O
 from cohortkit.plans.leads import OWNER_MAX_ROWS, build_stages, run
 from cohortkit.session import staging_path
@@ -76,6 +77,12 @@ RQ, SQ = O.roles_query, O.stage_query
 L = O.Lit(PR)
 ME = L.me
 
+# Per-owner holdings of *every* owner (not only the cohort) for the band/tier keys.
+def _all_hld_query(select: str) -> str:
+    held = O.holdings_sum_sql(f"({O.held_rows_sql(L)})", PR.tenure_years)
+    return O.roles_query(select, PR, (("all_hld", held),))
+
+
 # ===========================================================================
 # 2.1 Scans, sources, sinks
 # ===========================================================================
@@ -554,6 +561,51 @@ def cohort_active(spark, sf):
     return C.active_cohort(roles(spark, sf), PR, rank="split")
 
 
+def _before(months: int) -> RunParams:
+    """The fixture run of some months earlier."""
+    start = add_months(PR.month_start, -months)
+    return PR.with_(month_end=last_day(start))
+
+
+_MONTHS = [_before(2), _before(1), PR]
+_MONTH_COHORTS = tuple((f"cohort_{p.month_key}", O.cohort_sql(p)) for p in _MONTHS)
+
+
+@register("cohort_backfill", O.roles_query(" UNION ALL BY NAME ".join(f"SELECT * FROM {n}" for n, _ in _MONTH_COHORTS), PR, _MONTH_COHORTS))
+def cohort_backfill(spark, sf):
+    """The cohorts of three months from one scan of each table."""
+    return BF.cohort_months(roles(spark, sf), _MONTHS)
+
+
+def _month_totals(p: RunParams) -> str:
+    held = O.held_rows_sql(O.Lit(p), f"EXISTS (FROM cohort_{p.month_key} k WHERE k.po_num = m.owner)")
+    return f"SELECT '{p.month_key}' AS onb_mth_yr, x.* FROM ({O.holdings_sum_sql(f'({held})', p.tenure_years)}) x"
+
+
+@register("holdings_backfill", O.roles_query(" UNION ALL BY NAME ".join(_month_totals(p) for p in _MONTHS), PR, _MONTH_COHORTS))
+def holdings_backfill(spark, sf):
+    """Holdings of each month's cohort owners up to that month's end, as running totals."""
+    t = roles(spark, sf)
+    owners = staged_broadcast(BF.cohort_months(t, _MONTHS, rank=None).select("po_num", "onb_mth_yr").distinct(), OWNER_MAX_ROWS, "table", "owners")
+    return BF.holdings_months(t, _MONTHS, owners)
+
+
+@register("agg_holdings_incremental", _all_hld_query('SELECT po_num, total_ape, pol_cnt, "10yr_pol_cnt" FROM all_hld'))
+def agg_holdings_incremental(spark, sf):
+    """Last month's holdings carried on: the earlier month had other statuses, pay modes, premiums, owners and coverages."""
+    from dataclasses import replace
+    t = roles(spark, sf)
+    k = F.col("pol_num")
+    was = replace(
+        t, policy=t.policy.withColumn("pol_stat_cd", F.when(k % 7 == 0, F.lit("7")).when(k % 7 == 1, F.lit("1")).otherwise(F.col("pol_stat_cd")))
+        .withColumn("pmt_mode", F.when(k % 11 == 0, 0).otherwise(F.col("pmt_mode"))),
+        coverage=t.coverage.where(k % 13 != 0).withColumn("cvg_prem", F.when(k % 5 == 0, F.col("cvg_prem") + 1).otherwise(F.col("cvg_prem"))),
+        links=t.links.withColumn("cli_num", F.when(k % 17 == 0, F.col("cli_num") + 1).otherwise(F.col("cli_num"))))
+    first = BF.first_holdings(was, _before(1))
+    first = BF.HoldingsState(*[materialize(getattr(first, f), "table", f"holdings_{f}") for f in ("digests", "policies", "totals")])
+    return BF.next_holdings(t, PR, first)[0].totals.select("po_num", *BF.SUMMARY)
+
+
 @register("holdings_all", SQ("SELECT * FROM m_holdings"))
 def holdings_all(spark, sf):
     t = roles(spark, sf)
@@ -615,12 +667,6 @@ def scl_band_income(spark, sf):
     return c.select("cli_num", "mthly_incm", T.income_band("mthly_incm").alias("mthly_incm_cat"))
 
 
-# Per-owner holdings of *every* owner (not only the cohort) for the band/tier keys.
-def _all_hld_query(select: str) -> str:
-    held = O.holdings_sum_sql(f"({O.held_rows_sql(L)})", PR.tenure_years)
-    return O.roles_query(select, PR, (("all_hld", held),))
-
-
 def _all_holdings(spark, sf) -> DataFrame:
     return C.holdings_summary(C.holdings(roles(spark, sf), PR, None), PR)
 
@@ -808,7 +854,7 @@ def flag_repurchase(spark, sf):
 
 @register("flag_unassigned", SQ(
     "SELECT DISTINCT pol_num, cus_agt_rltnshp, CASE WHEN cus_agt_rltnshp IN "
-    f"{O.in_list(R.ASSIGNED_RELATIONSHIPS)} THEN 'N' ELSE 'Y' END AS unassigned FROM m_cohort"))
+    "('Original Agent', 'Reassigned Agent') THEN 'N' ELSE 'Y' END AS unassigned FROM m_cohort"))
 def flag_unassigned(spark, sf):
     cohort = C.active_cohort(roles(spark, sf), PR, rank=None)
     return cohort.select("pol_num", "cus_agt_rltnshp", FL.unassigned_flag().alias("unassigned")).distinct()
