@@ -37,6 +37,8 @@ from cohortkit.llm.common import batches, prepare, table, to_arrow
 
 #: Documents in one range, and ranges at most (their bounds are held by the driver).
 ROWS, RANGES = 256, 200_000
+#: Ranges that a task gets on average, so that its share does not depend on the size of the input.
+TASK_RANGES = 24
 CELL = 96
 #: Cells of the stored sketch; growth on failure; sketch cells that one peeling holds in memory.
 BASE, GROWTH, HELD = 24, 4, 1 << 21
@@ -240,7 +242,7 @@ def neighbours(docs: DataFrame, rows: int = ROWS) -> DataFrame:
     return (docs.select(key.alias("key"), cut.cast("long").alias("cut"), own.alias("hash"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
             .withColumn("to", F.explode(F.array(home, away)))
             .where("to.part is not null").select("to.part", "to.guest", "key", "hash", "doc_id", "text")
-            .repartition("part").sortWithinPartitions("part", "guest", "key", "hash", "text"))
+            .repartition(max(1, -(-parts // TASK_RANGES)), "part").sortWithinPartitions("part", "guest", "key", "hash", "text"))
 
 
 OUT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),

@@ -34,6 +34,8 @@ from cohortkit.llm.common import batches, prepare, shared_folder, staged, table,
 ROLL = 32 << 20
 #: Tasks that read archives, at most (each one file after another; files are of about one size).
 READERS = 20_000
+#: Bytes that are read at a start mark to see whether it can begin a record.
+HEAD = 512
 LEVEL = 4
 BLOCK = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -215,6 +217,19 @@ def next_start(file, offset: int) -> Iterator[int]:
     yield from (at + m.start() for m in STARTS.finditer(held))
 
 
+def plausible(file, at: int) -> bool:
+    """Whether the first bytes at a start mark can begin a record, so that a false mark costs a short read only."""
+    file.seek(at)
+    head = file.read(HEAD)
+    if head[:2] == b"\x1f\x8b":
+        try:
+            head = zlib.decompressobj(31).decompress(head, HEAD)
+        except zlib.error:
+            return False
+        return head[:7] == b"WARC/1."[:len(head)]
+    return re.match(rb"WARC/1\.[01]\r\n[^\s:]+:", head) is not None
+
+
 def salvage(file, size: int, path: str, payload: bool = True) -> Iterator[tuple]:
     """All valid records of a file in order, and a gap row for every run of bytes given up."""
     offset = 0
@@ -224,6 +239,8 @@ def salvage(file, size: int, path: str, payload: bool = True) -> Iterator[tuple]
         except Bad as bad:
             reason, entry, after = str(bad), None, size
             for at in next_start(file, offset + 1):
+                if not plausible(file, at):
+                    continue
                 try:
                     entry, after = read_at(file, at, path, payload)
                     break

@@ -111,6 +111,25 @@ def test_salvage_recovers_all_undamaged_records(compress, monkeypatch):
     assert read(b"") == [] and [e[0] for e in read(b"nothing here")] == ["gap"]
 
 
+@pytest.mark.parametrize("mark", [b"WARC/1.1\r\n", b"\x1f\x8b\x08\x00", b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x4b\x4c\x04\x00 "])
+def test_false_start_marks_cost_little(mark):
+    """A megabyte of marks that begin no record: short reads, and the records behind them are found."""
+    class Counting(io.BytesIO):
+        total = 0
+
+        def read(self, n=-1):
+            data = super().read(n)
+            self.total += len(data)
+            return data
+
+    parts = archive(5)
+    data = parts[0] + mark * (1_000_000 // len(mark)) + b"".join(parts[1:])
+    file = Counting(data)
+    got = list(W.salvage(file, len(data), "f"))
+    assert [e[5] for e in got if e[0] == "record"] == [f"urn:page:{i}" for i in range(5)]
+    assert file.total < 20 * len(data) + W.HEAD * 2 * (len(data) // len(mark))
+
+
 def test_archives_through_spark(spark):
     pages = spark.createDataFrame([(1, "u", "same"), (2, None, "same"), (3, "u", None), (4, "u", ""), (4, "u", ""), (5, "u", "é" * 90_000)],
                                   "page_id long, url string, html string")
