@@ -74,6 +74,19 @@ def test_draws_follow_the_law():
         assert chi < 3 * len(law) + 20
 
 
+def test_draws_cost_little():
+    """The matrix is drawn on the driver: a draw's cost does not grow with the counts."""
+    import time
+    rng, start = random.Random(1), time.time()
+    got = [S.draw(rng, 10**10, 7 * 10**10, 60_000) for _ in range(3000)]
+    assert time.time() - start < 3
+    mean, deviation = 7500, (60_000 / 8 * 7 / 8) ** 0.5
+    assert abs(sum(got) / len(got) - mean) < 5 * deviation / 3000**0.5
+    spread = (sum((x - mean) ** 2 for x in got) / len(got)) ** 0.5
+    assert abs(spread / deviation - 1) < 0.07
+    assert [S.draw(rng, *x) for x in ((0, 5, 3), (5, 0, 3), (4, 4, 8), (4, 4, 0), (1, 0, 1), (0, 0, 0))] == [0, 3, 4, 0, 1, 0]
+
+
 def test_matrices_have_the_law_of_a_permutation():
     """Two partitions of two rows into two shards of two: all 24 permutations give the law 1/6, 4/6, 1/6."""
     law = Counter(sum(x < 2 for x in p[:2]) for p in itertools.permutations(range(4)))
