@@ -224,7 +224,7 @@ def holdings(t: RoleTables, p: RunParams, owners: DataFrame | None, rank: str |
     pol = rows.where((F.col("pol_iss_dt") <= F.lit(p.month_end)) & F.col("pol_stat_cd").isin(*p.inforce_status)
                      & with_agents()).select("pol_num", "po_num", "pmt_mode", "pol_iss_dt", "wagt_cd",
                                              "wagt_comp_prvd_num", "sagt_cd", "sagt_comp_prvd_num")
-    if owners is not None:
+    if owners is not None and n is not None:
         # The cohort owners' policies: a filter of the staged history, whose rows
         # bound them; broadcast to the coverage join when bounded (a hot owner can
         # push it past the bound; then the join shuffles, keyed by policy, which a

@@ -81,11 +81,11 @@ def staged_broadcast(df: DataFrame, max_rows: int, reuse: str | None, name: str)
     With ``reuse="table"`` the rows are counted by the write and held against
     ``max_rows`` and, times the row width, against the byte bound; the side is
     computed once, whether it ends up broadcast or shuffled.  With
-    ``reuse=None`` a count of the frame decides, and the side runs again in
-    the join.
+    ``reuse=None`` nothing is written or counted: its size is unknown, and the
+    join is left to the planner.
     """
     if reuse is None:
-        return bounded_broadcast(df, max_rows)
+        return df
     out, n = stage_table(df, name)
     return bounded_broadcast(out, max_rows, n)
 

@@ -51,7 +51,7 @@ def as_of(df: DataFrame, keys: Sequence[str], effective: str | None = None, at:
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in kept]).select(*df.columns)
 
 
-def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False) -> DataFrame:
+def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False, codes: DataFrame | None = None) -> DataFrame:
     """Servicing-channel agents with their descriptive attributes, DISTINCT.
 
     All right sides are dimensions keyed by agent or location; the agent table
@@ -59,8 +59,13 @@ def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False) -> DataFr
     as in SQL; DISTINCT then removes only identical rows.  With ``unique``
     each right side has one row for each key (:func:`as_of`), the scorecard
     its last snapshot up to the run's, so no lead is multiplied.
+
+    ``codes`` (a frame with ``agt_code``) cuts the agents and their scorecards
+    to those that a run needs, before any join; None takes every agent.
     """
-    sa = t.agents.where(F.col("comp_prvd_num").isin(*p.servicing_channels))
+    sa, scorecard = t.agents.where(F.col("comp_prvd_num").isin(*p.servicing_channels)), t.scorecard
+    if codes is not None:
+        sa, scorecard = sa.join(codes, "agt_code", "left_semi"), scorecard.join(codes, "agt_code", "left_semi")
     can = t.candidates.select("can_num", "email_addr", F.col("id_num").alias("agt_id_num"))
     loc = t.locations.select("loc_code", "city", "region")
     rh = t.regional_heads.select(F.col("loc_cd").alias("loc_code"), F.col("rh_name").alias("agent_rh"))
@@ -68,10 +73,10 @@ def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False) -> DataFr
         "loc_code", F.col("loc_mrg").alias("mgr_cd"), "mgr_nm")
     if unique:
         can, loc, rh, mgr = as_of(can, ["can_num"]), as_of(loc, ["loc_code"]), as_of(rh, ["loc_code"]), as_of(mgr, ["loc_code"])
-        sc = as_of(t.scorecard.select("agt_code", "monthend_dt", "agent_tier", "agent_cluster"), ["agt_code"],
+        sc = as_of(scorecard.select("agt_code", "monthend_dt", "agent_tier", "agent_cluster"), ["agt_code"],
                    "monthend_dt", p.scorecard_month_end).drop("monthend_dt")
     else:
-        sc = scorecard_snapshot(t.scorecard, p.scorecard_month_end)
+        sc = scorecard_snapshot(scorecard, p.scorecard_month_end)
     df = (sa.join(can, "can_num", "left")
             .join(loc, "loc_code", "left")
             .join(rh, "loc_code", "left")

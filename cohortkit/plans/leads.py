@@ -23,6 +23,7 @@ from cohortkit.operators import profile as P
 from cohortkit.operators import publish as PB
 from cohortkit.operators import scoring as S
 from cohortkit.operators.common import (  # noqa: F401 (materialize re-exported)
+    DEFAULT_BROADCAST_ROWS,
     dense_rank_within,
     materialize,
     stage_table,
@@ -112,29 +113,30 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
     if reuse == "table":
         base = stage_table(base_df, "cohort")[0]
         owners, n_owners = stage_table(C.cohort_owners(base), "owners")
-    else:
-        base = materialize(base_df, reuse, "cohort")
+    else:  # nothing is written, so no size is known: the joins are left to the planner
+        base, n_owners = materialize(base_df, reuse, "cohort"), None
         owners = C.cohort_owners(base)
-        n_owners = owners.count()
     owner_rows = p.extra.get("owner_max_rows", OWNER_MAX_ROWS)
-    owners_bounded = within_bounds(owners, n_owners, owner_rows)
+    owners_bounded = n_owners is not None and within_bounds(owners, n_owners, owner_rows)
     owners = F.broadcast(owners) if owners_bounded else owners
 
     def per_owner(df: DataFrame) -> DataFrame:
         # Grouped by owner after the semi-join to the owner set: at most one row
         # per owner, so its size is bounded by the owners times its own width.
-        return F.broadcast(df) if within_bounds(df, n_owners, owner_rows) else df
+        return F.broadcast(df) if n_owners is not None and within_bounds(df, n_owners, owner_rows) else df
 
     cohort = C.with_insured(base, insureds)
     first = C.with_insured(C.first_contract(base), insureds)
-    own_links = C.owner_policy_links(t, p, owners, reuse, salted=not owners_bounded)
+    own_links = C.owner_policy_links(t, p, owners, reuse, salted=n_owners is not None and not owners_bounded)
     history = C.policy_history(t, p, own_links, reuse)
     hold = C.holdings(t, p, owners, reuse=reuse, history=history)
     facts = C.owner_facts(history[0], p)
     if reuse is not None:  # one grouped pass, read by the profile and by the flags
         facts = stage_table(facts, "owner_facts")[0]
     summary = per_owner(C.holdings_summary(hold, p))
-    agent_dim = D.agent_dimension(t, p)
+    # Only the cohort's servicing agents meet the other dimensions.
+    codes = staged_broadcast(base.select(F.col("sagt_cd").alias("agt_code")).distinct(), DEFAULT_BROADCAST_ROWS, reuse, "cohort_agents")
+    agent_dim = D.agent_dimension(t, p, codes=codes)
     first_dates = per_owner(P.first_join_dates(t, p, facts=facts))
     profile = P.customer_profile(t, p, owners, summary, first_dates)
     policies = base.select("pol_num").distinct()

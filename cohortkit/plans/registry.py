@@ -832,6 +832,30 @@ def flag_recent_contact_insured_by_client(spark, sf):
     return st.combined.select("po_num", "pol_num", "in_onb_ins", "in_onb").distinct()
 
 
+#: Of a customer's batches those of one month in six, so that the cut-off decides (all of them old, or all recent).
+_ONE_MONTH = "(MONTH(batch_start_date) + 4) % 6 = CAST(tgt_cust_id AS BIGINT) % 6"
+_RECENT = f"t.batch_start_date > {O.Lit(PR).cutoff}"
+
+
+@register("flag_recent_contact_cutoff", O.roles_query(
+    f"SELECT *, IF('Y' IN (in_onb_po, in_onb_ins), 'Y', 'N') AS in_onb FROM (SELECT c.cli_num AS po_num, "
+    "EXISTS (FROM p_target t WHERE t.tgt_cust_id = c.cli_num) AS targeted, "
+    f"IF(EXISTS (FROM p_target t WHERE t.tgt_cust_id = c.cli_num AND {_RECENT}), 'Y', 'N') AS in_onb_po, "
+    f"IF(EXISTS (FROM p_target t JOIN r_link i ON i.pol_num = t.tgt_cust_id WHERE i.link_typ = 'I' AND i.cli_num = c.cli_num "
+    f"AND {_RECENT}), 'Y', 'N') AS in_onb_ins FROM r_customer c)", PR,
+    (("p_target", f"SELECT * FROM r_target WHERE {_ONE_MONTH}"),)))
+def flag_recent_contact_cutoff(spark, sf):
+    """Contact flags of every customer over targets whose batches are all old or all recent."""
+    from dataclasses import replace
+    t = roles(spark, sf)
+    planted = replace(t, targets=t.targets.where(_ONE_MONTH))
+    flags = FL.owner_flags(planted, PR)
+    ever = planted.targets.select(F.col("tgt_cust_id").alias("po_num")).distinct().withColumn("targeted", F.lit(True))
+    return (t.customers.select(F.col("cli_num").alias("po_num")).join(ever, "po_num", "left").join(flags, "po_num", "left")
+            .select("po_num", F.coalesce("targeted", F.lit(False)).alias("targeted"),
+                    *[F.coalesce(F.col(c), F.lit("N")).alias(c) for c in ("in_onb_po", "in_onb_ins", "in_onb")]))
+
+
 @register("flag_channel_overlap", _combined_flag(["in_banca"]))
 def flag_channel_overlap(spark, sf):
     return _flag_query(spark, sf, ["in_banca"])

@@ -5,7 +5,9 @@ import os
 import pytest
 
 from cohortkit.operators import cohort as C
+from cohortkit.operators import dims as D
 from cohortkit.plans import registry
+from cohortkit.plans.leads import build_stages
 from cohortkit.sources.fixtures import FIXTURE_PARAMS, build_fixture_tables
 
 SF = "/root/testdata/sf0.01"
@@ -52,3 +54,39 @@ def test_full_plan_has_no_cartesian_or_nested_loop_join(spark):
     plan = _plan(registry.queries()["publish_leads"](spark, SF))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_agent_dimension_cut_to_the_cohort(spark, tables):
+    """The same rows as the whole dimension has for these agents; agents and scorecards are cut before any join."""
+    some = tables.agents.where("CAST(agt_code AS BIGINT) % 3 = 0").select("agt_code")
+    whole = D.agent_dimension(tables, FIXTURE_PARAMS)
+    cut = D.agent_dimension(tables, FIXTURE_PARAMS, codes=some)
+    same = whole.join(some, "agt_code", "left_semi").select(*cut.columns)
+    assert 0 < cut.count() < whole.count()
+    assert cut.exceptAll(same).count() == 0 and same.exceptAll(cut).count() == 0
+    assert D.agent_dimension(tables, FIXTURE_PARAMS, codes=some.limit(0)).count() == 0
+    st = build_stages(tables, FIXTURE_PARAMS)
+    codes = {r.sagt_cd for r in st.cohort.select("sagt_cd").distinct().collect()}
+    assert {r.agt_code for r in st.agent_dim.select("agt_code").collect()} == codes
+    st.close()
+
+
+def test_without_staging_no_job_runs_while_the_plan_is_built(spark, tables):
+    """reuse=None: no side is counted or written, so none is computed twice."""
+    memo = C.agent_roles(tables, FIXTURE_PARAMS)  # the agent lookups are counted once for a set of tables
+    group = "plan-only"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        st = build_stages(tables, FIXTURE_PARAMS, reuse=None)
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+        assert st.staged == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.sparkContext.setLocalProperty("spark.job.description", None)
+    assert memo is C.agent_roles(tables, FIXTURE_PARAMS)
+
+
+def test_the_cutoff_decides_the_contact_flag(spark):
+    """Of the customers with a batch some are flagged and some not, in the query over batches of one month each."""
+    rows = registry.queries()["flag_recent_contact_cutoff"](spark, SF).where("targeted").groupBy("in_onb_po").count().collect()
+    assert {r.in_onb_po for r in rows} == {"Y", "N"} and min(r["count"] for r in rows) >= 20
