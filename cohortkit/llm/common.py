@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 #: Rows in one Arrow batch: 512 texts of up to some 100 KB stay far below a worker's memory.
 ARROW_ROWS = 512
+PLAIN_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -94,9 +96,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, list[Column]]:
     """``df`` with its columns of these names renamed, and columns that give ``df``'s own ones back, for operators
-    that add columns of these names on the way (names with dots, which Arrow functions don't take, are renamed too)."""
+    that add columns of these names on the way (names that Arrow functions or their schemas don't take, with dots,
+    blanks or quotes, are renamed too)."""
     clash = {c.lower() for c in names}
-    new = {c: f"__own_{i}_{uuid.uuid4().hex[:8]}" for i, c in enumerate(df.columns) if c.lower() in clash or "." in c or "`" in c}
+    new = {c: f"__own_{i}_{uuid.uuid4().hex[:8]}" for i, c in enumerate(df.columns) if c.lower() in clash or not PLAIN_NAME.fullmatch(c)}
     quoted = lambda c: "`" + c.replace("`", "``") + "`"
     return df.withColumnsRenamed(new), [F.col(quoted(new.get(c, c))).alias(c) for c in df.columns]
 

@@ -219,10 +219,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
     ``benchmark`` has ``item_id`` and ``text``. One pass over the documents for each block.
     """
     spark = prepare(docs.sparkSession)
-    docs = docs.drop(*RESULTS)
+    docs, back = set_aside(docs.drop(*RESULTS))
     items, blocks = benchmark_blocks(benchmark, block_bytes)
     if blocks == 1:
-        return docs.mapInArrow(_scanner(_held(spark, items, 0, window), text), _schema(docs))
+        return docs.mapInArrow(_scanner(_held(spark, items, 0, window), text), _schema(docs)).select(*back, *RESULTS)
     with scratch(spark) as made:
         items = staged(items, "benchmark-blocks")
         row = staged(docs.select(F.monotonically_increasing_id().alias("rid"), F.struct(*docs.columns).alias("row"), F.col(text).alias("own")), "scanned")
@@ -235,7 +235,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", window
         found = hits.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"),
                                         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
         joined = row.join(found, "rid", "left").mapInArrow(_merged, f"row {row.schema['row'].dataType.simpleString()}, {HIT_FIELDS}")
-        return kept(joined.select(*[F.col("row")[c].alias(c) for c in docs.columns], *RESULTS), "leaks", made)
+        return kept(joined.select(*[F.col("row")[c].alias(c) for c in docs.columns], *RESULTS), "leaks", made).select(*back, *RESULTS)
 
 
 RESULTS = [f.name for f in OUT]

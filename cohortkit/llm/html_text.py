@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, prepare, table, texts_of
+from cohortkit.llm.common import batches, prepare, set_aside, table, texts_of
 
 # Element names of HTML by their role.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -288,7 +288,7 @@ def main_text(html: str) -> str:
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:
     """``pages`` plus ``main_text``."""
     prepare(pages.sparkSession)
-    pages = pages.drop("main_text")
+    pages, back = set_aside(pages.drop("main_text"))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema)
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,7 +296,7 @@ def extract(pages: DataFrame, html: str = "html") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array([main_text(h) for h in texts_of(b, html)], pa.string())],
                                              schema=pa.schema([*b.schema, pa.field("main_text", pa.string())]))
 
-    return pages.mapInArrow(run, f"{own}, main_text string")
+    return pages.mapInArrow(run, f"{own}, main_text string").select(*back, "main_text")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

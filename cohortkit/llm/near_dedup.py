@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, kept, prepare, scratch, staged, table, texts_of, to_arrow
+from cohortkit.llm.common import batches, kept, prepare, scratch, set_aside, staged, table, texts_of, to_arrow
 
 WORDS = 5
 SIMILAR = 0.8
@@ -398,10 +398,11 @@ def keep_one(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     Repeated rows of a kept id are one row for each different text; all columns stay as they are.
     """
     found = near_classes(docs, least).where("doc_id = class_id").select("doc_id")
+    docs, back = set_aside(docs)
     row = F.struct(*docs.columns)
     rows = docs.select("doc_id", row.alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"))
     one = rows.where("doc_id is not null").join(found, rows.doc_id.cast("long") == found.doc_id, "left_semi").dropDuplicates(["doc_id", "hash"])
-    return one.unionByName(rows.where("doc_id is null")).select("row.*")
+    return one.unionByName(rows.where("doc_id is null")).select("row.*").select(*back)
 
 
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -235,9 +235,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
 def score(docs: DataFrame, model: Network | float, text: str = "text") -> DataFrame:
     """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from 0.5)."""
     prepare(docs.sparkSession)
-    docs = docs.drop("score", "predicted")
+    docs, back = set_aside(docs.drop("score", "predicted"))
     if isinstance(model, float):
-        return docs.withColumn("score", F.lit(model)).withColumn("predicted", F.lit(int(model >= 0.5)))
+        return docs.select(*back, F.lit(model).alias("score"), F.lit(int(model >= 0.5)).alias("predicted"))
     held = docs.sparkSession.sparkContext.broadcast(model.p)
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
@@ -249,7 +249,7 @@ def score(docs: DataFrame, model: Network | float, text: str = "text") -> DataFr
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32))], schema=pa.schema(
                 [*b.schema, pa.field("score", pa.float64()), pa.field("predicted", pa.int32())]))
 
-    return docs.mapInArrow(run, f"{own}, score double, predicted int")
+    return docs.mapInArrow(run, f"{own}, score double, predicted int").select(*back, "score", "predicted")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

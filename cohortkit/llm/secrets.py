@@ -433,7 +433,7 @@ def _listed(spans) -> list[dict]:
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` plus ``base_spans`` and ``secret_spans``: arrays of (kind, start, end) by start, then kind."""
     prepare(docs.sparkSession)
-    docs = docs.drop("base_spans", "secret_spans")
+    docs, back = set_aside(docs.drop("base_spans", "secret_spans"))
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     kind = "array<struct<kind:string,start:int,end:int>>"
 
@@ -448,7 +448,7 @@ def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(base, more[0].type), pa.array(every, more[1].type)],
                                              schema=pa.schema([*b.schema, *more]))
 
-    return docs.mapInArrow(run, f"{own}, base_spans {kind}, secret_spans {kind}")
+    return docs.mapInArrow(run, f"{own}, base_spans {kind}, secret_spans {kind}").select(*back, "base_spans", "secret_spans")
 
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[REDACTED]") -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import staged, table
+from cohortkit.llm.common import set_aside, staged, table
 
 SHARDS, SEED = 8, 20
 #: Bytes and rows in one bucket of a shard; buckets at most (their counts are broadcast; beyond, buckets grow and spill).
@@ -82,7 +82,7 @@ def _partition(at: Column) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, text: str = "text") -> DataFrame:
     """``docs`` plus ``shard`` (0 ...) and ``slot`` (0 ... without gaps in each shard), in uniformly random order."""
     spark = docs.sparkSession
-    own = [c for c in docs.columns if c not in ("shard", "slot")]
+    docs, back = set_aside(docs.drop("shard", "slot"))
     size = F.octet_length(F.coalesce(F.col(text).cast("string"), F.lit(""))).cast("long")
     mixed = (docs.select(F.struct(*docs.columns).alias("row"), size.alias("bytes"), F.rand(seed).alias("r"))
              .sortWithinPartitions("r").select("row", "bytes", F.monotonically_increasing_id().alias("at")))
@@ -110,8 +110,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, text: str = "
         "to", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
     inside = F.row_number().over(Window.partitionBy("to", "bucket").orderBy("key", "at"))
     return (sent(mixed, "row").withColumn("inside", inside).join(F.broadcast(starts), ["to", "bucket"])
-            .select(*(F.col("row")[c].alias(c) for c in own), F.col("to").cast("int").alias("shard"),
-                    (F.col("start") + F.col("inside") - 1).cast("long").alias("slot")))
+            .select(*(F.col("row")[c].alias(c) for c in docs.columns), F.col("to").cast("int").alias("shard"),
+                    (F.col("start") + F.col("inside") - 1).cast("long").alias("slot")).select(*back, "shard", "slot"))
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:

@@ -15,7 +15,8 @@ pass without a shuffle.
 
 Cases: a null or empty text has no features and gets the base probabilities; repeated rows score
 alike; repeated labels of a document count as their larger value; without labels of both classes
-every score is the share of toxic rows (0 without labels); other columns pass through.
+every score is the share of toxic rows (0 without labels); other columns pass through whatever their names, those
+named as the results are replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortkit.llm.common import batches, prepare, table, texts_of
+from cohortkit.llm.common import batches, prepare, set_aside, table, texts_of
 from cohortkit.llm.quality import held_out, sigmoid, training_rows
 
 SAMPLE = 1500
@@ -161,9 +162,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = FAM
 def score(docs: DataFrame, model: tuple[list[str], list[np.ndarray]] | float, text: str = "text") -> DataFrame:
     """``docs`` plus ``family_scores``, ``score`` (0 to 1), ``predicted`` (1 from 0.5) and ``toxic``."""
     spark = prepare(docs.sparkSession)
-    docs = docs.drop("family_scores", "score", "predicted", "toxic")
+    docs, back = set_aside(docs.drop("family_scores", "score", "predicted", "toxic"))
     if isinstance(model, float):
-        return docs.select("*", F.array().cast("array<double>").alias("family_scores"), F.lit(model).alias("score"),
+        return docs.select(*back, F.array().cast("array<double>").alias("family_scores"), F.lit(model).alias("score"),
                            F.lit(int(model >= 0.5)).alias("predicted"), F.lit(model >= 0.5).alias("toxic"))
     held = spark.sparkContext.broadcast(model)
     own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
@@ -207,7 +208,8 @@ def score(docs: DataFrame, model: tuple[list[str], list[np.ndarray]] | float, te
             yield pa.RecordBatch.from_arrays([*b.columns, *more.values()], schema=pa.schema(
                 [*b.schema, *(pa.field(n, a.type) for n, a in more.items())]))
 
-    return docs.mapInArrow(run, f"{own}, family_scores array<double>, score double, predicted int, toxic boolean")
+    out = docs.mapInArrow(run, f"{own}, family_scores array<double>, score double, predicted int, toxic boolean")
+    return out.select(*back, "family_scores", "score", "predicted", "toxic")
 
 
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
