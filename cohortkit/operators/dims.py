@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions import rulebook as R
 from cohortkit.functions.rules import lower_equals_flag
 from cohortkit.functions.tiers import status_decode
+from cohortkit.operators.common import DEFAULT_BROADCAST_ROWS, bounded_broadcast, stage_table
 from cohortkit.params import RunParams
 from cohortkit.sources.tables import RoleTables
 
@@ -51,7 +52,14 @@ def as_of(df: DataFrame, keys: Sequence[str], effective: str | None = None, at:
     return best.select(*keys, *[F.col("_row")[c].alias(c) for c in kept]).select(*df.columns)
 
 
-def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False, codes: DataFrame | None = None) -> DataFrame:
+def _of_agents(df: DataFrame, agents: DataFrame, key: str, rows: int, p: RunParams) -> DataFrame:
+    """The rows of ``df`` whose ``key`` one of the (counted) agents has."""
+    keys = bounded_broadcast(agents.select(key), p.extra.get("agent_max_rows", DEFAULT_BROADCAST_ROWS), rows)
+    return df.join(keys, key, "left_semi")
+
+
+def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False, codes: DataFrame | None = None,
+                    reuse: str | None = None) -> DataFrame:
     """Servicing-channel agents with their descriptive attributes, DISTINCT.
 
     All right sides are dimensions keyed by agent or location; the agent table
@@ -60,16 +68,23 @@ def agent_dimension(t: RoleTables, p: RunParams, unique: bool = False, codes: Da
     each right side has one row for each key (:func:`as_of`), the scorecard
     its last snapshot up to the run's, so no lead is multiplied.
 
-    ``codes`` (a frame with ``agt_code``) cuts the agents and their scorecards
-    to those that a run needs, before any join; None takes every agent.
+    ``codes`` (a frame with ``agt_code``) cuts the agents to those that a run
+    needs, and the scorecards, candidates and sales structure to those of these
+    agents, before any join; None takes every agent.  With ``reuse="table"`` the
+    cut agents are written once, and their counted rows decide whether their
+    keys are broadcast, so that the other tables are cut where they are read.
     """
     sa, scorecard = t.agents.where(F.col("comp_prvd_num").isin(*p.servicing_channels)), t.scorecard
+    candidates, structure = t.candidates, t.structure
     if codes is not None:
         sa, scorecard = sa.join(codes, "agt_code", "left_semi"), scorecard.join(codes, "agt_code", "left_semi")
-    can = t.candidates.select("can_num", "email_addr", F.col("id_num").alias("agt_id_num"))
+        if reuse is not None:
+            sa, rows = stage_table(sa, "cohort_agent_rows")
+            candidates, structure = _of_agents(candidates, sa, "can_num", rows, p), _of_agents(structure, sa, "loc_code", rows, p)
+    can = candidates.select("can_num", "email_addr", F.col("id_num").alias("agt_id_num"))
     loc = t.locations.select("loc_code", "city", "region")
     rh = t.regional_heads.select(F.col("loc_cd").alias("loc_code"), F.col("rh_name").alias("agent_rh"))
-    mgr = location_managers(t.structure, t.agents).select(
+    mgr = location_managers(structure, t.agents).select(
         "loc_code", F.col("loc_mrg").alias("mgr_cd"), "mgr_nm")
     if unique:
         can, loc, rh, mgr = as_of(can, ["can_num"]), as_of(loc, ["loc_code"]), as_of(rh, ["loc_code"]), as_of(mgr, ["loc_code"])

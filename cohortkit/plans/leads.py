@@ -134,9 +134,11 @@ def _build_stages(t: RoleTables, p: RunParams, mode: str = "in_place", reuse: st
     if reuse is not None:  # one grouped pass, read by the profile and by the flags
         facts = stage_table(facts, "owner_facts")[0]
     summary = per_owner(C.holdings_summary(hold, p))
-    # Only the cohort's servicing agents meet the other dimensions.
-    codes = staged_broadcast(base.select(F.col("sagt_cd").alias("agt_code")).distinct(), DEFAULT_BROADCAST_ROWS, reuse, "cohort_agents")
-    agent_dim = D.agent_dimension(t, p, codes=codes)
+    # Only the cohort's servicing agents meet the other dimensions.  The dimension is written once, so that its counted
+    # rows (duplicate keys included) decide whether the leads meet it without a shuffle of their own.
+    agent_rows = p.extra.get("agent_max_rows", DEFAULT_BROADCAST_ROWS)
+    codes = staged_broadcast(base.select(F.col("sagt_cd").alias("agt_code")).distinct(), agent_rows, reuse, "cohort_agents")
+    agent_dim = staged_broadcast(D.agent_dimension(t, p, codes=codes, reuse=reuse), agent_rows, reuse, "agent_dim")
     first_dates = per_owner(P.first_join_dates(t, p, facts=facts))
     profile = P.customer_profile(t, p, owners, summary, first_dates)
     policies = base.select("pol_num").distinct()

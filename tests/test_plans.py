@@ -3,11 +3,13 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from cohortkit.operators import cohort as C
 from cohortkit.operators import dims as D
 from cohortkit.plans import registry
 from cohortkit.plans.leads import build_stages
+from cohortkit.session import remove_staged, staging_scope
 from cohortkit.sources.fixtures import FIXTURE_PARAMS, build_fixture_tables
 
 SF = "/root/testdata/sf0.01"
@@ -65,12 +67,42 @@ def test_agent_dimension_cut_to_the_cohort(spark, tables):
     assert 0 < cut.count() < whole.count()
     assert cut.exceptAll(same).count() == 0 and same.exceptAll(cut).count() == 0
     assert D.agent_dimension(tables, FIXTURE_PARAMS, codes=some.limit(0)).count() == 0
+    with staging_scope() as made:
+        for p in (FIXTURE_PARAMS, FIXTURE_PARAMS.with_(extra={"agent_max_rows": 0})):
+            written = D.agent_dimension(tables, p, codes=some, reuse="table")
+            assert written.exceptAll(same).count() == 0 and same.exceptAll(written).count() == 0
+        remove_staged(spark, made)
     st = build_stages(tables, FIXTURE_PARAMS)
     codes = {r.sagt_cd for r in st.cohort.select("sagt_cd").distinct().collect()}
     assert {r.agt_code for r in st.agent_dim.select("agt_code").collect()} == codes
     st.close()
 
 
+def test_leads_meet_the_agent_dimension_without_a_shuffle(spark, tables):
+    """By the counted rows alone (Spark's own threshold is off): within the bound no join over the agent code or
+    the candidates' numbers shuffles, past it they do, with the same leads."""
+    def joins(st):
+        plans = _plan(st.combined), _plan(D.agent_dimension(tables, st.params, codes=st.cohort.select(
+            F.col("sagt_cd").alias("agt_code")).distinct(), reuse="table"))
+        return [any("SortMergeJoin" in ln and key in ln and how in ln for ln in plan.splitlines())
+                for plan, key, how in zip(plans, ("[sagt_cd", "[can_num"), ("Inner", "LeftSemi"), strict=True)]
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with staging_scope() as made:
+            near = build_stages(tables, FIXTURE_PARAMS)
+            past = build_stages(tables, FIXTURE_PARAMS.with_(extra={"agent_max_rows": 0}))
+            assert joins(near) == [False, False]
+            assert joins(past) == [True, True]
+            assert near.combined.count() > 0
+            assert near.combined.exceptAll(past.combined).count() == 0 and past.combined.exceptAll(near.combined).count() == 0
+            near.close(), past.close()
+        remove_staged(spark, made)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_without_staging_no_job_runs_while_the_plan_is_built(spark, tables):
     """reuse=None: no side is counted or written, so none is computed twice."""
     memo = C.agent_roles(tables, FIXTURE_PARAMS)  # the agent lookups are counted once for a set of tables
